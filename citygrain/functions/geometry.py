@@ -112,18 +112,10 @@ def signed_area(ring: Column) -> Column:
 
 
 def polygon_area(rings: Column) -> Column:
-    """Area of the even-odd polygon: outer rings minus holes.
-
-    A ring is a hole when an odd number of the other rings contain its first vertex.
-    """
-
-    def one(ring: Column) -> Column:
-        first = ring[0]
-        depth = F.size(F.filter(rings, lambda other: (other != ring) & (crossings(segments(other), first["x"], first["y"]) % 2 == 1)))
-        return F.abs(signed_area(ring)) * F.when(depth % 2 == 1, F.lit(-1.0)).otherwise(F.lit(1.0))
-
+    """Area of the even-odd polygon: outer rings minus holes."""
+    parts = F.transform(rings, lambda ring: F.abs(signed_area(ring)) * ring_sign(rings, ring))
     return F.when(F.size(rings) == 1, F.abs(signed_area(rings[0]))).otherwise(
-        F.aggregate(F.transform(rings, one), F.lit(0.0), lambda t, a: t + a)
+        F.aggregate(parts, F.lit(0.0), lambda t, a: t + a)
     )
 
 
@@ -257,34 +249,92 @@ def segment_meets_box(s: Column, xmin: Column, ymin: Column, xmax: Column, ymax:
     )
 
 
-def clip_ring(ring: Column, xmin: Column, ymin: Column, xmax: Column, ymax: Column) -> Column:
-    """Ring cut to a box, one box side after the other. Empty when nothing is left."""
-    empty = F.array().cast("array<struct<x:double,y:double>>")
+def clip_to_convex(ring: Column, clipper: Column) -> Column:
+    """Ring cut to a convex ring, one side of it after the other. Empty when nothing is left.
 
-    def side(current: Column, axis: str, limit: Column, keep_above: bool) -> Column:
-        other = "y" if axis == "x" else "x"
+    The ring may be concave; pieces stay connected along the clipper, so areas are exact.
+    """
+    empty = F.array().cast("array<struct<x:double,y:double>>")
+    turn = F.when(signed_area(clipper) >= 0, F.lit(1.0)).otherwise(F.lit(-1.0))
 
-        def inside(v: Column) -> Column:
-            return v >= limit if keep_above else v <= limit
+    def side(current: Column, edge: Column) -> Column:
+        def offset(px: Column, py: Column) -> Column:
+            return turn * (
+                (edge["x2"] - edge["x1"]) * (py - edge["y1"]) - (edge["y2"] - edge["y1"]) * (px - edge["x1"])
+            )
 
         def cut(s: Column) -> Column:
-            a, b = s[f"{axis}1"], s[f"{axis}2"]
-            t = (limit - a) / (b - a)
-            across = s[f"{other}1"] + (s[f"{other}2"] - s[f"{other}1"]) * t
-            meet = point(limit, across) if axis == "x" else point(across, limit)
+            a, b = offset(s["x1"], s["y1"]), offset(s["x2"], s["y2"])
+            t = a / (a - b)
+            meet = point(s["x1"] + (s["x2"] - s["x1"]) * t, s["y1"] + (s["y2"] - s["y1"]) * t)
             end = point(s["x2"], s["y2"])
             return (
-                F.when(inside(a) & inside(b), F.array(end))
-                .when(inside(a), F.array(meet))
-                .when(inside(b), F.array(meet, end))
+                F.when((a >= 0) & (b >= 0), F.array(end))
+                .when(a >= 0, F.array(meet))
+                .when(b >= 0, F.array(meet, end))
                 .otherwise(empty)
             )
 
+        # one-element arrays bind the intermediate ring, so it is computed once
         kept = F.flatten(F.transform(segments(current), cut))
-        return F.when(F.size(kept) > 0, F.concat(F.slice(kept, -1, 1), kept)).otherwise(empty)
+        return F.transform(
+            F.array(kept), lambda k: F.when(F.size(k) > 0, F.concat(F.slice(k, -1, 1), k)).otherwise(empty)
+        )[0]
+
+    plain = F.transform(ring, lambda p: point(p["x"], p["y"]))
+    return F.aggregate(segments(clipper), plain, side)
+
+
+def ring_sign(rings: Column, ring: Column) -> Column:
+    """1 for an outer ring, -1 for a hole (inside an odd number of the other rings)."""
+    first = ring[0]
+    depth = F.size(
+        F.filter(rings, lambda o: (o != ring) & (crossings(segments(o), first["x"], first["y"]) % 2 == 1))
+    )
+    return F.when(depth % 2 == 1, F.lit(-1.0)).otherwise(F.lit(1.0))
+
 
-    out = ring
-    for axis, limit, above in (("x", xmin, True), ("x", xmax, False), ("y", ymin, True), ("y", ymax, False)):
-        # an array lambda binds the intermediate ring once, so it is not recomputed per use
-        out = F.transform(F.array(out), lambda r, a=axis, v=limit, k=above: side(r, a, v, k))[0]
-    return out
+def intersection_area(a: Column, b: Column) -> Column:
+    """Area shared by two polygons of any shape.
+
+    Polygon ``a`` is read as a signed fan of triangles, and ``b`` is cut to each of them.
+    """
+
+    def within(triangle: Column) -> Column:
+        parts = F.transform(
+            b, lambda ring: ring_sign(b, ring) * F.abs(signed_area(clip_to_convex(ring, triangle)))
+        )
+        return F.aggregate(parts, F.lit(0.0), lambda t, v: t + v)
+
+    def fan(ring: Column) -> Column:
+        apex = ring[0]
+
+        def step(total: Column, s: Column) -> Column:
+            triangle = F.array(apex, point(s["x1"], s["y1"]), point(s["x2"], s["y2"]), apex)
+            return total + F.transform(
+                F.array(triangle),
+                lambda t: F.when(signed_area(t) == 0, F.lit(0.0)).otherwise(F.signum(signed_area(t)) * within(t)),
+            )[0]
+
+        return F.abs(F.aggregate(segments(ring), F.lit(0.0), step)) * ring_sign(a, ring)
+
+    return F.aggregate(F.transform(a, fan), F.lit(0.0), lambda t, v: t + v)
+
+
+def segments_meet(s: Column, o: Column) -> Column:
+    """True when two segments cross or touch."""
+
+    def turn(ax, ay, bx, by, cx, cy):
+        return F.signum((bx - ax) * (cy - ay) - (by - ay) * (cx - ax))
+
+    d1 = turn(s["x1"], s["y1"], s["x2"], s["y2"], o["x1"], o["y1"])
+    d2 = turn(s["x1"], s["y1"], s["x2"], s["y2"], o["x2"], o["y2"])
+    d3 = turn(o["x1"], o["y1"], o["x2"], o["y2"], s["x1"], s["y1"])
+    d4 = turn(o["x1"], o["y1"], o["x2"], o["y2"], s["x2"], s["y2"])
+    overlap = (
+        (F.least(s["x1"], s["x2"]) <= F.greatest(o["x1"], o["x2"]))
+        & (F.least(o["x1"], o["x2"]) <= F.greatest(s["x1"], s["x2"]))
+        & (F.least(s["y1"], s["y2"]) <= F.greatest(o["y1"], o["y2"]))
+        & (F.least(o["y1"], o["y2"]) <= F.greatest(s["y1"], s["y2"]))
+    )
+    return overlap & (d1 * d2 <= 0) & (d3 * d4 <= 0)

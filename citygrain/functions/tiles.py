@@ -15,7 +15,7 @@ def degree_label(degrees: Column, axis: str) -> Column:
     """Hemisphere letter and zero-padded absolute degrees, such as S07 or E012."""
     positive, negative, digits = AXES[axis]
     letter = F.when(degrees < 0, F.lit(negative)).otherwise(F.lit(positive))
-    return F.concat(letter, F.lpad(F.abs(degrees).cast("string"), digits, "0"))
+    return F.concat(letter, F.format_string(f"%0{digits}d", F.abs(degrees)))
 
 
 def tile_starts(low: Column, high: Column, size: int) -> Column:
