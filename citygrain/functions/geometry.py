@@ -135,7 +135,9 @@ def centroid(ring: Column) -> Column:
         segments(ring),
         zero,
         step,
-        lambda t: F.struct((ox + t["cx"] / (t["a"] * 3)).alias("x"), (oy + t["cy"] / (t["a"] * 3)).alias("y")),
+        lambda t: F.struct(
+            (ox + F.try_divide(t["cx"], t["a"] * 3)).alias("x"), (oy + F.try_divide(t["cy"], t["a"] * 3)).alias("y")
+        ),
     )
 
 
@@ -255,17 +257,14 @@ def clip_to_convex(ring: Column, clipper: Column) -> Column:
     The ring may be concave; pieces stay connected along the clipper, so areas are exact.
     """
     empty = F.array().cast("array<struct<x:double,y:double>>")
-    turn = F.when(signed_area(clipper) >= 0, F.lit(1.0)).otherwise(F.lit(-1.0))
 
+    # every intermediate is an array or struct bound by a lambda, so it is computed once
     def side(current: Column, edge: Column) -> Column:
-        def offset(px: Column, py: Column) -> Column:
-            return turn * (
-                (edge["x2"] - edge["x1"]) * (py - edge["y1"]) - (edge["y2"] - edge["y1"]) * (px - edge["x1"])
-            )
+        def offset(x: Column, y: Column) -> Column:
+            return edge["ex"] * (y - edge["y1"]) - edge["ey"] * (x - edge["x1"])
 
         def cut(s: Column) -> Column:
-            a, b = offset(s["x1"], s["y1"]), offset(s["x2"], s["y2"])
-            t = a / (a - b)
+            a, b, t = s["a"], s["b"], s["a"] / (s["a"] - s["b"])
             meet = point(s["x1"] + (s["x2"] - s["x1"]) * t, s["y1"] + (s["y2"] - s["y1"]) * t)
             end = point(s["x2"], s["y2"])
             return (
@@ -275,14 +274,30 @@ def clip_to_convex(ring: Column, clipper: Column) -> Column:
                 .otherwise(empty)
             )
 
-        # one-element arrays bind the intermediate ring, so it is computed once
-        kept = F.flatten(F.transform(segments(current), cut))
+        measured = F.transform(
+            segments(current),
+            lambda s: F.struct(
+                s["x1"], s["y1"], s["x2"], s["y2"],
+                offset(s["x1"], s["y1"]).alias("a"), offset(s["x2"], s["y2"]).alias("b"),
+            ),
+        )
+        kept = F.flatten(F.transform(measured, cut))
         return F.transform(
             F.array(kept), lambda k: F.when(F.size(k) > 0, F.concat(F.slice(k, -1, 1), k)).otherwise(empty)
         )[0]
 
+    oriented = F.transform(
+        F.array(F.struct(segments(clipper).alias("edges"), F.signum(signed_area(clipper)).alias("turn"))),
+        lambda c: F.transform(
+            c["edges"],
+            lambda e: F.struct(
+                e["x1"], e["y1"],
+                ((e["x2"] - e["x1"]) * c["turn"]).alias("ex"), ((e["y2"] - e["y1"]) * c["turn"]).alias("ey"),
+            ),
+        ),
+    )[0]
     plain = F.transform(ring, lambda p: point(p["x"], p["y"]))
-    return F.aggregate(segments(clipper), plain, side)
+    return F.aggregate(oriented, plain, side)
 
 
 def ring_sign(rings: Column, ring: Column) -> Column:
@@ -299,26 +314,29 @@ def intersection_area(a: Column, b: Column) -> Column:
 
     Polygon ``a`` is read as a signed fan of triangles, and ``b`` is cut to each of them.
     """
-
-    def within(triangle: Column) -> Column:
-        parts = F.transform(
-            b, lambda ring: ring_sign(b, ring) * F.abs(signed_area(clip_to_convex(ring, triangle)))
-        )
-        return F.aggregate(parts, F.lit(0.0), lambda t, v: t + v)
+    signed_b = F.transform(b, lambda ring: F.struct(ring_sign(b, ring).alias("sign"), ring.alias("ring")))
 
     def fan(ring: Column) -> Column:
+        """Triangles of a ring with their signed areas."""
         apex = ring[0]
+        corners = F.transform(
+            segments(ring), lambda s: F.array(apex, point(s["x1"], s["y1"]), point(s["x2"], s["y2"]), apex)
+        )
+        return F.transform(corners, lambda t: F.struct(F.signum(signed_area(t)).alias("sign"), t.alias("ring")))
 
-        def step(total: Column, s: Column) -> Column:
-            triangle = F.array(apex, point(s["x1"], s["y1"]), point(s["x2"], s["y2"]), apex)
-            return total + F.transform(
-                F.array(triangle),
-                lambda t: F.when(signed_area(t) == 0, F.lit(0.0)).otherwise(F.signum(signed_area(t)) * within(t)),
-            )[0]
+    def shared(triangle: Column, part: Column) -> Column:
+        return triangle["sign"] * part["sign"] * F.abs(signed_area(clip_to_convex(part["ring"], triangle["ring"])))
 
-        return F.abs(F.aggregate(segments(ring), F.lit(0.0), step)) * ring_sign(a, ring)
+    def ring_total(ring: Column) -> Column:
+        pieces = F.flatten(
+            F.transform(
+                F.filter(fan(ring), lambda t: t["sign"] != 0),
+                lambda t: F.transform(signed_b, lambda p: shared(t, p)),
+            )
+        )
+        return F.abs(F.aggregate(pieces, F.lit(0.0), lambda total, v: total + v)) * ring_sign(a, ring)
 
-    return F.aggregate(F.transform(a, fan), F.lit(0.0), lambda t, v: t + v)
+    return F.aggregate(F.transform(a, ring_total), F.lit(0.0), lambda total, v: total + v)
 
 
 def segments_meet(s: Column, o: Column) -> Column:

@@ -3,5 +3,6 @@
 from citygrain.queries.registry import QUERIES, SQL  # noqa: F401
 from citygrain.queries import (  # noqa: F401
     geometry_queries,
+    network_queries,
     raster_queries,
 )

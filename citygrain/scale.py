@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
@@ -140,3 +141,30 @@ def lookup(values: dict, column: Column | str, default=None) -> Column:
     pairs = [F.lit(x) for pair in values.items() for x in pair]
     found = F.try_element_at(F.create_map(*pairs), F.col(column) if isinstance(column, str) else column)
     return found if default is None else F.coalesce(found, F.lit(default))
+
+
+def work_folder(spark, name: str) -> str:
+    """A new folder for written tables, beside the checkpoints of this session."""
+    cut_lineage(spark.range(0))
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
+def next_along(df: DataFrame, keys: Sequence[str], at: str, name: str, parts: int = 64) -> DataFrame:
+    """The next larger ``at`` (a fraction 0..1, distinct per key) under the same key, null at the end.
+
+    Positions are bucketed first: the order is taken inside buckets, and buckets are linked
+    by their smallest position, so one key with most of the rows is spread over ``parts`` tasks.
+    """
+    bucketed = df.withColumn("_bucket", F.least(F.floor(F.col(at) * parts), F.lit(parts - 1)).cast("int"))
+    firsts = bucketed.groupBy(*keys, "_bucket").agg(F.min(at).alias("_first"))
+    # at most `parts` rows per key
+    following = firsts.withColumn(
+        "_following", F.lead("_first").over(Window.partitionBy(*keys).orderBy("_bucket"))
+    ).drop("_first")
+    inside = Window.partitionBy(*keys, "_bucket").orderBy(at)
+    return (
+        bucketed.withColumn("_within", F.lead(at).over(inside))
+        .join(following, [*keys, "_bucket"])
+        .withColumn(name, F.coalesce("_within", "_following"))
+        .drop("_bucket", "_within", "_following")
+    )
