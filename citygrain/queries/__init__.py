@@ -5,4 +5,6 @@ from citygrain.queries import (  # noqa: F401
     geometry_queries,
     network_queries,
     raster_queries,
+    source_queries,
+    statistics_queries,
 )

@@ -129,10 +129,10 @@ def numbered(df: DataFrame, order: Sequence[Column | str], name: str, partitions
     starts = sizes.withColumn("_start", F.sum("_size").over(Window.orderBy("_part")) - F.col("_size"))
     inside = Window.partitionBy("_part").orderBy(*order)
     return (
-        ranged.withColumn("_row", F.row_number().over(inside))
+        ranged.withColumn("_inner", F.row_number().over(inside))
         .join(starts.drop("_size"), "_part")
-        .withColumn(name, F.col("_start") + F.col("_row") - 1)
-        .drop("_part", "_row", "_start")
+        .withColumn(name, F.col("_start") + F.col("_inner") - 1)
+        .drop("_part", "_inner", "_start")
     )
 
 
@@ -168,3 +168,27 @@ def next_along(df: DataFrame, keys: Sequence[str], at: str, name: str, parts: in
         .withColumn(name, F.coalesce("_within", "_following"))
         .drop("_bucket", "_within", "_following")
     )
+
+
+def fill_along(df: DataFrame, by: Sequence[str], order: str, columns: Sequence[str], direction: str = "down",
+               block: int = 10_000) -> DataFrame:
+    """Fill nulls from the nearest earlier (``down``) or later (``up``) row of the same group.
+
+    ``order`` is a whole number, unique in the group. Rows are handled in blocks of it: each
+    block's last known value is carried over the blocks, so a group of any length is spread
+    over many tasks.
+    """
+    sign = 1 if direction == "down" else -1
+    work = df.withColumn("_o", F.col(order) * sign).withColumn("_block", F.floor(F.col("_o") / block))
+    ends = work.groupBy(*by, "_block").agg(
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col("_o"))).alias(f"_e_{c}") for c in columns]
+    )
+    # one row per block and group
+    before = Window.partitionBy(*by).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(
+        *by, "_block", *[F.last(f"_e_{c}", ignorenulls=True).over(before).alias(f"_c_{c}") for c in columns]
+    )
+    inside = Window.partitionBy(*by, "_block").orderBy("_o")
+    filled = {c: F.coalesce(F.last(c, ignorenulls=True).over(inside), f"_c_{c}") for c in columns}
+    out = join_on(work, carried, [*by, "_block"]).withColumns(filled)
+    return out.drop("_o", "_block", *[f"_c_{c}" for c in columns])
