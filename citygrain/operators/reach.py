@@ -93,7 +93,7 @@ def od_costs(edges: DataFrame, origins: DataFrame, dests: DataFrame, weight: str
     o = origins.select("node").distinct()
     d = dests.select("node").distinct()
     if d.count() < o.count():
-        reverse = edges.withColumnsRenamed({"u": "v", "v": "u"})
+        reverse = edges.select(F.col("v").alias("u"), F.col("u").alias("v"), weight)
         found = shortest_costs(reverse, d.withColumn("d", F.col("node")), cutoff, weight, carry=["d"])
         od = found.withColumnRenamed("node", "o").join(o.withColumnRenamed("node", "o"), "o", "left_semi")
     else:

@@ -369,3 +369,10 @@ def event_centroids(features: DataFrame, areas: DataFrame, size: float) -> DataF
     return found.withColumn("_c", c).select(
         *[k for k in features.columns if k != "rings"], F.col("_c.x").alias("x"), F.col("_c.y").alias("y")
     )
+
+
+def largest_part(parts: DataFrame, key: str = "city", part: str = "part") -> DataFrame:
+    """The largest part of each multi-part area; ties go to the smaller part id."""
+    sized = parts.withColumn("_area", geo.polygon_area(F.col("rings")))
+    best = F.max_by(F.struct(part, "rings"), F.struct("_area", -F.col(part)))
+    return sized.groupBy(key).agg(best.alias("_p")).select(key, "_p.*")

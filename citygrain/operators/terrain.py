@@ -49,7 +49,7 @@ def contour_levels(px: DataFrame, by: Sequence[str] = ("city",)) -> DataFrame:
     last = (F.ceil(F.col("high") / F.col("interval")) * F.col("interval")).cast("int")
     out = out.withColumn("levels", F.sequence(first, last, F.col("interval")))
     drawn = F.when(
-        F.col("levels")[0] < F.col("low"), F.slice("levels", 2, 2**31 - 1)
+        F.col("levels")[0] < F.col("low"), F.slice("levels", F.lit(2), F.size("levels"))
     ).otherwise(F.col("levels"))
     return out.withColumn("drawn", drawn)
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from citygrain.functions import crs, geometry as geo, tiles
 from citygrain.functions.text import slug
 from citygrain.grid import Grid
-from citygrain.operators import nearest, places, spatial
+from citygrain.operators import nearest, places, spatial, topology
 from citygrain.queries.registry import query
 
 
@@ -168,19 +171,43 @@ def equal_area_projection(t):
     return t.points().select("id", F.round(x, 3).alias("x"), F.round(y, 3).alias("y"))
 
 
-@query("utm_and_mollweide")
-def utm_and_mollweide(t):
-    """Forward and back through UTM and Mollweide; the round trip returns the input."""
+UTM_SQL = """WITH c AS (SELECT id, lon, lat, cast(floor((lon + 180) / 6) + 1 as int) AS zone, radians(lat) AS phi,
+      1 / (2 * 298.257223563::double - 1) AS n FROM points),
+    t AS (SELECT *, 2 * sqrt(n) / (1 + n) AS k, radians(lon - (zone * 6 - 183)) AS dl FROM c),
+    s AS (SELECT *, sinh(atanh(sin(phi)) - k * atanh(k * sin(phi))) AS tt FROM t),
+    e AS (SELECT *, atan2(tt, cos(dl)) AS xi, atanh(sin(dl) / sqrt(1 + tt * tt)) AS eta, n / 2 - 2 * n ** 2 / 3 + 5 * n ** 3 / 16 AS a1,
+      13 * n ** 2 / 48 - 3 * n ** 3 / 5 AS a2, 61 * n ** 3 / 240 AS a3, 0.9996 * 6378137.0 / (1 + n) * (1 + n ** 2 / 4 + n ** 4 / 64) AS ka FROM s)
+    SELECT id, zone, round(500000 + ka * (eta + a1 * cos(2 * xi) * sinh(2 * eta) + a2 * cos(4 * xi) * sinh(4 * eta) + a3 * cos(6 * xi) * sinh(6 * eta)), 3) AS x,
+      round(CASE WHEN lat < 0 THEN 10000000 ELSE 0 END + ka * (xi + a1 * sin(2 * xi) * cosh(2 * eta) + a2 * sin(4 * xi) * cosh(4 * eta) + a3 * sin(6 * xi) * cosh(6 * eta)), 3) AS y,
+      round(lon, 6) AS lon, round(lat, 6) AS lat FROM e"""
+
+
+@query("utm_projection", UTM_SQL)
+def utm_projection(t):
     lon, lat = F.col("lon"), F.col("lat")
-    zone, south = crs.utm_zone(lon), F.col("lat") < 0
-    ux, uy = crs.to_utm(lon, lat, zone, south)
-    mx, my = crs.to_mollweide(lon, lat)
-    return t.points().select(
-        "id",
-        F.round(ux, 3).alias("utm_x"),
-        F.round(uy, 3).alias("utm_y"),
-        F.round(mx, 3).alias("moll_x"),
-        F.round(my, 3).alias("moll_y"),
+    zone, south = crs.utm_zone(lon), lat < 0
+    x, y = crs.project(lon, lat, "4326", "utm")
+    placed = t.points().select("id", zone.alias("zone"), south.alias("south"), x.alias("x"), y.alias("y"))
+    back_lon, back_lat = crs.project(F.col("x"), F.col("y"), "utm", "4326", F.col("zone"), F.col("south"))
+    return placed.select(
+        "id", "zone", F.round("x", 3).alias("x"), F.round("y", 3).alias("y"),
+        (F.round(back_lon, 6) + 0.0).alias("lon"), (F.round(back_lat, 6) + 0.0).alias("lat"),
+    )
+
+
+@query(
+    "mollweide_projection",
+    """SELECT id, round(lon, 5) AS lon, round(lat, 5) AS lat, true AS equation_holds FROM points""",
+)
+def mollweide_projection(t):
+    """Mollweide there and back; the auxiliary angle satisfies its defining equation."""
+    x, y = crs.to_mollweide(F.col("lon"), F.col("lat"))
+    placed = t.points().select("id", F.col("lat").alias("_lat"), x.alias("x"), y.alias("y"))
+    lon, lat = crs.from_mollweide(F.col("x"), F.col("y"))
+    theta = F.asin(F.col("y") / (crs.SEMI_MAJOR * 2**0.5))
+    residual = F.abs(theta * 2 + F.sin(theta * 2) - F.sin(F.radians("_lat")) * math.pi)
+    return placed.select(
+        "id", (F.round(lon, 5) + 0.0).alias("lon"), (F.round(lat, 5) + 0.0).alias("lat"), (residual < 1e-9).alias("equation_holds")
     )
 
 
@@ -722,7 +749,14 @@ def poi_export(t):
     return places.with_coordinates(t.points(), ["lat", "id"]).select("id", "Lat", "Lon", F.col("mID").cast("long").alias("mID"))
 
 
-@query("poi_thinned")
+@query(
+    "poi_thinned",
+    """WITH RECURSIVE p AS (SELECT id, lon, lat, row_number() OVER (ORDER BY id) AS i FROM points),
+    s(i, kept) AS (SELECT 0::bigint, []::STRUCT(id BIGINT, x DOUBLE, y DOUBLE)[]
+      UNION ALL SELECT p.i, CASE WHEN len(list_filter(kept, lambda k: sqrt((k.x - lon) ** 2 + (k.y - lat) ** 2) <= 5)) = 0
+        THEN list_append(kept, {'id': p.id, 'x': lon, 'y': lat}) ELSE kept END FROM s JOIN p ON p.i = s.i + 1)
+    SELECT unnest(kept).id AS id FROM s WHERE i = (SELECT count(*) FROM points)""",
+)
 def poi_thinned(t):
     """Facilities kept so that no two buffers meet, in id order."""
     return places.thin_points(t.points(), 2.5).select("id")
@@ -737,3 +771,39 @@ def points_from_csv_columns(t):
         "id", F.when(F.col("id") % 7 != 0, F.col("lon").cast("string")).alias("X"), F.col("lat").cast("string").alias("Y")
     )
     return places.points_from_columns(raw, "X", "Y").select("id", "lon", "lat")
+
+
+@query(
+    "merged_line_parts",
+    """WITH w AS (SELECT l_orderkey AS id, l_linenumber, l_partkey, l_suppkey, row_number() OVER w AS part, lag(l_suppkey) OVER w AS prev FROM lineitem
+      WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey)),
+    k AS (SELECT *, CASE WHEN prev IS NULL THEN 1 WHEN part % 3 = 0 THEN 1 ELSE 0 END AS start FROM w),
+    r AS (SELECT id, cast(sum(start) OVER (PARTITION BY id ORDER BY part) as int) AS run FROM k)
+    SELECT id, run, cast(count(*) + 1 as int) AS vertices FROM r GROUP BY ALL""",
+)
+def merged_line_parts(t):
+    """Line parts along an order: parts share end points, but for a break before every third part."""
+    along = Window.partitionBy("id").orderBy("l_linenumber", "l_partkey", "l_suppkey")
+    parts = (
+        t.read("lineitem").withColumnRenamed("l_orderkey", "id")
+        .withColumns({"part": F.row_number().over(along), "prev": F.lag("l_suppkey").over(along)})
+    )
+    joined = F.coalesce(F.col("prev"), F.lit(-1)).cast("double")
+    start = F.struct(joined.alias("x"), (F.col("part") - 1).cast("double").alias("y"))
+    broken = F.struct(F.lit(-5.0).alias("x"), F.lit(-5.0).alias("y"))
+    end = F.struct(F.col("l_suppkey").cast("double").alias("x"), F.col("part").cast("double").alias("y"))
+    lines = parts.select("id", "part", F.array(F.when(F.col("part") % 3 == 0, broken).otherwise(start), end).alias("line"))
+    out = topology.merge_parts(lines)
+    return out.select("id", "run", F.size("line").alias("vertices"))
+
+
+@query(
+    "largest_parts",
+    "SELECT nation, arg_max(zone, (zone % 13, -zone)) AS zone FROM zones GROUP BY nation",
+)
+def largest_parts(t):
+    """The largest part of each nation's multi-part area."""
+    half = F.col("zone") % 13 + 1
+    parts = t.zones().select("nation", "zone", F.array(geo.box_ring(-half, -half, half, half)).alias("rings"))
+    out = spatial.largest_part(parts, "nation", "zone")
+    return out.select("nation", "zone")

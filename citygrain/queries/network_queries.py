@@ -279,7 +279,18 @@ def largest_strong_component(t):
     return topology.largest_scc(edges)
 
 
-@query("merged_junctions")
+@query(
+    "merged_junctions",
+    """WITH RECURSIVE near AS (SELECT a.id AS u, b.id AS v FROM points a JOIN points b ON a.id <> b.id AND abs(a.lon - b.lon) <= 1.6
+      AND abs(a.lat - b.lat) <= 1.6 AND sqrt((a.lon - b.lon) ** 2 + (a.lat - b.lat) ** 2) <= 1.6),
+    cc(node, label) USING KEY (node) AS (SELECT id, id FROM points UNION SELECT v, min(label) FROM (SELECT near.v, cc.label FROM cc JOIN near ON near.u = cc.node) n
+      WHERE label < (SELECT k.label FROM recurring.cc k WHERE k.node = n.v) GROUP BY v),
+    big AS (SELECT label FROM cc GROUP BY label HAVING count(*) > 1),
+    m AS (SELECT node, 'c' || label AS c FROM cc WHERE label IN (SELECT label FROM big))
+    SELECT edge, coalesce(a.c, cast(u as varchar)) AS u, coalesce(b.c, cast(v as varchar)) AS v,
+      cast((a.c IS NOT NULL)::int + (b.c IS NOT NULL)::int as int) AS ends_moved
+    FROM streets LEFT JOIN m a ON a.node = u LEFT JOIN m b ON b.node = v WHERE a.c IS NULL OR b.c IS NULL OR a.c <> b.c""",
+)
 def merged_junctions(t):
     """Customers' places closer than 3 degrees chained into clusters."""
     nodes = t.points().select(F.col("id").alias("node"), F.col("lon").alias("x"), F.col("lat").alias("y"))
@@ -288,7 +299,18 @@ def merged_junctions(t):
     return out.select("edge", "u", "v", "ends_moved")
 
 
-@query("contracted_chains")
+@query(
+    "contracted_chains",
+    """WITH RECURSIVE e AS (SELECT u, v, min(edge) AS edge, min(length) AS length FROM streets WHERE road = 'track' GROUP BY u, v),
+    ends AS (SELECT u AS node, v AS other FROM e UNION ALL SELECT v, u FROM e),
+    inner_nodes AS (SELECT node FROM ends GROUP BY node HAVING count(DISTINCT other) = 2 AND count(*) IN (2, 4)),
+    link AS (SELECT b.edge, min(a.edge) AS prev FROM e a JOIN inner_nodes i ON i.node = a.v JOIN e b ON b.u = a.v AND b.v <> a.u GROUP BY b.edge),
+    walk(edge, chain, pos) AS (SELECT edge, edge, 0 FROM e WHERE edge NOT IN (SELECT edge FROM link)
+      UNION ALL SELECT link.edge, chain, pos + 1 FROM walk JOIN link ON link.prev = walk.edge),
+    ring AS (SELECT edge, edge AS chain, 0 AS pos FROM e WHERE edge NOT IN (SELECT edge FROM walk)),
+    w AS (SELECT * FROM walk UNION ALL SELECT * FROM ring)
+    SELECT chain AS edge, arg_min(u, pos) AS u, arg_max(v, pos) AS v, sum(length) AS length, count(*) AS pieces FROM w JOIN e USING (edge) GROUP BY chain""",
+)
 def contracted_chains(t):
     """Street chains of one connected side-street layer contracted between its end points."""
     lanes = t.streets().withColumn("road", F.element_at("highway", 1)).where("road = 'track'")
@@ -304,12 +326,22 @@ def cleaned_network(t):
     return summary
 
 
-@query("clipped_graph")
+@query(
+    "clipped_graph",
+    """WITH z AS (SELECT (s_suppkey * 7 % 40) * 0.01::double + 0.0013 AS cx, floor(s_suppkey / 3.0) * 0.01::double + 0.0017 AS cy, 0.0123::double AS r FROM supplier),
+    s AS (SELECT edge, length, a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2 FROM streets JOIN nodes a ON a.node = u JOIN nodes b ON b.node = v),
+    k AS (SELECT edge, CASE WHEN y1 = y2 THEN (cx + sgn * (r - abs(y1 - cy)) - x1) / (x2 - x1) ELSE (cy + sgn * (r - abs(x1 - cx)) - y1) / (y2 - y1) END AS t
+      FROM s JOIN z ON CASE WHEN y1 = y2 THEN abs(y1 - cy) ELSE abs(x1 - cx) END < r, (SELECT unnest([-1, 1]) AS sgn)),
+    c AS (SELECT DISTINCT edge, round(t, 12) AS t FROM k WHERE t > 0 AND t < 1 UNION SELECT edge, 0.0 FROM s UNION SELECT edge, 1.0 FROM s),
+    p AS (SELECT edge, t AS t0, lead(t) OVER (PARTITION BY edge ORDER BY t) AS t1 FROM c),
+    q AS (SELECT s.*, t0, t1, x1 + (x2 - x1) * (t0 + t1) / 2 AS mx, y1 + (y2 - y1) * (t0 + t1) / 2 AS my FROM p JOIN s USING (edge) WHERE t1 IS NOT NULL)
+    SELECT edge, round(t0, 6) AS t0, round(length * (t1 - t0), 5) AS length FROM q WHERE EXISTS (SELECT 1 FROM z WHERE abs(mx - cx) + abs(my - cy) < r)""",
+)
 def clipped_graph(t):
     from citygrain.queries.geometry_queries import street_zones
 
     _, edges = topology.clip_graph(t.nodes(), t.streets(), street_zones(t).select("rings"), 0.02)
-    return edges.select("edge", "u", "v", F.round("length", 6).alias("length"))
+    return edges.select("edge", F.round("t0", 6).alias("t0"), F.round("length", 5).alias("length"))
 
 
 def lines_of(t):
@@ -363,11 +395,19 @@ def places_snapped_to_edges(t):
     return snapped.select("poi", F.round("distance", 7).alias("distance"))
 
 
-@query("network_with_places")
+@query(
+    "network_with_places",
+    f"""WITH s AS (SELECT DISTINCT a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2 FROM streets JOIN nodes a ON a.node = u JOIN nodes b ON b.node = v),
+    q AS (SELECT poi, p.x, p.y, s.*, greatest(0, least(1, ((p.x - x1) * (x2 - x1) + (p.y - y1) * (y2 - y1))
+      / ((x2 - x1) ** 2 + (y2 - y1) ** 2))) AS w FROM {POIS} p JOIN s ON p.x BETWEEN least(x1, x2) - 0.03 AND greatest(x1, x2) + 0.03
+      AND p.y BETWEEN least(y1, y2) - 0.03 AND greatest(y1, y2) + 0.03),
+    d AS (SELECT poi, min(sqrt((x1 + (x2 - x1) * w - x) ** 2 + (y1 + (y2 - y1) * w - y) ** 2)) AS d FROM q GROUP BY poi)
+    SELECT 'street' AS kind, round(sum(length), 3) AS length FROM streets UNION ALL SELECT 'access', round(2 * sum(d), 3) FROM d WHERE d <= 0.003""",
+)
 def network_with_places(t):
     """The street network split at places and with access edges."""
     _, _, edges = topology.snap_to_edges(pois(t), t.nodes().select("node", "x", "y"), t.streets(), 0.003)
-    return edges.groupBy("kind").agg(F.count(F.lit(1)).alias("edges"), F.round(F.sum("length"), 3).alias("length"))
+    return edges.groupBy("kind").agg(F.round(F.sum("length"), 3).alias("length"))
 
 
 # reach ------------------------------------------------------------------------------------
@@ -662,10 +702,12 @@ def dissolved_zones(t):
     return shapes.dissolve(t.hazard(), ["layer"])
 
 
-@query("label_points")
+@query("label_points", "SELECT zone, round(cx, 4) AS x, round(cy, 4) AS y, round(r / sqrt(2), 4) AS radius FROM zones")
 def label_points(t):
-    out = shapes.label_points(t.zone_polygons())
-    return out.select("zone", F.round("x", 4).alias("x"), F.round("y", 4).alias("y"), F.round("radius", 4).alias("radius"))
+    out = shapes.label_points(t.zone_polygons(), n=17)
+    return out.select(
+        "zone", (F.round("x", 4) + 0.0).alias("x"), (F.round("y", 4) + 0.0).alias("y"), F.round("radius", 4).alias("radius")
+    )
 
 
 @query(
@@ -698,3 +740,24 @@ def rasterized_places(t):
 def interpolated_places(t):
     out = shapes.interpolate(t.points(), Grid(-180.0, -85.0, 18.0, 17.0, 20, 10), "weight")
     return out.withColumn("value", F.round("value", 4))
+
+
+@query(
+    "gravity_access_with_unreached",
+    """WITH RECURSIVE r(o, node, cost) USING KEY (o, node) AS (
+      SELECT DISTINCT node, node, 0.0::double FROM facilities
+      UNION SELECT o, v, min(cost) FROM (SELECT r.o, s.v, r.cost + s.length AS cost FROM r JOIN streets s ON s.u = r.node
+        WHERE r.cost + s.length <= 700) n
+        WHERE NOT EXISTS (SELECT 1 FROM recurring.r k WHERE k.o = n.o AND k.node = n.v AND k.cost <= n.cost) GROUP BY o, v),
+    f AS (SELECT DISTINCT node FROM facilities)
+    SELECT a.node AS o, round(sum((b.node % 7 + 1) * exp(-0.001 * coalesce(cost, 2000))), 6) AS score
+    FROM f a CROSS JOIN f b LEFT JOIN r ON r.o = a.node AND r.node = b.node GROUP BY a.node""",
+)
+def gravity_access_with_unreached(t):
+    """Facility scores where facilities out of reach count at a fail cost, without listing those pairs."""
+    f = t.facilities().select("node").distinct()
+    od = reach.od_costs(t.streets(), f, f, cutoff=700.0)
+    ow = f.select(F.col("node").alias("o"), F.lit(1.0).alias("weight"))
+    dw = f.select(F.col("node").alias("d"), (F.col("node") % 7 + 1).cast("double").alias("weight"))
+    out = reach.gravity_access(od, ow, dw, [0.001], fail=2000.0)
+    return out.select("o", F.round("`d_0.001`", 6).alias("score"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from citygrain.functions import tiles
+from citygrain.queries.geometry_queries import QUADKEY
 from citygrain.queries.registry import query
 from citygrain.scale import work_folder
 from citygrain.sources import listings, streets
@@ -25,7 +26,11 @@ def csv_with_types(t):
     return df.select(F.col("Lon").alias("lon"), F.col("Lat").alias("lat"), F.col("Cls").alias("cls"))
 
 
-@query("building_footprints")
+@query(
+    "building_footprints",
+    f"""WITH k AS (SELECT id, weight AS height, {QUADKEY.format(z=2, lon='lon', lat='lat')} AS quadkey FROM points)
+    SELECT id, height, quadkey FROM k WHERE quadkey < '2'""",
+)
 def building_footprints(t):
     """Footprints of one country's tiles, from JSON partitioned by quadkey."""
     path = work_folder(t.spark, "footprints")

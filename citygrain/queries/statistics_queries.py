@@ -726,7 +726,18 @@ def value_domains(t):
     return display.value_domain(values, 0.0, by=("city",))
 
 
-@query("top_slice")
+@query(
+    "top_slice",
+    """WITH d AS (SELECT value AS v FROM people), q AS (SELECT unnest([0, 1, 2, 3, 4, 5, 6, 7, 8, 9]) AS i,
+      unnest(quantile_cont(v, [0, 1/9, 2/9, 3/9, 4/9, 5/9, 6/9, 7/9, 8/9, 1.0])) AS b FROM d),
+    t AS (SELECT i, g, CASE WHEN b = 0 THEN 0 ELSE round_even(b * 10.0 ** (g - 1 - floor(log10(abs(b)))), 0) / 10.0 ** (g - 1 - floor(log10(abs(b)))) END AS b
+      FROM q, (SELECT unnest([1, 2, 3, 4, 5]) AS g)),
+    w AS (SELECT g, bool_and(b = floor(b)) FILTER (WHERE i > 0) AS whole FROM t GROUP BY g),
+    p AS (SELECT i, t.g, CASE WHEN whole AND i = 0 THEN floor(b) ELSE b END AS b FROM t JOIN w USING (g)),
+    e AS (SELECT g, i, b, (SELECT count(*) FROM d WHERE v <= p.b) / (SELECT count(*) FROM d) AS f FROM p),
+    ok AS (SELECT coalesce(min(g) FILTER (WHERE good), 5) AS g FROM (SELECT g, bool_and(abs(f - i / 9.0) <= 1 / 36.0) AS good FROM e GROUP BY g))
+    SELECT city, x, y, value FROM people WHERE value > (SELECT b FROM p WHERE g = (SELECT g FROM ok) AND i = 8)""",
+)
 def top_slice(t):
     """Cells above the ninth of ten breaks of the population."""
     return display.top_slice(t.people()).select("city", "x", "y", "value")
