@@ -208,7 +208,8 @@ def gravity_demand(od: DataFrame, weights: DataFrame, max_trips: float = 100.0,
     )
     scored = pairs.withColumn("_top", top).withColumn("_raw", raw)
     peak = with_totals(scored, (), _peak=F.max("_raw"))
-    trips = F.ceil(F.col("_raw") / F.col("_peak") * max_trips).cast("int")
+    # noise in the last digits must not lift a whole number to the next one
+    trips = F.ceil(F.round(F.try_divide(F.col("_raw"), F.col("_peak")) * max_trips, 9)).cast("int")
     return peak.select("o", "d", trips.alias("trips"))
 
 

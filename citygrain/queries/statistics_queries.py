@@ -63,9 +63,9 @@ def age_shares_of_all(t):
 
 @query(
     "demographic_summary",
-    f"""SELECT city, round(100 * sum(n) FILTER (WHERE ord = 1) / sum(n), 6) AS under5, round(100 * sum(n) FILTER (WHERE ord IN (4, 5)) / sum(n), 6) AS youth,
-      round(100 * sum(n) FILTER (WHERE ord BETWEEN 4 AND 13) / sum(n), 6) AS working_age, round(100 * sum(n) FILTER (WHERE ord >= 13) / sum(n), 6) AS elderly,
-      round(100 * sum(n) FILTER (WHERE sex = 'f' AND ord BETWEEN 4 AND 10) / sum(n) FILTER (WHERE sex = 'f'), 6) AS reproductive_age,
+    f"""SELECT city, round(100 * coalesce(sum(n) FILTER (WHERE ord = 1), 0) / sum(n), 6) AS under5, round(100 * coalesce(sum(n) FILTER (WHERE ord IN (4, 5)), 0) / sum(n), 6) AS youth,
+      round(100 * coalesce(sum(n) FILTER (WHERE ord BETWEEN 4 AND 13), 0) / sum(n), 6) AS working_age, round(100 * coalesce(sum(n) FILTER (WHERE ord >= 13), 0) / sum(n), 6) AS elderly,
+      round(100 * coalesce(sum(n) FILTER (WHERE sex = 'f' AND ord BETWEEN 4 AND 10), 0) / sum(n) FILTER (WHERE sex = 'f'), 6) AS reproductive_age,
       round(100 * sum(n) FILTER (WHERE sex = 'm') / sum(n) FILTER (WHERE sex = 'f'), 6) AS sex_ratio FROM {BANDS} GROUP BY city""",
 )
 def demographic_summary(t):
