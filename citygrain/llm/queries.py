@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citygrain.llm import bpe, decontaminate
+from citygrain.llm import bpe, decontaminate, simhash
 from citygrain.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -28,6 +28,13 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), VOCABULARY, with_ids=False)
 
 
+@query
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document and the smallest id among its near-duplicates."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.fingerprint_hex().alias("fingerprint"), "component_id")
+
+
 @query
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document inside verbatim passages of the benchmark."""
