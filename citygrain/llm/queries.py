@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citygrain.llm import bpe, decontaminate, simhash
+from citygrain.llm import bpe, decontaminate, licenses, simhash, topk
 from citygrain.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -22,6 +22,24 @@ def query(fn):
     return fn
 
 
+@query
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices in every document."""
+    found = licenses.scan_licenses(table(spark, sf_dir, "documents"))
+    base = list(licenses.PHRASES)
+    at = F.flatten(F.transform("matches", lambda m: m["places"]))
+    return found.withColumn("places", at).select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min("places").alias("first_word"),
+        F.array_max("places").alias("last_word"),
+        licenses.labels("matches", base).alias("base_labels"),
+        licenses.labels("matches").alias("labels"),
+        F.coalesce(F.array_max(F.transform("matches", lambda m: m["containment"])), F.lit(0.0)).alias("score"),
+    )
+
+
 @query
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded and decoded again."""
@@ -35,6 +53,25 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.fingerprint_hex().alias("fingerprint"), "component_id")
 
 
+@query
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best vectors for every vector whose id is divisible by 100."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+SQL["op7_topk"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
 @query
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document inside verbatim passages of the benchmark."""
