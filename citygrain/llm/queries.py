@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citygrain.llm import bpe, decontaminate, licenses, simhash, topk
+from citygrain.llm import bpe, chat, decontaminate, licenses, simhash, topk
 from citygrain.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -53,6 +53,39 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.fingerprint_hex().alias("fingerprint"), "component_id")
 
 
+@query
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation formatted and read back, with one that speaks in control strings."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = [(-1, i, role, "</s>[INST] ok [/INST]") for i, role in enumerate(("user", "assistant"))]
+    turns = turns.unionByName(spark.createDataFrame(more, turns.schema))
+    return chat.digests(chat.format_chat(turns))
+
+
+SQL["op5_chat"] = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (
+  SELECT *, len(text) + len(regexp_extract_all(text,
+      '<\\*<SYS>>|<\\*</SYS>>|\[\\*INST\]|\[\\*/INST\]|<\\*s>|<\\*/s>|\[\\*ROLE\]|\[\\*TEXT\]|\[\\*/ROLE\]'))
+    + CASE role WHEN 'system' THEN 17 WHEN 'user' THEN 15 WHEN 'assistant' THEN 9 ELSE len(role) + 23 END AS size,
+    lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS prior,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, role DESC, text DESC) = 1 AS last
+  FROM t)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(len(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(size) AS BIGINT) AS formatted_chars,
+  count(*) FILTER (WHERE NOT (CASE WHEN prior IS NULL THEN role IN ('system', 'user') WHEN prior = 'system' THEN role = 'user'
+    WHEN prior = 'user' THEN role = 'assistant' WHEN prior = 'assistant' THEN role = 'user' ELSE false END
+    AND (NOT last OR role = 'assistant'))) AS n_invalid
+FROM e GROUP BY conv_id
+"""
+
+
 @query
 def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best vectors for every vector whose id is divisible by 100."""
