@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citygrain.llm import bpe, chat, decontaminate, licenses, simhash, topk
+from citygrain.llm import bpe, chat, decontaminate, licenses, simhash, topk, toxicity
 from citygrain.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -53,6 +53,19 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.fingerprint_hex().alias("fingerprint"), "component_id")
 
 
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score and decision for every document, learned from the labels of the training fold."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~toxicity.held_out())
+    return toxicity.score_documents(docs, model).select(
+        "doc_id",
+        toxicity.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation formatted and read back, with one that speaks in control strings."""
