@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citygrain.llm import bpe, chat, decontaminate, licenses, simhash, topk, toxicity
+from citygrain.llm import bpe, chat, decontaminate, licenses, simhash, suffix_dedup, topk, toxicity
 from citygrain.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -118,6 +118,19 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
 
 
+@query
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its byte strings that stand more than once."""
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document inside verbatim passages of the benchmark."""
