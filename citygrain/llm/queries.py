@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citygrain.llm import bpe, chat, decontaminate, licenses, simhash, suffix_dedup, topk, toxicity
+from citygrain.llm import bpe, chat, decontaminate, licenses, lm, simhash, suffix_dedup, topk, toxicity
 from citygrain.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -118,6 +118,12 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
 
 
+@query
+def op8_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram and attention scores of every document."""
+    return lm.score_texts(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without its byte strings that stand more than once."""
