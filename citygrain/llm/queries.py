@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citygrain.llm import bpe, chat, decontaminate, licenses, lm, simhash, suffix_dedup, topk, toxicity
+from citygrain.llm import bpe, chat, decontaminate, licenses, lm, passages, simhash, suffix_dedup, topk, toxicity
 from citygrain.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -99,6 +99,12 @@ FROM e GROUP BY conv_id
 """
 
 
+@query
+def op6_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the fuzzy passages it shares with others."""
+    return passages.shared_documents(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best vectors for every vector whose id is divisible by 100."""
