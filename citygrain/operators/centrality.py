@@ -8,24 +8,27 @@ from pyspark.sql import functions as F
 from citygrain.scale import cut_lineage, numbered, with_totals
 
 
-def betweenness(edges: DataFrame, kind: str = "edge", max_sources: int = 50_000, seed: int = 0) -> DataFrame:
+def betweenness(edges: DataFrame, kind: str = "edge", sources: int | None = None, seed: int = 0) -> DataFrame:
     """Normalized betweenness of each edge (u, v) or node, with the mean over all appended.
 
     Shortest paths are counted level by level outwards from every source, and dependencies
     are summed level by level back. Both passes are joins on (source, node) and aggregate
-    before the shuffle, so a hub's many paths meet as partial sums. Above ``max_sources``
-    nodes, that many sources are drawn by a seeded hash and the result is scaled up.
+    before the shuffle, so a hub's many paths meet as partial sums. The result is exact and covers all
+    sources, whatever the size; only for edges, and only if ``sources`` asks for it, as many sources are drawn
+    by a seeded hash and the result is scaled up.
     """
+    if sources is not None and kind != "edge":
+        raise ValueError("sources can be drawn for edge betweenness only")
     pairs = cut_lineage(edges.where("u <> v").select("u", "v").distinct())
     nodes = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
     n = nodes.count()
-    sources, k = nodes, n
-    if n > max_sources:
+    starts, k = nodes, n
+    if sources is not None and sources < n:
         hashed = nodes.withColumn("_h", F.xxhash64(F.lit(seed), "node"))
-        sources = numbered(hashed, ["_h", "node"], "_at").where(F.col("_at") < max_sources)
-        k = max_sources
+        starts = numbered(hashed, ["_h", "node"], "_at").where(F.col("_at") < sources)
+        k = sources
     state = cut_lineage(
-        sources.select(
+        starts.select(
             F.col("node").alias("s"), "node", F.lit(0).alias("level"), F.lit(1.0).alias("paths")
         )
     )

@@ -14,20 +14,24 @@ CELL = ("x", "y")
 
 
 def exposure_by_year(
-    hazard: DataFrame, settlement: DataFrame, grid: Grid, years: Sequence[int], by: Sequence[str] = ("city",)
+    hazard: DataFrame, settlement: DataFrame, grid: Grid, years: Sequence[int], by: Sequence[str] = ("city",),
+    scale: float = 1.0,
 ) -> DataFrame:
-    """Cumulative area settled by each year in cells with a hazard.
+    """Cumulative area settled by each year in cells with a hazard, in squared grid units times ``scale``.
 
-    Every year of the range is present, also when nothing was settled in it.
+    Every year of the range is present for every group of the hazard table, also when nothing was
+    settled in it. A grid in metres and a scale of 1e-6 give square kilometres.
     """
     exposed = hazard.where("value > 0").select(*by, *CELL)
     place = [b for b in by if b in settlement.columns]
     hits = exposed.join(settlement.withColumnRenamed("value", "year"), [*place, *CELL])
     counts = hits.groupBy(*by).agg(*[F.count_if(F.col("year") == y).alias(f"_y{y}") for y in years])
+    if by:
+        counts = join_on(hazard.select(*by).distinct(), counts, by, "left")
     rows, running = [], F.lit(0)
     for y in years:
-        running = running + F.col(f"_y{y}")
-        rows.append(F.struct(F.lit(y).alias("year"), (running * F.lit(grid.cell_area)).alias("cumulative_area")))
+        running = running + F.coalesce(f"_y{y}", F.lit(0))
+        rows.append(F.struct(F.lit(y).alias("year"), (running * F.lit(grid.cell_area * scale)).alias("cumulative_area")))
     return counts.select(*by, F.inline(F.array(*rows)))
 
 

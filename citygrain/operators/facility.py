@@ -1,4 +1,8 @@
-"""Facility coverage and location on sparse origin-destination tables."""
+"""Facility coverage and location on sparse origin-destination tables.
+
+The tables hold no row for a pair without a route, so every operator takes the origins as well: an
+origin that nothing reaches is demand not covered, or costs the fail value.
+"""
 
 from __future__ import annotations
 
@@ -10,19 +14,22 @@ from pyspark.sql import functions as F
 from citygrain.scale import cut_lineage
 
 
-def _demand(od: DataFrame, weights: DataFrame | None) -> DataFrame:
-    """Demand of each origin: its weight, or 1."""
-    if weights is not None:
-        return weights.select("o", F.col("weight").cast("double").alias("_w"))
-    return od.select("o").distinct().withColumn("_w", F.lit(1.0))
+def _demand(origins: DataFrame, weights: DataFrame | None) -> DataFrame:
+    """Demand of each origin: its weight (0 without one), or 1."""
+    every = origins.select("o").distinct()
+    if weights is None:
+        return every.withColumn("_w", F.lit(1.0))
+    known = weights.select("o", F.col("weight").cast("double").alias("_w"))
+    return every.join(known, "o", "left").withColumn("_w", F.coalesce("_w", F.lit(0.0)))
 
 
-def coverage(od: DataFrame, max_cost: float, chosen: DataFrame | None = None, weights: DataFrame | None = None) -> DataFrame:
-    """Demand within the cost of a chosen facility, and its percent of all demand."""
+def coverage(od: DataFrame, origins: DataFrame, max_cost: float, chosen: DataFrame | None = None,
+             weights: DataFrame | None = None) -> DataFrame:
+    """Demand of all origins, what lies within the cost of a chosen facility, and its percent."""
     served = od.where(F.col("cost") <= max_cost)
     if chosen is not None:
         served = served.join(chosen, "d", "left_semi")
-    demand = _demand(od, weights)
+    demand = _demand(origins, weights)
     marked = demand.join(served.select("o", F.lit(True).alias("_in")).distinct(), "o", "left")
     covered = F.coalesce(F.sum(F.when(F.col("_in"), F.col("_w"))), F.lit(0.0))
     return marked.agg(
@@ -32,7 +39,7 @@ def coverage(od: DataFrame, max_cost: float, chosen: DataFrame | None = None, we
     )
 
 
-def greedy_cover(od: DataFrame, p: int | None, max_cost: float, weights: DataFrame | None = None,
+def greedy_cover(od: DataFrame, origins: DataFrame, p: int | None, max_cost: float, weights: DataFrame | None = None,
                  forced: Sequence[int] = (), share: float | None = None) -> DataFrame:
     """Facilities chosen one at a time for the most uncovered demand.
 
@@ -42,7 +49,7 @@ def greedy_cover(od: DataFrame, p: int | None, max_cost: float, weights: DataFra
     if p is None and share is None:
         raise ValueError("give the number of facilities or the share to cover")
     links = cut_lineage(od.where(F.col("cost") <= max_cost).select("o", "d").distinct())
-    demand = _demand(od, weights)
+    demand = _demand(origins, weights)
     total = demand.agg(F.sum("_w")).first()[0] or 0.0
     target = None if share is None else total * share
     open_links = links.join(demand, "o")
@@ -68,15 +75,17 @@ def greedy_cover(od: DataFrame, p: int | None, max_cost: float, weights: DataFra
     return spark.createDataFrame(rows, f"step int, d {kind}, gain double, covered double, percent double")
 
 
-def median_cost(od: DataFrame, chosen: DataFrame, weights: DataFrame | None = None) -> DataFrame:
-    """Sum over origins of the cost to the cheapest chosen facility."""
+def median_cost(od: DataFrame, origins: DataFrame, chosen: DataFrame, fail: float, weights: DataFrame | None = None) -> DataFrame:
+    """Sum over all origins of the cost to the cheapest chosen facility; the fail value where none has a route."""
     nearest = od.join(chosen, "d", "left_semi").groupBy("o").agg(F.min("cost").alias("cost"))
-    if weights is not None:
-        nearest = nearest.join(weights, "o").withColumn("cost", F.col("cost") * F.col("weight"))
-    return nearest.agg(F.sum("cost").alias("total_cost"), F.count(F.lit(1)).alias("origins"))
+    costs = _demand(origins, weights).join(nearest, "o", "left")
+    cost = F.coalesce("cost", F.lit(float(fail))) * F.col("_w")
+    return costs.agg(
+        F.sum(cost).alias("total_cost"), F.count(F.lit(1)).alias("origins"), F.count_if(F.col("cost").isNull()).alias("unserved")
+    )
 
 
-def greedy_median(od: DataFrame, p: int, forced: Sequence[int] = (), fail: float = 1e9) -> DataFrame:
+def greedy_median(od: DataFrame, origins: DataFrame, p: int, forced: Sequence[int] = (), fail: float = 1e9) -> DataFrame:
     """Facilities added one at a time for the lowest total cost; unserved origins cost the fail value."""
     candidates = od.select("d").distinct().count()
     if not 1 <= p <= candidates:
@@ -87,7 +96,7 @@ def greedy_median(od: DataFrame, p: int, forced: Sequence[int] = (), fail: float
     known = {r["d"] for r in od.where(F.col("d").isin(*forced)).select("d").distinct().collect()} if forced else set()
     if set(forced) - known:
         raise ValueError("forced facilities must be destinations")
-    current = cut_lineage(od.select("o").distinct().withColumn("_now", F.lit(float(fail))))
+    current = cut_lineage(origins.select("o").distinct().withColumn("_now", F.lit(float(fail))))
     rows, forced_left = [], list(forced)
     for step in range(1, p + 1):
         gap = od.join(current, "o").withColumn("_saved", F.greatest(F.col("_now") - F.col("cost"), F.lit(0.0)))

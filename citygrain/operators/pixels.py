@@ -335,7 +335,7 @@ def presence(px: DataFrame, threshold: float = 0.18) -> DataFrame:
 
 def coarsen(
     px: DataFrame,
-    max_cells: float = 1e5,
+    max_cells: float,
     how: str = "mode",
     cells: DataFrame | None = None,
     by: Sequence[str] = ("city",),

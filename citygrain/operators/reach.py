@@ -8,6 +8,7 @@ no row, and every consumer accounts for missing pairs exactly without listing th
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,13 +27,14 @@ def checked_weight(weight: str) -> Column:
 
 
 def shortest_costs(edges: DataFrame, origins: DataFrame, cutoff: float | None = None, weight: str = "length",
-                   by: Sequence[str] = (), carry: Sequence[str] = (), max_rounds: int = 100_000) -> DataFrame:
+                   by: Sequence[str] = (), carry: Sequence[str] = ()) -> DataFrame:
     """Least cost from the origins to every node within the cutoff.
 
     ``origins`` has ``node``, the ``by`` columns shared with the edges (such as the city) and
     the ``carry`` columns that keep searches apart (a category, or the origin itself).
     One search runs per distinct combination. Each round extends only nodes whose cost
-    improved in the round before, and costs above the cutoff never enter the shuffle.
+    improved in the round before, and costs above the cutoff never enter the shuffle. Steps are cut to
+    the cheapest per node before they meet the costs known so far.
     """
     keys = [*by, *carry]
     # of parallel edges only the cheapest matters
@@ -42,20 +44,20 @@ def shortest_costs(edges: DataFrame, origins: DataFrame, cutoff: float | None =
     state = cut_lineage(
         origins.select(*keys, "node").distinct().withColumns({"cost": F.lit(0.0), "_round": F.lit(0)})
     )
-    for i in range(1, max_rounds + 1):
+    for i in count(1):
         frontier = state.where(F.col("_round") == i - 1).withColumnRenamed("node", "u")
         step = frontier.join(steps, [*by, "u"]).select(
             *keys, F.col("v").alias("node"), (F.col("cost") + F.col("_w")).alias("cost"), F.lit(i).alias("_round")
         )
         if cutoff is not None:
             step = step.where(F.col("cost") <= cutoff)
+        step = step.groupBy(*keys, "node", "_round").agg(F.min("cost").alias("cost"))
         best = F.min(F.struct("cost", "_round"))
         state = cut_lineage(
             state.unionByName(step).groupBy(*keys, "node").agg(best.alias("_b")).select(*keys, "node", "_b.*")
         )
         if state.where(F.col("_round") == i).isEmpty():
             return state.drop("_round")
-    raise RuntimeError("search did not finish")
 
 
 def reach(edges: DataFrame, origins: DataFrame, cutoff: float, weight: str = "length", stacking: bool = False,
@@ -83,9 +85,11 @@ def isochrone_nodes(edges: DataFrame, origins: DataFrame, thresholds: Sequence[f
     return found.select(*by, *carry, "node", "cost", F.explode(limits).alias("threshold"))
 
 
-def od_costs(edges: DataFrame, origins: DataFrame, dests: DataFrame, weight: str = "length",
-             cutoff: float | None = None, origin_weights: DataFrame | None = None) -> DataFrame:
-    """Cost of every reachable (origin, destination) pair of nodes.
+def od_costs(edges: DataFrame, origins: DataFrame, dests: DataFrame, cutoff: float, weight: str = "length",
+             origin_weights: DataFrame | None = None) -> DataFrame:
+    """Cost of every (origin, destination) pair of nodes within the cutoff.
+
+    The cutoff is what keeps the table sparse on a large network, so it must be given.
 
     The search starts from the smaller side; from destinations it runs on reversed edges,
     which gives the same costs on one-way streets too.
@@ -123,23 +127,26 @@ def od_unreached(od: DataFrame, origins: DataFrame, dests: DataFrame) -> DataFra
 
 
 def od_from_points(nodes: DataFrame, edges: DataFrame, origins: DataFrame, dests: DataFrame, pairs: DataFrame,
-                   fail: float, weight: str = "length", cutoff: float | None = None,
+                   fail: float, cutoff: float, weight: str = "length",
                    walk_speed_kmh: float | None = None, x: str = "x", y: str = "y") -> DataFrame:
     """Costs between points: both ends snapped to nodes, costs found between distinct nodes.
 
     ``origins`` and ``dests`` have ``id``, ``x``, ``y`` in metres; ``pairs`` lists the wanted (origin,
-    destination) ids. With a walking speed the time to and from the snapped nodes is added.
+    destination) ids; only their points are snapped and searched from. Pairs further apart than the cutoff
+    get the fail value. With a walking speed the time to and from the snapped nodes is added.
     """
+    asked = pairs.select(F.col("origin").alias("id")).distinct()
+    origins = origins.select("id", x, y).join(asked, "id", "left_semi")
+    dests = dests.select("id", x, y).join(pairs.select(F.col("destination").alias("id")).distinct(), "id", "left_semi")
     o = nearest_node(origins.select("id", x, y), nodes, x, y).select(
         F.col("id").alias("origin"), F.col("node").alias("o"), F.col("distance").alias("_od")
     )
     d = nearest_node(dests.select("id", x, y), nodes, x, y).select(
         F.col("id").alias("destination"), F.col("node").alias("d"), F.col("distance").alias("_dd")
     )
-    od = od_costs(
-        edges, o.select(F.col("o").alias("node")), d.select(F.col("d").alias("node")), weight, cutoff
-    )
-    wanted = pairs.join(o, "origin").join(d, "destination").join(od, ["o", "d"], "left")
+    placed = cut_lineage(pairs.join(o, "origin").join(d, "destination"))
+    od = od_costs(edges, placed.select(F.col("o").alias("node")), placed.select(F.col("d").alias("node")), cutoff, weight)
+    wanted = placed.join(od, ["o", "d"], "left")
     cost = F.coalesce("cost", F.lit(float(fail)))
     if walk_speed_kmh:
         cost = cost + (F.col("_od") + F.col("_dd")) / 1000 / walk_speed_kmh * 3600

@@ -25,7 +25,8 @@ def settlement_exposure(
     return_period: Column | float,
     years: Sequence[int],
     by: Sequence[str] = ("city",),
+    scale: float = 1.0,
 ) -> DataFrame:
-    """Cumulative built-up area exposed, by settlement year."""
+    """Cumulative built-up area exposed, by settlement year; zero where a hazard meets no settlement."""
     hazard = composite_hazard(depth, threshold, return_period, by)
-    return exposure.exposure_by_year(hazard, settled, grid, years, by)
+    return exposure.exposure_by_year(hazard, settled, grid, years, by, scale)

@@ -157,7 +157,12 @@ def disrupted_network(t):
     return out.select("edge", "disrupted", F.round("time", 6).alias("time"))
 
 
-@query("randomly_disrupted_network")
+@query(
+    "randomly_disrupted_network",
+    f"""WITH r AS (SELECT edge, time, row_number() OVER (ORDER BY md5('7 ' || edge), edge) - 1 AS rank FROM {TIMED})
+    SELECT edge, rank < floor((SELECT count(*) FROM r) / 2.0 * 0.05::double) AS disrupted,
+      round(CASE WHEN rank < floor((SELECT count(*) FROM r) / 2.0 * 0.05::double) THEN 99999 ELSE time END, 6) AS time FROM r""",
+)
 def randomly_disrupted_network(t):
     out = graph.disrupt_random(timed(t), 5, 99999, seed=7)
     return out.select("edge", "disrupted", F.round("time", 6).alias("time"))
@@ -268,7 +273,18 @@ def long_edges_split(t):
     return edges.withColumn("length", F.round("length", 5))
 
 
-@query("largest_strong_component")
+@query(
+    "largest_strong_component",
+    """WITH RECURSIVE e AS (SELECT l_orderkey AS u, (l_partkey * 7919 + l_suppkey * 104729) % (SELECT count(*) FROM orders) AS v FROM lineitem),
+    -- components of the ten best-connected nodes, by what each reaches and what reaches it; the largest counts
+    hub AS (SELECT h FROM (SELECT u AS h, count(*) AS a FROM e GROUP BY u) JOIN (SELECT v AS h, count(*) AS b FROM e GROUP BY v) USING (h)
+      ORDER BY a * b DESC, h LIMIT 10),
+    f(h, n) AS (SELECT h, h FROM hub UNION SELECT h, v FROM f JOIN e ON e.u = f.n),
+    b(h, n) AS (SELECT h, h FROM hub UNION SELECT h, e.u FROM b JOIN e ON e.v = b.n),
+    c AS (SELECT h, n FROM f JOIN b USING (h, n)),
+    i AS (SELECT c.h, u, v FROM e JOIN c ON c.n = u JOIN c AS d ON d.n = v AND d.h = c.h)
+    SELECT u, v FROM i WHERE h = (SELECT h FROM i GROUP BY h ORDER BY count(*) DESC, h LIMIT 1)""",
+)
 def largest_strong_component(t):
     """Edges of the largest strongly connected component of a network of order and part links."""
     total = t.read("orders").agg(F.count(F.lit(1)).alias("n"))
@@ -470,15 +486,23 @@ def facility_nodes(t):
     return reach.facility_nodes(places, t.nodes().select("node", "x", "y"))
 
 
-OD = """od(o, d, cost) USING KEY (o, d) AS (
+# costs above this are no routes
+LIMIT = 12.0
+
+OD = f"""od(o, d, cost) USING KEY (o, d) AS (
       SELECT s_suppkey, s_suppkey, 0.0::double FROM supplier
-      UNION SELECT o, v, min(cost) FROM (SELECT od.o, l.v, od.cost + l.length AS cost FROM od JOIN links l ON l.u = od.d) n
+      UNION SELECT o, v, min(cost) FROM (SELECT od.o, l.v, od.cost + l.length AS cost FROM od JOIN links l ON l.u = od.d
+        WHERE od.cost + l.length <= {LIMIT}) n
         WHERE NOT EXISTS (SELECT 1 FROM recurring.od k WHERE k.o = n.o AND k.d = n.v AND k.cost <= n.cost) GROUP BY o, v)"""
 
 
 def od_table(t):
     nodes = t.read("supplier").select(F.col("s_suppkey").alias("node"))
-    return reach.od_costs(t.links(), nodes, nodes)
+    return reach.od_costs(t.links(), nodes, nodes, LIMIT)
+
+
+def od_origins(t):
+    return t.read("supplier").select(F.col("s_suppkey").alias("o"))
 
 
 @query("od_costs", f"WITH RECURSIVE {OD} SELECT o, d, cost FROM od")
@@ -510,7 +534,7 @@ def od_lookup(t):
 )
 def od_unreached(t):
     f = t.facilities().select("node")
-    return reach.od_unreached(reach.od_costs(t.streets(), f, f, cutoff=700.0), f, f)
+    return reach.od_unreached(reach.od_costs(t.streets(), f, f, 700.0), f, f)
 
 
 @query(
@@ -531,13 +555,13 @@ def od_between_points(t):
         F.col("o_custkey").alias("origin"),
         ((F.col("o_custkey") * 31 + F.col("o_orderkey")) % total.scalar()).alias("destination"),
     )
-    out = reach.od_from_points(nodes, t.links(), people, people, pairs.drop("pair").distinct(), 99999, walk_speed_kmh=5.0)
+    out = reach.od_from_points(nodes, t.links(), people, people, pairs.drop("pair").distinct(), 99999, LIMIT, walk_speed_kmh=5.0)
     return pairs.join(out, ["origin", "destination"]).select("pair", "origin", "destination", F.round("cost", 5).alias("cost"))
 
 
 @query(
     "gravity_access",
-    f"""WITH RECURSIVE {OD} SELECT o, round(s_acct.w * sum(dw * exp(-0.01 * cost)), 2) AS fast, round(s_acct.w * sum(dw * exp(-0.00001 * cost)), 0) AS slow
+    f"""WITH RECURSIVE {OD} SELECT o, {", ".join(f"round(s_acct.w * sum(dw * exp(-{k:.10f}::double * cost)), 2) AS decay_{i}" for i, k in enumerate(reach.DECAYS))}
     FROM od JOIN (SELECT s_suppkey AS d, s_nationkey + 1 AS dw FROM supplier) USING (d)
     JOIN (SELECT s_suppkey AS o, s_nationkey % 3 + 1 AS w FROM supplier) s_acct USING (o) GROUP BY o, s_acct.w""",
 )
@@ -546,20 +570,20 @@ def gravity_access(t):
     ow = s.select(F.col("s_suppkey").alias("o"), (F.col("s_nationkey") % 3 + 1).cast("double").alias("weight"))
     dw = s.select(F.col("s_suppkey").alias("d"), (F.col("s_nationkey") + 1).cast("double").alias("weight"))
     out = reach.gravity_access(od_table(t), ow, dw)
-    return out.select("o", F.round("`d_0.01`", 2).alias("fast"), F.round("`d_1e-05`", 0).alias("slow"))
+    return out.select("o", *[F.round(f"`{reach.decay_name(k)}`", 2).alias(f"decay_{i}") for i, k in enumerate(reach.DECAYS)])
 
 
 @query(
     "market_access",
-    """WITH p AS (SELECT o_custkey AS "O_UID", l_suppkey AS "D_UID", min(sqrt((lon - cx) ** 2 + (lat - cy) ** 2) * 100) AS dist, min(s_nationkey + 1) AS pop
+    f"""WITH p AS (SELECT o_custkey AS "O_UID", l_suppkey AS "D_UID", min(sqrt((lon - cx) ** 2 + (lat - cy) ** 2) * 100) AS dist, min(s_nationkey + 1) AS pop
       FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN points ON id = o_custkey JOIN zones ON zone = l_suppkey
       JOIN supplier ON s_suppkey = l_suppkey GROUP BY ALL)
-    SELECT "O_UID", round(sum(pop * exp(-0.01 * dist)), 6) AS fast, round(sum(pop * exp(-0.0001925409 * dist)), 6) AS hourly FROM p WHERE dist > 0 GROUP BY ALL""",
+    SELECT "O_UID", {", ".join(f"round(sum(pop * exp(-{k:.10f}::double * dist)), 5) AS decay_{i}" for i, k in enumerate(reach.DECAYS))} FROM p WHERE dist > 0 GROUP BY ALL""",
 )
 def market_access(t):
     od = straight_pairs(t)
     out = reach.market_access(od)
-    return out.select("O_UID", F.round("`d_0.01`", 6).alias("fast"), F.round("`d_0.0001925409`", 6).alias("hourly"))
+    return out.select("O_UID", *[F.round(f"`{reach.decay_name(k)}`", 5).alias(f"decay_{i}") for i, k in enumerate(reach.DECAYS)])
 
 
 def straight_pairs(t):
@@ -629,41 +653,76 @@ def node_betweenness(t):
     return out.select("node", F.round("centrality", 9).alias("centrality"))
 
 
+def _steps(first: str, step: str, n: int) -> str:
+    """Common table expressions of ``n`` greedy steps, each on the one before."""
+    return ", ".join([first, *[step.format(k=k, j=k - 1) for k in range(1, n + 1)]])
+
+
 @query(
     "facility_coverage",
-    f"""WITH RECURSIVE {OD}, c AS (SELECT DISTINCT o FROM od WHERE cost <= 20 AND d IN (SELECT s_suppkey FROM supplier WHERE s_nationkey = 3)),
-    w AS (SELECT s_suppkey AS o, cast(s_nationkey + 1 as double) AS w FROM supplier)
+    f"""WITH RECURSIVE {OD}, c AS (SELECT DISTINCT o FROM od WHERE cost <= 5 AND d IN (SELECT s_suppkey FROM supplier WHERE s_nationkey = 3)),
+    w AS (SELECT s_suppkey AS o, cast(s_nationkey + 1 as double) AS w FROM supplier WHERE s_suppkey % 5 > 0)
     SELECT sum(w) AS demand, sum(w) FILTER (WHERE o IN (SELECT o FROM c)) AS covered,
       round(100 * sum(w) FILTER (WHERE o IN (SELECT o FROM c)) / sum(w), 6) AS percent FROM w""",
 )
 def facility_coverage(t):
     s = t.read("supplier")
     chosen = s.where("s_nationkey = 3").select(F.col("s_suppkey").alias("d"))
-    weights = s.select(F.col("s_suppkey").alias("o"), (F.col("s_nationkey") + 1).alias("weight"))
-    out = facility.coverage(od_table(t), 20.0, chosen, weights)
+    weights = s.where("s_suppkey % 5 > 0").select(F.col("s_suppkey").alias("o"), (F.col("s_nationkey") + 1).alias("weight"))
+    out = facility.coverage(od_table(t), od_origins(t), 5.0, chosen, weights)
     return out.withColumn("percent", F.round("percent", 6))
 
 
-@query("facilities_for_coverage")
+COVER_STEPS = 60
+
+
+@query(
+    "facilities_for_coverage",
+    f"""WITH RECURSIVE {OD}, n AS (SELECT count(*) AS n FROM supplier), l AS MATERIALIZED (SELECT o, d FROM od WHERE cost <= 4),
+    {_steps(
+        "c0 AS (SELECT o FROM l WHERE false)",
+        "p{k} AS MATERIALIZED (SELECT {k} AS step, d, count(*)::double AS gain FROM l WHERE o NOT IN (SELECT o FROM c{j}) GROUP BY d ORDER BY gain DESC, d LIMIT 1), "
+        "c{k} AS MATERIALIZED (SELECT o FROM c{j} UNION SELECT o FROM l WHERE d IN (SELECT d FROM p{k}))",
+        COVER_STEPS,
+    )},
+    p AS ({" UNION ALL ".join(f"SELECT * FROM p{k}" for k in range(1, COVER_STEPS + 1))}),
+    r AS (SELECT step::bigint AS step, d, gain, sum(gain) OVER (ORDER BY step) AS covered FROM p)
+    SELECT step, d, gain, covered, round(covered / n * 100, 6) AS percent FROM r, n WHERE covered - gain < 0.8 * n""",
+)
 def facilities_for_coverage(t):
     """Facilities chosen greedily until 80 percent of the suppliers are within 4."""
-    return facility.greedy_cover(od_table(t), None, 4.0, share=0.8)
+    out = facility.greedy_cover(od_table(t), od_origins(t), None, 4.0, share=0.8)
+    return out.withColumns({"step": F.col("step").cast("long"), "percent": F.round("percent", 6)})
 
 
 @query(
     "median_cost",
     f"""WITH RECURSIVE {OD}, c AS (SELECT o, min(cost) AS cost FROM od WHERE d IN (SELECT s_suppkey FROM supplier WHERE s_nationkey = 3) GROUP BY o)
-    SELECT sum(cost) AS total_cost, count(*) AS origins FROM c""",
+    SELECT sum(coalesce(cost, 500.0)) AS total_cost, count(*) AS origins, count(*) FILTER (WHERE cost IS NULL) AS unserved
+    FROM supplier LEFT JOIN c ON o = s_suppkey""",
 )
 def median_cost(t):
     chosen = t.read("supplier").where("s_nationkey = 3").select(F.col("s_suppkey").alias("d"))
-    return facility.median_cost(od_table(t), chosen)
+    return facility.median_cost(od_table(t), od_origins(t), chosen, 500.0)
 
 
-@query("median_facilities")
+MEDIAN_STEPS = 4
+
+
+@query(
+    "median_facilities",
+    f"""WITH RECURSIVE {OD}, {_steps(
+        "p0 AS (SELECT -1 AS d WHERE false), m0 AS MATERIALIZED (SELECT s_suppkey AS o, 500.0::double AS now FROM supplier)",
+        "p{k} AS MATERIALIZED (SELECT d, sum(greatest(now - cost, 0)) AS saved FROM od JOIN m{j} USING (o) WHERE d NOT IN (SELECT d FROM t{j}) "
+        "GROUP BY d ORDER BY saved DESC, d LIMIT 1), t{k} AS MATERIALIZED (SELECT d FROM t{j} UNION ALL SELECT d FROM p{k}), "
+        "m{k} AS MATERIALIZED (SELECT o, least(now, coalesce(cost, now)) AS now FROM m{j} LEFT JOIN (SELECT o, cost FROM od WHERE d IN (SELECT d FROM p{k})) USING (o))",
+        MEDIAN_STEPS,
+    ).replace("p0 AS (SELECT -1 AS d WHERE false)", "t0 AS (SELECT -1 AS d WHERE false)")}
+    {" UNION ALL ".join(f"SELECT {k} AS step, (SELECT d FROM p{k}) AS d, (SELECT sum(now) FROM m{k}) AS total_cost" for k in range(1, MEDIAN_STEPS + 1))}""",
+)
 def median_facilities(t):
-    """Four facilities added greedily for the lowest total cost."""
-    return facility.greedy_median(od_table(t), 4)
+    """Four facilities added greedily for the lowest total cost; suppliers out of reach cost 500."""
+    return facility.greedy_median(od_table(t), od_origins(t), MEDIAN_STEPS, fail=500.0)
 
 
 # shapes -------------------------------------------------------------------------------------
@@ -756,7 +815,7 @@ def interpolated_places(t):
 def gravity_access_with_unreached(t):
     """Facility scores where facilities out of reach count at a fail cost, without listing those pairs."""
     f = t.facilities().select("node").distinct()
-    od = reach.od_costs(t.streets(), f, f, cutoff=700.0)
+    od = reach.od_costs(t.streets(), f, f, 700.0)
     ow = f.select(F.col("node").alias("o"), F.lit(1.0).alias("weight"))
     dw = f.select(F.col("node").alias("d"), (F.col("node") % 7 + 1).cast("double").alias("weight"))
     out = reach.gravity_access(od, ow, dw, [0.001], fail=2000.0)

@@ -27,7 +27,7 @@ def return_period():
     f"""WITH p AS (SELECT city, x, y, max(value) AS value FROM {PROBABILITY} GROUP BY ALL),
     h AS (SELECT p.city, s.value AS year, count(*) AS n FROM p JOIN settled s USING (city, x, y)
           WHERE p.value > 0 GROUP BY ALL),
-    spine AS (SELECT city, unnest(range(1995, 2003)) AS year FROM (SELECT DISTINCT city FROM h))
+    spine AS (SELECT city, unnest(range(1995, 2003)) AS year FROM (SELECT DISTINCT city FROM p))
     SELECT spine.city, cast(spine.year as int) AS year,
       round(sum(coalesce(n, 0)) OVER (PARTITION BY spine.city ORDER BY spine.year) * 0.01::double, 6) AS cumulative_area
     FROM spine LEFT JOIN h ON h.city = spine.city AND h.year = spine.year""",

@@ -120,7 +120,8 @@ def outputs_by_kind(t):
 
 @query(
     "written_statistics",
-    """SELECT year(l_shipdate)::int AS year, sum(l_quantity) FILTER (WHERE l_returnflag = 'A') AS coastal, sum(l_quantity) FILTER (WHERE l_returnflag = 'N') AS fluvial
+    """SELECT year(l_shipdate)::int AS year, sum(l_quantity) FILTER (WHERE l_returnflag = 'A') AS coastal, sum(l_quantity) FILTER (WHERE l_returnflag = 'N') AS fluvial,
+      sum(l_quantity) FILTER (WHERE l_returnflag = 'R') AS pluvial
     FROM lineitem GROUP BY ALL""",
 )
 def written_statistics(t):
@@ -129,8 +130,8 @@ def written_statistics(t):
     long = t.read("lineitem").groupBy(
         F.year("l_shipdate").alias("year"), F.when(flag == "A", "coastal").when(flag == "N", "fluvial").otherwise("pluvial").alias("type")
     ).agg(F.sum("l_quantity").alias("area"))
-    src.write_stats(long, path, ("year", "type", "area", ["coastal", "fluvial"]))
-    return src.read_csv_typed(t.spark, path, "year int, coastal double, fluvial double")
+    src.write_stats(long, path, ("year", "type", "area", ["coastal", "fluvial", "pluvial"]))
+    return src.read_csv_typed(t.spark, path, "year int, coastal double, fluvial double, pluvial double")
 
 
 @query(
@@ -200,15 +201,14 @@ def missing_maps(t):
 
 
 LISTS = """(SELECT 'd' || p_size AS folder, 'f' || p_partkey AS file, p_partkey * 3 AS time FROM part) {a} FULL OUTER JOIN
-  (SELECT DISTINCT 'd' || p_size AS folder, 'f' || p_partkey AS file, CASE WHEN p_partkey % 2 = 0 THEN p_partkey * 3 + 5 ELSE p_partkey * 3 - 5 END AS time FROM part JOIN lineitem ON l_partkey = p_partkey
-   WHERE l_linenumber = 1) {b} USING (folder, file)"""
+  (SELECT DISTINCT 'd' || p_size AS folder, 'f' || p_partkey AS file, CASE WHEN p_partkey % 2 = 0 THEN p_partkey * 3 + 5 ELSE p_partkey * 3 - 5 END AS time FROM part JOIN lineitem ON l_partkey = p_partkey) {b} USING (folder, file)"""
 
 
 def two_listings(t):
     part = t.read("part")
     folder, file = F.concat(F.lit("d"), F.col("p_size")), F.concat(F.lit("f"), F.col("p_partkey"))
     left = part.select(folder.alias("folder"), file.alias("file"), (F.col("p_partkey") * 3).alias("time"))
-    ordered = t.read("lineitem").where("l_linenumber = 1").select(F.col("l_partkey").alias("p_partkey")).distinct()
+    ordered = t.read("lineitem").select(F.col("l_partkey").alias("p_partkey")).distinct()
     right = part.join(ordered, "p_partkey").select(
         folder.alias("folder"), file.alias("file"),
         (F.col("p_partkey") * 3 + F.when(F.col("p_partkey") % 2 == 0, 5).otherwise(-5)).alias("time"),
@@ -227,7 +227,7 @@ def reconciled_listings(t):
 
 @query(
     "files_to_fetch",
-    f"""SELECT folder, count(*) AS files, 0 AS batch, string_agg(file, ' ' ORDER BY file) AS names FROM {LISTS.format(a='a', b='b')} WHERE a.time IS NULL OR b.time > a.time GROUP BY folder""",
+    f"""SELECT folder, file, count(*) OVER (PARTITION BY folder) AS files FROM {LISTS.format(a='a', b='b')} WHERE a.time IS NULL OR b.time > a.time""",
 )
 def files_to_fetch(t):
     return listings.to_fetch(two_listings(t))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citygrain.scale import join_on
+from citygrain.scale import with_totals
 
 
 def missing_outputs(cities: DataFrame, outputs: Sequence[str], files: DataFrame, min_missing: int = 30) -> DataFrame:
@@ -37,17 +37,7 @@ def reconcile(left: DataFrame, right: DataFrame, keys: Sequence[str] = ("folder"
     return out.withColumn("status", status)
 
 
-def to_fetch(reconciled: DataFrame, folder: str = "folder", file: str = "file", batch: int = 1000) -> DataFrame:
-    """Files to copy per folder: missing or older on the left, with their names joined.
-
-    Names are joined in batches of about the given size, so a folder with very many files
-    gives several rows instead of one huge text.
-    """
-    wanted = reconciled.where(F.col("status").isin("missing_left", "older_left"))
-    sizes = wanted.groupBy(folder).agg(F.count(F.lit(1)).alias("files"))
-    placed = join_on(wanted, sizes, [folder]).withColumn(
-        "batch", F.pmod(F.xxhash64(file), F.ceil(F.col("files") / batch).cast("long")).cast("int")
-    )
-    return placed.groupBy(folder, "files", "batch").agg(
-        F.concat_ws(" ", F.array_sort(F.collect_list(file))).alias("names")
-    )
+def to_fetch(reconciled: DataFrame, folder: str = "folder", file: str = "file") -> DataFrame:
+    """Files to copy: missing or older on the left, one row each with the number of them in the folder."""
+    wanted = reconciled.where(F.col("status").isin("missing_left", "older_left")).select(folder, file)
+    return with_totals(wanted, [folder], files=F.count(F.lit(1)))

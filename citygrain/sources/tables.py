@@ -91,10 +91,14 @@ def write_by_kind(df: DataFrame, path: str, name: str = "name") -> None:
 def write_stats(df: DataFrame, path: str, pivot: tuple[str, str, str, Sequence[str]] | None = None) -> DataFrame:
     """Write a statistic table as CSV; ``pivot`` is (row key, column key, value, column values).
 
+    A value of the column key that is not listed fails the write, so nothing is left out unseen.
     Returns the table as written.
     """
     if pivot is not None:
         row, column, value, names = pivot
+        listed = F.col(column).isNull() | F.col(column).isin(*names)
+        unlisted = F.raise_error(F.concat(F.lit(f"{column} is not listed: "), F.col(column).cast("string"))).cast("boolean")
+        df = df.where(F.when(listed, F.lit(True)).otherwise(unlisted))
         df = df.groupBy(row).agg(*[F.max(F.when(F.col(column) == n, F.col(value))).alias(n) for n in names])
     df.write.mode("overwrite").option("header", True).csv(path)
     return df

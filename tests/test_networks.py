@@ -60,7 +60,7 @@ def test_od_from_either_side(spark):
     few = spark.createDataFrame([(1,), (2,)], "node long")
     many = spark.createDataFrame([(i,) for i in range(10)], "node long")
     for o, d in ((few, many), (many, few)):
-        got = {(r["o"], r["d"]): r["cost"] for r in reach.od_costs(edges, o, d).collect()}
+        got = {(r["o"], r["d"]): r["cost"] for r in reach.od_costs(edges, o, d, math.inf).collect()}
         dest = {r["node"] for r in d.collect()}
         want = {
             (s["node"], n): c for s in o.collect() for n, c in costs_by_hand(rows, s["node"]).items() if n in dest
@@ -275,15 +275,18 @@ def test_betweenness(spark):
 
 def test_betweenness_sampled_sources(spark):
     edges = edge_table(spark, random_edges(25, 60, 6))
-    once = {(r["u"], r["v"]): r["centrality"] for r in centrality.betweenness(edges, max_sources=10, seed=1).collect()}
-    again = {(r["u"], r["v"]): r["centrality"] for r in centrality.betweenness(edges, max_sources=10, seed=1).collect()}
+    once = {(r["u"], r["v"]): r["centrality"] for r in centrality.betweenness(edges, sources=10, seed=1).collect()}
+    again = {(r["u"], r["v"]): r["centrality"] for r in centrality.betweenness(edges, sources=10, seed=1).collect()}
     assert once == again and any(once.values())
+    with pytest.raises(ValueError):
+        centrality.betweenness(edges, "node", sources=10)
 
 
 def test_greedy_facilities(spark):
     rows = [(o, d, float(abs(o - d))) for o in range(12) for d in range(0, 12, 3)]
     od = spark.createDataFrame(rows, "o long, d long, cost double")
-    chosen = facility.greedy_cover(od, 3, 1.0).collect()
+    origins = spark.range(14).withColumnRenamed("id", "o")
+    chosen = facility.greedy_cover(od, origins, 3, 1.0).collect()
     covered = set()
     for step in chosen:
         gains = {d: len({o for o, e, c in rows if e == d and c <= 1} - covered) for d in range(0, 12, 3)}
@@ -291,23 +294,41 @@ def test_greedy_facilities(spark):
         assert step["gain"] == best and step["d"] == min(d for d, g in gains.items() if g == best)
         covered |= {o for o, e, c in rows if e == step["d"] and c <= 1}
     assert [r["covered"] for r in chosen] == sorted(r["covered"] for r in chosen)
-    first = facility.greedy_cover(od, 2, 1.0, forced=[9]).first()
+    first = facility.greedy_cover(od, origins, 2, 1.0, forced=[9]).first()
     assert first["d"] == 9
-    median = facility.greedy_median(od, 2).collect()
-    options = {d: sum(abs(o - d) for o in range(12)) for d in range(0, 12, 3)}
+    median = facility.greedy_median(od, origins, 2, fail=100.0).collect()
+    # origins 12 and 13 have no route and cost the fail value
+    options = {d: sum(abs(o - d) for o in range(12)) + 200 for d in range(0, 12, 3)}
     assert median[0]["total_cost"] == min(options.values())
     assert median[1]["total_cost"] <= median[0]["total_cost"]
     with pytest.raises(ValueError):
-        facility.greedy_median(od, 9)
+        facility.greedy_median(od, origins, 9)
+
+
+def test_origins_without_a_route(spark):
+    od = spark.createDataFrame([(1, 10, 5.0), (2, 10, 7.0), (3, 11, 1.0), (4, 11, 2.0)], "o long, d long, cost double")
+    origins = spark.createDataFrame([(i,) for i in (1, 2, 3, 4, 5)], "o long")
+    pick = lambda d: spark.createDataFrame([(d,)], "d long")
+    cost = {d: tuple(facility.median_cost(od, origins, pick(d), 100.0).first()) for d in (10, 11, 12)}
+    assert cost == {10: (312.0, 5, 3), 11: (303.0, 5, 3), 12: (500.0, 5, 5)}
+    weights = spark.createDataFrame([(1, 2), (5, 3)], "o long, weight int")
+    assert facility.median_cost(od, origins, pick(10), 100.0, weights).first()["total_cost"] == 310.0
+    assert tuple(facility.coverage(od, origins, 6.0).first()) == (5.0, 3.0, 60.0)
+    assert tuple(facility.coverage(od, origins, 6.0, pick(10), weights).first()) == (5.0, 2.0, 40.0)
+    steps = facility.greedy_cover(od, origins, None, 10.0, share=1.0).collect()
+    assert [(s["d"], s["percent"]) for s in steps] == [(10, 40.0), (11, 80.0)]
 
 
 def test_random_disruption(spark):
-    rows = [(i, i, i + 1, 1.0) for i in range(100)] + [(100 + i, i + 1, i, 1.0) for i in range(100)]
-    edges = edge_table(spark, rows).withColumn("time", F.lit(1.0))
-    out = graph.disrupt_random(edges, 10, 9.0, seed=3).collect()
-    hit = {(min(r["u"], r["v"]), max(r["u"], r["v"])) for r in out if r["disrupted"]}
-    assert len(hit) == 10 and sum(r["disrupted"] for r in out) == 20
+    # both directions share a street id; streets 0 to 9 all join the same two nodes
+    rows = [(i, i % 100, 0, 1, 1.0) if i % 100 < 10 else (i, i % 100, i % 100, i % 100 + 1, 1.0) for i in range(200)]
+    edges = spark.createDataFrame(rows, "edge long, street long, u long, v long, length double").withColumn("time", F.lit(1.0))
+    out = graph.disrupt_random(edges, 10, 9.0, seed=3, street="street").collect()
+    assert len(out) == 200
+    assert len({r["street"] for r in out if r["disrupted"]}) == 10 and sum(r["disrupted"] for r in out) == 20
     assert all(r["time"] == (9.0 if r["disrupted"] else 1.0) for r in out)
+    again = graph.disrupt_random(edges, 10, 9.0, seed=4, street="street").collect()
+    assert {r["street"] for r in again if r["disrupted"]} != {r["street"] for r in out if r["disrupted"]}
 
 
 def test_fill_holes(spark):

@@ -8,6 +8,20 @@ from tests.compare import compare, duck
 SF_DIR = "/root/testdata/sf0.001"
 SQL = oracle_sql()
 
+#: Queries that SQL cannot express, with the file of their brute-force tests.
+TESTED_ELSEWHERE = {
+    "isochrone_bands": "tests/test_networks.py",
+    "cleaned_network": "tests/test_networks.py",
+    "op1_licenses": "tests/llm/test_licenses.py",
+    "op2_bpe": "tests/llm/test_bpe.py",
+    "op3_simhash": "tests/llm/test_simhash.py",
+    "op4_toxicity": "tests/llm/test_toxicity.py",
+    "op6_passages": "tests/llm/test_passages.py",
+    "op8_lm": "tests/llm/test_lm.py",
+    "op9_suffix_dedup": "tests/llm/test_suffix_dedup.py",
+    "pipeline": "tests/llm/test_pipeline.py",
+}
+
 
 @pytest.fixture(scope="module")
 def con():
@@ -19,7 +33,8 @@ def con():
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_query(spark, con, name):
     status, note = compare(spark, con, SF_DIR, name, queries()[name], SQL.get(name))
-    assert status in ("ok", "rows", "EMPTY"), note
+    # a query without SQL needs a test of its own, named here
+    assert status == "ok" or status == "rows" and name in TESTED_ELSEWHERE, f"{status} {note}"
 
 
 def test_entry(spark):
