@@ -34,7 +34,7 @@ GRAM = 160
 BATCH = 1 << 19
 
 #: Contexts of one suffix that are compared in one task; strings of more are dealt out by digest.
-GROUP = 4096
+GROUP = 256
 
 _CODES = np.random.default_rng(20).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _FACTOR = 0x9E3779B97F4A7C15
