@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -11,6 +12,9 @@ from citygrain.functions import geometry as geo
 from citygrain.functions.text import grouped, plural
 from citygrain.scale import exact_quantiles, join_on, lookup, numbered, with_totals
 
+#: Kilometres, the larger of the radii in use.
+EARTH = 6378.137
+
 # Damage codes and flood severities.
 DAMAGES = {0: "None", 1: "Limited", 2: "Moderate", 3: "Severe", 4: "Extreme"}
 SEVERITIES = {1.0: "Large event", 1.5: "Very large event", 2.0: "Extreme event"}
@@ -33,19 +37,46 @@ def _significant() -> Column:
     )
 
 
-def _placed(df: DataFrame, points: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Events with the city's point as ``_lon``, ``_lat``; events without a place are dropped."""
+def _near(df: DataFrame, points: DataFrame, by: Sequence[str], place, km: float) -> DataFrame:
+    """Every event with every city whose point can be within ``km``, as ``_lon``, ``_lat``.
+
+    ``place`` gives coordinates in km in which no pair is further apart than its distance. Cities are put
+    into the cubes around their own, so events meet them in an equi join. Events without a place
+    are dropped, and a city that an event may carry is ignored.
+    """
+    def cube(lon: Column, lat: Column) -> list[Column]:
+        return [F.floor(c / km).cast("int") for c in place(lon, lat)]
+
     at = points.select(*by, F.col("lon").alias("_lon"), F.col("lat").alias("_lat"))
-    return df.where("latitude IS NOT NULL AND longitude IS NOT NULL").join(at, list(by))
+    axes = len(cube(F.col("_lon"), F.col("_lat")))
+    for i, c in enumerate(cube(F.col("_lon"), F.col("_lat"))):
+        at = at.withColumn(f"_c{i}", F.explode(F.sequence(c - 1, c + 1)))
+    events = df.drop(*by).where("latitude IS NOT NULL AND longitude IS NOT NULL")
+    for i, c in enumerate(cube(F.col("longitude"), F.col("latitude"))):
+        events = events.withColumn(f"_c{i}", c)
+    keys = [f"_c{i}" for i in range(axes)]
+    return events.join(at, keys).drop(*keys)
+
+
+def _mercator(lon: Column, lat: Column) -> list[Column]:
+    """Kilometres in the 3857 plane."""
+    return [F.radians(lon) * EARTH, F.log(F.tan(F.lit(math.pi / 4) + F.radians(lat) / 2)) * EARTH]
+
+
+def _on_sphere(lon: Column, lat: Column) -> list[Column]:
+    """Kilometres from the centre of the earth; straight lines are shorter than great circles."""
+    a, b = F.radians(lon), F.radians(lat)
+    return [F.cos(b) * F.cos(a) * EARTH, F.cos(b) * F.sin(a) * EARTH, F.sin(b) * EARTH]
 
 
 def significant_quakes(df: DataFrame, points: DataFrame, km: float = 500.0, by: Sequence[str] = ("city",)) -> DataFrame:
     """Damaging, deadly, strong or tsunami earthquakes near each city, with a score.
 
+    One row per event and city within ``km`` of it in the 3857 plane.
     The score (magnitude times 2000 less the distance in the 3857 plane) is taken before
     missing values become 0, so it stays null without a magnitude. Missing deaths keep a flag.
     """
-    placed = _placed(df, points, by)
+    placed = _near(df, points, by, _mercator, km)
     distance = geo.planar_km(F.col("longitude"), F.col("latitude"), F.col("_lon"), F.col("_lat"))
     scored = placed.withColumn("distance", distance).where(F.col("distance") < km)
     scored = scored.withColumn("score", F.col("eqMagnitude") * (2000 - F.col("distance")))
@@ -98,7 +129,7 @@ def top_events(df: DataFrame, score: str, n: int = 10, key: str = "event_id", da
 def quake_timeline(df: DataFrame, points: DataFrame, km: float = 500.0, key: str = "event_id",
                    by: Sequence[str] = ("city",)) -> DataFrame:
     """Significant events by great-circle distance, missing values kept, text on one line."""
-    placed = _placed(df, points, by)
+    placed = _near(df, points, by, _on_sphere, km)
     distance = geo.haversine_km(F.col("longitude"), F.col("latitude"), F.col("_lon"), F.col("_lat"))
     near = placed.withColumn("distance", distance).where((F.col("distance") < km) & _significant())
     scored = near.withColumn("score", F.col("eqMagnitude") * (2000 - F.col("distance"))).drop("_lon", "_lat")

@@ -60,17 +60,29 @@ def exposed_dense_share(
 
 def sample_raster(points: DataFrame, px: DataFrame, grid: Grid, name: str, lon: str = "lon", lat: str = "lat",
                   by: Sequence[str] = ()) -> DataFrame:
-    """Attach the raster value under each point; null outside the raster."""
+    """Attach the raster value under each point; null outside the raster.
+
+    ``by`` names columns of both tables that tell cells apart, such as the city or the layer.
+    """
     col, row = grid.to_cell(F.col(lon), F.col(lat))
-    placed = points.withColumn("_x", col).withColumn("_y", row)
+    # points outside the grid meet no cell; they are spread over keys that no raster has
+    outside = col.isNull() | row.isNull()
+    placed = points.withColumn("_x", F.when(outside, F.lit(-(2**31))).otherwise(col)).withColumn(
+        "_y", F.when(outside, F.pmod(F.xxhash64(lon, lat), F.lit(4096)).cast("int")).otherwise(row)
+    )
     values = px.select(*by, F.col("x").alias("_x"), F.col("y").alias("_y"), F.col("value").alias(name))
     return placed.join(values, [*by, "_x", "_y"], "left").drop("_x", "_y")
 
 
 def points_in_hazard(points: DataFrame, hazard: DataFrame, grid: Grid, by: Sequence[str] = ("category",),
-                     lon: str = "lon", lat: str = "lat") -> DataFrame:
-    """Number and percent of points whose cell has a hazard; outside the grid counts as not."""
-    sampled = sample_raster(points, hazard, grid, "_hazard", lon, lat)
+                     lon: str = "lon", lat: str = "lat", cells_by: Sequence[str] = ()) -> DataFrame:
+    """Number and percent of points whose cell has a hazard; outside the grid counts as not.
+
+    ``cells_by`` names columns of both tables that tell cells apart. Several values of one cell count as
+    their largest, so no point is counted twice.
+    """
+    cells = hazard.groupBy(*cells_by, *CELL).agg(F.max("value").alias("value"))
+    sampled = sample_raster(points, cells, grid, "_hazard", lon, lat, cells_by)
     inside = F.count_if(F.coalesce(F.col("_hazard") > 0, F.lit(False)))
     total = F.count(F.lit(1))
     return sampled.groupBy(*by).agg(
@@ -119,14 +131,15 @@ def cut_at_cells(lines: DataFrame, grid: Grid, x1: Column, y1: Column, x2: Colum
 
 
 def line_exposure(segments: DataFrame, hazard: DataFrame, grid: Grid, by: Sequence[str] = (),
-                  length: str = "length") -> DataFrame:
+                  length: str = "length", cells_by: Sequence[str] = ()) -> DataFrame:
     """Total length, length inside hazard cells and percent, of straight segments.
 
+    ``cells_by`` names columns of both tables that tell cells apart, such as the city; a cell counts once.
     ``segments`` has x1, y1, x2, y2 and a length; a table without rows gives zeros.
     """
     cut = cut_at_cells(segments, grid, F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"))
-    cells = hazard.where("value > 0").select(*CELL, F.lit(True).alias("_hit"))
-    joined = cut.join(cells, list(CELL), "left")
+    cells = hazard.where("value > 0").select(*cells_by, *CELL).distinct().withColumn("_hit", F.lit(True))
+    joined = cut.join(cells, [*cells_by, *CELL], "left")
     part = F.col(length) * F.col("share")
     total = F.coalesce(F.sum(part), F.lit(0.0))
     inside = F.coalesce(F.sum(F.when(F.col("_hit"), part)), F.lit(0.0))

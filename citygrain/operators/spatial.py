@@ -1,7 +1,7 @@
 """Spatial joins: an equi join on tiles, then the exact test.
 
-Polygons are cut into square tiles; each tile row carries only the boundary segments a
-point in that tile needs, so a long boundary is not copied to every tile. Point rows are
+Polygons are cut into square tiles; each tile row carries only the boundary segments that
+touch it and whether its corner is inside, so a long boundary is not copied to every tile. Point rows are
 salted, so that one crowded tile is split over several tasks.
 """
 
@@ -19,31 +19,78 @@ from citygrain.grid import Grid
 SALTS = 4
 
 
-def tile_polygons(polys: DataFrame, size: float, rings: str = "rings") -> DataFrame:
-    """One row per polygon and tile its bounding box covers.
+def identified(polys: DataFrame) -> DataFrame:
+    """Polygon rows with a key made of all their columns."""
+    return polys.withColumn("_pid", F.xxhash64(*[F.col(f"`{c}`") for c in polys.columns]))
 
-    Adds ``_tx``, ``_ty`` and ``_segs``, the segments a ray to the right of a point in the
-    tile can cross (these include all segments inside the tile).
-    """
-    b = geo.bounds(F.col(rings))
 
-    def span(low: str, high: str) -> Column:
-        return F.explode(F.sequence(F.floor(F.col(low) / size), F.floor(F.col(high) / size)))
+def _closed(low: Column, high: Column, size: float) -> Column:
+    """Numbers of the tiles that a closed range meets, those it only touches included."""
+    return F.sequence((F.ceil(low / size) - 1).cast("long"), F.floor(high / size).cast("long"))
 
-    out = (
-        polys.withColumn("_b", b)
-        .withColumn("_all", geo.polygon_segments(F.col(rings)))
-        .withColumn("_tx", span("_b.xmin", "_b.xmax"))
-        .withColumn("_ty", span("_b.ymin", "_b.ymax"))
+
+def tile_polygons(polys: DataFrame, size: float, rings: str = "rings") -> DataFrame:
+    """One row per polygon (``_pid``) and tile that it meets; see :func:`identified`.
+
+    ``_segs`` holds the boundary segments that touch the tile, and ``_odd`` tells whether the tile's lower right
+    corner is inside. Both decide any point of the tile (:func:`inside_tile`), so neither the
+    whole boundary nor the rings travel with the tiles. Tiles that are wholly outside have no row.
+    """
+    shapes = polys.select("_pid", F.col(rings).alias("_rings")).dropDuplicates(["_pid"])
+    b = geo.bounds(F.col("_rings"))
+    first = lambda c: F.floor(F.col(c) / size).cast("long")
+    frame = shapes.select("_pid", b.alias("_b")).select(
+        "_pid", first("_b.xmin").alias("_x0"), first("_b.xmax").alias("_x1"), first("_b.ymin").alias("_y0"), first("_b.ymax").alias("_y1")
     )
-    low_x, low_y = F.col("_tx") * size, F.col("_ty") * size
-    near = F.filter(
-        "_all",
-        lambda s: (F.greatest(s["y1"], s["y2"]) >= low_y)
-        & (F.least(s["y1"], s["y2"]) <= low_y + size)
-        & (F.greatest(s["x1"], s["x2"]) >= low_x),
+    segs = shapes.select("_pid", F.inline(geo.polygon_segments(F.col("_rings"))))
+    # tiles of a segment: columns it spans, then the rows of its part in each column
+    low_x, high_x = F.least("x1", "x2"), F.greatest("x1", "x2")
+    wide = segs.withColumn("_tx", F.explode(_closed(low_x, high_x, size)))
+    at = lambda x: F.when(F.col("x1") == F.col("x2"), F.col("y1")).otherwise(
+        F.col("y1") + (F.col("y2") - F.col("y1")) * (x - F.col("x1")) / (F.col("x2") - F.col("x1"))
     )
-    return out.withColumn("_segs", near).drop("_all", "_b")
+    upright = F.col("x1") == F.col("x2")
+    ya = F.when(upright, F.col("y1")).otherwise(at(F.greatest(low_x, F.col("_tx") * size)))
+    yb = F.when(upright, F.col("y2")).otherwise(at(F.least(high_x, (F.col("_tx") + 1) * size)))
+    slack = 1e-9 * size
+    tiled = wide.withColumn("_ty", F.explode(_closed(F.least(ya, yb) - slack, F.greatest(ya, yb) + slack, size)))
+    held = tiled.groupBy("_pid", "_tx", "_ty").agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("_segs"))
+    # where the boundary crosses the lower edge of a row of tiles, the corners left of it change sides
+    rows = F.sequence((F.floor(F.least("y1", "y2") / size)).cast("long"), F.floor(F.greatest("y1", "y2") / size).cast("long") + 1)
+    line = F.col("_ty") * size
+    crossed = segs.withColumn("_ty", F.explode(rows)).where((F.col("y1") > line) != (F.col("y2") > line))
+    crossing = (F.col("x2") - F.col("x1")) * (line - F.col("y1")) / (F.col("y2") - F.col("y1")) + F.col("x1")
+    turns = crossed.groupBy("_pid", "_ty", (F.ceil(crossing / size) - 2).cast("long").alias("_tx")).agg(F.count(F.lit(1)).alias("_turns"))
+    turns = turns.join(frame.select("_pid", "_x0", "_x1"), "_pid").where("_tx >= _x0")
+    turns = turns.groupBy("_pid", "_ty", F.least("_tx", "_x1").alias("_tx")).agg(F.sum("_turns").alias("_turns"))
+    every = frame.select("_pid", F.explode(F.sequence("_x0", "_x1")).alias("_tx"), "_y0", "_y1")
+    every = every.select("_pid", "_tx", F.explode(F.sequence("_y0", "_y1")).alias("_ty"))
+    # one row of tiles of one polygon
+    leftwards = Window.partitionBy("_pid", "_ty").orderBy(F.desc("_tx"))
+    # tiles beyond the box that the boundary only touches have all corners on one side
+    corners = every.join(turns, ["_pid", "_tx", "_ty"], "left").withColumn(
+        "_odd", F.coalesce(F.sum("_turns").over(leftwards), F.lit(0)) % 2
+    )
+    corners = corners.drop("_turns").join(held, ["_pid", "_tx", "_ty"], "full_outer")
+    none = F.array().cast("array<struct<x1:double,y1:double,x2:double,y2:double>>")
+    return corners.select(
+        "_pid", "_tx", "_ty", F.coalesce("_segs", none).alias("_segs"), F.coalesce("_odd", F.lit(0)).cast("int").alias("_odd")
+    ).where("_odd = 1 or size(_segs) > 0")
+
+
+def inside_tile(x: Column, y: Column, size: float, tx: str = "_tx", ty: str = "_ty", segs: str = "_segs", odd: str = "_odd") -> Column:
+    """Whether a point of the tile is inside: crossings on the way right to the tile's edge, then down to its corner."""
+    edge, low = (F.col(tx) + 1) * size, F.col(ty) * size
+
+    def right(s: Column) -> Column:
+        at = (s["x2"] - s["x1"]) * (y - s["y1"]) / (s["y2"] - s["y1"]) + s["x1"]
+        return ((s["y1"] > y) != (s["y2"] > y)) & (x < at) & ~(edge < at)
+
+    def down(s: Column) -> Column:
+        at = (s["y2"] - s["y1"]) * (edge - s["x1"]) / (s["x2"] - s["x1"]) + s["y1"]
+        return ((s["x1"] > edge) != (s["x2"] > edge)) & ((at > low) != (at > y))
+
+    return (F.size(F.filter(segs, right)) + F.size(F.filter(segs, down)) + F.col(odd)) % 2 == 1
 
 
 def tile_points(points: DataFrame, x: str, y: str, size: float, salts: int = SALTS) -> DataFrame:
@@ -70,6 +117,7 @@ def point_in_polygon(
 
     A point on a shared boundary belongs to exactly one side.
     """
+    polys = identified(polys)
     p = tile_points(points, x, y, size, salts)
     q = salted(tile_polygons(polys, size), salts)
     q = q.withColumnsRenamed({"_tx": "_qx", "_ty": "_qy", "_salt": "_qs"})
@@ -77,9 +125,12 @@ def point_in_polygon(
         (F.col("_tx") == F.col("_qx"))
         & (F.col("_ty") == F.col("_qy"))
         & (F.col("_salt") == F.col("_qs"))
-        & (geo.crossings(F.col("_segs"), F.col(x), F.col(y)) % 2 == 1)
+        & inside_tile(F.col(x), F.col(y), size)
     )
-    return p.join(q, condition, how).drop("_tx", "_ty", "_salt", "_qx", "_qy", "_qs", "_segs")
+    found = p.join(q, condition, how).drop("_tx", "_ty", "_salt", "_qx", "_qy", "_qs", "_segs", "_odd")
+    if how in ("left_semi", "left_anti"):
+        return found
+    return found.join(polys, "_pid", "left" if how == "left" else "inner").drop("_pid")
 
 
 def intersecting(
@@ -93,31 +144,34 @@ def intersecting(
     f = features
     if valid_only:
         f = f.where(F.forall("rings", geo.valid_ring))
-    first_a = F.col("rings")[0][0]
-    a = tile_polygons(f.withColumn("_va", first_a), size).withColumnRenamed("_segs", "_sa")
-    b = tile_polygons(
-        areas.select(*areas.columns, F.col("rings")[0][0].alias("_vb")), size
-    ).withColumnsRenamed({"_segs": "_sb", "_tx": "_bx", "_ty": "_by", **{k: f"_on_{k}" for k in on}})
-    area_columns = [c for c in areas.columns if c not in on and c != "rings"]
-    b = b.drop("rings")
+    f, areas = identified(f), identified(areas)
+    first = lambda df: df.select("_pid", *on, F.col("rings")[0][0].alias("_v")).dropDuplicates(["_pid"])
+    a = tile_polygons(f, size).join(first(f), "_pid")
+    b = tile_polygons(areas, size).join(first(areas), "_pid")
+    a = a.withColumnsRenamed({"_segs": "_sa", "_odd": "_oa", "_v": "_va", "_pid": "_fid"})
+    b = b.withColumnsRenamed(
+        {"_segs": "_sb", "_odd": "_ob", "_v": "_vb", "_pid": "_aid", "_tx": "_bx", "_ty": "_by", **{k: f"_on_{k}" for k in on}}
+    )
 
     def in_tile(v: str) -> Column:
         return (F.floor(F.col(v)["x"] / size) == F.col("_tx")) & (F.floor(F.col(v)["y"] / size) == F.col("_ty"))
 
-    inside_b = in_tile("_va") & (geo.crossings(F.col("_sb"), F.col("_va")["x"], F.col("_va")["y"]) % 2 == 1)
-    inside_a = in_tile("_vb") & (geo.crossings(F.col("_sa"), F.col("_vb")["x"], F.col("_vb")["y"]) % 2 == 1)
+    inside_b = in_tile("_va") & inside_tile(F.col("_va")["x"], F.col("_va")["y"], size, segs="_sb", odd="_ob")
+    inside_a = in_tile("_vb") & inside_tile(F.col("_vb")["x"], F.col("_vb")["y"], size, segs="_sa", odd="_oa")
+    # only the segments of this tile on either side
     touch = F.exists("_sa", lambda s: F.exists("_sb", lambda o: geo.segments_meet(s, o)))
     condition = (F.col("_tx") == F.col("_bx")) & (F.col("_ty") == F.col("_by"))
     for k in on:
         condition = condition & (F.col(k) == F.col(f"_on_{k}"))
-    condition = condition & (inside_b | inside_a | touch)
+    # a pair can meet in several tiles; geometry joins the pairs found, not the tiles
+    met = a.join(b, condition & (inside_b | inside_a | touch)).select("_fid", "_aid").distinct()
     if how == "inner":
-        # a pair can meet in several tiles
-        joined = a.join(b, condition).select(*features.columns, *area_columns)
-        keys = [c for c in joined.columns if c != "rings"]
-        return joined.dropDuplicates(keys)
-    joined = a.join(b, condition, "left_semi").select(*features.columns)
-    return joined.dropDuplicates([c for c in features.columns if c != "rings"])
+        area_columns = [c for c in areas.columns if c not in on and c not in ("rings", "_pid")]
+        other = areas.select(F.col("_pid").alias("_aid"), *area_columns).dropDuplicates(["_aid"])
+        unique = f.dropDuplicates(["_pid"]).withColumnRenamed("_pid", "_fid")
+        return met.join(unique, "_fid").join(other, "_aid").select(*features.columns, *area_columns)
+    hit = met.select(F.col("_fid").alias("_pid")).distinct()
+    return f.dropDuplicates(["_pid"]).join(hit, "_pid", "left_semi").select(*features.columns)
 
 
 def country_of(aois: DataFrame, countries: DataFrame, size: float, key: str = "city", name: str = "name") -> DataFrame:
@@ -140,7 +194,7 @@ def clip(px: DataFrame, polys: DataFrame, grid: Grid, touched: bool = True, on:
          tile: int = 256) -> DataFrame:
     """Cells inside the polygons: every touched cell, or only cells whose centre is inside."""
     shapes, cells = _cell_join(px, polys, grid, tile, on)
-    condition = _cell_condition(touched, on)
+    condition = _cell_condition(touched, on, tile)
     return cells.join(shapes, condition, "left_semi").select(*px.columns)
 
 
@@ -152,7 +206,7 @@ def clip_layers(px: DataFrame, aois: DataFrame, grid: Grid, layers: Sequence[str
     """
     wanted = px.where(F.col("layer").isin(*layers))
     shapes, cells = _cell_join(wanted, aois.select(key, "rings"), grid, tile, ())
-    joined = cells.join(shapes, _cell_condition(touched, ()))
+    joined = cells.join(shapes, _cell_condition(touched, (), tile))
     return joined.select(key, *px.columns).dropDuplicates([key, *[c for c in px.columns if c != "value"]])
 
 
@@ -166,16 +220,17 @@ def _cell_join(px: DataFrame, polys: DataFrame, grid: Grid, tile: int, on: Seque
             ),
         ),
     )
-    shapes = tile_polygons(polys.withColumn("rings", in_cells), float(tile))
-    # a boundary on a tile edge also touches the cells just before it
-    shapes = shapes.withColumnsRenamed({"_tx": "_qx", "_ty": "_qy", **{k: f"_on_{k}" for k in on}}).drop("rings")
+    polys = identified(polys.withColumn("rings", in_cells))
+    keys = polys.drop("rings").dropDuplicates(["_pid"])
+    shapes = tile_polygons(polys, float(tile)).join(keys, "_pid").drop("_pid")
+    shapes = shapes.withColumnsRenamed({"_tx": "_qx", "_ty": "_qy", **{k: f"_on_{k}" for k in on}})
     cells = px.withColumns({"_tx": F.floor(F.col("x") / tile), "_ty": F.floor(F.col("y") / tile)})
     return shapes, cells
 
 
-def _cell_condition(touched: bool, on: Sequence[str]) -> Column:
+def _cell_condition(touched: bool, on: Sequence[str], tile: int) -> Column:
     x, y = F.col("x"), F.col("y")
-    keep = geo.crossings(F.col("_segs"), x + 0.5, y + 0.5) % 2 == 1
+    keep = inside_tile(x + 0.5, y + 0.5, float(tile))
     if touched:
         keep = keep | F.exists("_segs", lambda s: geo.segment_meets_box(s, x, y, x + 1, y + 1))
     condition = (F.col("_tx") == F.col("_qx")) & (F.col("_ty") == F.col("_qy"))
@@ -350,7 +405,7 @@ def tile_segments(segs: DataFrame, size: float) -> DataFrame:
 def _boundary_edges(edges: DataFrame, nodes: DataFrame, polys: DataFrame, size: float) -> DataFrame:
     """End-node pairs of edges that meet a polygon boundary."""
     lines = tile_segments(straight_edges(edges.select("u", "v").distinct(), nodes), size)
-    shapes = tile_polygons(polys, size).select(
+    shapes = tile_polygons(identified(polys), size).select(
         F.col("_tx").alias("_qx"), F.col("_ty").alias("_qy"), "_segs"
     )
     s = F.struct("x1", "y1", "x2", "y2")
@@ -362,9 +417,9 @@ def _boundary_edges(edges: DataFrame, nodes: DataFrame, polys: DataFrame, size:
     return lines.join(shapes, condition, "left_semi").select("u", "v").distinct()
 
 
-def event_centroids(features: DataFrame, areas: DataFrame, size: float) -> DataFrame:
-    """Centroid of every feature that meets the areas, with its year and month."""
-    found = intersecting(features, areas, size)
+def event_centroids(features: DataFrame, areas: DataFrame, size: float, on: Sequence[str] = ()) -> DataFrame:
+    """Centroid of every feature that meets the areas (of its own ``on`` columns), with its year and month."""
+    found = intersecting(features, areas, size, on)
     c = geo.centroid(F.col("rings")[0])
     return found.withColumn("_c", c).select(
         *[k for k in features.columns if k != "rings"], F.col("_c.x").alias("x"), F.col("_c.y").alias("y")

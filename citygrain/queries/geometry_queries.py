@@ -414,13 +414,19 @@ def country_of_areas(t):
 
 @query(
     "zones_meeting_areas",
-    """SELECT DISTINCT z.zone, z.nation FROM zones z JOIN countries c ON c.region = 1
-      AND greatest(abs(greatest(c.xmin - z.cx, z.cx - c.xmax, 0)), 0) + greatest(c.ymin - z.cy, z.cy - c.ymax, 0) <= z.r""",
+    """SELECT DISTINCT z.zone, z.nation, c.region FROM zones z JOIN countries c ON
+      greatest(abs(greatest(c.xmin - z.cx, z.cx - c.xmax, 0)), 0) + greatest(c.ymin - z.cy, z.cy - c.ymax, 0) <= z.r""",
 )
 def zones_meeting_areas(t):
-    """Diamonds that meet a country of one region."""
-    areas = country_polygons(t).where("region = 1").select("name", "rings")
-    return spatial.intersecting(t.zone_polygons(), areas, 10.0).select("zone", "nation")
+    """Diamonds that meet a country of a region, for every region."""
+    return spatial.intersecting(in_regions(t.zone_polygons()), country_polygons(t).select("name", "region", "rings"), 10.0, ["region"]).select(
+        "zone", "nation", "region"
+    )
+
+
+def in_regions(features):
+    """Every feature once for each region."""
+    return features.withColumn("region", F.explode(F.array(*[F.lit(r) for r in range(5)])))
 
 
 @query(
@@ -435,9 +441,9 @@ def zones_by_country(t):
 
 @query(
     "fire_centroids",
-    """SELECT DISTINCT z.zone, cast(1995 + z.zone % 7 as int) AS year, cast(z.zone % 12 + 1 as int) AS month,
-      round(cx, 6) AS x, round(cy, 6) AS y FROM zones z JOIN countries c ON c.region = 2
-      AND greatest(c.xmin - z.cx, z.cx - c.xmax, 0) + greatest(c.ymin - z.cy, z.cy - c.ymax, 0) <= z.r""",
+    """SELECT DISTINCT z.zone, c.region, cast(1995 + z.zone % 7 as int) AS year, cast(z.zone % 12 + 1 as int) AS month,
+      round(cx, 6) AS x, round(cy, 6) AS y FROM zones z JOIN countries c ON
+      greatest(c.xmin - z.cx, z.cx - c.xmax, 0) + greatest(c.ymin - z.cy, z.cy - c.ymax, 0) <= z.r""",
 )
 def fire_centroids(t):
     fires = t.zone_polygons().select(
@@ -446,9 +452,8 @@ def fire_centroids(t):
         (F.col("zone") % 12 + 1).cast("int").alias("month"),
         "rings",
     )
-    areas = country_polygons(t).where("region = 2").select("rings")
-    out = spatial.event_centroids(fires, areas, 10.0)
-    return out.select("zone", "year", "month", (F.round("x", 6) + 0.0).alias("x"), (F.round("y", 6) + 0.0).alias("y"))
+    out = spatial.event_centroids(in_regions(fires), country_polygons(t).select("region", "rings"), 10.0, ["region"])
+    return out.select("zone", "region", "year", "month", (F.round("x", 6) + 0.0).alias("x"), (F.round("y", 6) + 0.0).alias("y"))
 
 
 @query(
@@ -690,12 +695,16 @@ def nearest_place(t):
 
 @query(
     "nearest_country",
-    """SELECT id, round(min(sqrt(greatest(xmin - lon, lon - xmax, 0) ** 2 + greatest(ymin - lat, lat - ymax, 0) ** 2)), 6) AS distance
-    FROM points, countries WHERE region = 3 GROUP BY id""",
+    """SELECT id, region, round(min(sqrt(greatest(xmin - lon, lon - xmax, 0) ** 2 + greatest(ymin - lat, lat - ymax, 0) ** 2)), 6) AS distance
+    FROM points, countries GROUP BY id, region""",
 )
 def nearest_country(t):
-    shapes = country_polygons(t).where("region = 3").select(F.col("name").alias("zone"), "rings")
-    return nearest.nearest_polygon(t.points(), shapes, 20.0).select("id", F.round("distance", 6).alias("distance"))
+    out = None
+    for region in range(5):
+        shapes = country_polygons(t).where(F.col("region") == region).select(F.col("name").alias("zone"), "rings")
+        part = nearest.nearest_polygon(t.points(), shapes, 20.0).select("id", F.lit(region).alias("region"), F.round("distance", 6).alias("distance"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 @query(

@@ -64,12 +64,16 @@ def single_edge_table(t):
 
 @query(
     "unused_nodes",
-    """SELECT c_custkey AS node FROM customer WHERE c_custkey NOT IN
-    (SELECT u FROM streets WHERE road = 'track' UNION SELECT v FROM streets WHERE road = 'track')""",
+    """SELECT c_custkey AS node, road FROM customer, (SELECT DISTINCT road FROM streets) r WHERE NOT EXISTS
+    (SELECT 1 FROM streets s WHERE s.road = r.road AND (u = c_custkey OR v = c_custkey))""",
 )
 def unused_nodes(t):
-    tracks = graph.filter_classes(t.streets(), ["track"])
-    return graph.unused_nodes(t.nodes(), tracks).select("node")
+    """Nodes that no street of a class touches, for every class."""
+    out = None
+    for road in ("motorway", "primary", "secondary", "residential", "track"):
+        part = graph.unused_nodes(t.nodes(), graph.filter_classes(t.streets(), [road])).select("node", F.lit(road).alias("road"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 @query(
@@ -317,7 +321,8 @@ def merged_junctions(t):
 
 @query(
     "contracted_chains",
-    """WITH RECURSIVE e AS (SELECT u, v, min(edge) AS edge, min(length) AS length FROM streets WHERE road = 'track' GROUP BY u, v),
+    """WITH RECURSIVE c AS (SELECT *, CASE road WHEN 'motorway' THEN 0 WHEN 'primary' THEN 1 WHEN 'secondary' THEN 2 WHEN 'residential' THEN 3 ELSE 4 END AS k FROM streets),
+    e AS (SELECT u * 5 + k AS u, v * 5 + k AS v, min(edge) AS edge, min(length) AS length FROM c GROUP BY ALL),
     ends AS (SELECT u AS node, v AS other FROM e UNION ALL SELECT v, u FROM e),
     inner_nodes AS (SELECT node FROM ends GROUP BY node HAVING count(DISTINCT other) = 2 AND count(*) IN (2, 4)),
     link AS (SELECT b.edge, min(a.edge) AS prev FROM e a JOIN inner_nodes i ON i.node = a.v JOIN e b ON b.u = a.v AND b.v <> a.u GROUP BY b.edge),
@@ -328,8 +333,12 @@ def merged_junctions(t):
     SELECT chain AS edge, arg_min(u, pos) AS u, arg_max(v, pos) AS v, sum(length) AS length, count(*) AS pieces FROM w JOIN e USING (edge) GROUP BY chain""",
 )
 def contracted_chains(t):
-    """Street chains of one connected side-street layer contracted between its end points."""
-    lanes = t.streets().withColumn("road", F.element_at("highway", 1)).where("road = 'track'")
+    """Street chains contracted between their end points; every road class is a network of its own."""
+    road = F.element_at("highway", 1)
+    code = (
+        F.when(road == "motorway", 0).when(road == "primary", 1).when(road == "secondary", 2).when(road == "residential", 3).otherwise(4)
+    )
+    lanes = t.streets().withColumns({"u": F.col("u") * 5 + code, "v": F.col("v") * 5 + code})
     unique = lanes.groupBy("u", "v").agg(F.min("edge").alias("edge"), F.min("length").alias("length"))
     out, _ = topology.contract_chains(unique.select("edge", "u", "v", "length"))
     return out
@@ -730,19 +739,18 @@ def median_facilities(t):
 
 @query(
     "street_footprint",
-    """WITH s AS (SELECT DISTINCT a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2 FROM streets JOIN nodes a ON a.node = u JOIN nodes b ON b.node = v
-      WHERE road = 'motorway'),
+    """WITH s AS (SELECT DISTINCT road, a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2 FROM streets JOIN nodes a ON a.node = u JOIN nodes b ON b.node = v),
     c AS (SELECT s.*, cx.x, cy.y, (cx.x + 0.5) * 0.003::double AS px, (cy.y + 0.5) * 0.003::double AS py FROM s,
       LATERAL (SELECT unnest(range(cast(floor((least(x1, x2) - 0.004) / 0.003) as int), cast(floor((greatest(x1, x2) + 0.004) / 0.003) as int) + 1)) AS x) cx,
       LATERAL (SELECT unnest(range(cast(floor((least(y1, y2) - 0.004) / 0.003) as int), cast(floor((greatest(y1, y2) + 0.004) / 0.003) as int) + 1)) AS y) cy),
     w AS (SELECT *, greatest(0, least(1, ((px - x1) * (x2 - x1) + (py - y1) * (y2 - y1)) / ((x2 - x1) ** 2 + (y2 - y1) ** 2))) AS w FROM c)
-    SELECT DISTINCT cast(x as int) AS x, cast(y as int) AS y FROM w
+    SELECT DISTINCT road, cast(x as int) AS x, cast(y as int) AS y FROM w
     WHERE sqrt((x1 + (x2 - x1) * w - px) ** 2 + (y1 + (y2 - y1) * w - py) ** 2) <= 0.004""",
 )
 def street_footprint(t):
-    main = t.streets().where(F.element_at("highway", 1) == "motorway")
-    segs = spatial.straight_edges(main, t.nodes())
-    return shapes.footprint(segs, 0.004, Grid(0.0, 0.0, 0.003, 0.003))
+    classed = t.streets().withColumn("road", F.element_at("highway", 1))
+    segs = spatial.straight_edges(classed, t.nodes())
+    return shapes.footprint(segs, 0.004, Grid(0.0, 0.0, 0.003, 0.003), ["road"])
 
 
 @query(

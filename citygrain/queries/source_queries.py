@@ -185,7 +185,7 @@ def graph_files(t):
 @query(
     "missing_maps",
     """WITH c AS (SELECT s_suppkey AS city, s_acctbal AS area FROM supplier WHERE s_nationkey % 2 = 0),
-    e AS (SELECT c.*, m AS output FROM c, (SELECT unnest(range(0, 25)) AS m)),
+    e AS (SELECT c.*, m AS output FROM c, (SELECT unnest(range(0, 400)) AS m)),
     f AS (SELECT DISTINCT l_suppkey, l_partkey % 400 AS m FROM lineitem),
     x AS (SELECT city, area, 'map' || output AS output FROM e WHERE NOT EXISTS (SELECT 1 FROM f WHERE l_suppkey = city AND m = output))
     SELECT city, output, area, count(*) OVER (PARTITION BY city) AS missing FROM x QUALIFY count(*) OVER (PARTITION BY city) >= 5""",
@@ -197,7 +197,7 @@ def missing_maps(t):
     files = t.read("lineitem").select(
         F.col("l_suppkey").alias("city"), F.concat(F.lit("map"), (F.col("l_partkey") % 400).cast("string")).alias("output")
     )
-    return listings.missing_outputs(cities, [f"map{i}" for i in range(25)], files, 5)
+    return listings.missing_outputs(cities, [f"map{i}" for i in range(400)], files, 5)
 
 
 LISTS = """(SELECT 'd' || p_size AS folder, 'f' || p_partkey AS file, p_partkey * 3 AS time FROM part) {a} FULL OUTER JOIN

@@ -106,19 +106,18 @@ def built_up_sentence(t):
 
 # events -------------------------------------------------------------------------------------
 
-QUAKES = """(SELECT event_id, event_type AS city, cast(event_id * 104729 % 1700 as double) / 100 - 8.5 AS latitude,
+QUAKES = """(SELECT event_id, city, clon, clat, cast(event_id * 104729 % 1700 as double) / 100 - 8.5 AS latitude,
   CASE WHEN event_id % 11 <> 0 THEN cast(event_id * 7919 % 2000 as double) / 100 - 10 END AS longitude,
   CASE WHEN event_id % 7 <> 0 THEN round(4 + event_id % 45 / 10.0, 1)::double END AS mag, CASE WHEN event_id % 3 <> 0 THEN event_id % 5 END AS damage_order,
   CASE WHEN event_id % 5 <> 0 THEN event_id % 40 END AS deaths, CASE WHEN event_id % 13 = 0 THEN event_id END AS tsunami,
   cast(1900 + event_id % 120 as int) AS year, cast(event_id % 12 + 1 as int) AS month, CASE WHEN event_id % 4 <> 0 THEN cast(event_id % 28 + 1 as int) END AS day
-  FROM events)"""
+  FROM events, (SELECT n_nationkey AS city, (n_nationkey % 5 * 4 - 8)::double AS clon, (floor(n_nationkey / 5) * 3 - 6)::double AS clat FROM nation))"""
 
 
 def quakes(t):
     k = F.col("event_id")
     return t.read("events").select(
         "event_id",
-        F.col("event_type").alias("city"),
         ((k * 104729 % 1700).cast("double") / 100 - 8.5).alias("latitude"),
         F.when(k % 11 != 0, (k * 7919 % 2000).cast("double") / 100 - 10).alias("longitude"),
         F.when(k % 7 != 0, F.round(4 + k % 45 / 10, 1)).alias("eqMagnitude"),
@@ -136,12 +135,13 @@ def quakes(t):
 
 
 def quake_cities(t):
-    return t.read("events").select(F.col("event_type").alias("city")).distinct().withColumns(
-        {"lon": F.lit(0.5), "lat": F.lit(0.25)}
+    k = F.col("n_nationkey")
+    return t.read("nation").select(
+        k.alias("city"), (k % 5 * 4 - 8).cast("double").alias("lon"), (F.floor(k / 5) * 3 - 6).cast("double").alias("lat")
     )
 
 
-PLANAR = """sqrt((radians(longitude) - radians(0.5)) ** 2 + (ln(tan(pi() / 4 + radians(latitude) / 2)) - ln(tan(pi() / 4 + radians(0.25) / 2))) ** 2) * 6378.137"""
+PLANAR = """sqrt((radians(longitude) - radians(clon)) ** 2 + (ln(tan(pi() / 4 + radians(latitude) / 2)) - ln(tan(pi() / 4 + radians(clat) / 2))) ** 2) * 6378.137"""
 SIGNIFICANT = f"""(SELECT * FROM (SELECT *, {PLANAR} AS distance FROM {QUAKES} WHERE longitude IS NOT NULL)
   WHERE distance < 500 AND (damage_order >= 2 OR deaths >= 10 OR mag >= 7.5 OR tsunami IS NOT NULL))"""
 
@@ -158,14 +158,14 @@ def significant_earthquakes(t):
 
 @query(
     "earthquake_texts",
-    f"""SELECT event_id, upper(strftime(make_date(year, month, coalesce(day, 1)), '%B %Y')) AS line1,
+    f"""SELECT event_id, city, upper(strftime(make_date(year, month, coalesce(day, 1)), '%B %Y')) AS line1,
       CASE coalesce(damage_order, 0) WHEN 0 THEN 'None' WHEN 1 THEN 'Limited' WHEN 2 THEN 'Moderate' WHEN 3 THEN 'Severe' ELSE 'Extreme' END || ' damage' AS line3,
       CASE WHEN deaths IS NULL THEN '' WHEN deaths = 1 THEN '1 fatality' ELSE deaths || ' fatalities' END AS line4,
       'Place ' || event_id AS location FROM {SIGNIFICANT}""",
 )
 def earthquake_texts(t):
     out = events.event_text(events.significant_quakes(quakes(t), quake_cities(t)))
-    return out.select("event_id", "line1", "line3", "line4", "location")
+    return out.select("event_id", "city", "line1", "line3", "line4", "location")
 
 
 @query(
@@ -179,7 +179,7 @@ def top_earthquakes(t):
     return events.top_events(texts, "score").select("city", "event_id", "began", "ord")
 
 
-GREAT = "asin(sqrt(sin(radians(0.25 - latitude) / 2) ** 2 + cos(radians(latitude)) * cos(radians(0.25)) * sin(radians(0.5 - longitude) / 2) ** 2)) * 2 * 6371"
+GREAT = "asin(sqrt(sin(radians(clat - latitude) / 2) ** 2 + cos(radians(latitude)) * cos(radians(clat)) * sin(radians(clon - longitude) / 2) ** 2)) * 2 * 6371"
 
 
 @query(

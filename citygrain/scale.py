@@ -57,63 +57,65 @@ def exact_quantiles(
     quantiles: Sequence[float],
     by: Sequence[str] = (),
     splits: int = 100,
+    most: int = 100_000,
 ) -> DataFrame:
     """Exact interpolated quantiles, one row per group with columns ``q0, q1, ..``.
 
-    Equal values are counted before the shuffle, each group is cut into value ranges,
-    and only the ranges that hold a wanted rank are ordered. No group, however large,
-    is gathered whole, as the built-in ``percentile`` would do.
+    Equal values are counted before the shuffle. Each wanted rank is then looked for in a range of values, which is
+    cut into ``splits`` parts again and again until no range holds more than ``most`` distinct values; only those are
+    ordered. No group, however large, is gathered whole, as the built-in ``percentile`` would do.
     """
+    if not by:
+        # one group; the few ranges of its ranks are small enough for every task
+        whole = exact_quantiles(df.select(F.lit(0).alias("_all"), value), value, quantiles, ["_all"], splits, most)
+        return whole.drop("_all")
+    few = F.broadcast if list(by) == ["_all"] else (lambda ranges: ranges)
     v = F.col(value).cast("double")
-    counts = (
-        df.where(v.isNotNull() & ~F.isnan(v))
-        .groupBy(*by, v.alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n"))
+    counts = cut_lineage(
+        df.where(v.isNotNull() & ~F.isnan(v)).groupBy(*by, v.alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
     )
+    # one row per group and wanted rank, with the range it is known to lie in and the rows before that
+    totals = counts.groupBy(*by).agg(F.sum("_n").alias("_total"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
+    totals = totals.where("_total is not null")
+    positions = [F.lit(float(q)) * (F.col("_total") - 1) for q in quantiles]
+    ranks = [r.cast("long") for p in positions for r in (F.floor(p), F.ceil(p))]
+    wanted = totals.select(*by, "_low", "_high", F.lit(0).cast("long").alias("_before"), F.explode(F.array_distinct(F.array(*ranks))).alias("_rank"))
+    wanted = cut_lineage(wanted)
     marks = [i / splits for i in range(1, splits)]
-    ranged = with_totals(
-        counts,
-        by,
-        _marks=F.percentile_approx("_v", marks, 10 * splits),
-        _total=F.sum("_n"),
-    )
-    ranged = ranged.withColumn("_range", F.size(F.filter("_marks", lambda m: m < F.col("_v")))).drop("_marks")
-    # at most `splits` rows per group reach this window
-    order = Window.partitionBy(*by).orderBy("_range") if by else Window.orderBy("_range")
-    sizes = (
-        ranged.groupBy(*by, "_range")
-        .agg(F.sum("_n").alias("_size"), F.max("_total").alias("_total"))
-        .withColumn("_before", F.sum("_size").over(order) - F.col("_size"))
-    )
-    ranks = []
-    for q in quantiles:
-        position = F.lit(float(q)) * (F.col("_total") - 1)
-        ranks += [F.floor(position), F.ceil(position)]
-    wanted = sizes.where(
-        reduce(
-            lambda a, b: a | b,
-            [(r >= F.col("_before")) & (r < F.col("_before") + F.col("_size")) for r in ranks],
+    # a range of one group is named by its lower end
+    ranged = [*by, "_low"]
+    while True:
+        ranges = wanted.select(*ranged, "_high", "_before").distinct()
+        held = join_on(counts, few(ranges), by)
+        held = held.where("_v >= _low and _v <= _high")
+        sizes = held.groupBy(*ranged).agg(F.count(F.lit(1)).alias("_distinct"))
+        large = sizes.where(F.col("_distinct") > most).select(*ranged)
+        if large.isEmpty():
+            break
+        cut = held.groupBy(*ranged).agg(F.percentile_approx("_v", marks, 10 * splits).alias("_marks"))
+        parted = join_on(held, cut, ranged).withColumn("_part", F.size(F.filter("_marks", lambda m: m < F.col("_v"))))
+        parts = parted.groupBy(*ranged, "_before", "_part").agg(
+            F.sum("_n").alias("_size"), F.min("_v").alias("_from"), F.max("_v").alias("_to")
         )
-    ).drop("_total", "_size")
-    inside = Window.partitionBy(*by, "_range").orderBy("_v")
-    placed = (
-        join_on(ranged, wanted, [*by, "_range"])
-        .withColumn("_end", F.col("_before") + F.sum("_n").over(inside))
-        .withColumn("_start", F.col("_end") - F.col("_n"))
-    )
-    picks = []
-    for i, (low, high) in enumerate(zip(ranks[::2], ranks[1::2])):
-        for name, r in ((f"_lo{i}", low), (f"_hi{i}", high)):
-            hit = (r >= F.col("_start")) & (r < F.col("_end"))
-            picks.append(F.max(F.when(hit, F.col("_v"))).alias(name))
-    found = placed.groupBy(*by).agg(F.max("_total").alias("_total"), *picks)
+        # at most `splits` rows per range
+        order = Window.partitionBy(*ranged).orderBy("_part")
+        parts = parts.withColumn("_start", F.col("_before") + F.sum("_size").over(order) - F.col("_size"))
+        found = join_on(wanted.select(*ranged, "_rank"), parts, ranged)
+        found = found.where("_rank >= _start and _rank < _start + _size")
+        wanted = cut_lineage(
+            found.select(*by, F.col("_from").alias("_low"), F.col("_to").alias("_high"), F.col("_start").alias("_before"), "_rank")
+        )
+    inside = Window.partitionBy(*ranged).orderBy("_v")
+    placed = held.withColumn("_end", F.col("_before") + F.sum("_n").over(inside))
+    hit = join_on(placed.drop("_high", "_before"), wanted.select(*ranged, "_rank"), ranged)
+    hit = hit.where("_rank >= _end - _n and _rank < _end")
+    values = hit.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("_rank", "_v"))).alias("_at"))
+    known = join_on(totals.select(*by, "_total"), values, by)
     out = []
-    for i, q in enumerate(quantiles):
-        position = F.lit(float(q)) * (F.col("_total") - 1)
-        weight = position - F.floor(position)
-        low, high = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        out.append((low + weight * (high - low)).alias(f"q{i}"))
-    return found.where(F.col("_total").isNotNull()).select(*by, *out)
+    for i, p in enumerate(positions):
+        low, high = F.element_at("_at", F.floor(p).cast("long")), F.element_at("_at", F.ceil(p).cast("long"))
+        out.append((low + (p - F.floor(p)) * (high - low)).alias(f"q{i}"))
+    return known.select(*by, *out)
 
 
 def numbered(df: DataFrame, order: Sequence[Column | str], name: str, partitions: int | None = None) -> DataFrame:

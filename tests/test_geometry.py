@@ -1,6 +1,7 @@
 """Projections and geometry against known values."""
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -129,3 +130,45 @@ def test_text(spark):
     ).first()
     assert row["s"] == "new_york_city"
     assert row["l"] == "Sao Lodz OEuvre"
+
+
+def star(n, cx, cy, r, rough, seed):
+    """A closed ring around a centre whose radius wobbles."""
+    rng = random.Random(seed)
+    out = []
+    for i in range(n):
+        at = 2 * math.pi * i / n
+        d = r * (1 + rough * math.sin(7 * at) + 0.02 * rng.random())
+        out.append((cx + d * math.cos(at), cy + d * math.sin(at)))
+    return [*out, out[0]]
+
+
+def inside_rings(rings, x, y):
+    odd = False
+    for ring in rings:
+        for (x1, y1), (x2, y2) in zip(ring, ring[1:]):
+            if (y1 > y) != (y2 > y) and x < (x2 - x1) * (y - y1) / (y2 - y1) + x1:
+                odd = not odd
+    return odd
+
+
+def test_long_boundaries_in_tiles(spark):
+    from citygrain.operators import spatial
+
+    shapes = {
+        "long": [star(100_000, 0, 0, 40, 0.3, 1)],
+        "hole": [star(300, 5, 5, 20, 0.1, 2), star(200, 5, 5, 8, 0.2, 3)],
+        "box": [[(-10.0, -10.0), (10.0, -10.0), (10.0, 10.0), (-10.0, 10.0), (-10.0, -10.0)]],
+    }
+    polys = spark.createDataFrame(list(shapes.items()), "name string, r array<array<struct<x:double,y:double>>>").withColumnRenamed("r", "rings")
+    rng = random.Random(4)
+    spots = [(i, rng.uniform(-60, 60), rng.uniform(-60, 60)) for i in range(150)] + [(200, 0.0, 0.0), (201, 10.0, 5.0), (202, -10.0, -10.0)]
+    points = spark.createDataFrame(spots, "id long, lon double, lat double")
+    for size in (2.0, 9.0):
+        got = {(r["id"], r["name"]) for r in spatial.point_in_polygon(points, polys, size).collect()}
+        assert got == {(i, n) for i, x, y in spots for n, rings in shapes.items() if inside_rings(rings, x, y)}
+    tiles = spatial.tile_polygons(spatial.identified(polys), 5.0)
+    held = tiles.select(F.sum(F.size("_segs")).alias("n"), F.max(F.size("_segs")).alias("most")).first()
+    # segments are copied only where they cross from tile to tile
+    assert held["n"] < 1.2 * 100_505 and held["most"] < 20_000
+    assert tiles.where("size(_segs) = 0 and _odd = 1").count() > 0

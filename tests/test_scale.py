@@ -26,7 +26,7 @@ def test_exact_quantiles(spark, grouped):
     df = spark.createDataFrame(rows, "k string, v double")
     qs = [0.0, 0.05, 0.5, 0.6, 0.986, 1.0]
     by = ["k"] if grouped else []
-    for r in exact_quantiles(df, "v", qs, by, splits=20).collect():
+    for r in exact_quantiles(df, "v", qs, by, splits=20).collect() + exact_quantiles(df, "v", qs, by, splits=4, most=3).collect():
         values = [v for k, v in rows if v is not None and v == v and (not grouped or k == r["k"])]
         for i, q in enumerate(qs):
             assert r[f"q{i}"] == pytest.approx(quantile(values, q))
