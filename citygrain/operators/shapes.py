@@ -14,7 +14,7 @@ from citygrain.functions import geometry as geo
 from citygrain.grid import Grid
 from citygrain.operators.nearest import k_nearest
 from citygrain.operators.topology import connected_components
-from citygrain.scale import exact_quantiles
+from citygrain.scale import cut_lineage, exact_quantiles, join_on
 
 CELL = ("x", "y")
 
@@ -102,45 +102,54 @@ def dissolve(footprints: DataFrame, keys: Sequence[str]) -> DataFrame:
     return footprints.select(*keys, *CELL).distinct()
 
 
-def label_points(polys: DataFrame, key: str = "zone", n: int = 16) -> DataFrame:
-    """Centre of a large inscribed circle: the best interior grid point, refined once around it."""
-    segs = geo.polygon_segments(F.col("rings"))
-    base = polys.select(key, segs.alias("_segs"), geo.bounds(F.col("rings")).alias("_b"))
-    base = base.select(key, "_segs", "_b.xmin", "_b.ymin", "_b.xmax", "_b.ymax")
+def label_points(polys: DataFrame, key: str = "zone", precision: float = 1e-3) -> DataFrame:
+    """Centre and radius of the largest circle inside each polygon.
 
-    def best(boxes: DataFrame) -> DataFrame:
-        steps = F.sequence(F.lit(0), F.lit(n - 1))
-        spots = boxes.withColumn("_i", F.explode(steps)).withColumn("_j", F.explode(steps))
-        px = F.col("xmin") + (F.col("xmax") - F.col("xmin")) * (F.col("_i") + 0.5) / n
-        py = F.col("ymin") + (F.col("ymax") - F.col("ymin")) * (F.col("_j") + 0.5) / n
-        spots = spots.withColumns({"px": px, "py": py})
-        inside = spots.where(geo.crossings(F.col("_segs"), F.col("px"), F.col("py")) % 2 == 1)
-        gap = F.array_min(
-            F.transform(
-                "_segs",
-                lambda s: geo.point_segment(F.col("px"), F.col("py"), s["x1"], s["y1"], s["x2"], s["y2"])["distance"],
-            )
-        )
-        pick = F.max(F.struct(F.col("radius"), -F.col("px"), -F.col("py"), F.col("px").alias("px"), F.col("py").alias("py")))
-        return inside.withColumn("radius", gap).groupBy(key).agg(pick.alias("_p")).select(
-            key, F.col("_p.px").alias("px"), F.col("_p.py").alias("py"), F.col("_p.radius").alias("radius")
-        )
+    The radius is at most ``precision`` times the shorter side of the polygon's box below the largest one. Squares over the
+    box are searched: a square whose centre, with its half diagonal, cannot beat the best centre found by that
+    much is dropped, the others are cut in four.
+    """
+    base = polys.select(key, geo.polygon_segments(F.col("rings")).alias("_segs"), geo.bounds(F.col("rings")).alias("_b"))
+    width, height = F.col("_b.xmax") - F.col("_b.xmin"), F.col("_b.ymax") - F.col("_b.ymin")
+    base = base.withColumns({"_side": F.least(width, height), "_w": width, "_h": height}).where("_side > 0")
 
-    coarse = best(base)
-    w, h = (F.col("xmax") - F.col("xmin")) / n, (F.col("ymax") - F.col("ymin")) / n
-    around = (
-        base.join(coarse, key)
-        .withColumns({"_w": w, "_h": h})
-        .select(
-            key, "_segs",
-            (F.col("px") - F.col("_w")).alias("xmin"), (F.col("py") - F.col("_h")).alias("ymin"),
-            (F.col("px") + F.col("_w")).alias("xmax"), (F.col("py") + F.col("_h")).alias("ymax"),
+    def measured(cells: DataFrame) -> DataFrame:
+        """Distance of each centre to the boundary, negative outside."""
+        px, py = F.col("px"), F.col("py")
+        gap = F.array_min(
+            F.transform("_segs", lambda s: geo.point_segment(px, py, s["x1"], s["y1"], s["x2"], s["y2"])["distance"])
         )
+        signed = F.when(geo.crossings(F.col("_segs"), px, py) % 2 == 1, gap).otherwise(-gap)
+        near = cells.join(base.select(key, "_segs", "_side"), key)
+        return cut_lineage(near.select(key, "px", "py", "half", "_side", signed.alias("radius")))
+
+    def places(low: str, size: str) -> Column:
+        n = F.ceil(F.col(size) / F.col("_side") * 2).cast("int")
+        return F.explode(F.transform(F.sequence(F.lit(0), n), lambda i: F.col(low) + i * F.col("_side") / 2 + F.col("_side") / 4))
+
+    grid = base.select(key, "_side", "_b", "_h", places("_b.xmin", "_w").alias("px"))
+    grid = grid.select(key, "px", places("_b.ymin", "_h").alias("py"), (F.col("_side") / 4).alias("half"))
+    middle = base.select(
+        key, ((F.col("_b.xmin") + F.col("_b.xmax")) / 2).alias("px"), ((F.col("_b.ymin") + F.col("_b.ymax")) / 2).alias("py"), F.lit(0.0).alias("half")
     )
-    both = coarse.unionByName(best(around))
-    return both.groupBy(key).agg(
-        F.max_by(F.struct("px", "py"), F.struct("radius", -F.col("px"), -F.col("py"))).alias("_p"), F.max("radius").alias("radius")
-    ).select(key, F.col("_p.px").alias("x"), F.col("_p.py").alias("y"), "radius")
+    cells = measured(grid.unionByName(middle))
+    best = None
+    pick = F.max(F.struct("radius", (-F.col("px")).alias("a"), (-F.col("py")).alias("b"))).alias("_best")
+    while True:
+        found = cells.select(key, "radius", "px", "py")
+        found = found if best is None else found.unionByName(best)
+        best = cut_lineage(found.groupBy(key).agg(pick).select(key, "_best.radius", (-F.col("_best.a")).alias("px"), (-F.col("_best.b")).alias("py")))
+        limit = best.select(key, F.col("radius").alias("_top"))
+        reach = F.col("radius") + F.col("half") * math.sqrt(2)
+        open_cells = cells.join(limit, key).where(reach > F.greatest("_top", F.lit(0.0)) + F.col("_side") * precision)
+        quarters = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-0.5, 0.5) for j in (-0.5, 0.5)]))
+        split = open_cells.withColumn("_q", quarters).select(
+            key, (F.col("px") + F.col("_q.i") * F.col("half")).alias("px"), (F.col("py") + F.col("_q.j") * F.col("half")).alias("py"),
+            (F.col("half") / 2).alias("half"),
+        )
+        cells = measured(split)
+        if cells.isEmpty():
+            return best.where("radius > 0").select(key, F.col("px").alias("x"), F.col("py").alias("y"), "radius")
 
 
 def density(points: DataFrame, n: int = 200, aspect: float | None = None, by: Sequence[str] = (), x: str = "x",
@@ -159,13 +168,15 @@ def density(points: DataFrame, n: int = 200, aspect: float | None = None, by: Se
         F.min("_x").alias("x1"), F.max("_x").alias("x2"), F.min("_y").alias("y1"), F.max("_y").alias("y2"),
         F.stddev_samp("_x").alias("_sx"), F.stddev_samp("_y").alias("_sy"),
     )
-    for axis in ("x", "y"):
-        q = exact_quantiles(pts, f"_{axis}", [0.25, 0.75], by)
-        spread = q.select(*by, ((F.col("q1") - F.col("q0")) / 1.34).alias(f"_q{axis}"))
-        if by:
-            shape = shape.join(spread, list(by))
-        else:
-            shape = shape.withColumn(f"_q{axis}", spread.scalar())
+    # both axes in one pass
+    axes = pts.unpivot(list(by), ["_x", "_y"], "_axis", "_at")
+    q = exact_quantiles(axes, "_at", [0.25, 0.75], [*by, "_axis"])
+    width = lambda axis: F.max(F.when(F.col("_axis") == axis, (F.col("q1") - F.col("q0")) / 1.34))
+    spread = q.groupBy(*by).agg(width("_x").alias("_qx"), width("_y").alias("_qy"))
+    if by:
+        shape = join_on(shape, spread, by)
+    else:
+        shape = shape.withColumns({c: spread.select(c).scalar() for c in ("_qx", "_qy")})
     shape = shape.withColumns(
         {f"_h{a}": F.least(f"_s{a}", F.when(F.col(f"_q{a}") > 0, F.col(f"_q{a}"))) * 1.06 * F.pow("_n", F.lit(-0.2)) for a in ("x", "y")}
     ).where("_hx > 0 AND _hy > 0")

@@ -16,6 +16,8 @@ def build_session(app_name: str = "citygrain", master: str | None = None, **sett
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.session.timeZone": "UTC",
+        # old rounds of iterative operators go when nothing refers to them any more
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     for key, value in {**defaults, **settings}.items():
         builder = builder.config(key, value)

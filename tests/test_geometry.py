@@ -172,3 +172,33 @@ def test_long_boundaries_in_tiles(spark):
     # segments are copied only where they cross from tile to tile
     assert held["n"] < 1.2 * 100_505 and held["most"] < 20_000
     assert tiles.where("size(_segs) = 0 and _odd = 1").count() > 0
+
+
+def test_label_points_of_irregular_shapes(spark):
+    from citygrain.operators import shapes
+
+    rows = {
+        "l": [[(0.0, 0.0), (9.0, 0.0), (9.0, 3.0), (4.0, 3.0), (4.0, 8.0), (0.0, 8.0), (0.0, 0.0)]],
+        "star": [star(40, 3, -2, 5, 0.4, 6)],
+        "hole": [star(60, 0, 0, 10, 0.0, 7), star(30, 1, 1, 4, 0.1, 8)],
+        "thin": [[(0.0, 0.0), (100.0, 1.0), (100.0, 2.0), (0.0, 1.0), (0.0, 0.0)]],
+    }
+    polys = spark.createDataFrame(list(rows.items()), "zone string, r array<array<struct<x:double,y:double>>>").withColumnRenamed("r", "rings")
+
+    def gap(rings, x, y):
+        best = math.inf
+        for ring in rings:
+            for (x1, y1), (x2, y2) in zip(ring, ring[1:]):
+                t = max(0.0, min(1.0, ((x - x1) * (x2 - x1) + (y - y1) * (y2 - y1)) / ((x2 - x1) ** 2 + (y2 - y1) ** 2)))
+                best = min(best, math.hypot(x1 + t * (x2 - x1) - x, y1 + t * (y2 - y1) - y))
+        return best if inside_rings(rings, x, y) else -best
+
+    for r in shapes.label_points(polys).collect():
+        rings = rows[r["zone"]]
+        assert gap(rings, r["x"], r["y"]) == pytest.approx(r["radius"])
+        xs, ys = zip(*rings[0])
+        side = min(max(xs) - min(xs), max(ys) - min(ys))
+        tried = [
+            gap(rings, min(xs) + (max(xs) - min(xs)) * i / 120, min(ys) + (max(ys) - min(ys)) * j / 120) for i in range(121) for j in range(121)
+        ]
+        assert r["radius"] >= max(tried) - 1e-3 * side
