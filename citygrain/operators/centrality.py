@@ -2,25 +2,32 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citygrain.scale import cut_lineage, numbered, with_totals
+from citygrain.scale import cut_lineage, join_on, numbered, with_totals
 
 
-def betweenness(edges: DataFrame, kind: str = "edge", sources: int | None = None, seed: int = 0) -> DataFrame:
+def betweenness(edges: DataFrame, kind: str = "edge", sources: int | None = None, seed: int = 0,
+                by: Sequence[str] = ()) -> DataFrame:
     """Normalized betweenness of each edge (u, v) or node, with the mean over all appended.
 
     Shortest paths are counted level by level outwards from every source, and dependencies
     are summed level by level back. Both passes are joins on (source, node) and aggregate
     before the shuffle, so a hub's many paths meet as partial sums. The result is exact and covers all
     sources, whatever the size; only for edges, and only if ``sources`` asks for it, as many sources are drawn
-    by a seeded hash and the result is scaled up.
+    by a seeded hash and the result is scaled up. ``by`` names columns, such as the city, that keep networks
+    apart: each is normalized by its own nodes and has its own mean.
     """
+    if sources is not None and by:
+        raise ValueError("sources are drawn from one network")
     if sources is not None and kind != "edge":
         raise ValueError("sources can be drawn for edge betweenness only")
-    pairs = cut_lineage(edges.where("u <> v").select("u", "v").distinct())
-    nodes = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    by = list(by)
+    pairs = cut_lineage(edges.where("u <> v").select(*by, "u", "v").distinct())
+    nodes = pairs.select(*by, F.explode(F.array("u", "v")).alias("node")).distinct()
     n = nodes.count()
     starts, k = nodes, n
     if sources is not None and sources < n:
@@ -29,7 +36,7 @@ def betweenness(edges: DataFrame, kind: str = "edge", sources: int | None = None
         k = sources
     state = cut_lineage(
         starts.select(
-            F.col("node").alias("s"), "node", F.lit(0).alias("level"), F.lit(1.0).alias("paths")
+            *by, F.col("node").alias("s"), "node", F.lit(0).alias("level"), F.lit(1.0).alias("paths")
         )
     )
     level = 0
@@ -37,16 +44,18 @@ def betweenness(edges: DataFrame, kind: str = "edge", sources: int | None = None
         level += 1
         step = (
             state.where(F.col("level") == level - 1)
-            .join(pairs, F.col("node") == F.col("u"))
-            .select("s", F.col("v").alias("node"), F.lit(level).alias("level"), "paths")
+            .withColumnRenamed("node", "u")
+            .join(pairs, [*by, "u"])
+            .select(*by, "s", F.col("v").alias("node"), F.lit(level).alias("level"), "paths")
         )
         old = F.max(F.when(F.col("level") < level, F.struct("level", "paths")))
         new = F.sum(F.when(F.col("level") == level, F.col("paths")))
         state = cut_lineage(
             state.unionByName(step)
-            .groupBy("s", "node")
+            .groupBy(*by, "s", "node")
             .agg(old.alias("_old"), new.alias("_new"))
             .select(
+                *by,
                 "s",
                 "node",
                 F.coalesce("_old.level", F.lit(level)).alias("level"),
@@ -60,34 +69,34 @@ def betweenness(edges: DataFrame, kind: str = "edge", sources: int | None = None
     for at in range(level - 1, 0, -1):
         here = state.where(F.col("level") == at)
         if below is not None:
-            here = here.join(below, ["s", "node"], "left")
+            here = here.join(below, [*by, "s", "node"], "left")
         else:
             here = here.withColumn("delta", F.lit(0.0))
         owed = here.select(
-            "s", F.col("node").alias("v"), ((1 + F.coalesce("delta", F.lit(0.0))) / F.col("paths")).alias("_share")
+            *by, "s", F.col("node").alias("v"), ((1 + F.coalesce("delta", F.lit(0.0))) / F.col("paths")).alias("_share")
         )
-        above = state.where(F.col("level") == at - 1).select("s", F.col("node").alias("u"), "paths")
+        above = state.where(F.col("level") == at - 1).select(*by, "s", F.col("node").alias("u"), "paths")
         flow = (
-            owed.join(pairs, "v")
-            .join(above, ["s", "u"])
-            .select("s", "u", "v", (F.col("paths") * F.col("_share")).alias("flow"))
+            owed.join(pairs, [*by, "v"])
+            .join(above, [*by, "s", "u"])
+            .select(*by, "s", "u", "v", (F.col("paths") * F.col("_share")).alias("flow"))
         )
         if kind == "edge":
-            scores.append(flow.groupBy("u", "v").agg(F.sum("flow").alias("score")))
-        below = cut_lineage(flow.groupBy("s", F.col("u").alias("node")).agg(F.sum("flow").alias("delta")))
+            scores.append(flow.groupBy(*by, "u", "v").agg(F.sum("flow").alias("score")))
+        below = cut_lineage(flow.groupBy(*by, "s", F.col("u").alias("node")).agg(F.sum("flow").alias("delta")))
         if kind == "node":
             scores.append(
-                below.where("s <> node").groupBy("node").agg(F.sum("delta").alias("score"))
+                below.where("s <> node").groupBy(*by, "node").agg(F.sum("delta").alias("score"))
             )
-    keys = ["u", "v"] if kind == "edge" else ["node"]
-    if kind == "edge":
-        scale = 1.0 / (n * (n - 1)) if n > 1 else 1.0
-    else:
-        scale = 1.0 / ((n - 1) * (n - 2)) if n > 2 else 1.0
-    scale = scale * n / k if k else scale
+    keys = [*by, "u", "v"] if kind == "edge" else [*by, "node"]
     everything = pairs if kind == "edge" else nodes
     out = everything.withColumn("score", F.lit(0.0))
-    for s in scores:
-        out = out.unionByName(s)
-    summed = out.groupBy(*keys).agg((F.sum("score") * scale).alias("centrality"))
-    return with_totals(summed, (), mean_centrality=F.avg("centrality"))
+    for part in scores:
+        out = out.unionByName(part)
+    summed = out.groupBy(*keys).agg(F.sum("score").alias("score"))
+    # ordered pairs of nodes that a path can join, of each network
+    size = F.count(F.lit(1)).cast("double")
+    counted = nodes.groupBy(*by).agg((size * (size - 1) if kind == "edge" else (size - 1) * (size - 2)).alias("_pairs"))
+    scaled = join_on(summed, counted, by) if by else summed.withColumn("_pairs", counted.select("_pairs").scalar())
+    centrality = F.col("score") * (n / k if k else 1.0) / F.when(F.col("_pairs") > 0, F.col("_pairs")).otherwise(F.lit(1.0))
+    return with_totals(scaled.select(*keys, centrality.alias("centrality")), by, mean_centrality=F.avg("centrality"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citygrain.grid import Grid
+from citygrain.operators.spatial import align
 from citygrain.scale import exact_quantiles, join_on
 
 CELL = ("x", "y")
@@ -15,14 +16,18 @@ CELL = ("x", "y")
 
 def exposure_by_year(
     hazard: DataFrame, settlement: DataFrame, grid: Grid, years: Sequence[int], by: Sequence[str] = ("city",),
-    scale: float = 1.0,
+    scale: float = 1.0, settlement_grid: Grid | None = None,
 ) -> DataFrame:
     """Cumulative area settled by each year in cells with a hazard, in squared grid units times ``scale``.
 
+    ``grid`` is the hazard's; a settlement table on another grid (``settlement_grid``) is brought to it first.
+
     Every year of the range is present for every group of the hazard table, also when nothing was
     settled in it. A grid in metres and a scale of 1e-6 give square kilometres.
     """
     exposed = hazard.where("value > 0").select(*by, *CELL)
+    if settlement_grid is not None:
+        settlement = align(settlement, settlement_grid, grid, [b for b in by if b in settlement.columns])
     place = [b for b in by if b in settlement.columns]
     hits = exposed.join(settlement.withColumnRenamed("value", "year"), [*place, *CELL])
     counts = hits.groupBy(*by).agg(*[F.count_if(F.col("year") == y).alias(f"_y{y}") for y in years])
@@ -36,11 +41,12 @@ def exposure_by_year(
 
 
 def exposed_dense_share(
-    hazard: DataFrame, population: DataFrame, q: float = 0.6, by: Sequence[str] = ("city",)
+    hazard: DataFrame, population: DataFrame, q: float = 0.6, by: Sequence[str] = ("city",),
+    grid: Grid | None = None, population_grid: Grid | None = None,
 ) -> DataFrame:
     """Percent of densely populated cells that lie in a hazard.
 
-    Dense cells reach the given percentile of the city's population cells. The
+    Where the grids differ, the dense cells are found on the population's grid and brought to the hazard's. Dense cells reach the given percentile of the city's population cells. The
     denominator counts dense cells that the hazard grid covers.
     """
     place = [b for b in by if b in population.columns]
@@ -48,6 +54,8 @@ def exposed_dense_share(
     people = population.withColumnRenamed("value", "_people")
     dense = join_on(people, limits, place) if place else people.withColumn("_limit", limits.scalar())
     dense = dense.where(F.col("_people") >= F.col("_limit")).select(*place, *CELL)
+    if grid is not None and population_grid is not None:
+        dense = align(dense.withColumn("value", F.lit(1)), population_grid, grid, place).drop("value")
     return (
         hazard.join(dense, [*place, *CELL])
         .groupBy(*by)

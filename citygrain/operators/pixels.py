@@ -7,11 +7,13 @@ A pixel table has one row per cell: ``x``, ``y``, ``value`` and any of ``city``,
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from citygrain.grid import Grid
+from citygrain.operators.spatial import align
 from citygrain.scale import exact_quantiles, lookup, with_totals
 
 # Burnability weight of each land-cover code.
@@ -114,9 +116,16 @@ def composite_max(px: DataFrame, by: Sequence[str] = ("city",)) -> DataFrame:
     return px.groupBy(*by, *CELL).agg(F.max("value").alias("value"))
 
 
-def combine_hazards(px: DataFrame, types: Sequence[str], type_col: str, by: Sequence[str] = ("city",)) -> DataFrame:
-    """Cell maximum over hazard types, ignoring nulls. Resample to one grid first."""
-    return composite_max(px.where(F.col(type_col).isin(*types)), by)
+def combine_hazards(px: DataFrame, types: Sequence[str], type_col: str, by: Sequence[str] = ("city",),
+                    grids: dict[str, Grid] | None = None) -> DataFrame:
+    """Cell maximum over hazard types, ignoring nulls.
+
+    ``grids`` gives the grid of each type where they differ; all are brought to that of the first type.
+    """
+    if grids is None:
+        return composite_max(px.where(F.col(type_col).isin(*types)), by)
+    parts = [align(px.where(F.col(type_col) == t), grids[t], grids[types[0]], by) for t in types]
+    return composite_max(reduce(DataFrame.unionByName, parts), by)
 
 
 def reclass(px: DataFrame, table: dict | None = None, default: float = 0.0) -> DataFrame:

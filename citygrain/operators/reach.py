@@ -86,27 +86,28 @@ def isochrone_nodes(edges: DataFrame, origins: DataFrame, thresholds: Sequence[f
 
 
 def od_costs(edges: DataFrame, origins: DataFrame, dests: DataFrame, cutoff: float, weight: str = "length",
-             origin_weights: DataFrame | None = None) -> DataFrame:
+             origin_weights: DataFrame | None = None, by: Sequence[str] = ()) -> DataFrame:
     """Cost of every (origin, destination) pair of nodes within the cutoff.
 
-    The cutoff is what keeps the table sparse on a large network, so it must be given.
+    The cutoff is what keeps the table sparse on a large network, so it must be given. ``by`` names columns of
+    all tables, such as the city, that keep networks apart; pairs are formed inside each.
 
     The search starts from the smaller side; from destinations it runs on reversed edges,
     which gives the same costs on one-way streets too.
     """
-    o = origins.select("node").distinct()
-    d = dests.select("node").distinct()
+    o = origins.select(*by, "node").distinct()
+    d = dests.select(*by, "node").distinct()
     if d.count() < o.count():
-        reverse = edges.select(F.col("v").alias("u"), F.col("u").alias("v"), weight)
-        found = shortest_costs(reverse, d.withColumn("d", F.col("node")), cutoff, weight, carry=["d"])
-        od = found.withColumnRenamed("node", "o").join(o.withColumnRenamed("node", "o"), "o", "left_semi")
+        reverse = edges.select(*by, F.col("v").alias("u"), F.col("u").alias("v"), weight)
+        found = shortest_costs(reverse, d.withColumn("d", F.col("node")), cutoff, weight, by, ["d"])
+        od = found.withColumnRenamed("node", "o").join(o.withColumnRenamed("node", "o"), [*by, "o"], "left_semi")
     else:
-        found = shortest_costs(edges, o.withColumn("o", F.col("node")), cutoff, weight, carry=["o"])
-        od = found.withColumnRenamed("node", "d").join(d.withColumnRenamed("node", "d"), "d", "left_semi")
+        found = shortest_costs(edges, o.withColumn("o", F.col("node")), cutoff, weight, by, ["o"])
+        od = found.withColumnRenamed("node", "d").join(d.withColumnRenamed("node", "d"), [*by, "d"], "left_semi")
     if origin_weights is not None:
         # a multiplier per origin (columns o, multiplier)
-        od = od.join(origin_weights, "o").withColumn("cost", F.col("cost") * F.col("multiplier")).drop("multiplier")
-    return od.select("o", "d", "cost")
+        od = od.join(origin_weights, [*by, "o"]).withColumn("cost", F.col("cost") * F.col("multiplier")).drop("multiplier")
+    return od.select(*by, "o", "d", "cost")
 
 
 def od_lookup(od: DataFrame, pairs: DataFrame, fail: float) -> DataFrame:

@@ -241,9 +241,15 @@ def _cell_condition(touched: bool, on: Sequence[str], tile: int) -> Column:
 
 def resample(px: DataFrame, source: Grid, target: Grid, by: Sequence[str] = (), src_crs: str = "4326",
              dst_crs: str = "4326") -> DataFrame:
-    """Nearest-neighbour values on the target grid's cells; the target needs width and height."""
+    """Nearest-neighbour values on the target grid's cells; the target needs width and height.
+
+    In one coordinate system every cell finds the target cells whose centres it holds, so the work follows the
+    cells there are. Between systems the target's cells are listed and projected back.
+    """
     if target.width is None or target.height is None:
         raise ValueError("reprojection needs a target grid with width and height")
+    if src_crs == dst_crs:
+        return align(px, source, target, by)
     cells = px.sparkSession.range(target.width * target.height).select(
         (F.col("id") % target.width).cast("int").alias("_c"),
         F.floor(F.col("id") / target.width).cast("int").alias("_r"),
@@ -257,6 +263,25 @@ def resample(px: DataFrame, source: Grid, target: Grid, by: Sequence[str] = (),
     )
 
 
+def align(px: DataFrame, source: Grid, target: Grid, by: Sequence[str] = ()) -> DataFrame:
+    """Nearest-neighbour values of a pixel table on another grid of the same coordinate system, without a join."""
+    if source == target:
+        return px.select(*by, "x", "y", "value")
+
+    def span(cell: str, x0: float, dx: float, t0: float, tdx: float, size: int | None) -> Column:
+        ends = [((F.lit(x0) + (F.col(cell) + k) * F.lit(dx)) - F.lit(t0)) / F.lit(tdx) - 0.5 for k in (0, 1)]
+        low, high = F.floor(F.least(*ends)), F.ceil(F.greatest(*ends))
+        if size is not None:
+            low, high = F.greatest(low, F.lit(0)), F.least(high, F.lit(size - 1))
+        return F.explode(F.when(low <= high, F.sequence(low.cast("int"), high.cast("int"))))
+
+    wide = px.withColumn("_c", span("x", source.x0, source.dx, target.x0, target.dx, target.width))
+    cells = wide.withColumn("_r", span("y", source.y0, source.dy, target.y0, target.dy, target.height))
+    # the cell that holds a centre decides, as for a point
+    col, row = source.to_cell(*target.center(F.col("_c"), F.col("_r")))
+    return cells.where((col == F.col("x")) & (row == F.col("y"))).select(*by, F.col("_c").alias("x"), F.col("_r").alias("y"), "value")
+
+
 def clip_boxes(boxes: DataFrame, aois: DataFrame, size: float, key: str = "city") -> DataFrame:
     """Box tiles cut to each area: the clipped first ring and the share of the box inside the area."""
     with_rings = boxes.withColumn("rings", geo.box_polygon())

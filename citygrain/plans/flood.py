@@ -26,7 +26,8 @@ def settlement_exposure(
     years: Sequence[int],
     by: Sequence[str] = ("city",),
     scale: float = 1.0,
+    settled_grid: Grid | None = None,
 ) -> DataFrame:
     """Cumulative built-up area exposed, by settlement year; zero where a hazard meets no settlement."""
     hazard = composite_hazard(depth, threshold, return_period, by)
-    return exposure.exposure_by_year(hazard, settled, grid, years, by, scale)
+    return exposure.exposure_by_year(hazard, settled, grid, years, by, scale, settled_grid)

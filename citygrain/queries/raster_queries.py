@@ -95,10 +95,14 @@ def hazard_composite(t):
 
 @query(
     "hazards_combined",
-    "SELECT city, x, y, max(value) AS value FROM hazard WHERE layer IN ('A', 'R') GROUP BY ALL",
+    """WITH r AS (SELECT h.city, c::int AS x, r::int AS y, value FROM hazard h, (SELECT unnest(range(-300, 600)) AS c) cs, (SELECT unnest(range(-300, 600)) AS r) rs
+      WHERE layer = 'R' AND floor((c + 0.5) / 1.5::double) = x AND floor((r + 0.5) / 0.75::double) = y)
+    SELECT city, x, y, max(value) AS value FROM (SELECT city, x, y, value FROM hazard WHERE layer = 'A' UNION ALL SELECT * FROM r) GROUP BY ALL""",
 )
 def hazards_combined(t):
-    return pixels.combine_hazards(t.hazard(), ["A", "R"], "layer")
+    """Two hazards on different grids, on the grid of the first."""
+    grids = {"A": Grid(0.0, 0.0, 1.0, 1.0), "R": Grid(0.0, 0.0, 1.5, 0.75)}
+    return pixels.combine_hazards(t.hazard(), ["A", "R"], "layer", grids=grids)
 
 
 @query(

@@ -373,3 +373,38 @@ def test_density_by_group(spark):
         for r in alone:
             assert both[(city, r["x"], r["y"])] == pytest.approx(r["value"], abs=1e-9)
         assert {0.0, 1.0} <= {r["value"] for r in alone}
+
+
+def test_two_cities_equal_two_runs(spark):
+    a, b = random_edges(12, 30, 1), random_edges(17, 45, 2)
+    tables = {c: edge_table(spark, rows).withColumn("city", F.lit(c)) for c, rows in (("a", a), ("b", b))}
+    both = tables["a"].unionByName(tables["b"])
+    for kind, keys in (("edge", ["u", "v"]), ("node", ["node"])):
+        joined = centrality.betweenness(both, kind, by=["city"]).collect()
+        for city, edges in tables.items():
+            alone = {tuple(r[k] for k in keys): (r["centrality"], r["mean_centrality"]) for r in centrality.betweenness(edges, kind).collect()}
+            mine = {tuple(r[k] for k in keys): (r["centrality"], r["mean_centrality"]) for r in joined if r["city"] == city}
+            assert set(mine) == set(alone)
+            assert all(mine[k] == pytest.approx(alone[k]) for k in alone)
+    ends = spark.createDataFrame([(c, i) for c in "ab" for i in (0, 3, 5)], "city string, node long")
+    joined = reach.od_costs(both, ends, ends, 50.0, by=["city"]).collect()
+    for city, edges in tables.items():
+        mine = ends.where(F.col("city") == city).select("node")
+        alone = {(r["o"], r["d"], r["cost"]) for r in reach.od_costs(edges, mine, mine, 50.0).collect()}
+        assert alone == {(r["o"], r["d"], r["cost"]) for r in joined if r["city"] == city}
+
+
+def test_exposure_on_two_grids(spark):
+    from citygrain.operators import exposure
+
+    hazard = spark.createDataFrame([("c", x, y, 1.0) for x in range(4) for y in range(4)] + [("e", 0, 0, 1.0)], "city string, x int, y int, value double")
+    # settled cells are twice as wide and shifted by a cell
+    settled = spark.createDataFrame([("c", 0, 0, 1990), ("c", 1, 1, 1992), ("c", 9, 9, 1990)], "city string, x int, y int, value int")
+    out = exposure.exposure_by_year(
+        hazard, settled, Grid(0, 0, 100, 100), range(1990, 1993), scale=1e-6, settlement_grid=Grid(100, 0, 200, 200)
+    )
+    got = {(r["city"], r["year"]): round(r["cumulative_area"], 6) for r in out.collect()}
+    assert got == {("c", 1990): 0.04, ("c", 1991): 0.04, ("c", 1992): 0.06, ("e", 1990): 0.0, ("e", 1991): 0.0, ("e", 1992): 0.0}
+    people = settled.withColumn("value", F.when(F.col("x") == 0, 9.0).otherwise(1.0))
+    share = exposure.exposed_dense_share(hazard.where("city = 'c'"), people, 0.9, grid=Grid(0, 0, 1, 1), population_grid=Grid(1, 0, 2, 2)).first()
+    assert (share["dense_cells"], share["exposed_pct"]) == (4, 100.0)
