@@ -106,6 +106,11 @@ class Bpe:
         self.cut = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self.mark_ids = {c: self.piece_ids(c) for c in ",.;:!?\n"}
 
+    def rest(self):
+        """Give back what the next texts are least likely to need; called when a task ends."""
+        self.pieces.old, self.chunks.old = {}, {}
+        self.pairs.clear()
+
     def compatible(self, left: int, right: int) -> bool:
         """Whether merging leaves this border: no pair across it, at any depth, merges before its sides do."""
         # undo merges from the latest back; `before` is the merge that a pair must come ahead of to matter
@@ -143,7 +148,7 @@ class Bpe:
                 if last < 0:
                     fits = True
                 elif (fits := pairs.get(last << 32 | token)) is None:
-                    if len(pairs) >= 8 * self.cache_size:
+                    if len(pairs) >= 2 * self.cache_size:
                         pairs.clear()
                     fits = pairs[last << 32 | token] = self.compatible(last, token)
                 if fits and at + length[token] not in given_up:
@@ -262,6 +267,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, with_ids: bool = True) ->
                 ],
             }
             yield out | ({"ids": ids} if with_ids else {})
+        bpe.rest()
 
     schema = "doc_id {}, n_tokens long, ids_sha256 string, decoded_sha256 string".format(
         docs.schema["doc_id"].dataType.simpleString()

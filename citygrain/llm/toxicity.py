@@ -26,6 +26,9 @@ THRESHOLD = 0.3
 #: Labelled rows that a model is fitted on, about; fewer if there are fewer.
 FIT_ROWS = 30_000
 
+#: Terms that a task counts before it passes them on.
+HELD = 250_000
+
 #: Lengths of the word beginnings that can enter the lexicon.
 STEMS = range(4, 9)
 
@@ -176,9 +179,9 @@ def fit(docs: DataFrame, labels: DataFrame, train, rows: int = FIT_ROWS) -> Mode
             for text, toxic in zip(binary_column(batch, "text"), batch.column("toxic").to_pylist()):
                 seen[toxic][""] += 1
                 seen[toxic].update(terms(text.decode("utf-8", "replace")))
-            if len(seen[0]) + len(seen[1]) > 1_000_000:
-                yield counted(*seen)
-                seen = Counter(), Counter()
+                if len(seen[0]) + len(seen[1]) > HELD:
+                    yield counted(*seen)
+                    seen = Counter(), Counter()
         yield counted(*seen)
 
     def counted(clean: Counter, toxic: Counter) -> dict:
