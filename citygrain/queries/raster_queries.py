@@ -95,9 +95,10 @@ def hazard_composite(t):
 
 @query(
     "hazards_combined",
-    """WITH r AS (SELECT h.city, c::int AS x, r::int AS y, value FROM hazard h, (SELECT unnest(range(-300, 600)) AS c) cs, (SELECT unnest(range(-300, 600)) AS r) rs
-      WHERE layer = 'R' AND floor((c + 0.5) / 1.5::double) = x AND floor((r + 0.5) / 0.75::double) = y)
-    SELECT city, x, y, max(value) AS value FROM (SELECT city, x, y, value FROM hazard WHERE layer = 'A' UNION ALL SELECT * FROM r) GROUP BY ALL""",
+    """WITH cs AS (SELECT c, cast(floor((c + 0.5) / 1.5::double) as int) AS x FROM (SELECT unnest(range(-300, 900)) AS c)),
+    rs AS (SELECT r, cast(floor((r + 0.5) / 0.75::double) as int) AS y FROM (SELECT unnest(range(-300, 900)) AS r)),
+    moved AS (SELECT city, c::int AS x, r::int AS y, value FROM hazard JOIN cs USING (x) JOIN rs USING (y) WHERE layer = 'R')
+    SELECT city, x, y, max(value) AS value FROM (SELECT city, x, y, value FROM hazard WHERE layer = 'A' UNION ALL SELECT * FROM moved) GROUP BY ALL""",
 )
 def hazards_combined(t):
     """Two hazards on different grids, on the grid of the first."""
