@@ -13,6 +13,9 @@ WORD_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256)
 )
 
+#: Rows of a batch that are worked on together.
+ROWS = 1000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -42,12 +45,23 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[d
     arrow = to_arrow(df.sparkSession, schema)
 
     def run(batches):
-        for columns in fn(batches):
-            yield pa.RecordBatch.from_arrays([as_array(columns[n], arrow.field(n).type) for n in names], schema=arrow)
+        try:
+            for columns in fn(portions(batches)):
+                yield pa.RecordBatch.from_arrays([as_array(columns[n], arrow.field(n).type) for n in names], schema=arrow)
+        finally:
+            # workers live on; what the task held goes back to the system
+            pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 
 
+def portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of at most ``ROWS`` rows, so that what is made of one stays small."""
+    for batch in batches:
+        for a in range(0, batch.num_rows, ROWS):
+            yield batch.slice(a, ROWS)
+
+
 def as_array(values, kind: pa.DataType) -> pa.Array:
     return values.cast(kind) if isinstance(values, pa.Array) else pa.array(values, kind)
 
