@@ -33,3 +33,11 @@ def grouped(number: Column) -> Column:
 def plural(count: Column, word: str) -> Column:
     """The word, with an s unless the count is exactly one."""
     return F.when(count == 1, F.lit(word)).otherwise(F.lit(word + "s"))
+
+
+# The sentences of the results.
+COMMON_BIN = "The most common {what} range in the city is %s {unit}, with a %.2f%% frequency."
+LAND_COVER_RANK = "The %shighest landcover value is %s with %.2f%% of the total land area"
+SEASONAL = "Seasonality is high, making solar energy available in only some of the months"
+EVEN = "Seasonality is low to moderate, making solar energy available throughout the year"
+GROWTH = "The city's built-up area grew from %.2f sq. km in %d to %.2f in %d for %.2f%% growth"

@@ -12,6 +12,7 @@ AGE_BANDS = (
     "0-4", "5-9", "10-14", "15-19", "20-24", "25-29", "30-34", "35-39", "40-44", "45-49", "50-54", "55-59", "60-64",
     "65-69", "70-74", "75-79", "80+",
 )
+from citygrain.functions import text as sentences
 
 
 def band_order(band: Column) -> Column:
@@ -81,10 +82,7 @@ def growth_sentence(df: DataFrame, year: str = "year", value: str = "value", by:
         F.min_by(value, year).alias("_a0"), F.max_by(value, year).alias("_a1"),
     )
     pct = F.try_divide((F.col("_a1") - F.col("_a0")) * 100, F.col("_a0"))
-    text = F.format_string(
-        "The city's built-up area grew from %.2f sq. km in %d to %.2f in %d for %.2f%% growth",
-        "_a0", "_y0", "_a1", "_y1", pct,
-    )
+    text = F.format_string(sentences.GROWTH, "_a0", "_y0", "_a1", "_y1", pct)
     return ends.select(*by, text.alias("sentence"))
 
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from citygrain.functions import text as sentences
 from citygrain.scale import fill_along, join_on
 
 # Ordinals, and the thresholds of the solar text.
@@ -28,9 +29,7 @@ def bin_shares(df: DataFrame, by: Sequence[str] = ("city",)) -> DataFrame:
 def common_bin_sentence(shares: DataFrame, what: str, unit: str, by: Sequence[str] = ("city",)) -> DataFrame:
     """The most common bin as a sentence; ties go to the lower bin."""
     best = F.max_by(F.struct("bin", "percent"), F.struct("percent", -F.col("low")))
-    text = F.format_string(
-        f"The most common {what} range in the city is %s {unit}, with a %.2f%% frequency.", "_b.bin", "_b.percent"
-    )
+    text = F.format_string(sentences.COMMON_BIN.format(what=what, unit=unit), "_b.bin", "_b.percent")
     return shares.groupBy(*by).agg(best.alias("_b")).select(*by, text.alias("sentence"))
 
 
@@ -45,9 +44,7 @@ def top_classes(df: DataFrame, n: int = 3, label: str = "class", count: str = "p
     for k, word in ORDINALS.items():
         ordinal = F.when(F.col("rank") == k, F.lit(word)).otherwise(ordinal)
     lead = F.when(F.col("rank") == 1, F.lit("")).otherwise(F.concat(ordinal, F.lit(" ")))
-    text = F.format_string(
-        "The %shighest landcover value is %s with %.2f%% of the total land area", lead, F.col(label), F.col("percent")
-    )
+    text = F.format_string(sentences.LAND_COVER_RANK, lead, F.col(label), F.col("percent"))
     return ranked.select(*by, "rank", label, "percent", text.alias("sentence"))
 
 
@@ -78,10 +75,7 @@ def seasonality(df: DataFrame, by: Sequence[str] = ("city",)) -> DataFrame:
     """Best over worst month of solar yield, the text, and the condition of the best month."""
     ratio = F.try_divide(F.max("max"), F.min("max"))
     out = df.groupBy(*by).agg(ratio.alias("ratio"), F.max("max").alias("best"))
-    text = F.when(
-        F.col("ratio") > SEASONALITY_LIMIT,
-        "Seasonality is high, making solar energy available in only some of the months",
-    ).otherwise("Seasonality is low to moderate, making solar energy available throughout the year")
+    text = F.when(F.col("ratio") > SEASONALITY_LIMIT, sentences.SEASONAL).otherwise(sentences.EVEN)
     level = F.when(F.col("best") >= EXCELLENT, "excellent").when(F.col("best") >= FAVOURABLE, "favourable").otherwise("low")
     return out.withColumns({"text": text, "condition": level})
 
