@@ -285,9 +285,9 @@ def long_edges_split(t):
       ORDER BY a * b DESC, h LIMIT 10),
     f(h, n) AS (SELECT h, h FROM hub UNION SELECT h, v FROM f JOIN e ON e.u = f.n),
     b(h, n) AS (SELECT h, h FROM hub UNION SELECT h, e.u FROM b JOIN e ON e.v = b.n),
-    c AS (SELECT h, n FROM f JOIN b USING (h, n)),
-    i AS (SELECT c.h, u, v FROM e JOIN c ON c.n = u JOIN c AS d ON d.n = v AND d.h = c.h)
-    SELECT u, v FROM i WHERE h = (SELECT h FROM i GROUP BY h ORDER BY count(*) DESC, h LIMIT 1)""",
+    c AS MATERIALIZED (SELECT h, n FROM f JOIN b USING (h, n)),
+    m AS MATERIALIZED (SELECT n FROM c WHERE h = (SELECT h FROM c GROUP BY h ORDER BY count(*) DESC, h LIMIT 1))
+    SELECT u, v FROM e WHERE u IN (SELECT n FROM m) AND v IN (SELECT n FROM m)""",
 )
 def largest_strong_component(t):
     """Edges of the largest strongly connected component of a network of order and part links."""
