@@ -317,22 +317,69 @@ def _compared(contexts: DataFrame, long: int) -> DataFrame:
     return map_arrow(ordered.select("h", "key", "place", "open", "context"), run, "key long, start long, end long")
 
 
-def _dealt(contexts: DataFrame, long: int) -> DataFrame:
-    """The same for suffixes with very many contexts: their strings are counted by digest over all tasks."""
+def _dealt(contexts: DataFrame, long: int, group: int) -> DataFrame:
+    """The same for suffixes with very many contexts: their strings are dealt out by digest, about ``group`` contexts' to a part.
 
-    def run(batches) -> Iterator[dict]:
+    A context goes to a part as one row with all its strings there, so rows grow with contexts and parts and not with strings.
+    """
+
+    def deal(batches) -> Iterator[dict]:
         for batch in batches:
-            for h, key, p, is_open, context in zip(*(batch.column(c).to_pylist() for c in ("h", "key", "place", "open", "context"))):
+            out: dict[str, list] = {c: [] for c in ("h", "part", "key", "place", "open", "at", "w")}
+            for h, key, p, is_open, m, context in zip(*(batch.column(c).to_pylist() for c in ("h", "key", "place", "open", "m", "context"))):
                 found = strings(context, p >> 8 & 255, p & 255, long)
-                n = len(found)
-                yield {"h": [h] * n, "w": found, "key": [key] * n, "start": np.arange(n) + (p >> 16), "open": [is_open] * n}
+                part = (found.view(np.uint64) >> np.uint64(33)).astype(np.int64) % -(-m // group)
+                for k in np.unique(part).tolist():
+                    at = np.flatnonzero(part == k)
+                    for c, v in zip(out, (h, k, key, p, is_open, at.tolist(), found[at].tolist())):
+                        out[c].append(v)
+            yield out
+
+    schema = "h long, part long, key long, place long, open boolean, at array<int>, w array<long>"
+    parts = map_arrow(contexts.select("h", "key", "place", "open", "m", "context"), deal, schema)
+
+    def group_of(rows: list[tuple]) -> dict:
+        family, ends = SortedStrings(), [0]
+        for a in range(0, len(rows), 64):
+            family.add(np.concatenate([np.array(w, np.int64) for *_, w in rows[a : a + 64]]))
+        ends += np.cumsum([len(w) for *_, w in rows]).tolist()
+        out: dict[str, list] = {"key": [], "place": [], "at": []}
+        for (key, p, is_open, at, _), a, b in zip(rows, ends, ends[1:]):
+            seen = np.array(at)[family.seen[a:b]].tolist() if is_open else []
+            if seen:
+                for c, v in zip(out, (key, p, seen)):
+                    out[c].append(v)
+        return out
+
+    def compare(batches) -> Iterator[dict]:
+        held, current = [], None
+        for batch in batches:
+            for h, part, *row in zip(*(batch.column(c).to_pylist() for c in ("h", "part", "key", "place", "open", "at", "w"))):
+                if held and (h, part) != current:
+                    yield group_of(held)
+                    held = []
+                current = h, part
+                held.append(tuple(row))
+        if held:
+            yield group_of(held)
+
+    ordered = parts.repartition("h", "part").sortWithinPartitions("h", "part", "key", "place")
+    seen = map_arrow(ordered, compare, "key long, place long, at array<int>")
+    # as many numbers as an entry has strings, 256 at most
+    seen = seen.groupBy("key", "place").agg(F.flatten(F.collect_list("at")).alias("at"))
+
+    def join(batches) -> Iterator[dict]:
+        for batch in batches:
+            out: dict[str, list] = {"key": [], "start": [], "end": []}
+            for key, p, at in zip(*(batch.column(c).to_pylist() for c in ("key", "place", "at"))):
+                flags = np.zeros(256, bool)
+                flags[at] = True
+                for first, last in runs(flags):
+                    for c, v in zip(out, (key, (p >> 16) + first, (p >> 16) + last + long)):
+                        out[c].append(v)
+            yield out
 
-    each = map_arrow(
-        contexts.select("h", "key", "place", "open", "context"), run, "h long, w long, key long, start long, open boolean"
-    )
-    twice = each.groupBy(F.col("h").alias("th"), F.col("w").alias("tw")).agg(F.count("*").alias("n")).where("n > 1")
-    met = each.where("open").join(twice, (F.col("h") == F.col("th")) & (F.col("w") == F.col("tw")))
-    return met.select("key", "start", (F.col("start") + long).alias("end"))
+    return map_arrow(seen, join, "key long, start long, end long")
 
 
 def repeated_spans(docs: DataFrame, long: int = LONG, gram: int = GRAM, batch: int = BATCH, group: int = GROUP) -> DataFrame:
@@ -350,7 +397,7 @@ def repeated_spans(docs: DataFrame, long: int = LONG, gram: int = GRAM, batch: i
     contexts = _written(_contexts(docs, contexts, long), "suffix-contexts")
     start = F.shiftright("place", 16)
     whole = hits.where("not open").select("key", start.alias("start"), (start + F.col("place").bitwiseAND(F.lit(255)) + long).alias("end"))
-    parts = _compared(contexts.where(F.col("m") <= group), long).union(_dealt(contexts.where(F.col("m") > group), long))
+    parts = _compared(contexts.where(F.col("m") <= group), long).union(_dealt(contexts.where(F.col("m") > group), long, group))
     # as many spans as a text has entries
     return whole.union(parts).groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
