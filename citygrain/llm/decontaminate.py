@@ -8,7 +8,6 @@ array: the others cannot match any test suffix.
 
 from __future__ import annotations
 
-import bisect
 import math
 from collections.abc import Iterator
 
@@ -27,45 +26,114 @@ SHARD = 4 << 20
 #: Bytes of test text that are held at once.
 TEST_BLOCK = 8 << 20
 
+#: Bytes that an index takes for each byte of a block, at most.
+INDEX_BYTES = 96
+
 
 class TestSuffixes:
-    """The distinct leading windows of all test suffixes, and the items they come from."""
+    """All test suffixes in order, their distinct leading windows, and the items these come from.
+
+    The words of the items are held once, a zero after each item; suffixes are places in them.
+    """
 
     __test__ = False
 
     def __init__(self, items: list[tuple[str, bytes]], window: int = WINDOW):
         self.window = window
         self.ids: dict[bytes, int] = {}
-        owners: dict[tuple[int, ...], set[str]] = {}
-        self.suffixes: list[tuple[tuple[int, ...], str, int]] = []
-        for item, text in items:
-            row = tuple(self.ids.setdefault(w, len(self.ids) + 1) for w in words(text))
-            size = min(window, len(row))
-            for i in range(len(row) - size + 1 if row else 0):
-                owners.setdefault(row[i : i + size], set()).add(item)
-            self.suffixes += [(row[i:], item, i) for i in range(len(row))]
+        self.names = sorted({item for item, _ in items})
+        number = {item: i for i, item in enumerate(self.names)}
+        rows = [(number[item], words(text)) for item, text in sorted(items)]
+        rows = [(i, row) for i, row in rows if row]
+        lengths = np.array([len(row) for _, row in rows], np.int64)
+        self.begins = np.concatenate([[0], np.cumsum(lengths + 1)])
+        self.flat = np.zeros(self.begins[-1], np.int32)
+        for at, (_, row) in zip(self.begins, rows):
+            self.flat[at : at + len(row)] = [self.ids.setdefault(w, len(self.ids) + 1) for w in row]
         if len(self.ids) >= 1 << 24:
             raise ValueError("a block of test items has too many distinct words")
-        self.suffixes.sort()
-        self.owners = [sorted(x) for x in owners.values()]
-        self.sizes = np.array([len(x) for x in owners], np.int64)
-        rows = np.zeros((len(owners), window), np.int64)
-        for i, x in enumerate(owners):
-            rows[i, : len(x)] = x
-        self.first = packed(rows)
+        self.item = np.array([i for i, _ in rows], np.int32)
+        # words from each place to the end of its item
+        self.left = np.repeat(self.begins[1:] - 1, lengths + 1) - np.arange(len(self.flat)) if rows else np.zeros(0, np.int64)
+        self.left = self.left.astype(np.int32)
+        self.order = self._ordered()
+        # a window fits, or is the whole of a shorter item
+        at = np.flatnonzero((self.left >= window) | ((self.left > 0) & np.isin(np.arange(len(self.flat)), self.begins)))
+        keys = np.empty(len(at), f"S{3 * window}")
+        for a in range(0, len(at), 1 << 16):
+            part = at[a : a + (1 << 16)]
+            keys[a : a + len(part)] = packed(self._windows(part))
+        self.first, where, owned = np.unique(keys, return_index=True, return_inverse=True)
+        self.sizes = np.minimum(self.left[at[where]], window).astype(np.int64)
+        owners = np.repeat(self.item, lengths + 1)[at] if rows else np.zeros(0, np.int32)
+        pairs = np.unique(owned.astype(np.int64) * (len(self.names) + 1) + owners)
+        self.owner = (pairs % (len(self.names) + 1)).astype(np.int32)
+        self.owned = np.searchsorted(pairs // (len(self.names) + 1), np.arange(len(self.first) + 1))
         # the key after all keys that begin with the window
-        rows[np.arange(window) >= self.sizes[:, None]] = (1 << 24) - 1
-        self.last = packed(rows)
-        self.least = int(self.sizes.min()) if len(owners) else window
-
-    def longest(self, row: tuple[int, ...]) -> tuple[int, str, int]:
+        self.last = np.empty(len(self.first), f"S{3 * window}")
+        for a in range(0, len(self.first), 1 << 16):
+            part = self._windows(at[where[a : a + (1 << 16)]])
+            part[part == 0] = (1 << 24) - 1
+            self.last[a : a + len(part)] = packed(part)
+        self.least = int(self.sizes.min()) if len(self.sizes) else window
+
+    def _windows(self, at: np.ndarray) -> np.ndarray:
+        reach = np.arange(self.window)
+        rows = self.flat[np.minimum(at[:, None] + reach, len(self.flat) - 1)].astype(np.int64)
+        rows[reach >= self.left[at][:, None]] = 0
+        return rows
+
+    def _ordered(self) -> np.ndarray:
+        """Places of all suffixes in the order of their words, by doubling; equal ones as they lie."""
+        rank, step, n = self.flat.astype(np.int64), 1, len(self.flat)
+        longest = int(self.left.max()) if n else 0
+        while step < longest:
+            after = np.zeros(n, np.int64)
+            on = np.flatnonzero(self.left > step)
+            after[on] = rank[on + step]
+            both = rank * (max(n, int(rank.max())) + 1) + after
+            _, rank = np.unique(both, return_inverse=True)
+            # a separator comes first and no suffix of words has its rank
+            step *= 2
+        order = np.argsort(rank, kind="stable")
+        return order[self.left[order] > 0].astype(np.int32)
+
+    def nbytes(self) -> int:
+        """Bytes of all that is held; a word of the dictionary counts 100 besides its letters."""
+        arrays = sum(x.nbytes for x in vars(self).values() if isinstance(x, np.ndarray))
+        return arrays + sum(len(w) + 100 for w in self.ids) + sum(4 * len(x) + 60 for x in self.names)
+
+    def owners(self, w: int) -> list[str]:
+        """The items that have a window."""
+        return [self.names[i] for i in self.owner[self.owned[w] : self.owned[w + 1]]]
+
+    def _same(self, row: np.ndarray, at: int) -> int:
+        """How many words ``row`` and a suffix have in common."""
+        most, done, step = min(len(row), int(self.left[at])), 0, 32
+        while done < most:
+            end = min(most, done + step)
+            apart = np.flatnonzero(row[done:end] != self.flat[at + done : at + end])
+            if len(apart):
+                return done + int(apart[0])
+            done, step = end, 2 * step
+        return most
+
+    def longest(self, row) -> tuple[int, str, int]:
         """Length, item and place of the longest test passage that ``row`` begins with."""
-        at = bisect.bisect_left(self.suffixes, (row,))
+        row = np.asarray(row, np.int32)
+        low, high = 0, len(self.order)
+        while low < high:
+            middle = (low + high) // 2
+            at = int(self.order[middle])
+            same = self._same(row, at)
+            before = same < len(row) and (same == self.left[at] or self.flat[at + same] < row[same])
+            low, high = (middle + 1, high) if before else (low, middle)
         found = (0, "", 0)
-        for suffix, item, start in self.suffixes[max(0, at - 1) : at + 1]:
-            same = next((i for i, (a, b) in enumerate(zip(row, suffix)) if a != b), min(len(row), len(suffix)))
+        for at in self.order[max(0, low - 1) : low + 1]:
+            same = self._same(row, int(at))
             if same > found[0]:
-                found = (same, item, start)
+                own = int(np.searchsorted(self.begins, at, "right") - 1)
+                found = (same, self.names[self.item[own]], int(at - self.begins[own]))
         return found
 
 
@@ -117,7 +185,7 @@ def shard_matches(texts: list[bytes], test: TestSuffixes) -> tuple[list[int], np
         np.add.at(cover, at, 1)
         np.add.at(cover, at + test.sizes[w], -1)
         for d in np.unique(np.searchsorted(starts, at, "right") - 1):
-            named[d].update(test.owners[w])
+            named[d].update(test.owners(w))
     covered = np.cumsum(cover[:-1]) > 0
     # every document has its closing zero, so no stretch is empty
     hits = np.add.reduceat(covered.astype(np.int64), starts[:-1])
@@ -125,7 +193,7 @@ def shard_matches(texts: list[bytes], test: TestSuffixes) -> tuple[list[int], np
     for p in edges:
         d = int(np.searchsorted(starts, p, "right") - 1)
         end = int(gaps[np.searchsorted(gaps, p)])
-        size, item, start = test.longest(tuple(ids[p:end].tolist()))
+        size, item, start = test.longest(ids[p:end])
         longest[d].append((int(p - starts[d]), size, item, start))
     return counts.tolist(), hits, [sorted(x) for x in named], longest
 
@@ -137,8 +205,7 @@ MATCHES = "array<struct<start:long,words:long,item_id:string,item_start:long>>"
 
 def _block_matches(docs: DataFrame, items: list[tuple[str, bytes]], window: int, carried: list[str]) -> DataFrame:
     test = TestSuffixes(items, window)
-    size = sum(len(t) for _, t in items)
-    shared = checked_broadcast(docs.sparkSession, test, size, 4 * TEST_BLOCK, "test items")
+    shared = checked_broadcast(docs.sparkSession, test, test.nbytes(), INDEX_BYTES * TEST_BLOCK, "index of test items")
 
     def run(batches) -> Iterator[dict]:
         test = shared.value
@@ -179,7 +246,7 @@ def _found(docs: DataFrame, benchmark: DataFrame, window: int, block: int, carri
     tests = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("i"), F.col("text").alias("t")).where(
         F.col("t").isNotNull()
     )
-    total = tests.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+    total = tests.agg(F.sum(F.octet_length("t") + F.octet_length("i") + 1)).first()[0] or 0
     n_blocks = max(1, math.ceil(total / block))
     if n_blocks == 1:
         return _block_matches(docs, [(r.i, r.t.encode()) for r in tests.toLocalIterator()], window, carried)

@@ -55,3 +55,23 @@ def test_empty_tables(spark):
     assert d.find_contamination(docs, items).collect() == []
     one = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     assert [tuple(r)[:3] for r in d.find_contamination(one, items).collect()] == [(1, 2, 0)]
+
+
+def test_long_items_take_room_in_proportion():
+    r = random.Random(4)
+    word = lambda: r.choice("ab cd ef gh".split())
+    rows = [("a", [word() for _ in range(40)]), ("b", [word() for _ in range(9)]), ("a", [word() for _ in range(30)]), ("c", [])]
+    test = d.TestSuffixes([(i, " ".join(x).encode()) for i, x in rows], 4)
+    suffixes = sorted(([test.ids[w.encode()] for w in x[k:]], i, k) for i, x in rows for k in range(len(x)))
+    assert [test.flat[p : p + test.left[p]].tolist() for p in test.order] == [s for s, _, _ in suffixes]
+    for _ in range(200):
+        row = [r.randint(1, 4) for _ in range(r.randint(1, 12))]
+        size, item, at = test.longest(row)
+        best = max(next((k for k, (a, b) in enumerate(zip(row, s)) if a != b), min(len(row), len(s))) for s, _, _ in suffixes)
+        assert size == best and any(i == item and [test.ids[w.encode()] for w in x[at : at + size]] == row[:size] for i, x in rows)
+    small, large = (d.TestSuffixes([("x", " ".join(f"w{i}" for i in range(n)).encode())]).nbytes() for n in (5_000, 50_000))
+    assert large < 11 * small
+    long = [str(r.randrange(1000)) for _ in range(50_000)]
+    test = d.TestSuffixes([("x", " ".join(long).encode()), ("y", " ".join(["z"] * 20_000).encode())])
+    counts, hits, items, longest = d.shard_matches([" ".join(["q", *long[10_000:], "q"]).encode()], test)
+    assert (counts, hits.tolist(), items, longest) == ([40_002], [40_000], [["x"]], [[(1, 40_000, "x", 10_000)]])
