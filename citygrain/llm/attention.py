@@ -96,14 +96,15 @@ class Attention:
         return mean, g
 
     def train(self, ids: np.ndarray, targets: np.ndarray, weight: np.ndarray, steps: int, rate: float, batch: int = 64, seed: int = 0):
-        """``steps`` of Adam on random windows."""
+        """``steps`` of Adam; all windows are taken, in random order, before one is taken again."""
         if not len(ids):
             return
         r = np.random.default_rng(seed)
+        order = np.concatenate([r.permutation(len(ids)) for _ in range(-(-steps * batch // len(ids)))] or [np.zeros(0, np.int64)])
         first = {k: np.zeros_like(v) for k, v in self.weights.items()}
         second = {k: np.zeros_like(v) for k, v in self.weights.items()}
         for step in range(1, steps + 1):
-            pick = r.integers(0, len(ids), batch)
+            pick = order[(step - 1) * batch : step * batch]
             _, gradients = self.loss(ids[pick], targets[pick], weight[pick])
             for k, g in gradients.items():
                 first[k] += 0.1 * (g - first[k])

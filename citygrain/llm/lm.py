@@ -36,10 +36,14 @@ SUBWORD = 3
 #: Subword ids: the most frequent subwords, one for all others, one for the end of a text.
 SUBWORDS = 128
 
-#: Slices the attention model is trained on, about; rounds of averaging; steps in each round and slice.
-FIT_SLICES = 12
+#: Rounds of averaging; steps of a task in each, at least; windows of a step.
 ROUNDS = 4
 STEPS = 120
+BATCH = 64
+
+#: Tokens that are trained on together, about, and sums of weights that come to the driver.
+TRAINED = 1 << 20
+SUMS = 16
 
 #: Windows that go through the model together.
 TOGETHER = 512
@@ -126,9 +130,9 @@ class Inputs:
         self.targets[inside] = of_word[sequence]
         self.given = np.concatenate([[self.end], self.targets[:-1]]) if len(self.targets) else self.targets
 
-    def windows(self, keep: np.ndarray | None = None):
+    def windows(self, keep: np.ndarray | None = None, stride: int = attention.STRIDE):
         """Windows of ids, their targets, and which positions they score."""
-        start, length, scored, owner = attention.windows(self.sizes)
+        start, length, scored, owner = attention.windows(self.sizes, stride=stride)
         if keep is not None:
             pick = keep[owner]
             start, length, scored, owner = start[pick], length[pick], scored[pick], owner[pick]
@@ -139,35 +143,65 @@ class Inputs:
             yield at, self.given[at], self.targets[at], (reach >= f) & (reach < n), (reach < n), owner[a : a + TOGETHER]
 
 
-def _train(slices: DataFrame, known: np.ndarray, n_slices: int) -> Attention:
-    """Local training on about ``FIT_SLICES`` slices, whose weights are averaged after every round."""
+def _train(slices: DataFrame, known: np.ndarray, total: int) -> Attention:
+    """Local training on all slices, whose weights are averaged by windows after every round.
+
+    Windows side by side cover all ``total`` training tokens; every round takes its share of them, so each is trained on
+    once, or more often where there are few.
+    """
     spark = slices.sparkSession
-    share = min(1.0, FIT_SLICES / max(1, n_slices))
-    picked = slices.where(F.pmod(F.xxhash64("slice"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
-    picked = picked.select("slice", "train", "sizes", "sequence", "heads").repartition(FIT_SLICES, "slice")
+    picked = slices.select("train", "sizes", "sequence", "heads").coalesce(max(1, total // TRAINED))
     model = Attention(len(known) + 2)
+    names = sorted(model.weights)
     for turn in range(ROUNDS):
         shared = spark.sparkContext.broadcast((model.weights, known))
 
         def run(batches, turn=turn, shared=shared) -> Iterator[dict]:
             weights, known = shared.value
+            local = Attention(len(known) + 2, weights={k: v.copy() for k, v in weights.items()})
+            task, held, done, steps = TaskContext.get().partitionId(), [], 0, 0
+
+            def trained(least: int) -> tuple[int, int]:
+                given, targets, real = (np.concatenate(x) for x in zip(*held))
+                own = np.random.default_rng(task).permutation(len(given))[turn::ROUNDS]
+                n = max(-(-len(own) // BATCH), least) if len(own) else 0
+                local.train(given[own], targets[own], real[own].astype(np.float32), n, 0.01 * 0.5**turn, BATCH, turn)
+                return len(own), n
+
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    row = {c: batch.column(c)[i] for c in ("train", "sizes", "sequence", "heads")}
+                    heads = np.asarray(row["heads"].values).astype(np.int64)
+                    inputs = Inputs(np.asarray(row["sizes"].values), sequence_of(row["sequence"].as_py()), heads, known)
+                    keep = np.array(row["train"].as_py(), bool)
+                    held += [(given, targets, real) for _, given, targets, _, real, _ in inputs.windows(keep, attention.WINDOW)]
+                    if sum(len(x[0]) for x in held) * attention.WINDOW >= TRAINED:
+                        n, more = trained(0)
+                        held, done, steps = [], done + n, steps + more
+            if held:
+                n, _ = trained(STEPS - steps)
+                done += n
+            if done:
+                flat = np.concatenate([local.weights[k].ravel() for k in names]).astype(np.float64) * done
+                yield {"task": [task], "part": [task % SUMS], "n": [done], "weights": [flat.tobytes()]}
+
+        def added(batches) -> Iterator[dict]:
+            n, flat = 0, 0.0
             for batch in batches:
-                for row in batch.to_pylist():
-                    local = Attention(len(known) + 2, weights={k: v.copy() for k, v in weights.items()})
-                    inputs = Inputs(np.array(row["sizes"], np.int64), sequence_of(row["sequence"]), np.array(row["heads"], np.int64), known)
-                    keep = np.array(row["train"], bool)
-                    parts = [(given, targets, real) for _, given, targets, _, real, _ in inputs.windows(keep)]
-                    if parts:
-                        given, targets, real = (np.concatenate(x) for x in zip(*parts))
-                        local.train(given, targets, real.astype(np.float32), STEPS, 0.01 * 0.5**turn, seed=turn)
-                        yield {"weights": [np.concatenate([local.weights[k].ravel() for k in sorted(local.weights)]).tobytes()]}
-
-        found = [np.frombuffer(r.weights, np.float32) for r in map_arrow(picked, run, "weights binary").collect()]
+                for more, weights in zip(batch.column("n").to_pylist(), batch.column("weights").to_pylist()):
+                    n, flat = n + more, flat + np.frombuffer(weights)
+            if n:
+                yield {"n": [n], "weights": [flat.tobytes()]}
+
+        sums = map_arrow(picked, run, "task int, part int, n long, weights binary")
+        sums = map_arrow(sums.repartition(SUMS, "part").sortWithinPartitions("task").select("n", "weights"), added, "n long, weights binary")
+        # a fixed number of rows
+        found = sums.collect()
         shared.unpersist()
         if not found:
             break
-        mean, at = np.mean(found, axis=0), 0
-        for k in sorted(model.weights):
+        mean, at = sum(np.frombuffer(r.weights) for r in found) / sum(r.n for r in found), 0
+        for k in names:
             n = model.weights[k].size
             model.weights[k] = mean[at : at + n].reshape(model.weights[k].shape).astype(np.float32)
             at += n
@@ -192,10 +226,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
     by_head = counts.groupBy("head").agg(F.sum("c").alias("c"), F.count("*").alias("v"))
     by_head = cut_lineage(by_head)
     totals = by_head.agg(F.sum("c"), F.sum("v")).first()
-    texts = slices.agg(
-        F.sum(F.aggregate("train", F.lit(0).cast("long"), lambda a, x: a + x.cast("long"))), F.count("*")
-    ).first()
-    ends, n_slices = texts[0] or 0, texts[1]
+    ends = slices.agg(F.sum(F.aggregate("train", F.lit(0).cast("long"), lambda a, x: a + x.cast("long")))).first()[0] or 0
     words, kinds = totals[0] or 0, totals[1] or 0
     # a fixed number of rows
     top = sorted((r.head, r.c, r.v) for r in by_head.orderBy(F.desc("c"), "head").limit(SUBWORDS - 2).collect())
@@ -206,7 +237,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
     sizes = [(c, v) for _, c, v in top]
     sizes += [(words - sum(c for c, _ in sizes), kinds - sum(v for _, v in sizes)), (ends, 1)]
     within = np.log10([c + 0.5 * (v + 1) for c, v in sizes])
-    model = _train(slices, known, n_slices)
+    model = _train(slices, known, total)
     counted = vocabulary.select("slice", "at", "h").join(counts.select("known_h", "c"), F.col("h") == F.col("known_h"), "left")
     # as many rows as a slice has words
     counted = counted.groupBy(F.col("slice").alias("s")).agg(F.collect_list(F.struct("at", F.coalesce("c", F.lit(0)).alias("c"))).alias("counts"))

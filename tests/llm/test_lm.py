@@ -79,3 +79,33 @@ def test_the_model_beats_the_unigram_on_held_out_texts(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     scored = lm.score_texts(docs).where("held_out").agg(F.sum("score"), F.sum("base_score"), F.sum("n_tokens")).first()
     assert scored[0] > scored[1]
+
+
+def test_every_training_token_is_trained_on(spark, monkeypatch, tmp_path):
+    from pyspark import TaskContext
+
+    rows = [(i, " ".join(f"w{i}x{k % 5}" for k in range(i % 90))) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(40)
+
+    def noted(self, ids, targets, weight, steps, rate, batch=64, seed=0):
+        with (tmp_path / f"{TaskContext.get().partitionId()}-{seed}").open("a") as out:
+            out.write(f"{int(weight.sum())} {steps * batch >= len(ids)}\n")
+
+    run = lm.map_arrow
+
+    def patched(df, fn, schema):
+        def with_notes(batches):
+            own, attention.Attention.train = attention.Attention.train, noted
+            try:
+                yield from fn(batches)
+            finally:
+                # workers live on
+                attention.Attention.train = own
+
+        return run(df, with_notes, schema)
+
+    monkeypatch.setattr(lm, "map_arrow", patched)
+    found = lm.score_texts(docs).first()
+    lines = [x.split() for f in tmp_path.iterdir() for x in f.read_text().splitlines()]
+    assert sum(int(n) for n, _ in lines) == found.train_tokens
+    assert all(x == "True" for _, x in lines)
