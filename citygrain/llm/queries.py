@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citygrain.llm import bpe, chat, decontaminate, licenses, lm, passages, simhash, suffix_dedup, topk, toxicity
+from citygrain.llm import bpe, chat, decontaminate, licenses, lm, passages, repair, simhash, suffix_dedup, topk, toxicity
 from citygrain.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -183,3 +183,86 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN h ON d.doc_id = h.doc_id LEFT JOIN t ON d.doc_id = t.doc_id
 """
+
+
+@query
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every damaged conversation with its faults and the cheapest edits that bring it back into order."""
+    turns = table(spark, sf_dir, "conversations")
+    return repair.repair_report(repair.damage(turns), turns)
+
+
+# the labels of states start, system, user and assistant are costs of six digits with the audit behind them
+_PAID = "lpad(CAST(CAST(left({l}, 6) AS INTEGER) + {w} AS VARCHAR), 6, '0') || substr({l}, 7) || '{e}'"
+
+
+def _after(label: str, cost: str, edit: str) -> str:
+    return _PAID.format(l=label, w=cost, e=edit)
+
+
+SQL["op13_repair"] = f"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+remainders AS (
+  SELECT k, xor(list_reduce(list_transform(range(1, len(k) + 1), lambda i: CAST(unicode(substr(k, i, 1)) AS BIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), CAST(range(8) AS BIGINT[])),
+      lambda x, i: xor(x >> 1, (x & 1) * CAST(3988292384 AS BIGINT))), CAST(4294967295 AS BIGINT)), 4294967295) % 20 AS d
+  FROM (SELECT DISTINCT k FROM keyed)),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN d = 4 THEN 'user' ELSE role END AS role,
+    CASE d WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(CASE WHEN d = 3 THEN [0, 0] ELSE [0] END) AS c
+  FROM keyed JOIN remainders USING (k) WHERE d <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS i FROM damaged),
+seen AS (
+  SELECT *, right(rtrim(text, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '), 1) AS mark,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+    lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair FROM placed),
+faulty AS (
+  SELECT conv_id, i, turn, role, text, left(role, 1) AS k, pair,
+    CASE WHEN mark = '' THEN 1 WHEN again THEN 2 WHEN mark NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault FROM seen),
+sums AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (WHERE fault = 1) AS blank, count(*) FILTER (WHERE fault = 2) AS duplicate,
+    count(*) FILTER (WHERE fault = 3) AS truncated, count(*) FILTER (WHERE pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faulty GROUP BY conv_id),
+lattice(conv_id, i, a, b, u, v) AS (
+  SELECT conv_id, CAST(0 AS BIGINT), '000000', CAST(NULL AS VARCHAR), '000002I', '000004II' FROM sums
+  UNION ALL
+  SELECT conv_id, i, a, b, u, least(v, {_after("u", "2", "I")}) FROM (
+    SELECT conv_id, i, a, b, v, least(u, {_after("a", "2", "I")}, {_after("b", "2", "I")}, {_after("v", "2", "I")}) AS u FROM (
+      SELECT l.conv_id, r.i,
+        {_after("l.a", "3", "D")} AS a,
+        least({_after("l.b", "3", "D")}, CASE WHEN may AND k = 's' THEN {_after("l.a", "cut", "K")} END) AS b,
+        least({_after("l.u", "3", "D")},
+          CASE WHEN may THEN {_after("least(l.a, l.b, l.v)", "cut + 2", "R")} END,
+          CASE WHEN may AND k = 'u' THEN {_after("least(l.a, l.b, l.v)", "cut", "K")} END) AS u,
+        least({_after("l.v", "3", "D")},
+          CASE WHEN may THEN {_after("l.u", "cut + 2", "R")} END,
+          CASE WHEN may AND k = 'a' THEN {_after("l.u", "cut", "K")} END) AS v
+      FROM lattice l JOIN (SELECT *, fault NOT IN (1, 2) AS may, CAST(fault = 3 AS INTEGER) AS cut FROM faulty) r
+        ON r.conv_id IS NOT DISTINCT FROM l.conv_id AND r.i = l.i + 1))),
+final AS (
+  SELECT s.conv_id, least(a, v) AS label FROM lattice l JOIN sums s ON s.conv_id IS NOT DISTINCT FROM l.conv_id AND s.n = l.i),
+audits AS (SELECT conv_id, CAST(left(label, 6) AS BIGINT) AS cost, substr(label, 7) AS audit FROM final),
+letters AS (
+  SELECT conv_id, p, substr(audit, p, 1) AS e, len(replace(left(audit, p), 'I', '')) AS i
+  FROM (SELECT conv_id, audit, unnest(range(1, len(audit) + 1)) AS p FROM audits)),
+left_over AS (
+  SELECT t.conv_id, p, e, r.role, CASE WHEN e = 'I' THEN '' ELSE r.text END AS text,
+    row_number() OVER (PARTITION BY t.conv_id ORDER BY p) AS j,
+    first_value(e = 'K' AND r.k = 's') OVER (PARTITION BY t.conv_id ORDER BY p) AS system
+  FROM letters t LEFT JOIN faulty r ON r.conv_id IS NOT DISTINCT FROM t.conv_id AND r.i = t.i WHERE e <> 'D'),
+said AS (
+  SELECT conv_id, sha256(string_agg(CASE WHEN e = 'K' THEN role WHEN (j - CAST(system AS INTEGER)) % 2 = 1 THEN 'user'
+    ELSE 'assistant' END || ':' || text, chr(10) ORDER BY p)) AS digest FROM left_over GROUP BY conv_id)
+SELECT o.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost,
+  coalesce(audit, '') AS audit, coalesce(digest, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN sums s ON s.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN audits t ON t.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN said d ON d.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
