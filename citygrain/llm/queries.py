@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citygrain.llm import bpe, chat, decontaminate, licenses, lm, passages, repair, simhash, suffix_dedup, topk, toxicity
+from citygrain.llm import bpe, chat, decontaminate, licenses, lm, passages, ranked, repair, simhash, suffix_dedup, topk, toxicity
 from citygrain.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -185,6 +185,40 @@ FROM d LEFT JOIN h ON d.doc_id = h.doc_id LEFT JOIN t ON d.doc_id = t.doc_id
 """
 
 
+@query
+def op12_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every item of the benchmark."""
+    return ranked.best_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+SQL["op12_ranked"] = r"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r,
+    regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+dt AS (
+  SELECT r, translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t, count(*) AS tf
+  FROM (SELECT r, unnest(w) AS t FROM d) GROUP BY 1, 2),
+totals AS (SELECT count(*) AS n, CAST(sum(len(w)) AS BIGINT) AS l FROM d WHERE len(w) > 0),
+weights AS (
+  SELECT t, CAST(floor(1000 * ln(CAST(2 * n + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT t, count(*) AS df FROM dt GROUP BY t), totals),
+b AS (
+  SELECT item_id, row_number() OVER () AS q,
+    regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bt AS (
+  SELECT q, translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t, count(*) AS k
+  FROM (SELECT q, unnest(w) AS t FROM b) GROUP BY 1, 2),
+m AS (SELECT r, doc_id, 25 + 75 * len(w) * n // l AS m FROM d, totals WHERE len(w) > 0),
+scores AS (
+  SELECT q, m.r, any_value(doc_id) AS doc_id,
+    CAST(sum(k * weights.w * (1000000000 * tf // (1000 * tf + 8 * m.m))) AS BIGINT) AS score
+  FROM bt JOIN dt USING (t) JOIN weights USING (t) JOIN m ON m.r = dt.r GROUP BY q, m.r),
+ranks AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranks JOIN b USING (q) WHERE rank <= 10
+"""
+
+
 @query
 def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every damaged conversation with its faults and the cheapest edits that bring it back into order."""
