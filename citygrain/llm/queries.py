@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citygrain.llm import bpe, chat, decontaminate, licenses, lm, passages, ranked, repair, simhash, suffix_dedup, topk, toxicity
+from citygrain.llm import bpe, chat, decontaminate, langid, licenses, lm, passages, ranked, repair, simhash, suffix_dedup, topk, toxicity
 from citygrain.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -185,6 +185,15 @@ FROM d LEFT JOIN h ON d.doc_id = h.doc_id LEFT JOIN t ON d.doc_id = t.doc_id
 """
 
 
+@query
+def op11_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the training fold."""
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.fit(docs, ~langid.held_out())).select(
+        "doc_id", langid.held_out().alias("held_out"), "lang_pred", "score"
+    )
+
+
 @query
 def op12_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best documents for every item of the benchmark."""
