@@ -19,6 +19,7 @@ TESTED_ELSEWHERE = {
     "op6_passages": "tests/llm/test_passages.py",
     "op8_lm": "tests/llm/test_lm.py",
     "op9_suffix_dedup": "tests/llm/test_suffix_dedup.py",
+    "op11_language": "tests/llm/test_langid.py",
     "pipeline": "tests/llm/test_pipeline.py",
 }
 
