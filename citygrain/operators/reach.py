@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citygrain.operators.nearest import nearest_node
-from citygrain.scale import cut_lineage, with_totals
+from citygrain.scale import Kept, cut_and_measure, cut_lineage, with_totals
 
 # Decay rates of the accessibility scores (halving every 15, 30, 60, 120, 300 minutes among them).
 DECAYS = (0.01, 0.005, 0.001, 0.0007701635, 0.0003850818, 0.0001925409, 0.0000962704, 0.0000385082, 0.00001)
@@ -26,38 +26,86 @@ def checked_weight(weight: str) -> Column:
     return F.when(w > 0, w).otherwise(F.raise_error(F.lit(f"edge without a positive {weight}")).cast("double"))
 
 
+#: Rows of the open part of a search: costs that may still fall.
+OPEN_ROWS = 50_000_000
+
+
 def shortest_costs(edges: DataFrame, origins: DataFrame, cutoff: float | None = None, weight: str = "length",
-                   by: Sequence[str] = (), carry: Sequence[str] = ()) -> DataFrame:
+                   by: Sequence[str] = (), carry: Sequence[str] = (), open_rows: int = OPEN_ROWS) -> DataFrame:
     """Least cost from the origins to every node within the cutoff.
 
     ``origins`` has ``node``, the ``by`` columns shared with the edges (such as the city) and
     the ``carry`` columns that keep searches apart (a category, or the origin itself).
-    One search runs per distinct combination. Each round extends only nodes whose cost
-    improved in the round before, and costs above the cutoff never enter the shuffle. Steps are cut to
-    the cheapest per node before they meet the costs known so far.
+    One search runs per distinct combination.
+
+    Costs are settled band by band. Only the band that is open takes part in the rounds: each round extends nodes whose
+    cost improved in the round before, inside the band. When nothing improves any more, its rows are final; they are
+    written once, and costs beyond the band wait, one per node, until their band opens. Settled rows are only looked up, in the place
+    where they were written. A band is as wide as ``open_rows`` allow, so a search with few rows has one band.
     """
     keys = [*by, *carry]
+    place = [*keys, "node"]
+    cutoff = None if cutoff == float("inf") else cutoff
     # of parallel edges only the cheapest matters
-    steps = cut_lineage(
-        edges.where("u <> v").groupBy(*by, "u", "v").agg(F.min(checked_weight(weight)).alias("_w"))
-    )
-    state = cut_lineage(
-        origins.select(*keys, "node").distinct().withColumns({"cost": F.lit(0.0), "_round": F.lit(0)})
+    steps, sizes = cut_and_measure(
+        edges.where("u <> v").groupBy(*by, "u", "v").agg(F.min(checked_weight(weight)).alias("_w")),
+        n=F.count(F.lit(1)), mean=F.avg("_w"),
+    )
+    waiting, starts = cut_and_measure(
+        origins.select(*place).distinct().withColumn("cost", F.lit(0.0)), n=F.count(F.lit(1)), least=F.min("cost")
     )
+    width = _band(starts["n"], sizes, cutoff, open_rows)
+    if width is None:
+        return _fixpoint(waiting, steps, by, place, cutoff, None, None)[0]
+    settled = Kept(edges.sparkSession, place, "settled_costs")
+    streets = Kept(edges.sparkSession, [*by, "u"], "search_edges")
+    streets.append(steps)
+    steps = streets.table()
+    limit = 0.0
+    while starts["n"]:
+        limit = max(limit, starts["least"]) + width
+        state, n = _fixpoint(settled.without(waiting.where(F.col("cost") < limit)), steps, by, place, cutoff, limit, settled)
+        beyond = _extended(state, steps, by, place, cutoff).where(F.col("cost") >= limit)
+        settled.append(state)
+        waiting, starts = cut_and_measure(
+            waiting.where(F.col("cost") >= limit).unionByName(beyond).groupBy(*place).agg(F.min("cost").alias("cost")),
+            n=F.count(F.lit(1)), least=F.min("cost"),
+        )
+        # bands that hold too little or too much are made wider or narrower
+        width = width * 2 if n < open_rows / 4 else max(width / 2, sizes["mean"] / 8) if n > open_rows else width
+    streets.close()
+    return settled.close()
+
+
+def _band(origins: int, steps: dict, cutoff: float | None, open_rows: int) -> float | None:
+    """A first width of the bands; None if all rows that a search can have may be open at once."""
+    reachable = origins * steps["n"]
+    if reachable <= open_rows:
+        return None
+    return max(cutoff * open_rows / reachable, steps["mean"]) if cutoff is not None else 4 * steps["mean"]
+
+
+def _extended(frontier: DataFrame, steps: DataFrame, by: Sequence[str], place: Sequence[str], cutoff: float | None) -> DataFrame:
+    out = frontier.withColumnRenamed("node", "u").join(steps, [*by, "u"])
+    out = out.select(*place[:-1], F.col("v").alias("node"), (F.col("cost") + F.col("_w")).alias("cost"))
+    return out if cutoff is None else out.where(F.col("cost") <= cutoff)
+
+
+def _fixpoint(state: DataFrame, steps: DataFrame, by: Sequence[str], place: Sequence[str], cutoff: float | None,
+              limit: float | None, settled: Kept | None) -> tuple[DataFrame, int]:
+    """Least costs below the limit, starting from ``state``, and their number."""
+    best = F.min(F.struct("cost", "_round"))
+    state, measured = cut_and_measure(state.withColumn("_round", F.lit(0)), n=F.count(F.lit(1)))
     for i in count(1):
-        frontier = state.where(F.col("_round") == i - 1).withColumnRenamed("node", "u")
-        step = frontier.join(steps, [*by, "u"]).select(
-            *keys, F.col("v").alias("node"), (F.col("cost") + F.col("_w")).alias("cost"), F.lit(i).alias("_round")
-        )
-        if cutoff is not None:
-            step = step.where(F.col("cost") <= cutoff)
-        step = step.groupBy(*keys, "node", "_round").agg(F.min("cost").alias("cost"))
-        best = F.min(F.struct("cost", "_round"))
-        state = cut_lineage(
-            state.unionByName(step).groupBy(*keys, "node").agg(best.alias("_b")).select(*keys, "node", "_b.*")
-        )
-        if state.where(F.col("_round") == i).isEmpty():
-            return state.drop("_round")
+        step = _extended(state.where(F.col("_round") == i - 1), steps, by, place, cutoff)
+        if limit is not None:
+            step = settled.without(step.where(F.col("cost") < limit))
+        state, measured = cut_and_measure(
+            state.unionByName(step.withColumn("_round", F.lit(i))).groupBy(*place).agg(best.alias("_b")).select(*place, "_b.*"),
+            n=F.count(F.lit(1)), changed=F.count(F.when(F.col("_round") == i, 1)),
+        )
+        if not measured["changed"]:
+            return state.drop("_round"), measured["n"]
 
 
 def reach(edges: DataFrame, origins: DataFrame, cutoff: float, weight: str = "length", stacking: bool = False,
@@ -136,15 +184,14 @@ def od_from_points(nodes: DataFrame, edges: DataFrame, origins: DataFrame, dests
     destination) ids; only their points are snapped and searched from. Pairs further apart than the cutoff
     get the fail value. With a walking speed the time to and from the snapped nodes is added.
     """
-    asked = pairs.select(F.col("origin").alias("id")).distinct()
-    origins = origins.select("id", x, y).join(asked, "id", "left_semi")
-    dests = dests.select("id", x, y).join(pairs.select(F.col("destination").alias("id")).distinct(), "id", "left_semi")
-    o = nearest_node(origins.select("id", x, y), nodes, x, y).select(
-        F.col("id").alias("origin"), F.col("node").alias("o"), F.col("distance").alias("_od")
-    )
-    d = nearest_node(dests.select("id", x, y), nodes, x, y).select(
-        F.col("id").alias("destination"), F.col("node").alias("d"), F.col("distance").alias("_dd")
-    )
+    ends = pairs.select(F.explode(F.array(
+        F.struct(F.lit(True).alias("_from"), F.col("origin").alias("id")), F.struct(F.lit(False).alias("_from"), F.col("destination").alias("id"))
+    )).alias("_e")).select("_e.*").distinct()
+    points = origins.select(F.lit(True).alias("_from"), "id", x, y).unionByName(dests.select(F.lit(False).alias("_from"), "id", x, y))
+    # both ends are looked for in one search
+    snapped = cut_lineage(nearest_node(points.join(ends, ["_from", "id"], "left_semi"), nodes, x, y))
+    o = snapped.where("_from").select(F.col("id").alias("origin"), F.col("node").alias("o"), F.col("distance").alias("_od"))
+    d = snapped.where("not _from").select(F.col("id").alias("destination"), F.col("node").alias("d"), F.col("distance").alias("_dd"))
     placed = cut_lineage(pairs.join(o, "origin").join(d, "destination"))
     od = od_costs(edges, placed.select(F.col("o").alias("node")), placed.select(F.col("d").alias("node")), cutoff, weight)
     wanted = placed.join(od, ["o", "d"], "left")

@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -30,6 +30,47 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def cut_and_measure(df: DataFrame, **aggregates: Column) -> tuple[DataFrame, dict]:
+    """:func:`cut_lineage`, with aggregates over the rows that are counted while the copy is written."""
+    measured = Observation()
+    out = cut_lineage(df.observe(measured, *[c.alias(n) for n, c in aggregates.items()]))
+    return out, measured.get
+
+
+class Kept:
+    """A table that only grows, dealt out by its key: later joins on the key move the other side alone.
+
+    Every append is dealt by the same hash into as many files as there are buckets, so scans know where a key lies and neither
+    shuffle nor rewrite what was appended before. The session's catalog knows the table until :meth:`close`.
+    """
+
+    def __init__(self, spark: SparkSession, key: Sequence[str], name: str = "kept"):
+        self.spark, self.key = spark, list(key)
+        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.folder = work_folder(spark, name)
+        self.name = f"{name}_{uuid.uuid4().hex}"
+        self.empty = True
+
+    def append(self, df: DataFrame) -> None:
+        dealt = df.repartition(self.buckets, *self.key)
+        writer = dealt.write.format("parquet").mode("append").bucketBy(self.buckets, *self.key)
+        writer.option("path", self.folder).saveAsTable(self.name)
+        self.empty = False
+
+    def table(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+    def without(self, df: DataFrame) -> DataFrame:
+        """The rows of ``df`` whose key is not in the table."""
+        return df if self.empty else df.join(self.table().select(*self.key), self.key, "left_anti")
+
+    def close(self) -> DataFrame:
+        """The rows as plain files, which stay; the catalog forgets the table."""
+        rows = self.spark.read.parquet(self.folder)
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        return rows
+
+
 def with_totals(df: DataFrame, by: Sequence[str] = (), **aggregates: Column) -> DataFrame:
     """Attach per-group (or overall) aggregates to every row.
 

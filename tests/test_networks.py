@@ -39,6 +39,45 @@ def test_shortest_costs(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("cutoff", [None, 14.0])
+def test_shortest_costs_in_bands(spark, cutoff):
+    rows = random_edges(40, 110, 21) + [(900 + i, 40 + i, 41 + i, 1.0) for i in range(12)] + [(990, 3, 40, 2.0)]
+    cities = ("a", "b")
+    edges = spark.createDataFrame([(c, *r) for c in cities for r in rows], "city string, edge long, u long, v long, length double")
+    starts = [("a", s) for s in range(8)] + [("b", 3), ("b", 3), ("b", 77)]
+    origins = spark.createDataFrame(starts, "city string, node long").withColumn("origin", F.col("node"))
+    found = reach.shortest_costs(edges, origins, cutoff, by=["city"], carry=["origin"], open_rows=60)
+    got = {(r.city, r.origin, r.node): r.cost for r in found.collect()}
+    want = {(c, s, n): d for c, s in starts for n, d in costs_by_hand(rows, s).items() if cutoff is None or d <= cutoff}
+    assert got == want and found.count() == len(want)
+    assert not [t for t in spark.catalog.listTables() if "settled_costs" in t.name]
+
+
+def shuffled_rows(spark, run):
+    """Rows that stages write to shuffles while ``run`` works."""
+    store = spark.sparkContext._jsc.sc().statusStore()
+    none = spark.sparkContext._jvm.java.util.ArrayList()
+    stages = lambda: store.stageList(none, False, False, spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.double, 0), none)
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    before = {(s.stageId(), s.attemptId()) for s in (stages().apply(i) for i in range(stages().size()))}
+    run()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    now = stages()
+    after = [now.apply(i) for i in range(now.size())]
+    return sum(s.shuffleWriteRecords() for s in after if (s.stageId(), s.attemptId()) not in before)
+
+
+def test_settled_costs_are_not_shuffled_again(spark):
+    # along a line every round extends one node: with bands, rows moved grow with its length, not with its square
+    def moved(n):
+        edges = edge_table(spark, [(i, i, i + 1, 1.0) for i in range(n)])
+        origins = spark.createDataFrame([(0,)], "node long")
+        return shuffled_rows(spark, lambda: reach.shortest_costs(edges, origins, n / 1, open_rows=8).count())
+
+    small, large = moved(10), moved(30)
+    assert large < 4 * small
+
+
 def test_reach_grows_with_the_cutoff(spark):
     edges = edge_table(spark, random_edges(40, 100, 2))
     origins = spark.createDataFrame([(0,), (1,)], "node long")
