@@ -8,7 +8,7 @@ pair of tiles smaller tiles are skipped in the same way by the counts of their q
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import partial
 
 import numpy as np
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from citygrain.llm.common import binary_column, map_arrow, tokens
 from citygrain.llm.components import components
-from citygrain.scale import cut_lineage
+from citygrain.scale import cut_lineage, join_on
 
 #: Words in a shingle.
 SHINGLE = 4
@@ -57,18 +57,16 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view(np.int64)[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and fp (signed 64 bit) of every row; a null text counts as empty."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, carried: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """The ``carried`` columns and fp (signed 64 bit) of every row; a null text counts as empty."""
+    carried = list(carried)
 
     def run(batches) -> Iterator[dict]:
         for batch in batches:
-            yield {
-                "doc_id": batch.column("doc_id"),
-                "fp": [fingerprint(t, shingle) for t in binary_column(batch, "text")],
-            }
+            yield {c: batch.column(c) for c in carried} | {"fp": [fingerprint(t, shingle) for t in binary_column(batch, "text")]}
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return map_arrow(docs.select("doc_id", "text"), run, f"doc_id {kind}, fp long")
+    kinds = "".join(f"{c} {docs.schema[c].dataType.simpleString()}, " for c in carried)
+    return map_arrow(docs.select("text", *carried), run, f"{kinds}fp long")
 
 
 def _spread(a: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -217,6 +215,11 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     bits, the document itself included; null only where all of them have a null id. Null and empty texts have
     fingerprint 0 and are linked like any other. Extra columns are not read; an empty table gives no row.
     """
+    return _grouped(docs, shingle, radius, tile).select("doc_id", "fp", "component_id")
+
+
+def _grouped(docs: DataFrame, shingle: int, radius: int, tile: int) -> DataFrame:
+    """The same with ``label``, one fingerprint for each component, as components may share their smallest doc_id."""
     marks = cut_lineage(fingerprints(docs, shingle))
     # equal fingerprints count as one from here on, so copies never meet in pairs
     distinct = cut_lineage(marks.groupBy("fp").agg(F.min("doc_id").alias("first")))
@@ -225,8 +228,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
         "fp", "first", F.coalesce("label", "fp").alias("label")
     )
     least = named.groupBy("label").agg(F.min("first").alias("component_id"))
-    known = named.join(least, "label").select(F.col("fp").alias("f"), "component_id")
-    return marks.join(known, marks.fp == F.col("f")).select("doc_id", "fp", "component_id")
+    known = named.join(least, "label").select(F.col("fp").alias("f"), "component_id", "label")
+    return marks.join(known, marks.fp == F.col("f")).select("doc_id", "fp", "component_id", "label")
 
 
 def fingerprint_hex(column: str = "fp"):
@@ -236,19 +239,31 @@ def fingerprint_hex(column: str = "fp"):
 def one_of_each(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """The rows of ``docs``, all their columns, with one document of each group of near-duplicates.
 
-    The document with the smallest id stays, once if its row is repeated. Rows without an id stay, as
-    none of them can be named.
+    The document with the smallest id stays, null last, once if its row is repeated. Rows of one id with different
+    fingerprints are documents of their own: each may stay or go.
     """
-    found = near_duplicates(docs, radius=radius).where(F.col("doc_id") == F.col("component_id"))
-    stay = found.groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("_n"))
+    found = cut_lineage(_grouped(docs, SHINGLE, radius, TILE).select("doc_id", "fp", "label"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "fp"))
+    stay = found.groupBy("label").agg(first.alias("s")).select("s.doc_id", "s.fp")
+    mixed = (F.min("fp") != F.max("fp")) | F.col("doc_id").isNull()
+    ids = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n"), mixed.alias("_mixed"))
+    stay = join_on(stay, ids, ["doc_id"])
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    whole = docs.select("doc_id", F.struct(*columns).alias("_row"), F.xxhash64(*[c.cast("string") for c in columns]).alias("_place"))
-    kept = whole.join(stay, F.col("doc_id") == F.col("_id"), "left").where("_id is not null or doc_id is null")
+    digest = F.xxhash64(*[c.cast("string") for c in columns]).alias("_place")
+    whole = docs.select("doc_id", "text", F.struct(*columns).alias("_row"), digest)
+    # as a rule all rows of an id have one fingerprint, and the id alone tells them
+    kept = whole.join(stay.where("not _mixed").select(F.col("doc_id").alias("_id"), "_n"), F.col("doc_id") == F.col("_id"))
+    rows = kept.where("_n = 1").select("_row")
     # of repeated rows the one with the smallest digest stays; they are told apart without gathering texts
-    repeated = kept.where("_n > 1").groupBy("doc_id").agg(F.min("_place").alias("_least"))
-    repeated = cut_lineage(repeated.withColumnRenamed("doc_id", "_again"))
-    rows = kept.where("_n is null or _n = 1").select("_row")
+    repeated = cut_lineage(kept.where("_n > 1").groupBy(F.col("_id").alias("_again")).agg(F.min("_place").alias("_least")))
     if not repeated.isEmpty():
-        again = kept.join(repeated, (F.col("doc_id") == F.col("_again")) & (F.col("_place") == F.col("_least")))
+        again = kept.join(repeated, (F.col("_id") == F.col("_again")) & (F.col("_place") == F.col("_least")))
         rows = rows.union(again.dropDuplicates(["_again"]).select("_row"))
+    named = cut_lineage(stay.where("_mixed").select("doc_id", "fp"))
+    if not named.isEmpty():
+        some = join_on(whole, named.select("doc_id").distinct(), ["doc_id"], "left_semi")
+        some = join_on(fingerprints(some, SHINGLE, ["doc_id", "_row", "_place"]), named, ["doc_id", "fp"])
+        least = some.groupBy("doc_id", "fp").agg(F.min("_place").alias("_least"))
+        some = join_on(some, least, ["doc_id", "fp"]).where("_place = _least")
+        rows = rows.union(some.dropDuplicates(["doc_id", "fp"]).select("_row"))
     return rows.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])

@@ -5,7 +5,9 @@ Every string of ``LONG`` bytes is represented by one of the suffixes that start
 not be in any array. A string is thus known by the fingerprint of its suffix and by where that starts in it;
 neighbouring strings with the same suffix form one entry, whose context is all their bytes.
 
-Each task keeps a family of suffix arrays of these entries: a new batch of texts gets a sorted array, arrays
+Strings are made of bytes, or of words for passages that are measured in words; a word is then known by its digest.
+
+Each task keeps a family of suffix arrays of these entries: a new batch gets a sorted array, arrays
 of equal size are merged, and the merge scan counts entries that are equal over their whole context. What the
 tasks have is merged once more by suffix. Entries with an equal context elsewhere are repeated throughout. Entries
 whose suffix recurs in other contexts are compared string by string, again by merge scans of sorted arrays.
@@ -18,10 +20,10 @@ from collections.abc import Iterator
 import numpy as np
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from citygrain.llm.common import binary_column, map_arrow
+from citygrain.llm.common import WORD_BYTES, binary_column, map_arrow
 from citygrain.scale import work_folder
 
 #: Bytes of a string that may stand only once.
@@ -33,6 +35,12 @@ GRAM = 160
 #: Bytes of text that get a suffix array together; longer texts are cut, with an overlap.
 BATCH = 1 << 19
 
+#: The same measures for strings of words: every passage of over 50 words holds one of these.
+LONG_WORDS, GRAM_WORDS, BATCH_WORDS = 50, 20, 1 << 17
+
+#: Rows of entries that are put in order together.
+ROWS = 1 << 16
+
 #: Contexts of one suffix that are compared in one task; strings of more are dealt out by digest.
 GROUP = 256
 
@@ -40,31 +48,75 @@ _CODES = np.random.default_rng(20).integers(0, 1 << 63, 256, dtype=np.uint64) *
 _FACTOR = 0x9E3779B97F4A7C15
 
 
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = x ^ (x >> np.uint64(29))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(32))
+
+
+def word_places(text: bytes) -> tuple[np.ndarray, np.ndarray, bytes]:
+    """First byte and end of every word, and the text in small letters with a space for all else."""
+    plain = text.translate(WORD_BYTES)
+    edges = np.flatnonzero(np.diff(np.frombuffer(b" " + plain + b" ", np.uint8) != 32))
+    return edges[::2], edges[1::2], plain
+
+
+class Words:
+    """Words as numbers: a fingerprint of up to 64 letters in one go, of longer words one by one."""
+
+    most, chunk = 64, 1 << 19
+
+    def __init__(self):
+        self.up = _powers(_FACTOR, self.chunk + self.most)
+        self.down = _powers(pow(_FACTOR, -1, 1 << 64), self.chunk + self.most)
+
+    def encode(self, text: bytes) -> np.ndarray:
+        starts, ends, plain = word_places(text)
+        data = np.frombuffer(plain, np.uint8)
+        out = np.zeros(len(starts), np.uint64)
+        for low in range(0, len(data), self.chunk):
+            a, b = np.searchsorted(starts, (low, low + self.chunk))
+            if a == b:
+                continue
+            part = data[low : low + self.chunk + self.most]
+            sums = np.zeros(len(part) + 1, np.uint64)
+            np.cumsum(_CODES[part] * self.up[: len(part)], out=sums[1:])
+            first = starts[a:b] - low
+            out[a:b] = (sums[np.minimum(ends[a:b] - low, len(part))] - sums[first]) * self.down[first]
+        for i in np.flatnonzero(ends - starts > self.most).tolist():
+            out[i] = xxhash.xxh3_64_intdigest(plain[starts[i] : ends[i]])
+        return _mixed(out)
+
+
 class Scanner:
-    """Entries of texts: suffix fingerprint, context digest, and place."""
+    """Entries of texts: suffix fingerprint, context digest, and place. Texts are sequences of bytes or of words."""
 
-    def __init__(self, long: int = LONG, gram: int = GRAM, batch: int = BATCH):
+    def __init__(self, long: int = LONG, gram: int = GRAM, batch: int = BATCH, words: bool = False):
         if not 0 < long - gram < 256:
-            raise ValueError("a suffix must start in the first 256 bytes of a string")
+            raise ValueError("a suffix must start in the first 256 symbols of a string")
         self.long, self.gram, self.batch = long, gram, batch
         self.bits = (batch + long).bit_length()
-        self.up = self._powers(_FACTOR, batch + long)
-        self.down = self._powers(pow(_FACTOR, -1, 1 << 64), batch + long)
+        self.up = _powers(_FACTOR, batch + long)
+        self.down = _powers(pow(_FACTOR, -1, 1 << 64), batch + long)
+        self.words = Words() if words else None
+        self.width = 8 if words else 1
 
-    @staticmethod
-    def _powers(base: int, n: int) -> np.ndarray:
-        out = np.full(n, base, np.uint64)
-        out[0] = 1
-        return np.multiply.accumulate(out)
+    def encode(self, text: bytes) -> np.ndarray:
+        """The symbols of a text."""
+        return self.words.encode(text) if self.words else np.frombuffer(text, np.uint8)
 
     def fingerprints(self, data: np.ndarray) -> np.ndarray:
-        """Of the ``gram`` bytes from every position on."""
+        """Of the ``gram`` symbols from every position on."""
+        codes = data | np.uint64(1) if self.words else _CODES[data]
         sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_CODES[data] * self.up[: len(data)], out=sums[1:])
-        out = (sums[self.gram :] - sums[: -self.gram]) * self.down[: len(data) - self.gram + 1]
-        out ^= out >> np.uint64(29)
-        out *= np.uint64(0xBF58476D1CE4E5B9)
-        return out ^ (out >> np.uint64(32))
+        np.cumsum(codes * self.up[: len(data)], out=sums[1:])
+        return _mixed((sums[self.gram :] - sums[: -self.gram]) * self.down[: len(data) - self.gram + 1])
 
     def picked(self, marks: np.ndarray) -> np.ndarray:
         """The suffix of the string at every position: least mark, then leftmost."""
@@ -77,10 +129,10 @@ class Scanner:
         least = np.minimum(behind[: len(keys) - width + 1], ahead[width - 1 : len(keys)])
         return (least & low).astype(np.int64)
 
-    def pieces(self, texts: list[bytes]) -> Iterator[list[tuple[int, int, bytes]]]:
-        """Lists of (text number, offset, bytes), ``batch`` bytes together at most."""
+    def pieces(self, texts: list[bytes]) -> Iterator[list[tuple[int, int, np.ndarray]]]:
+        """Lists of (text number, offset, symbols), ``batch`` symbols together at most."""
         held, size = [], 0
-        for i, text in enumerate(texts):
+        for i, text in enumerate(map(self.encode, texts)):
             if len(text) < self.long:
                 continue
             for at in range(0, len(text) - self.long + 1, self.batch):
@@ -96,8 +148,8 @@ class Scanner:
     def entries(self, texts: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
         """Arrays text, suffix, context, place for each piece list; see :func:`place`."""
         for held in self.pieces(texts):
-            data = b"".join(p for _, _, p in held)
-            flat = np.frombuffer(data, np.uint8)
+            flat = np.concatenate([p for _, _, p in held])
+            data, width = flat.tobytes(), self.width
             starts = np.concatenate([[0], np.cumsum([len(p) for _, _, p in held])])
             marks = self.fingerprints(flat)
             suffix = self.picked(marks)
@@ -111,7 +163,7 @@ class Scanner:
             offset = own - first
             digest = xxhash.xxh3_64_intdigest
             context = np.fromiter(
-                (digest(data[a : b + self.long], o) for a, b, o in zip(first.tolist(), last.tolist(), offset.tolist())),
+                (digest(data[a:b], o) for a, b, o in zip((first * width).tolist(), ((last + self.long) * width).tolist(), offset.tolist())),
                 np.uint64,
                 len(first),
             )
@@ -190,11 +242,11 @@ class SortedStrings:
         self.seen[numbers[:-1][same]] = True
 
 
-def strings(context: bytes, offset: int, more: int, long: int) -> np.ndarray:
+def strings(context: bytes, offset: int, more: int, long: int, width: int) -> np.ndarray:
     """Digests of all strings of an entry, with the place of the suffix in them."""
     digest = xxhash.xxh3_64_intdigest
     return np.fromiter(
-        (digest(context[i : i + long], offset - i) for i in range(more + 1)), np.uint64, more + 1
+        (digest(context[i * width : (i + long) * width], offset - i) for i in range(more + 1)), np.uint64, more + 1
     ).view(np.int64)
 
 
@@ -204,40 +256,49 @@ def runs(flags: np.ndarray) -> list[tuple[int, int]]:
     return [(a, b - 1) for a, b in edges.reshape(-1, 2).tolist()]
 
 
-def _counted(docs: DataFrame, scan: tuple) -> DataFrame:
+def _entries(docs: DataFrame, scan: tuple) -> DataFrame:
+    """h, c, key, place of all entries; every text is scanned once."""
+
+    def run(batches) -> Iterator[dict]:
+        scanner = Scanner(*scan)
+        for batch in batches:
+            keys = batch.column("key").to_numpy()
+            for text, h, c, at in scanner.entries(binary_column(batch, "text")):
+                yield {"h": h, "c": c, "key": keys[text], "place": at}
+
+    return map_arrow(docs.select("key", "text"), run, "h long, c long, key long, place long")
+
+
+def _counted(entries: DataFrame) -> DataFrame:
     """h, c, n, key, place of all entries, equal ones of a task counted together."""
 
     def run(batches) -> Iterator[dict]:
-        scanner, levels = Scanner(*scan), Levels()
+        levels, held = Levels(), []
+
+        def add():
+            rows = np.empty(sum(len(x["key"]) for x in held), Levels.KIND)
+            rows["n"] = 1
+            for name in ("h", "c", "key", "place"):
+                rows[name] = np.concatenate([x[name] for x in held])
+            levels.add(rows)
+            held.clear()
 
         def sent() -> dict:
             rows = levels.all()
             return {c: np.ascontiguousarray(rows[c]) for c in Levels.KIND.names}
 
         for batch in batches:
-            keys = batch.column("key").to_numpy()
-            for text, h, c, at in scanner.entries(binary_column(batch, "text")):
-                rows = np.empty(len(h), Levels.KIND)
-                for name, values in zip(Levels.KIND.names, (h, c, 1, keys[text], at)):
-                    rows[name] = values
-                levels.add(rows)
+            held.append({c: batch.column(c).to_numpy() for c in ("h", "c", "key", "place")})
+            if sum(len(x["key"]) for x in held) >= ROWS:
+                add()
             if sum(map(len, levels.levels)) > 1 << 20:
                 yield sent()
                 levels = Levels()
+        if held:
+            add()
         yield sent()
 
-    return map_arrow(docs.select("key", "text"), run, "h long, c long, n long, key long, place long")
-
-
-def _entries(docs: DataFrame, scan: tuple) -> DataFrame:
-    def run(batches) -> Iterator[dict]:
-        scanner = Scanner(*scan)
-        for batch in batches:
-            keys = batch.column("key").to_numpy()
-            for text, h, c, at in scanner.entries(binary_column(batch, "text")):
-                yield {"eh": h, "ec": c, "key": keys[text], "place": at}
-
-    return map_arrow(docs.select("key", "text"), run, "eh long, ec long, key long, place long")
+    return map_arrow(entries, run, "h long, c long, n long, key long, place long")
 
 
 def _packed(docs: DataFrame, carried: list[str]) -> DataFrame:
@@ -260,20 +321,21 @@ def _written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(folder)
 
 
-def _contexts(docs: DataFrame, open_entries: DataFrame, long: int) -> DataFrame:
-    """h, key, place, m, open and the context bytes of entries that must be compared string by string."""
+def _contexts(docs: DataFrame, open_entries: DataFrame, scan: tuple) -> DataFrame:
+    """h, key, place, m, open and the context of entries that must be compared string by string."""
     wanted = open_entries.groupBy("key").agg(F.collect_list(F.struct("h", "place", "m", "open")).alias("entries"))
     joined = _packed(docs, ["key"]).dropDuplicates(["key"]).join(wanted, "key")
 
     def run(batches) -> Iterator[dict]:
-        unpack = zstandard.ZstdDecompressor()
+        unpack, scanner = zstandard.ZstdDecompressor(), Scanner(*scan)
+        long, width = scanner.long, scanner.width
         for batch in batches:
             for key, packed, entries in zip(*(batch.column(c).to_pylist() for c in ("key", "packed", "entries"))):
-                text = unpack.decompress(packed)
+                text = scanner.encode(unpack.decompress(packed))
                 found = []
                 for e in entries:
                     start = e["place"] >> 16
-                    found.append(text[start : start + (e["place"] & 255) + long])
+                    found.append(text[start : start + (e["place"] & 255) + long].tobytes())
                 yield {k: [e[k] for e in entries] for k in ("h", "place", "m", "open")} | {
                     "key": [key] * len(entries),
                     "context": found,
@@ -283,13 +345,13 @@ def _contexts(docs: DataFrame, open_entries: DataFrame, long: int) -> DataFrame:
     return map_arrow(joined.select("key", "packed", "entries"), run, schema)
 
 
-def _compared(contexts: DataFrame, long: int) -> DataFrame:
+def _compared(contexts: DataFrame, long: int, width: int) -> DataFrame:
     """key, start, end of repeated runs in open entries; all contexts of a suffix meet in one task."""
 
     def group(rows: list[tuple]) -> dict:
         family, at = SortedStrings(), [0]
         for a in range(0, len(rows), 64):
-            found = [strings(c, p >> 8 & 255, p & 255, long) for _, p, _, c in rows[a : a + 64]]
+            found = [strings(c, p >> 8 & 255, p & 255, long, width) for _, p, _, c in rows[a : a + 64]]
             family.add(np.concatenate(found))
             at += [at[-1] + n for n in np.cumsum([len(f) for f in found]).tolist()]
         out: dict[str, list] = {"key": [], "start": [], "end": []}
@@ -317,7 +379,7 @@ def _compared(contexts: DataFrame, long: int) -> DataFrame:
     return map_arrow(ordered.select("h", "key", "place", "open", "context"), run, "key long, start long, end long")
 
 
-def _dealt(contexts: DataFrame, long: int, group: int) -> DataFrame:
+def _dealt(contexts: DataFrame, long: int, width: int, group: int) -> DataFrame:
     """The same for suffixes with very many contexts: their strings are dealt out by digest, about ``group`` contexts' to a part.
 
     A context goes to a part as one row with all its strings there, so rows grow with contexts and parts and not with strings.
@@ -327,7 +389,7 @@ def _dealt(contexts: DataFrame, long: int, group: int) -> DataFrame:
         for batch in batches:
             out: dict[str, list] = {c: [] for c in ("h", "part", "key", "place", "open", "at", "w")}
             for h, key, p, is_open, m, context in zip(*(batch.column(c).to_pylist() for c in ("h", "key", "place", "open", "m", "context"))):
-                found = strings(context, p >> 8 & 255, p & 255, long)
+                found = strings(context, p >> 8 & 255, p & 255, long, width)
                 part = (found.view(np.uint64) >> np.uint64(33)).astype(np.int64) % -(-m // group)
                 for k in np.unique(part).tolist():
                     at = np.flatnonzero(part == k)
@@ -382,22 +444,28 @@ def _dealt(contexts: DataFrame, long: int, group: int) -> DataFrame:
     return map_arrow(seen, join, "key long, start long, end long")
 
 
-def repeated_spans(docs: DataFrame, long: int = LONG, gram: int = GRAM, batch: int = BATCH, group: int = GROUP) -> DataFrame:
-    """key, spans: the byte ranges of ``docs`` (key, text) that lie in strings which start anywhere else too."""
-    scan = (long, gram, batch)
+def repeated_spans(
+    docs: DataFrame, long: int = LONG, gram: int = GRAM, batch: int = BATCH, group: int = GROUP, words: bool = False
+) -> DataFrame:
+    """key, spans: the ranges of symbols of ``docs`` (key, text) that lie in strings which start anywhere else too."""
+    scan = (long, gram, batch, words)
+    width = 8 if words else 1
+    entries = _written(_entries(docs, scan), "suffix-entries")
     # all counts of a suffix are in one partition from here on, so no further shuffle is needed
-    counted = _counted(docs, scan).repartition("h").groupBy("h", "c")
+    counted = _counted(entries).repartition("h").groupBy("h", "c")
     counted = counted.agg(F.sum("n").alias("n"), F.min(F.struct("key", "place")).alias("first"))
-    sizes = counted.groupBy(F.col("h").alias("sh")).agg(F.count("*").alias("m"), F.sum("n").alias("all")).where("all > 1")
-    known = counted.join(sizes, F.col("h") == F.col("sh")).select("h", "c", "n", "first", "m")
-    met = _entries(docs, scan).join(known, (F.col("eh") == F.col("h")) & (F.col("ec") == F.col("c")))
+    suffix = Window.partitionBy("h")
+    known = counted.withColumns({"m": F.count("*").over(suffix), "all": F.sum("n").over(suffix)}).where("`all` > 1")
+    known = known.select(F.col("h").alias("kh"), F.col("c").alias("kc"), "n", "first", "m")
+    met = entries.join(known, (F.col("h") == F.col("kh")) & (F.col("c") == F.col("kc")))
     is_first = (F.col("key") == F.col("first.key")) & (F.col("place") == F.col("first.place"))
     hits = _written(met.select("h", "key", "place", "m", (F.col("n") == 1).alias("open"), is_first.alias("is_first")), "suffix-hits")
     contexts = hits.where("m > 1 and (open or is_first)").dropDuplicates(["key", "place"])
-    contexts = _written(_contexts(docs, contexts, long), "suffix-contexts")
+    contexts = _written(_contexts(docs, contexts, scan), "suffix-contexts")
     start = F.shiftright("place", 16)
     whole = hits.where("not open").select("key", start.alias("start"), (start + F.col("place").bitwiseAND(F.lit(255)) + long).alias("end"))
-    parts = _compared(contexts.where(F.col("m") <= group), long).union(_dealt(contexts.where(F.col("m") > group), long, group))
+    few, many = contexts.where(F.col("m") <= group), contexts.where(F.col("m") > group)
+    parts = _compared(few, long, width).union(_dealt(many, long, width, group))
     # as many spans as a text has entries
     return whole.union(parts).groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
@@ -421,6 +489,7 @@ def remove_repeats(
     group: int = GROUP,
     carried: list[str] | None = None,
     characters: bool = False,
+    words: bool = False,
 ) -> DataFrame:
     """doc_id (or the ``carried`` columns), n_bytes, spans (start, end) and ``kept``, the bytes left of every text.
 
@@ -429,12 +498,15 @@ def remove_repeats(
     the input, so all their occurrences go. Null and empty texts have no bytes; texts shorter than ``long`` keep
     all; a null id is an id like any other; extra columns are not read. ``kept`` may begin or end inside a
     character; with ``characters`` the rest of a cut character goes too.
+
+    With ``words``, ``long`` and ``gram`` count words of letters, digits and non-ASCII characters, A-Z taken as small, and
+    a string is a row of words whatever stands between them; ranges are still of bytes, from the first word to the last.
     """
     carried = carried or ["doc_id"]
-    gram = gram or max(long - 255, min(GRAM, long // 2))
+    gram = gram or max(long - 255, min(GRAM_WORDS if words else GRAM, long // 2))
     # identical rows share a key; each still counts, as a string in both stands twice
     keyed = docs.withColumn("key", F.xxhash64("doc_id", "text"))
-    spans = repeated_spans(keyed, long, gram, batch, group).withColumnRenamed("key", "k")
+    spans = repeated_spans(keyed, long, gram, batch, group, words).withColumnRenamed("key", "k")
     joined = _packed(keyed, [*carried, "key"]).join(spans, F.col("key") == F.col("k"), "left")
 
     def run(batches) -> Iterator[dict]:
@@ -444,6 +516,9 @@ def remove_repeats(
             for packed, spans in zip(batch.column("packed").to_pylist(), batch.column("spans").to_pylist()):
                 text = unpack.decompress(packed)
                 gone = merged(spans or [])
+                if words and gone:
+                    starts, ends, _ = word_places(text)
+                    gone = [(int(starts[a]), int(ends[b - 1])) for a, b in gone]
                 edges = [0, *(x for span in gone for x in span), len(text)]
                 out["n_bytes"].append(len(text))
                 out["spans"].append([{"start": a, "end": b} for a, b in gone])
@@ -458,14 +533,16 @@ def remove_repeats(
     return map_arrow(joined.select("packed", "spans", *carried), run, schema)
 
 
-def without_repeats(docs: DataFrame, long: int = LONG) -> DataFrame:
+def without_repeats(docs: DataFrame, long: int = LONG, words: bool = False) -> DataFrame:
     """The rows of ``docs``, all their columns, with repeated strings cut out of the texts.
 
-    Bytes of cut characters at the edges go with the string. Rows of which nothing is left go; rows that were
+    Strings are ``long`` bytes, or with ``words`` so many words; see :func:`remove_repeats`. Bytes of cut characters at the
+    edges go with the string. Rows of which nothing is left go; rows that were
     empty before stay. ``n_chars``, if there is such a column, counts the characters left.
     """
     whole = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    found = remove_repeats(whole, long, carried=["row"], characters=True)
+    batch = BATCH_WORDS if words else BATCH
+    found = remove_repeats(whole, long, batch=batch, carried=["row"], characters=True, words=words)
     found = found.where("octet_length(kept) > 0 or size(spans) = 0")
     cut = F.size("spans") > 0
     new = {"text": F.col("kept").cast("string"), "n_chars": F.length(F.col("kept").cast("string")).cast("long")}

@@ -12,7 +12,7 @@ import corpus_pipeline as p
 from citygrain.llm import toxicity
 from tests.llm.test_decontaminate import brute as contamination
 from tests.llm.test_simhash import brute_components, brute_fingerprint
-from tests.llm.test_suffix_dedup import brute as repeats
+from tests.llm.test_suffix_dedup import brute_words as repeats
 
 
 def word(r):
@@ -40,7 +40,7 @@ def plain(rows, items):
     roots = brute_components([brute_fingerprint(t or "") for _, t in rows], 4)
     rows = [rows[i] for i in sorted(set(roots))]
     kept = []
-    for (i, t), (_, spans, left) in zip(rows, repeats([(t or "").encode() for _, t in rows], 400)):
+    for (i, t), (_, spans, left) in zip(rows, repeats([(t or "").encode() for _, t in rows], 50)):
         if left or not spans:
             edges = [0, *(x for s in spans for x in s), len((t or "").encode())]
             parts = [(t or "").encode()[a:b].decode("utf-8", "ignore") for a, b in zip(edges[::2], edges[1::2])]

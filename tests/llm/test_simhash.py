@@ -67,11 +67,20 @@ def test_null_and_repeated_ids(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = sorted((str(x.doc_id), str(x.component_id)) for x in m.near_duplicates(docs).collect())
     assert got == [("7", "7"), ("7", "7"), ("9", "7"), ("None", "7"), ("None", "None")]
-    assert sorted(str(x.doc_id) for x in m.one_of_each(docs).collect()) == ["7", "None", "None"]
+    assert sorted(str(x.doc_id) for x in m.one_of_each(docs).collect()) == ["7", "None"]
     assert m.near_duplicates(docs.limit(0)).collect() == []
     assert m.one_of_each(docs.limit(0)).collect() == []
 
 
+def test_one_id_for_different_texts(spark):
+    text = lambda c: " ".join(c + str(i) for i in range(40))
+    rows = [(5, text("a")), (5, text("b")), (6, text("c")), (3, text("b")), (None, text("d")), (None, text("d")), (None, text("a"))]
+    rows += [(9, text("e")), (9, text("e")), (9, text("f"))]
+    docs = spark.createDataFrame([(*x, "kept") for x in rows], "doc_id long, text string, _n string")
+    kept = sorted(((str(x.doc_id), x.text[0]) for x in m.one_of_each(docs).collect()))
+    assert kept == [("3", "b"), ("5", "a"), ("6", "c"), ("9", "e"), ("9", "f"), ("None", "d")]
+
+
 def test_tiles_lose_no_link(spark):
     r = random.Random(8)
     values = [r.getrandbits(64) for _ in range(300)]

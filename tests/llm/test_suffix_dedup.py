@@ -1,4 +1,5 @@
 import random
+import re
 
 import numpy as np
 import pytest
@@ -75,3 +76,58 @@ def test_levels_grow_geometrically():
     for a in range(0, 2000, 70):
         family.add(digests[a : a + 70])
     assert family.seen.tolist() == [(digests == d).sum() > 1 for d in digests]
+
+
+def brute_words(texts, long):
+    """Byte ranges of rows of ``long`` words that start twice or more, and what is left of the texts."""
+    found = [list(re.finditer(rb"[0-9a-z\x80-\xff]+", t.lower())) for t in texts]
+    places = {}
+    for i, row in enumerate(found):
+        for p in range(len(row) - long + 1):
+            places.setdefault(tuple(m.group() for m in row[p : p + long]), []).append((i, p))
+    gone = [np.zeros(len(row), bool) for row in found]
+    for where in places.values():
+        if len(where) > 1:
+            for i, p in where:
+                gone[i][p : p + long] = True
+    out = []
+    for t, row, flags in zip(texts, found, gone):
+        spans = [(row[a].start(), row[b].end()) for a, b in m.runs(flags)]
+        edges = [0, *(x for s in spans for x in s), len(t)]
+        out.append((len(t), spans, b"".join(t[a:b] for a, b in zip(edges[::2], edges[1::2]))))
+    return out
+
+
+@pytest.mark.parametrize("batch,group", [(1 << 12, 4096), (25, 2)])
+def test_strings_of_words_against_brute_force(spark, batch, group):
+    r = random.Random(batch)
+    texts = [t and t.replace(" b", ". B").replace(" c", "\nC") for t in some_texts(r)] + ["w" * 70 + " " + "v" * 900 + " 1 2 3 4 5 6 7"] * 2
+    rows = [(i, t, "x") for i, t in enumerate(texts)] + [(5, texts[5], None), (None, texts[9], "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kept string")
+    got = m.remove_repeats(docs, 9, 4, batch, group, words=True).collect()
+    want = brute_words([(t or "").encode() for _, t, _ in rows], 9)
+    key = lambda x: (str(x[0]), x[1:])
+    assert sorted(((g.doc_id, g.n_bytes, [tuple(s) for s in g.spans], bytes(g.kept)) for g in got), key=key) == sorted(
+        ((i, *w) for (i, _, _), w in zip(rows, want)), key=key
+    )
+
+
+def test_no_passage_of_over_fifty_words_escapes(spark):
+    r = random.Random(9)
+    word = lambda n: "".join(r.choice("abcdefghij") for _ in range(n))
+    passages = [" ".join(word(size) for _ in range(51)) for size in (1, 2, 4, 9, 80)]
+    docs = [(10 * i + k, f"{word(6)} {word(7)} {p} {word(8)}") for i, p in enumerate(passages) for k in range(3)]
+    clean = [(100 + i, " ".join(word(5) for _ in range(200))) for i in range(20)]
+    table = spark.createDataFrame(docs + clean, "doc_id long, text string")
+    left = {x.doc_id: x.text for x in m.without_repeats(table, m.LONG_WORDS, words=True).collect()}
+    assert all(len(left[i].split()) == 3 for i, _ in docs) and all(left[i] == t for i, t in clean)
+
+
+def test_words_are_told_apart_wherever_they_stand():
+    w = m.Words()
+    w.chunk = 40
+    r = random.Random(4)
+    some = ["a", "ab", "ba", "é", "x" * 64, "x" * 65, "y" * 130] + ["".join(r.choice("ab") for _ in range(r.randint(1, 9))) for _ in range(60)]
+    rows = [r.choice(some) for _ in range(400)]
+    codes = w.encode(" ".join(rows).encode())
+    assert len(codes) == 400 and len({(x, int(c)) for x, c in zip(rows, codes)}) == len(set(rows)) == len(set(codes.tolist()))
