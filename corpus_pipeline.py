@@ -21,8 +21,8 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the long strings that stand more than once among the documents left."""
-    return suffix_dedup.without_repeats(docs)
+    """Texts without the passages of 50 words or more that stand more than once among the documents left."""
+    return suffix_dedup.without_repeats(docs, suffix_dedup.LONG_WORDS, words=True)
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
