@@ -1,22 +1,28 @@
-"""Edge and node betweenness by hop count, for all sources at once."""
+"""Edge and node betweenness by hop count, for blocks of sources at once."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from itertools import count
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citygrain.scale import cut_lineage, join_on, numbered, with_totals
+from citygrain.scale import Kept, cut_lineage, join_on, numbered, with_totals
+
+#: Rows of sources and nodes that a block of sources may have.
+BLOCK_ROWS = 200_000_000
 
 
 def betweenness(edges: DataFrame, kind: str = "edge", sources: int | None = None, seed: int = 0,
-                by: Sequence[str] = ()) -> DataFrame:
+                by: Sequence[str] = (), block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Normalized betweenness of each edge (u, v) or node, with the mean over all appended.
 
-    Shortest paths are counted level by level outwards from every source, and dependencies
-    are summed level by level back. Both passes are joins on (source, node) and aggregate
-    before the shuffle, so a hub's many paths meet as partial sums. The result is exact and covers all
+    Sources are worked on in blocks, so that a block has about ``block_rows`` rows of (source, node). Shortest
+    paths are counted level by level outwards, and each level is written once, dealt by source and node: the next
+    level and the way back look it up where it lies. What a node passes on to each neighbour before it is written too, and
+    the scores of a block are sums of that. The result is exact and covers all
     sources, whatever the size; only for edges, and only if ``sources`` asks for it, as many sources are drawn
     by a seeded hash and the result is scaled up. ``by`` names columns, such as the city, that keep networks
     apart: each is normalized by its own nodes and has its own mean.
@@ -27,76 +33,65 @@ def betweenness(edges: DataFrame, kind: str = "edge", sources: int | None = None
         raise ValueError("sources can be drawn for edge betweenness only")
     by = list(by)
     pairs = cut_lineage(edges.where("u <> v").select(*by, "u", "v").distinct())
-    nodes = pairs.select(*by, F.explode(F.array("u", "v")).alias("node")).distinct()
-    n = nodes.count()
+    nodes = cut_lineage(pairs.select(*by, F.explode(F.array("u", "v")).alias("node")).distinct())
+    counted = nodes.groupBy(*by).agg(F.count(F.lit(1)).cast("double").alias("_n"))
+    totals = counted.agg(F.sum("_n").alias("n"), F.sum(F.col("_n") * F.col("_n")).alias("rows")).first()
+    n, rows = int(totals["n"] or 0), totals["rows"] or 0
     starts, k = nodes, n
     if sources is not None and sources < n:
         hashed = nodes.withColumn("_h", F.xxhash64(F.lit(seed), "node"))
-        starts = numbered(hashed, ["_h", "node"], "_at").where(F.col("_at") < sources)
-        k = sources
-    state = cut_lineage(
-        starts.select(
-            *by, F.col("node").alias("s"), "node", F.lit(0).alias("level"), F.lit(1.0).alias("paths")
-        )
-    )
-    level = 0
-    while True:
-        level += 1
-        step = (
-            state.where(F.col("level") == level - 1)
-            .withColumnRenamed("node", "u")
-            .join(pairs, [*by, "u"])
-            .select(*by, "s", F.col("v").alias("node"), F.lit(level).alias("level"), "paths")
-        )
-        old = F.max(F.when(F.col("level") < level, F.struct("level", "paths")))
-        new = F.sum(F.when(F.col("level") == level, F.col("paths")))
-        state = cut_lineage(
-            state.unionByName(step)
-            .groupBy(*by, "s", "node")
-            .agg(old.alias("_old"), new.alias("_new"))
-            .select(
-                *by,
-                "s",
-                "node",
-                F.coalesce("_old.level", F.lit(level)).alias("level"),
-                F.coalesce("_old.paths", "_new").alias("paths"),
-            )
-        )
-        if state.where(F.col("level") == level).isEmpty():
-            break
-    scores = []
-    below = None
-    for at in range(level - 1, 0, -1):
-        here = state.where(F.col("level") == at)
-        if below is not None:
-            here = here.join(below, [*by, "s", "node"], "left")
-        else:
-            here = here.withColumn("delta", F.lit(0.0))
-        owed = here.select(
-            *by, "s", F.col("node").alias("v"), ((1 + F.coalesce("delta", F.lit(0.0))) / F.col("paths")).alias("_share")
-        )
-        above = state.where(F.col("level") == at - 1).select(*by, "s", F.col("node").alias("u"), "paths")
-        flow = (
-            owed.join(pairs, [*by, "v"])
-            .join(above, [*by, "s", "u"])
-            .select(*by, "s", "u", "v", (F.col("paths") * F.col("_share")).alias("flow"))
-        )
-        if kind == "edge":
-            scores.append(flow.groupBy(*by, "u", "v").agg(F.sum("flow").alias("score")))
-        below = cut_lineage(flow.groupBy(*by, "s", F.col("u").alias("node")).agg(F.sum("flow").alias("delta")))
-        if kind == "node":
-            scores.append(
-                below.where("s <> node").groupBy(*by, "node").agg(F.sum("delta").alias("score"))
-            )
+        starts = numbered(hashed, ["_h", "node"], "_at").where(F.col("_at") < sources).select("node")
+        k, rows = sources, sources * n
+    blocks = max(1, math.ceil(rows / block_rows))
     keys = [*by, "u", "v"] if kind == "edge" else [*by, "node"]
-    everything = pairs if kind == "edge" else nodes
-    out = everything.withColumn("score", F.lit(0.0))
-    for part in scores:
-        out = out.unionByName(part)
+    out = (pairs if kind == "edge" else nodes).withColumn("score", F.lit(0.0))
+    for block in range(blocks):
+        some = starts.where(F.pmod(F.xxhash64(F.lit(block_rows), *by, "node"), F.lit(blocks)) == block)
+        out = out.unionByName(_block_scores(some, pairs, kind, by))
     summed = out.groupBy(*keys).agg(F.sum("score").alias("score"))
     # ordered pairs of nodes that a path can join, of each network
-    size = F.count(F.lit(1)).cast("double")
-    counted = nodes.groupBy(*by).agg((size * (size - 1) if kind == "edge" else (size - 1) * (size - 2)).alias("_pairs"))
-    scaled = join_on(summed, counted, by) if by else summed.withColumn("_pairs", counted.select("_pairs").scalar())
+    size = F.col("_n") - 1
+    possible = counted.select(*by, (F.col("_n") * size if kind == "edge" else size * (size - 1)).alias("_pairs"))
+    scaled = join_on(summed, possible, by) if by else summed.withColumn("_pairs", possible.select("_pairs").scalar())
     centrality = F.col("score") * (n / k if k else 1.0) / F.when(F.col("_pairs") > 0, F.col("_pairs")).otherwise(F.lit(1.0))
     return with_totals(scaled.select(*keys, centrality.alias("centrality")), by, mean_centrality=F.avg("centrality"))
+
+
+def _block_scores(starts: DataFrame, pairs: DataFrame, kind: str, by: list[str]) -> DataFrame:
+    """Scores of edges (u, v) or of nodes from the shortest paths of some sources."""
+    place = [*by, "s", "node"]
+    levels = Kept(pairs.sparkSession, place, "betweenness_levels")
+    levels.append(starts.select(*by, F.col("node").alias("s"), "node", F.lit(1.0).alias("paths"), F.lit(0).alias("level")))
+    at = lambda level: levels.table().where(F.col("level") == level)
+    for level in count(1):
+        step = at(level - 1).withColumnRenamed("node", "u").join(pairs, [*by, "u"]).withColumnRenamed("v", "node")
+        # a hub's many paths meet as partial sums
+        found = levels.without(step.groupBy(*place).agg(F.sum("paths").alias("paths")))
+        levels.append(found.withColumn("level", F.lit(level)), dealt=True)
+        if at(level).isEmpty():
+            break
+    flows = Kept(pairs.sparkSession, place, "betweenness_flows")
+    for back in range(level - 1, 0, -1):
+        here = at(back)
+        if flows.empty:
+            here = here.withColumn("_passed", F.lit(0.0))
+        else:
+            passed = flows.table().where(F.col("level") == back + 1).groupBy(*place).agg(F.sum("flow").alias("_passed"))
+            here = here.join(passed, place, "left")
+        share = ((1 + F.coalesce("_passed", F.lit(0.0))) / F.col("paths")).alias("_share")
+        owed = here.select(*by, "s", F.col("node").alias("v"), share).join(pairs, [*by, "v"]).withColumnRenamed("u", "node")
+        flow = owed.join(at(back - 1).select(*place, "paths"), place)
+        flow = flow.select(*place, "v", (F.col("paths") * F.col("_share")).alias("flow"), F.lit(back).alias("level"))
+        flows.append(flow, dealt=True)
+    if flows.empty:
+        scores = pairs.select(*by, "u", "v", F.lit(0.0).alias("score")).limit(0)
+        scores = scores if kind == "edge" else scores.select(*by, F.col("u").alias("node"), "score")
+    elif kind == "edge":
+        scores = flows.table().groupBy(*by, F.col("node").alias("u"), "v").agg(F.sum("flow").alias("score"))
+    else:
+        scores = flows.table().where("s <> node").groupBy(*by, "node").agg(F.sum("flow").alias("score"))
+    # one row per edge or node is left of a block
+    scores = cut_lineage(scores)
+    levels.drop()
+    flows.drop()
+    return scores

@@ -66,14 +66,14 @@ def shortest_costs(edges: DataFrame, origins: DataFrame, cutoff: float | None =
         limit = max(limit, starts["least"]) + width
         state, n = _fixpoint(settled.without(waiting.where(F.col("cost") < limit)), steps, by, place, cutoff, limit, settled)
         beyond = _extended(state, steps, by, place, cutoff).where(F.col("cost") >= limit)
-        settled.append(state)
+        settled.append(state, dealt=True)
         waiting, starts = cut_and_measure(
             waiting.where(F.col("cost") >= limit).unionByName(beyond).groupBy(*place).agg(F.min("cost").alias("cost")),
             n=F.count(F.lit(1)), least=F.min("cost"),
         )
         # bands that hold too little or too much are made wider or narrower
         width = width * 2 if n < open_rows / 4 else max(width / 2, sizes["mean"] / 8) if n > open_rows else width
-    streets.close()
+    streets.drop()
     return settled.close()
 
 

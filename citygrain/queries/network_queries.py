@@ -279,9 +279,9 @@ def long_edges_split(t):
 
 @query(
     "largest_strong_component",
-    """WITH RECURSIVE e AS (SELECT l_orderkey AS u, (l_partkey * 7919 + l_suppkey * 104729) % (SELECT count(*) FROM orders) AS v FROM lineitem),
+    """WITH RECURSIVE e AS MATERIALIZED (SELECT l_orderkey AS u, (l_partkey * 7919 + l_suppkey * 104729) % (SELECT count(*) FROM orders) AS v FROM lineitem),
     -- components of the ten best-connected nodes, by what each reaches and what reaches it; the largest counts
-    hub AS (SELECT h FROM (SELECT u AS h, count(*) AS a FROM e GROUP BY u) JOIN (SELECT v AS h, count(*) AS b FROM e GROUP BY v) USING (h)
+    hub AS MATERIALIZED (SELECT h FROM (SELECT u AS h, count(*) AS a FROM e GROUP BY u) JOIN (SELECT v AS h, count(*) AS b FROM e GROUP BY v) USING (h)
       ORDER BY a * b DESC, h LIMIT 10),
     f(h, n) AS (SELECT h, h FROM hub UNION SELECT h, v FROM f JOIN e ON e.u = f.n),
     b(h, n) AS (SELECT h, h FROM hub UNION SELECT h, e.u FROM b JOIN e ON e.v = b.n),

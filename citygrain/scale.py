@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -31,10 +31,36 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def cut_and_measure(df: DataFrame, **aggregates: Column) -> tuple[DataFrame, dict]:
-    """:func:`cut_lineage`, with aggregates over the rows that are counted while the copy is written."""
-    measured = Observation()
-    out = cut_lineage(df.observe(measured, *[c.alias(n) for n, c in aggregates.items()]))
-    return out, measured.get
+    """:func:`cut_lineage`, with aggregates over the copy."""
+    out = cut_lineage(df)
+    return out, out.agg(*[c.alias(n) for n, c in aggregates.items()]).first().asDict()
+
+
+class Rounds:
+    """Tables written between the rounds of an iterative operator, all in one folder that goes with :meth:`finish`.
+
+    A table that is read back has its real size. A checkpoint keeps the size that was estimated for its plan, which squares
+    whenever a table is joined with itself, so after many doublings planning alone would take longer than the work.
+    """
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.folder, self.number = spark, work_folder(spark, name), 0
+
+    def cut(self, df: DataFrame) -> DataFrame:
+        self.number += 1
+        path = f"{self.folder}/{self.number}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def measure(self, df: DataFrame, **aggregates: Column) -> tuple[DataFrame, dict]:
+        out = self.cut(df)
+        return out, out.agg(*[c.alias(n) for n, c in aggregates.items()]).first().asDict()
+
+    def finish(self, df: DataFrame) -> DataFrame:
+        """The result, on its own; the rounds behind it are deleted."""
+        out = cut_lineage(df)
+        remove_folder(self.spark, self.folder)
+        return out
 
 
 class Kept:
@@ -51,9 +77,10 @@ class Kept:
         self.name = f"{name}_{uuid.uuid4().hex}"
         self.empty = True
 
-    def append(self, df: DataFrame) -> None:
-        dealt = df.repartition(self.buckets, *self.key)
-        writer = dealt.write.format("parquet").mode("append").bucketBy(self.buckets, *self.key)
+    def append(self, df: DataFrame, dealt: bool = False) -> None:
+        """``dealt``: rows of a key are in one partition already, as after an aggregation by the key."""
+        rows = df if dealt else df.repartition(self.buckets, *self.key)
+        writer = rows.write.format("parquet").mode("append").bucketBy(self.buckets, *self.key)
         writer.option("path", self.folder).saveAsTable(self.name)
         self.empty = False
 
@@ -70,6 +97,11 @@ class Kept:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
         return rows
 
+    def drop(self) -> None:
+        """The table and its files go."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        remove_folder(self.spark, self.folder)
+
 
 def with_totals(df: DataFrame, by: Sequence[str] = (), **aggregates: Column) -> DataFrame:
     """Attach per-group (or overall) aggregates to every row.
@@ -192,6 +224,12 @@ def work_folder(spark, name: str) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
 
 
+def remove_folder(spark, folder: str) -> None:
+    """Delete a folder that :func:`work_folder` named, wherever it lies."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def next_along(df: DataFrame, keys: Sequence[str], at: str, name: str, parts: int = 64) -> DataFrame:
     """The next larger ``at`` (a fraction 0..1, distinct per key) under the same key, null at the end.
 

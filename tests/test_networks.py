@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from citygrain.grid import Grid
 from citygrain.operators import centrality, facility, graph, nearest, places, reach, shapes, topology
+from citygrain.scale import Rounds
 
 
 def random_edges(n, m, seed):
@@ -153,6 +154,96 @@ def test_strong_components(spark):
     assert topology.largest_scc(edges).count() == -best[0]
 
 
+def strong_by_hand(pairs):
+    """Tarjan's way without recursion; each component is a frozen set."""
+    ahead: dict = {}
+    for u, v in pairs:
+        ahead.setdefault(u, []).append(v)
+        ahead.setdefault(v, [])
+    index, low, on, stack, out = {}, {}, set(), [], {}
+    for root in ahead:
+        work = [(root, iter(ahead[root]))] if root not in index else []
+        while work:
+            u, rest = work[-1]
+            if u not in index:
+                index[u] = low[u] = len(index)
+                stack.append(u)
+                on.add(u)
+            for v in rest:
+                if v not in index:
+                    work.append((v, iter(ahead[v])))
+                    break
+                if v in on:
+                    low[u] = min(low[u], index[v])
+            else:
+                work.pop()
+                if work:
+                    low[work[-1][0]] = min(low[work[-1][0]], low[u])
+                if low[u] == index[u]:
+                    part = set()
+                    while u not in part:
+                        part.add(stack.pop())
+                    on -= part
+                    out |= dict.fromkeys(part, frozenset(part))
+    return out
+
+
+def streets_with_one_ways(rng):
+    """A lattice of mostly one-way streets with pendant ways, rings hung on by one edge, and a long way in."""
+    pairs = []
+    for x in range(7):
+        for y in range(7):
+            for a, b in ((x + 1, y), (x, y + 1)):
+                if a < 7 and b < 7:
+                    ends = (10 * x + y, 10 * a + b)
+                    pairs += [ends, ends[::-1]] if rng.random() < 0.3 else [ends if rng.random() < 0.5 else ends[::-1]]
+    pairs += [(100 + i, 101 + i) for i in range(30)] + [(130, 0)]
+    pairs += [(200 + i, 200 + (i + 1) % 17) for i in range(17)] + [(205, 33)]
+    pairs += [(300 + i, 300 + (i + 1) % 9) for i in range(9)] + [(44, 303), (303, 500), (500, 501), (501, 305)]
+    return pairs
+
+
+@pytest.mark.parametrize("kind", ["sparse", "dense", "streets", "functional", "ring with chords", "none"])
+def test_strong_components_of_many_shapes(spark, kind):
+    rng = random.Random(kind)
+    pairs = {
+        "sparse": lambda: [(rng.randrange(150), rng.randrange(150)) for _ in range(190)],
+        "dense": lambda: [(rng.randrange(60), rng.randrange(60)) for _ in range(240)],
+        "streets": lambda: streets_with_one_ways(rng),
+        "functional": lambda: [(i, rng.randrange(120)) for i in range(120)],
+        "ring with chords": lambda: [(i, (i + 1) % 90) for i in range(90)] + [(5, 40), (41, 7), (60, 95), (95, 96)],
+        "none": lambda: [(1, 1)],
+    }[kind]()
+    edges = spark.createDataFrame(pairs, "u long, v long")
+    got = {r.node: r.component for r in topology.strong_components(edges).collect()}
+    want = strong_by_hand(pairs)
+    assert got.keys() == want.keys()
+    parts: dict = {}
+    for node, name in got.items():
+        assert name in want[node]
+        parts.setdefault(name, set()).add(node)
+    assert {frozenset(p) for p in parts.values()} == set(want.values())
+
+
+def test_a_long_ring_takes_few_rounds(spark, monkeypatch):
+    n, rounds = 10_000, []
+    cut = Rounds.cut
+    monkeypatch.setattr(Rounds, "cut", lambda self, df: rounds.append(1) or cut(self, df))
+    ring = spark.range(n).select(F.col("id").alias("u"), ((F.col("id") * 1 + 1) % n).alias("v"))
+    got = topology.strong_components(ring).agg(F.count_distinct("component").alias("c"), F.count("*").alias("n")).first()
+    assert (got.c, got.n) == (1, n) and len(rounds) < 40
+
+
+def test_leaps_shorten_a_spread(spark, monkeypatch):
+    n, rounds = 600, []
+    cut = Rounds.cut
+    monkeypatch.setattr(Rounds, "cut", lambda self, df: rounds.append(1) or cut(self, df))
+    line = spark.range(n).select(F.col("id").alias("u"), (F.col("id") + 1).alias("v"))
+    labels = spark.range(n + 1).select(F.col("id").alias("node"), F.col("id").alias("label"))
+    got = topology._spread_min(Rounds(spark, "leaps"), line, labels)
+    assert got.agg(F.max("label")).first()[0] == 0 and got.count() == n + 1 and len(rounds) < 70
+
+
 def test_merge_clusters_crowded(spark):
     rng = random.Random(11)
     # two crowds a little more than the reach apart, a bridge elsewhere, and scattered nodes
@@ -312,6 +403,17 @@ def test_betweenness(spark):
     assert got == pytest.approx(by_node)
 
 
+@pytest.mark.parametrize("kind", ["edge", "node"])
+def test_betweenness_in_blocks_of_sources(spark, kind):
+    rows = random_edges(14, 34, 12)
+    edges = edge_table(spark, rows)
+    whole = {tuple(r)[:-2]: tuple(r)[-2:] for r in centrality.betweenness(edges, kind).collect()}
+    parts = {tuple(r)[:-2]: tuple(r)[-2:] for r in centrality.betweenness(edges, kind, block_rows=100).collect()}
+    assert whole.keys() == parts.keys()
+    assert all(parts[k] == pytest.approx(v) for k, v in whole.items())
+    assert not [t for t in spark.catalog.listTables() if "betweenness" in t.name]
+
+
 def test_betweenness_sampled_sources(spark):
     edges = edge_table(spark, random_edges(25, 60, 6))
     once = {(r["u"], r["v"]): r["centrality"] for r in centrality.betweenness(edges, sources=10, seed=1).collect()}
