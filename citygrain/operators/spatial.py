@@ -1,8 +1,8 @@
 """Spatial joins: an equi join on tiles, then the exact test.
 
 Polygons are cut into square tiles; each tile row carries only the boundary segments that
-touch it and whether its corner is inside, so a long boundary is not copied to every tile. Point rows are
-salted, so that one crowded tile is split over several tasks.
+touch it and whether its corner is inside, so a long boundary is not copied to every tile. Rows are
+counted by tile, and a crowded tile is split into as many parts as its rows take.
 """
 
 from __future__ import annotations
@@ -15,9 +15,7 @@ from pyspark.sql import functions as F
 from citygrain.functions import geometry as geo
 from citygrain.functions.crs import project
 from citygrain.grid import Grid
-
-SALTS = 4
-
+from citygrain.scale import crowded_join
 
 def identified(polys: DataFrame) -> DataFrame:
     """Polygon rows with a key made of all their columns."""
@@ -78,7 +76,8 @@ def tile_polygons(polys: DataFrame, size: float, rings: str = "rings") -> DataFr
     ).where("_odd = 1 or size(_segs) > 0")
 
 
-def inside_tile(x: Column, y: Column, size: float, tx: str = "_tx", ty: str = "_ty", segs: str = "_segs", odd: str = "_odd") -> Column:
+def inside_tile(x: Column, y: Column, size: float, tx: str = "_tx", ty: str = "_ty", segs: Column | str = "_segs",
+                odd: Column | str = "_odd") -> Column:
     """Whether a point of the tile is inside: crossings on the way right to the tile's edge, then down to its corner."""
     edge, low = (F.col(tx) + 1) * size, F.col(ty) * size
 
@@ -90,18 +89,11 @@ def inside_tile(x: Column, y: Column, size: float, tx: str = "_tx", ty: str = "_
         at = (s["y2"] - s["y1"]) * (edge - s["x1"]) / (s["x2"] - s["x1"]) + s["y1"]
         return ((s["x1"] > edge) != (s["x2"] > edge)) & ((at > low) != (at > y))
 
-    return (F.size(F.filter(segs, right)) + F.size(F.filter(segs, down)) + F.col(odd)) % 2 == 1
-
-
-def tile_points(points: DataFrame, x: str, y: str, size: float, salts: int = SALTS) -> DataFrame:
-    salt = F.pmod(F.xxhash64(*points.columns), F.lit(salts))
-    return points.withColumns(
-        {"_tx": F.floor(F.col(x) / size), "_ty": F.floor(F.col(y) / size), "_salt": salt.cast("int")}
-    )
+    return (F.size(F.filter(segs, right)) + F.size(F.filter(segs, down)) + (F.col(odd) if isinstance(odd, str) else odd)) % 2 == 1
 
 
-def salted(tiled: DataFrame, salts: int = SALTS) -> DataFrame:
-    return tiled.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
+def tile_points(points: DataFrame, x: str, y: str, size: float) -> DataFrame:
+    return points.withColumns({"_tx": F.floor(F.col(x) / size), "_ty": F.floor(F.col(y) / size)})
 
 
 def point_in_polygon(
@@ -111,23 +103,17 @@ def point_in_polygon(
     x: str = "lon",
     y: str = "lat",
     how: str = "inner",
-    salts: int = SALTS,
+    crowd: int | None = None,
 ) -> DataFrame:
     """Points joined to the polygons that contain them (``how`` may be left, left_semi, left_anti).
 
     A point on a shared boundary belongs to exactly one side.
     """
     polys = identified(polys)
-    p = tile_points(points, x, y, size, salts)
-    q = salted(tile_polygons(polys, size), salts)
-    q = q.withColumnsRenamed({"_tx": "_qx", "_ty": "_qy", "_salt": "_qs"})
-    condition = (
-        (F.col("_tx") == F.col("_qx"))
-        & (F.col("_ty") == F.col("_qy"))
-        & (F.col("_salt") == F.col("_qs"))
-        & inside_tile(F.col(x), F.col(y), size)
-    )
-    found = p.join(q, condition, how).drop("_tx", "_ty", "_salt", "_qx", "_qy", "_qs", "_segs", "_odd")
+    tiles = tile_points(points, x, y, size)
+    held = inside_tile(F.col(x), F.col(y), size)
+    found = crowded_join(tiles, tile_polygons(polys, size), ["_tx", "_ty"], held, how, crowd)
+    found = found.drop("_tx", "_ty", "_r__tx", "_r__ty", "_segs", "_odd")
     if how in ("left_semi", "left_anti"):
         return found
     return found.join(polys, "_pid", "left" if how == "left" else "inner").drop("_pid")
@@ -191,23 +177,24 @@ def country_of(aois: DataFrame, countries: DataFrame, size: float, key: str = "c
 
 
 def clip(px: DataFrame, polys: DataFrame, grid: Grid, touched: bool = True, on: Sequence[str] = (),
-         tile: int = 256) -> DataFrame:
+         tile: int = 256, crowd: int | None = None) -> DataFrame:
     """Cells inside the polygons: every touched cell, or only cells whose centre is inside."""
     shapes, cells = _cell_join(px, polys, grid, tile, on)
-    condition = _cell_condition(touched, on, tile)
-    return cells.join(shapes, condition, "left_semi").select(*px.columns)
+    return crowded_join(cells, shapes, ["_tx", "_ty", *on], _cell_condition(touched, tile), "left_semi", crowd).select(*px.columns)
 
 
 def clip_layers(px: DataFrame, aois: DataFrame, grid: Grid, layers: Sequence[str], touched: bool = True,
-                key: str = "city", tile: int = 256) -> DataFrame:
+                key: str = "city", tile: int = 256, crowd: int | None = None) -> DataFrame:
     """Global layers cut to every city's area in one pass; the city's key is added.
 
-    A cell that belongs to several cities appears once for each.
+    A cell that belongs to several cities appears once for each, also if several polygons of a city hold it.
     """
     wanted = px.where(F.col("layer").isin(*layers))
     shapes, cells = _cell_join(wanted, aois.select(key, "rings"), grid, tile, ())
-    joined = cells.join(shapes, _cell_condition(touched, (), tile))
-    return joined.select(key, *px.columns).dropDuplicates([key, *[c for c in px.columns if c != "value"]])
+    # the polygons of one city in a tile travel as one row, so a cell meets a city once
+    shapes = shapes.groupBy("_tx", "_ty", key).agg(F.collect_list(F.struct("_segs", "_odd")).alias("_shapes"))
+    met = F.exists("_shapes", lambda s: _cell_condition(touched, tile, s["_segs"], s["_odd"]))
+    return crowded_join(cells, shapes, ["_tx", "_ty"], met, "inner", crowd).select(key, *px.columns)
 
 
 def _cell_join(px: DataFrame, polys: DataFrame, grid: Grid, tile: int, on: Sequence[str]):
@@ -223,20 +210,16 @@ def _cell_join(px: DataFrame, polys: DataFrame, grid: Grid, tile: int, on: Seque
     polys = identified(polys.withColumn("rings", in_cells))
     keys = polys.drop("rings").dropDuplicates(["_pid"])
     shapes = tile_polygons(polys, float(tile)).join(keys, "_pid").drop("_pid")
-    shapes = shapes.withColumnsRenamed({"_tx": "_qx", "_ty": "_qy", **{k: f"_on_{k}" for k in on}})
     cells = px.withColumns({"_tx": F.floor(F.col("x") / tile), "_ty": F.floor(F.col("y") / tile)})
     return shapes, cells
 
 
-def _cell_condition(touched: bool, on: Sequence[str], tile: int) -> Column:
+def _cell_condition(touched: bool, tile: int, segs: Column | str = "_segs", odd: Column | str = "_odd") -> Column:
     x, y = F.col("x"), F.col("y")
-    keep = inside_tile(x + 0.5, y + 0.5, float(tile))
+    keep = inside_tile(x + 0.5, y + 0.5, float(tile), segs=segs, odd=odd)
     if touched:
-        keep = keep | F.exists("_segs", lambda s: geo.segment_meets_box(s, x, y, x + 1, y + 1))
-    condition = (F.col("_tx") == F.col("_qx")) & (F.col("_ty") == F.col("_qy"))
-    for k in on:
-        condition = condition & (F.col(k) == F.col(f"_on_{k}"))
-    return condition & keep
+        keep = keep | F.exists(segs, lambda s: geo.segment_meets_box(s, x, y, x + 1, y + 1))
+    return keep
 
 
 def resample(px: DataFrame, source: Grid, target: Grid, by: Sequence[str] = (), src_crs: str = "4326",

@@ -124,6 +124,37 @@ def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
     return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in keys])
 
 
+#: Rows of one key that meet in one task.
+CROWD = 250_000
+
+
+def crowded_join(left: DataFrame, right: DataFrame, keys: Sequence[str], condition: Column, how: str = "inner",
+                 crowd: int | None = None) -> DataFrame:
+    """Join on equal ``keys`` of both sides and ``condition``, with crowded keys split by counted rows.
+
+    The rows of ``left`` are counted by key first. A key with more than ``crowd`` rows is dealt out over as many parts as
+    that takes, and only for such keys the rows of ``right`` are repeated, once per part. Counts are combined before they are
+    shuffled, and the table of crowded keys has at most one row per ``crowd`` rows of ``left``, so that it can be broadcast.
+    Every row of ``left`` meets all rows of ``right`` with its key once, so ``how`` may be inner, left, left_semi or left_anti.
+    The key columns of ``right`` are named ``_r_`` and the key; the result has them unless it has columns of ``left`` only.
+    """
+    crowd = crowd or CROWD
+    named = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
+    parts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > crowd)
+    parts = parts.select(*[F.col(k).alias(f"_c_{k}") for k in keys], F.ceil(F.col("_rows") / crowd).cast("int").alias("_parts"))
+
+    def marked(df: DataFrame, prefix: str) -> DataFrame:
+        same = reduce(lambda a, b: a & b, [F.col(f"{prefix}{k}") == F.col(f"_c_{k}") for k in keys])
+        return df.join(F.broadcast(parts), same, "left").withColumn("_parts", F.coalesce("_parts", F.lit(1))).drop(*[f"_c_{k}" for k in keys])
+
+    # equal rows are told apart by where they lie
+    number = F.pmod(F.xxhash64(*left.columns, F.spark_partition_id()), F.col("_parts").cast("long")).cast("int")
+    a = marked(left, "").withColumn("_part", number).drop("_parts")
+    b = marked(named, "_r_").withColumn("_r_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts")
+    same = reduce(lambda x, y: x & y, [F.col(k) == F.col(f"_r_{k}") for k in keys])
+    return a.join(b, same & (F.col("_part") == F.col("_r_part")) & condition, how).drop("_part", "_r_part")
+
+
 def exact_quantiles(
     df: DataFrame,
     value: str,

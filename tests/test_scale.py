@@ -5,9 +5,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from citygrain.operators import display, pixels, spatial, terrain
+from citygrain.operators import display, nearest, pixels, spatial, terrain
 from citygrain.grid import Grid
-from citygrain.scale import cut_lineage, exact_quantiles, fill_along, next_along, numbered, with_totals
+from citygrain.scale import crowded_join, cut_lineage, exact_quantiles, fill_along, next_along, numbered, with_totals
 
 
 def quantile(values, q):
@@ -122,3 +122,53 @@ def test_one_label_fewer_than_breaks(spark):
     px = spark.createDataFrame([(1.0,)], "value double")
     with pytest.raises(ValueError):
         display.bin_values(px, [0, 1, 2], ["a"])
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_crowded_join_gives_the_plain_rows(spark, how):
+    rng = random.Random(12)
+    rows = [(1 if rng.random() < 0.6 else rng.randrange(9), rng.randrange(5)) for _ in range(900)] + [(None, 1)]
+    left = spark.createDataFrame(rows, "k long, v long").repartition(6)
+    right = spark.createDataFrame([(rng.randrange(12), rng.randrange(5)) for _ in range(60)] + [(None, 3)], "k long, w long")
+    got = crowded_join(left, right, ["k"], F.col("v") < F.col("w"), how, crowd=50)
+    plain = left.join(right.select(F.col("k").alias("_r_k"), "w"), (F.col("k") == F.col("_r_k")) & (F.col("v") < F.col("w")), how)
+    key = lambda r: tuple((x is None, x) for x in r)
+    columns = ["k", "v", "w"] if how in ("inner", "left") else ["k", "v"]
+    assert sorted(map(key, got.select(*columns).collect())) == sorted(map(key, plain.select(*columns).collect()))
+
+
+def test_half_the_points_in_one_tile(spark):
+    """Parts of a crowded tile are about equal, and its polygons are repeated there alone."""
+    n = 40_000
+    spread = F.rand(5) * 100
+    points = spark.range(n).select("id", F.when(F.col("id") < n / 2, 3.3).otherwise(spread).alias("lon"), F.when(F.col("id") < n / 2, 4.4).otherwise(F.rand(6) * 100).alias("lat"))
+    points = cut_lineage(points.repartition(8))
+    tiles = spatial.tile_points(points, "lon", "lat", 25.0)
+    marked = crowded_join(tiles, spark.createDataFrame([(0, 0), (1, 1), (2, 3)], "_tx long, _ty long"), ["_tx", "_ty"], F.lit(True), crowd=2000)
+    held = marked.groupBy("_tx", "_ty").count().collect()
+    assert sorted(r["count"] for r in held)[-1] > n / 2
+    squares = [[(x, y), (x + 10.0, y), (x + 10.0, y + 10.0), (x, y + 10.0), (x, y)] for x in (0.0, 30.0, 70.0) for y in (0.0, 50.0)]
+    polys = spark.createDataFrame([(i, [[{"x": a, "y": b} for a, b in s]]) for i, s in enumerate(squares)], "zone long, rings array<array<struct<x:double,y:double>>>")
+    split = spatial.point_in_polygon(points, polys, 25.0, crowd=2000).select("id", "zone")
+    whole = spatial.point_in_polygon(points, polys, 25.0, crowd=n).select("id", "zone")
+    assert split.exceptAll(whole).isEmpty() and split.count() == whole.count() > n / 2
+    # rows of every part of a tile, as the join deals them
+    parts = tiles.withColumn("_part", F.pmod(F.xxhash64(*tiles.columns, F.spark_partition_id()), F.lit(11))).where("_tx = 0 and _ty = 0")
+    sizes = sorted(r["count"] for r in parts.groupBy("_part").count().collect())
+    assert len(sizes) == 11 and sizes[-1] < 2 * sizes[len(sizes) // 2]
+
+
+def test_nearest_with_half_the_points_in_one_tile(spark):
+    rng = random.Random(14)
+    places = [(i, 5 + rng.random() / 1000 if i % 2 else rng.uniform(0, 50), 5 + rng.random() / 1000 if i % 2 else rng.uniform(0, 50)) for i in range(600)]
+    nodes = [(i, rng.uniform(0, 50), rng.uniform(0, 50)) for i in range(400)]
+    points = spark.createDataFrame(places, "id long, lon double, lat double")
+    queries = nearest._distinct_queries(points, "lon", "lat")
+    items = spark.createDataFrame(nodes, "node long, x double, y double").select(
+        F.struct("node", "x", "y").alias("_i"), F.col("x").alias("_ix"), F.col("y").alias("_iy"), F.lit(0.0).alias("_slack")
+    )
+    pairs = nearest.candidate_pairs(queries, items, 1, crowd=20).select("_px", "_py", F.hypot(F.col("_px") - F.col("_i.x"), F.col("_py") - F.col("_i.y")).alias("d"))
+    got = {(r["_px"], r["_py"]): r["d"] for r in pairs.groupBy("_px", "_py").agg(F.min("d").alias("d")).collect()}
+    assert len(got) == 600
+    for (_, x, y) in places:
+        assert got[(x, y)] == pytest.approx(min(((x - a) ** 2 + (y - b) ** 2) ** 0.5 for _, a, b in nodes))
