@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from citygrain.functions.text import to_latin
-from citygrain.scale import exact_quantiles, fill_along, numbered, with_totals
+from citygrain.scale import exact_quantiles, fill_along, join_on, numbered, with_totals
 
 # Indicator names and the factors of the growth series.
 POPULATION = "Total population"
@@ -44,62 +44,97 @@ def has_city(cities: DataFrame, locations: DataFrame) -> DataFrame:
 
 
 def benchmark_cities(cities: DataFrame, candidates: DataFrame, neighbours: DataFrame, start: int = 3, least: int = 4,
-                     most: int = 12, spread: float = 0.5, narrow: float = 0.4) -> DataFrame:
+                     most: int = 12, spread: float = 0.5, narrow: float = 0.4, by: Sequence[str] = ()) -> DataFrame:
     """Comparable cities of each city.
 
-    ``cities`` and ``candidates``: location, country, population. ``neighbours``: country,
-    neighbour, rank (1 is nearest, same region). A candidate is in the city's country, or in one
+    ``cities`` and ``candidates``: location, country, population and the ``by`` columns, such as the year, that keep comparisons
+    apart. ``neighbours``: country, neighbour, rank (1 is nearest, same region). A candidate is in the city's country, or in one
     of its nearest countries with a population within the spread. The countries are widened
     one by one while there are fewer than ``least``, and the spread is narrowed once when there
     are more than ``most``. Totals and the city itself do not count.
+
+    How many candidates a country has within a spread comes from running counts over its populations, which are sorted in
+    narrow classes; pairs are formed only for the countries and the spread that a city ends up with.
     """
-    base = 1.25
-    size = F.floor(F.ln(F.greatest("population", F.lit(1e-9))) / F.ln(F.lit(base)))
+    by = list(by)
+    city = ["location", "country", *by]
     pool = candidates.where(~F.col("location").contains("Total") & (F.col("population") > 0)).select(
-        F.col("location").alias("benchmark"), F.col("country").alias("neighbour"), F.col("population").alias("_p"),
-        size.alias("_size"),
-    )
-    own = cities.select("location", "country", "population")
-    same = own.join(pool.drop("_size"), F.col("country") == F.col("neighbour")).withColumn("rank", F.lit(0))
-    # population classes make the range an equi join
-    low = F.floor(F.ln(F.greatest(F.col("population") * (1 - spread), F.lit(1e-9))) / F.ln(F.lit(base)))
-    high = F.floor(F.ln(F.greatest(F.col("population") * (1 + spread), F.lit(1e-9))) / F.ln(F.lit(base)))
-    near = (
-        own.join(neighbours.select("country", "neighbour", "rank"), "country")
-        .withColumn("_size", F.explode(F.sequence(low, high)))
-        .join(pool, ["neighbour", "_size"])
-        .drop("_size")
+        F.col("location").alias("benchmark"), F.col("country").alias("neighbour"), *by, F.col("population").cast("double").alias("_p")
     )
-
-    def within(share: float) -> Column:
-        return F.col("_p").between(F.col("population") * (1 - share), F.col("population") * (1 + share))
-
-    pairs = same.unionByName(near.where(within(spread)).select(*same.columns)).where("benchmark <> location")
-    per_rank = pairs.groupBy("location", "country", "rank").agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.count_if((F.col("rank") == 0) | within(narrow)).alias("_m"),
+    own = cities.select(*city, F.col("population").cast("double").alias("population"))
+    near = own.join(neighbours.select("country", "neighbour", "rank"), "country")
+    per_rank = (
+        _same_country(own, pool, city, by).withColumn("rank", F.lit(0))
+        .unionByName(_within_spread(near, pool, spread, city, by)).groupBy(*city, "rank").agg(F.sum("_n").alias("_n"))
     )
     # one row per neighbouring country: every rank is present so widening counts empty ones too
+    ranks = own.select(*city).distinct()
     ranks = (
-        own.select("location", "country")
-        .join(neighbours.select("country", "rank").distinct(), "country")
-        .unionByName(own.select("location", "country", F.lit(0).alias("rank")))
-        .join(per_rank, ["location", "country", "rank"], "left")
-        .na.fill(0, ["_n"])
+        ranks.join(neighbours.select("country", "rank").distinct(), "country").select(*city, "rank")
+        .unionByName(ranks.withColumn("rank", F.lit(0)))
     )
-    outward = Window.partitionBy("location", "country").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
+    ranks = join_on(ranks, per_rank, [*city, "rank"], "left").na.fill(0, ["_n"])
+    outward = Window.partitionBy(*city).orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
     reached = ranks.withColumn("_total", F.sum("_n").over(outward))
     enough = F.min(F.when((F.col("rank") >= start) & (F.col("_total") >= least), F.col("rank")))
-    chosen = reached.groupBy("location", "country").agg(F.coalesce(enough, F.max("rank")).alias("_k"))
-    totals = (
-        reached.join(chosen, ["location", "country"])
-        .where(F.col("rank") <= F.col("_k"))
-        .groupBy("location", "country", "_k")
-        .agg(F.sum("_n").alias("_found"))
+    chosen = reached.groupBy(*city).agg(F.coalesce(enough, F.max("rank")).alias("_k"))
+    found = join_on(reached, chosen, city).where(F.col("rank") == F.col("_k"))
+    share = F.when(F.col("_total") <= most, F.lit(spread)).otherwise(F.lit(narrow))
+    found = found.select(*city, "_k", share.alias("_share"))
+    out = [*city, "benchmark", F.col("neighbour").alias("benchmark_country")]
+    inside = own.join(pool.withColumn("country", F.col("neighbour")), ["country", *by])
+    picked = join_on(near, found, city).where(F.col("rank") <= F.col("_k"))
+    low, high = F.col("population") * (1 - F.col("_share")), F.col("population") * (1 + F.col("_share"))
+    # population classes make the range an equi join
+    picked = picked.withColumns({"_low": low, "_high": high}).withColumn("_size", F.explode(F.sequence(_size_class("_low"), _size_class("_high"))))
+    outside = picked.join(pool.withColumn("_size", _size_class("_p")), ["neighbour", "_size", *by]).where("_p between _low and _high")
+    return inside.where("benchmark <> location").select(*out).unionByName(
+        outside.where("benchmark <> location").select(*out)
+    )
+
+
+#: Populations of a class differ by this factor at most.
+CLASS = 1.05
+
+
+def _size_class(column: str) -> Column:
+    return F.floor(F.ln(F.greatest(F.col(column), F.lit(1e-9))) / F.ln(F.lit(CLASS)))
+
+
+def _same_country(own: DataFrame, pool: DataFrame, city: list[str], by: list[str]) -> DataFrame:
+    """Candidates in each city's own country, without those of its name."""
+    all_of = pool.groupBy(F.col("neighbour").alias("country"), *by).agg(F.count(F.lit(1)).alias("_all"))
+    named = pool.groupBy(F.col("benchmark").alias("location"), F.col("neighbour").alias("country"), *by).agg(F.count(F.lit(1)).alias("_own"))
+    counted = own.select(*city).distinct().join(all_of, ["country", *by]).join(named, city, "left")
+    return counted.select(*city, (F.col("_all") - F.coalesce("_own", F.lit(0))).alias("_n"))
+
+
+def _within_spread(near: DataFrame, pool: DataFrame, spread: float, city: list[str], by: list[str]) -> DataFrame:
+    """For each city and rank the candidates of that country within the spread, without those of the city's name.
+
+    The ends of the range are sorted among the populations of their class; before them stand the classes below and the
+    populations passed in their own.
+    """
+    low, high = F.col("population") * (1 - spread), F.col("population") * (1 + spread)
+    ends = F.array(
+        F.struct(low.alias("_v"), F.lit(0).alias("_at"), F.lit(-1).alias("_sign")),
+        F.struct(high.alias("_v"), F.lit(2).alias("_at"), F.lit(1).alias("_sign")),
     )
-    picked = pairs.join(totals, ["location", "country"]).where(F.col("rank") <= F.col("_k"))
-    kept = picked.where((F.col("_found") <= most) | (F.col("rank") == 0) | within(narrow))
-    return kept.select("location", "country", "benchmark", F.col("neighbour").alias("benchmark_country"))
+    asked = near.where("population is not null").select(*city, "neighbour", "rank", F.inline(ends))
+    asked = asked.withColumns({"_size": _size_class("_v"), "_one": F.lit(0)})
+    given = pool.select("neighbour", *by, F.col("_p").alias("_v"), _size_class("_p").alias("_size"), F.lit(1).alias("_at"), F.lit(1).alias("_one"))
+    rows = given.unionByName(asked, allowMissingColumns=True)
+    sizes = rows.groupBy("neighbour", *by, "_size").agg(F.sum("_one").alias("_held"))
+    # a few hundred classes of a country
+    below = Window.partitionBy("neighbour", *by).orderBy("_size").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("_below", F.coalesce(F.sum("_held").over(below), F.lit(0))).drop("_held")
+    passed = Window.partitionBy("neighbour", *by, "_size").orderBy("_v", "_at").rowsBetween(Window.unboundedPreceding, 0)
+    placed = rows.withColumn("_passed", F.sum("_one").over(passed)).where("_one = 0")
+    placed = join_on(placed, sizes, ["neighbour", *by, "_size"])
+    counted = placed.groupBy(*city, "rank").agg(F.sum(F.col("_sign") * (F.col("_below") + F.col("_passed"))).alias("_n"))
+    named = near.join(pool.withColumnRenamed("benchmark", "location"), ["location", "neighbour", *by]).where(F.col("_p").between(low, high))
+    own = named.groupBy(*city, "rank").agg((-F.count(F.lit(1))).alias("_n"))
+    return counted.unionByName(own)
 
 
 def benchmark_manual(candidates: DataFrame, pattern: str, extra: Sequence[str], city: str) -> DataFrame:
@@ -118,44 +153,45 @@ def with_group(df: DataFrame, city: Column | str) -> DataFrame:
     return df.withColumns({"group": F.when(own, F.col("location")).otherwise("Benchmark"), "group_ord": F.when(own, 1).otherwise(2)})
 
 
-def national_shares(df: DataFrame, totals: DataFrame) -> DataFrame:
+def national_shares(df: DataFrame, totals: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """A city's share of its country's population, GDP and employment, long and ordered.
 
-    ``df`` and ``totals`` hold location, country, indicator, value of one year; copies count once.
+    ``df`` and ``totals`` hold location, country, indicator, value of one year, or of all years with the year among
+    the ``by`` columns; copies count once.
     """
     names = [POPULATION, EMPLOYMENT, GDP]
-    unique = df.dropDuplicates(["location", "country", "indicator"])
-    wide = indicators_to_columns(unique, names, ["group", "group_ord", "location", "country"])
-    nation = indicators_to_columns(totals.dropDuplicates(["country", "indicator"]), names, ["country"])
-    nation = nation.select("country", *[F.col(n).alias(f"{n}_national") for n in names])
+    by = list(by)
+    unique = df.dropDuplicates(["location", "country", "indicator", *by])
+    wide = indicators_to_columns(unique, names, ["group", "group_ord", "location", "country", *by])
+    nation = indicators_to_columns(totals.dropDuplicates(["country", "indicator", *by]), names, ["country", *by])
+    nation = nation.select("country", *by, *[F.col(n).alias(f"{n}_national") for n in names])
 
     def share(name: str) -> Column:
         return F.try_divide(F.col(name), F.col(f"{name}_national"))
 
-    shares = wide.join(nation, "country").select(
-        "group", "group_ord", "location",
-        share(POPULATION).alias("Population Share"), share(GDP).alias("GDP Share"), share(EMPLOYMENT).alias("Employment Share"),
-    )
-    long = shares.unpivot(
-        ["group", "group_ord", "location"], ["Population Share", "GDP Share", "Employment Share"], "indicator", "share"
+    ids = ["group", "group_ord", "location", *by]
+    shares = wide.join(nation, ["country", *by]).select(
+        *ids, share(POPULATION).alias("Population Share"), share(GDP).alias("GDP Share"), share(EMPLOYMENT).alias("Employment Share")
     )
+    long = shares.unpivot(ids, ["Population Share", "GDP Share", "Employment Share"], "indicator", "share")
     position = F.array_position(F.array(*[F.lit(n) for n in ("GDP Share", "Employment Share", "Population Share")]), F.col("indicator"))
-    return long.withColumn("ord", position.cast("int")).orderBy("group_ord", "ord", "location")
+    return long.withColumn("ord", position.cast("int")).orderBy(*by, "group_ord", "ord", "location")
 
 
-def sector_shares(df: DataFrame, prefix: str, city: str) -> DataFrame:
-    """Median share of each sector per group, ordered by the city's shares with Other last."""
+def sector_shares(df: DataFrame, prefix: str, city: str, by: Sequence[str] = ()) -> DataFrame:
+    """Median share of each sector per group, ordered by the city's shares with Other last; for each value of ``by`` on its own."""
+    by = list(by)
     sectors = df.where(F.col("indicator").startswith(prefix) & ~F.col("indicator").contains("Total"))
     named = clean_labels(sectors, {f"^{re.escape(prefix)}": ""})
-    shares = with_totals(named, ["location", "group"], _sum=F.sum("value")).withColumn(
+    shares = with_totals(named, ["location", "group", *by], _sum=F.sum("value")).withColumn(
         "share", F.try_divide(F.col("value"), F.col("_sum"))
     )
-    medians = exact_quantiles(shares, "share", [0.5], ["group", "indicator"]).withColumnRenamed("q0", "share")
+    medians = exact_quantiles(shares, "share", [0.5], ["group", "indicator", *by]).withColumnRenamed("q0", "share")
     own = medians.where(F.col("group") == city)
-    order = Window.orderBy(F.col("indicator") == "Other", F.desc("share"), "indicator")
     # one row per sector
-    placed = own.select("indicator", F.row_number().over(order).alias("ord"))
-    return medians.join(placed, "indicator", "left")
+    order = Window.partitionBy(*by).orderBy(F.col("indicator") == "Other", F.desc("share"), "indicator")
+    placed = own.select("indicator", *by, F.row_number().over(order).alias("ord"))
+    return medians.join(placed, ["indicator", *by], "left")
 
 
 def clean_labels(df: DataFrame, rules: dict[str, str], column: str = "indicator") -> DataFrame:

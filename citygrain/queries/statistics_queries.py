@@ -468,9 +468,9 @@ def cities_with_indicators(t):
     return ind.has_city(cities, t.indicators())
 
 
-def population_2000(t):
-    return named_indicators(t).where((F.col("indicator") == "Total population") & (F.col("year") == 2000)).select(
-        "location", "country", F.col("value").alias("population")
+def populations(t):
+    return named_indicators(t).where(F.col("indicator") == "Total population").select(
+        "location", "country", "year", F.col("value").alias("population")
     )
 
 
@@ -483,21 +483,23 @@ def country_neighbours(t):
 
 @query(
     "benchmark_cities",
-    f"""WITH p AS (SELECT location, country, value AS pop FROM {NAMED} WHERE indicator = 'Total population' AND year = 2000),
+    f"""WITH p AS (SELECT location, country, year, value AS pop FROM {NAMED} WHERE indicator = 'Total population'),
     c AS (SELECT name, region, (xmin + xmax) / 2 AS cx, (ymin + ymax) / 2 AS cy FROM countries),
     n AS (SELECT a.name AS country, b.name AS neighbour, row_number() OVER (PARTITION BY a.name ORDER BY sqrt((a.cx - b.cx) ** 2 + (a.cy - b.cy) ** 2), b.name) AS rank
       FROM c a JOIN c b ON a.region = b.region AND a.name <> b.name UNION ALL SELECT name, name, 0 FROM c),
-    x AS (SELECT a.location, a.country, n.rank, b.location AS benchmark, b.country AS benchmark_country, b.pop / a.pop AS ratio FROM p a JOIN n USING (country)
-      JOIN p b ON b.country = n.neighbour AND b.location <> a.location AND (n.rank = 0 OR b.pop BETWEEN a.pop * 0.5 AND a.pop * 1.5)),
-    k AS (SELECT a.location, a.country, n.rank, (SELECT count(*) FROM x WHERE x.location = a.location AND x.country = a.country AND x.rank <= n.rank) AS total FROM p a JOIN n USING (country)),
-    w AS (SELECT location, country, coalesce(min(rank) FILTER (WHERE rank >= 3 AND total >= 4), max(rank)) AS k FROM k GROUP BY ALL),
-    f AS (SELECT w.*, k.total FROM w JOIN k ON k.location = w.location AND k.country = w.country AND k.rank = w.k)
-    SELECT x.location, x.country, benchmark, benchmark_country FROM x JOIN f USING (location, country) WHERE x.rank <= f.k
+    x AS (SELECT a.location, a.country, a.year, n.rank, b.location AS benchmark, b.country AS benchmark_country, b.pop / a.pop AS ratio FROM p a JOIN n USING (country)
+      JOIN p b ON b.country = n.neighbour AND b.year = a.year AND b.location <> a.location AND (n.rank = 0 OR b.pop BETWEEN a.pop * 0.5 AND a.pop * 1.5)),
+    xr AS (SELECT location, country, year, rank, count(*) AS n FROM x GROUP BY ALL),
+    k AS (SELECT a.location, a.country, a.year, n.rank, sum(coalesce(xr.n, 0)) OVER (PARTITION BY a.location, a.country, a.year ORDER BY n.rank) AS total
+      FROM p a JOIN n USING (country) LEFT JOIN xr ON xr.location = a.location AND xr.country = a.country AND xr.year = a.year AND xr.rank = n.rank),
+    w AS (SELECT location, country, year, coalesce(min(rank) FILTER (WHERE rank >= 3 AND total >= 4), max(rank)) AS k FROM k GROUP BY ALL),
+    f AS (SELECT w.*, k.total FROM w JOIN k ON k.location = w.location AND k.country = w.country AND k.year = w.year AND k.rank = w.k)
+    SELECT x.location, x.country, x.year, benchmark, benchmark_country FROM x JOIN f USING (location, country, year) WHERE x.rank <= f.k
       AND (f.total <= 12 OR x.rank = 0 OR ratio BETWEEN 0.6 AND 1.4)""",
 )
 def benchmark_cities(t):
-    p = population_2000(t)
-    return ind.benchmark_cities(p, p, country_neighbours(t))
+    p = populations(t)
+    return ind.benchmark_cities(p, p, country_neighbours(t), by=["year"])
 
 
 @query(
@@ -511,37 +513,34 @@ def benchmark_by_pattern(t):
     return ind.with_group(out, "City 7").select("location", "group")
 
 
-YEAR_2000 = f"(SELECT location, country, indicator, value FROM {NAMED} WHERE year = 2000)"
-
-
 @query(
     "national_shares",
-    f"""WITH c AS (SELECT location, country, max(value) FILTER (WHERE indicator = 'Total population') AS p, max(value) FILTER (WHERE indicator = 'GDP, real, US$ - Total') AS g,
-      max(value) FILTER (WHERE indicator = 'Employment - Total') AS e FROM {YEAR_2000} GROUP BY ALL),
-    n AS (SELECT country, sum(p) AS np, sum(g) AS ng, sum(e) AS ne FROM c GROUP BY country)
-    SELECT location, CASE WHEN location = 'City 7' THEN location ELSE 'Benchmark' END AS "group", i AS indicator, round(CASE i WHEN 'Population Share' THEN p / np
-      WHEN 'GDP Share' THEN g / ng ELSE e / ne END, 6) AS share, cast(o as int) AS ord FROM c JOIN n USING (country), (SELECT unnest(['GDP Share', 'Employment Share', 'Population Share']) AS i, unnest([1, 2, 3]) AS o)""",
+    f"""WITH c AS (SELECT location, country, year, max(value) FILTER (WHERE indicator = 'Total population') AS p, max(value) FILTER (WHERE indicator = 'GDP, real, US$ - Total') AS g,
+      max(value) FILTER (WHERE indicator = 'Employment - Total') AS e FROM {NAMED} GROUP BY ALL),
+    n AS (SELECT country, year, sum(p) AS np, sum(g) AS ng, sum(e) AS ne FROM c GROUP BY ALL)
+    SELECT location, year, CASE WHEN location = 'City 7' THEN location ELSE 'Benchmark' END AS "group", i AS indicator, round(CASE i WHEN 'Population Share' THEN p / np
+      WHEN 'GDP Share' THEN g / ng ELSE e / ne END, 6) AS share, cast(o as int) AS ord FROM c JOIN n USING (country, year), (SELECT unnest(['GDP Share', 'Employment Share', 'Population Share']) AS i, unnest([1, 2, 3]) AS o)""",
 )
 def national_shares(t):
-    year = named_indicators(t).where("year = 2000").select("location", "country", "indicator", "value")
-    totals = year.groupBy("country", "indicator").agg(F.sum("value").alias("value"))
-    out = ind.national_shares(ind.with_group(year, "City 7"), totals)
-    return out.select("location", "group", "indicator", F.round("share", 6).alias("share"), "ord")
+    years = named_indicators(t).select("location", "country", "indicator", "year", "value")
+    totals = years.groupBy("country", "indicator", "year").agg(F.sum("value").alias("value"))
+    out = ind.national_shares(ind.with_group(years, "City 7"), totals, ["year"])
+    return out.select("location", "year", "group", "indicator", F.round("share", 6).alias("share"), "ord")
 
 
 @query(
     "sector_shares",
-    f"""WITH s AS (SELECT location, CASE WHEN location = 'City 7' THEN location ELSE 'Benchmark' END AS grp, replace(indicator, 'Employment - ', '') AS indicator, value
-      FROM {YEAR_2000} WHERE indicator LIKE 'Employment - %' AND indicator NOT LIKE '%Total%'),
-    h AS (SELECT grp, indicator, value / sum(value) OVER (PARTITION BY location, grp) AS share FROM s),
-    m AS (SELECT grp, indicator, quantile_cont(share, 0.5) AS share FROM h GROUP BY ALL),
-    o AS (SELECT indicator, row_number() OVER (ORDER BY indicator = 'Other', share DESC, indicator) AS ord FROM m WHERE grp = 'City 7')
-    SELECT grp AS "group", indicator, round(share, 6) AS share, cast(ord as int) AS ord FROM m LEFT JOIN o USING (indicator)""",
+    f"""WITH s AS (SELECT location, year, CASE WHEN location = 'City 7' THEN location ELSE 'Benchmark' END AS grp, replace(indicator, 'Employment - ', '') AS indicator, value
+      FROM {NAMED} WHERE indicator LIKE 'Employment - %' AND indicator NOT LIKE '%Total%'),
+    h AS (SELECT grp, year, indicator, value / sum(value) OVER (PARTITION BY location, grp, year) AS share FROM s),
+    m AS (SELECT grp, year, indicator, quantile_cont(share, 0.5) AS share FROM h GROUP BY ALL),
+    o AS (SELECT indicator, year, row_number() OVER (PARTITION BY year ORDER BY indicator = 'Other', share DESC, indicator) AS ord FROM m WHERE grp = 'City 7')
+    SELECT grp AS "group", year, indicator, round(share, 6) AS share, cast(ord as int) AS ord FROM m LEFT JOIN o USING (indicator, year)""",
 )
 def sector_shares(t):
-    year = named_indicators(t).where("year = 2000").select("location", "country", "indicator", "value")
-    out = ind.sector_shares(ind.with_group(year, "City 7"), "Employment - ", "City 7")
-    return out.select("group", "indicator", F.round("share", 6).alias("share"), "ord")
+    years = named_indicators(t).select("location", "country", "indicator", "year", "value")
+    out = ind.sector_shares(ind.with_group(years, "City 7"), "Employment - ", "City 7", ["year"])
+    return out.select("group", "year", "indicator", F.round("share", 6).alias("share"), "ord")
 
 
 @query(
