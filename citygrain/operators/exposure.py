@@ -183,7 +183,11 @@ def scenario_tables(exposure: DataFrame, value: str, base_year: int = 2020, by:
 
 def scenario_pivot(exposure: DataFrame, value: str, scenarios: Sequence[str], year: str = "settled",
                    by: Sequence[str] = ("city",)) -> DataFrame:
-    """One row per settlement year, one column per scenario label."""
+    """One row per settlement year, one column per scenario label; a label without a column fails."""
+    label = F.col("type")
+    known = label.isNull() | label.isin(*scenarios)
+    missing = F.raise_error(F.concat(F.lit("no column for scenario "), label)).cast("boolean")
+    exposure = exposure.where(F.when(known, F.lit(True)).otherwise(missing))
     return exposure.groupBy(*by, year).agg(
         *[F.max(F.when(F.col("type") == s, F.col(value))).alias(s) for s in scenarios]
     )

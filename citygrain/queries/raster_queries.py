@@ -447,17 +447,26 @@ def flood_scenarios(t):
     return exposure.scenario_tables(scenario_exposure(t), "exposed")
 
 
+# every type of flood in the base year and in three scenarios of a later one
+SCENARIOS = [(kind, year, ssp) for kind in ("coastal", "fluvial", "pluvial") for year, ssp in ((2020, None), (2050, 1), (2050, 2), (2050, 3))]
+
+
+def scenario_name(kind: str, year: int, ssp: int | None) -> str:
+    return f"{kind}_{year}" + (f"_ssp{ssp}" if ssp else "")
+
+
 @query(
     "flood_scenario_pivot",
-    f"""SELECT city, max(exposed) FILTER (WHERE flood_type = 'fluvial' AND year = 2020) AS fluvial_2020,
-      max(exposed) FILTER (WHERE flood_type = 'fluvial' AND year = 2050 AND ssp = 1) AS fluvial_2050_ssp1,
-      max(exposed) FILTER (WHERE flood_type = 'coastal' AND year = 2050 AND ssp = 2) AS coastal_2050_ssp2
-      FROM {SCENARIO_SQL} GROUP BY ALL""",
+    "SELECT city, "
+    + ", ".join(
+        f"max(exposed) FILTER (WHERE flood_type = '{kind}' AND year = {year}{f' AND ssp = {ssp}' if ssp else ''}) AS {scenario_name(kind, year, ssp)}"
+        for kind, year, ssp in SCENARIOS
+    )
+    + f" FROM {SCENARIO_SQL} GROUP BY ALL",
 )
 def flood_scenario_pivot(t):
     long = exposure.scenario_tables(scenario_exposure(t), "exposed").withColumn("settled", F.lit(1))
-    names = ["fluvial_2020", "fluvial_2050_ssp1", "coastal_2050_ssp2"]
-    return exposure.scenario_pivot(long, "exposed", names).drop("settled")
+    return exposure.scenario_pivot(long, "exposed", [scenario_name(*s) for s in SCENARIOS]).drop("settled")
 
 
 # points and lines on rasters ------------------------------------------------------

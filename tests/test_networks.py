@@ -244,6 +244,22 @@ def test_leaps_shorten_a_spread(spark, monkeypatch):
     assert got.agg(F.max("label")).first()[0] == 0 and got.count() == n + 1 and len(rounds) < 70
 
 
+def test_places_just_beyond_the_distance_stay_apart(spark):
+    """Two places of one tiny box, whose corner is within reach of a third place while they are not."""
+    rows, d = [], 1e-10
+    for i, at in enumerate((0.31, 0.377, 0.4123, 0.52017, 0.6333)):
+        x, h = 10.0 * i + at, (1 - d / 4) / math.sqrt(2)
+        rows += [(10 * i, x, at - d), (10 * i + 1, x - d, at), (10 * i + 2, x + h, at + h)]
+        rows += [(10 * i + 5, x + 5, at), (10 * i + 6, x + 5 + 1 - d, at)]
+    apart = [math.dist(a[1:], b[1:]) for a, b in zip(rows[::5], rows[2::5])]
+    assert all(x > 1 for x in apart)
+    nodes = spark.createDataFrame(rows, "node long, x double, y double")
+    got = {r.node: r.cluster for r in topology.merge_clusters(nodes, 0.5).collect()}
+    for i in range(5):
+        assert got[10 * i] == got[10 * i + 1] == 10 * i and 10 * i + 2 not in got
+        assert got[10 * i + 5] == got[10 * i + 6] == 10 * i + 5
+
+
 def test_merge_clusters_crowded(spark):
     rng = random.Random(11)
     # two crowds a little more than the reach apart, a bridge elsewhere, and scattered nodes
