@@ -88,10 +88,10 @@ def graph_tables(nodes: DataFrame, edges: DataFrame, single_edge: bool = False)
     )
 
 
-def unused_nodes(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """Nodes that no edge starts or ends at."""
-    used = edges.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    return nodes.join(used, "node", "left_anti")
+def unused_nodes(nodes: DataFrame, edges: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Nodes that no edge starts or ends at; ``by`` names columns of both tables that keep networks apart."""
+    used = edges.select(*by, F.explode(F.array("u", "v")).alias("node")).distinct()
+    return nodes.join(used, [*by, "node"], "left_anti")
 
 
 def build_graph(nodes: DataFrame, edges: DataFrame, oneway: str | None = None) -> tuple[DataFrame, DataFrame]:

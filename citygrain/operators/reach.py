@@ -120,9 +120,10 @@ def reach(edges: DataFrame, origins: DataFrame, cutoff: float, weight: str = "le
 
 
 def facility_nodes(places: DataFrame, nodes: DataFrame, by: Sequence[str] = ("category",), x: str = "x",
-                   y: str = "y") -> DataFrame:
-    """Distinct nearest nodes of the places, per category."""
-    return nearest_node(places.select(*by, x, y), nodes, x, y).select(*by, "node").distinct()
+                   y: str = "y", within: Sequence[str] = ()) -> DataFrame:
+    """Distinct nearest nodes of the places, per category; ``within`` names columns, such as the city, shared with the nodes."""
+    keys = [*within, *[c for c in by if c not in within]]
+    return nearest_node(places.select(*keys, x, y), nodes, x, y, within).select(*keys, "node").distinct()
 
 
 def isochrone_nodes(edges: DataFrame, origins: DataFrame, thresholds: Sequence[float], weight: str = "length",
@@ -177,28 +178,31 @@ def od_unreached(od: DataFrame, origins: DataFrame, dests: DataFrame) -> DataFra
 
 def od_from_points(nodes: DataFrame, edges: DataFrame, origins: DataFrame, dests: DataFrame, pairs: DataFrame,
                    fail: float, cutoff: float, weight: str = "length",
-                   walk_speed_kmh: float | None = None, x: str = "x", y: str = "y") -> DataFrame:
+                   walk_speed_kmh: float | None = None, x: str = "x", y: str = "y", by: Sequence[str] = ()) -> DataFrame:
     """Costs between points: both ends snapped to nodes, costs found between distinct nodes.
 
     ``origins`` and ``dests`` have ``id``, ``x``, ``y`` in metres; ``pairs`` lists the wanted (origin,
     destination) ids; only their points are snapped and searched from. Pairs further apart than the cutoff
-    get the fail value. With a walking speed the time to and from the snapped nodes is added.
+    get the fail value. With a walking speed the time to and from the snapped nodes is added. ``by`` names columns of all
+    tables, such as the city, that keep networks apart.
     """
-    ends = pairs.select(F.explode(F.array(
-        F.struct(F.lit(True).alias("_from"), F.col("origin").alias("id")), F.struct(F.lit(False).alias("_from"), F.col("destination").alias("id"))
-    )).alias("_e")).select("_e.*").distinct()
-    points = origins.select(F.lit(True).alias("_from"), "id", x, y).unionByName(dests.select(F.lit(False).alias("_from"), "id", x, y))
+    by = list(by)
+    end = lambda origin, column: F.struct(F.lit(origin).alias("_from"), F.col(column).alias("id"))
+    ends = F.explode(F.array(end(True, "origin"), end(False, "destination"))).alias("_e")
+    asked = pairs.select(*by, ends).select(*by, "_e.*").distinct()
+    points = origins.select(*by, F.lit(True).alias("_from"), "id", x, y).unionByName(dests.select(*by, F.lit(False).alias("_from"), "id", x, y))
     # both ends are looked for in one search
-    snapped = cut_lineage(nearest_node(points.join(ends, ["_from", "id"], "left_semi"), nodes, x, y))
-    o = snapped.where("_from").select(F.col("id").alias("origin"), F.col("node").alias("o"), F.col("distance").alias("_od"))
-    d = snapped.where("not _from").select(F.col("id").alias("destination"), F.col("node").alias("d"), F.col("distance").alias("_dd"))
-    placed = cut_lineage(pairs.join(o, "origin").join(d, "destination"))
-    od = od_costs(edges, placed.select(F.col("o").alias("node")), placed.select(F.col("d").alias("node")), cutoff, weight)
-    wanted = placed.join(od, ["o", "d"], "left")
+    snapped = cut_lineage(nearest_node(points.join(asked, [*by, "_from", "id"], "left_semi"), nodes, x, y, by))
+    o = snapped.where("_from").select(*by, F.col("id").alias("origin"), F.col("node").alias("o"), F.col("distance").alias("_od"))
+    d = snapped.where("not _from").select(*by, F.col("id").alias("destination"), F.col("node").alias("d"), F.col("distance").alias("_dd"))
+    placed = cut_lineage(pairs.join(o, [*by, "origin"]).join(d, [*by, "destination"]))
+    starts, goals = (placed.select(*by, F.col(c).alias("node")) for c in ("o", "d"))
+    od = od_costs(edges, starts, goals, cutoff, weight, by=by)
+    wanted = placed.join(od, [*by, "o", "d"], "left")
     cost = F.coalesce("cost", F.lit(float(fail)))
     if walk_speed_kmh:
         cost = cost + (F.col("_od") + F.col("_dd")) / 1000 / walk_speed_kmh * 3600
-    return wanted.select("origin", "destination", cost.alias("cost"))
+    return wanted.select(*by, "origin", "destination", cost.alias("cost"))
 
 
 def decay_name(k: float) -> str:

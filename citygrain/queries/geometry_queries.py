@@ -699,12 +699,11 @@ def nearest_place(t):
     FROM points, countries GROUP BY id, region""",
 )
 def nearest_country(t):
-    out = None
-    for region in range(5):
-        shapes = country_polygons(t).where(F.col("region") == region).select(F.col("name").alias("zone"), "rings")
-        part = nearest.nearest_polygon(t.points(), shapes, 20.0).select("id", F.lit(region).alias("region"), F.round("distance", 6).alias("distance"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    """The nearest country of every region, for every point."""
+    shapes = country_polygons(t).select(F.col("name").alias("zone"), "region", "rings")
+    regions = F.explode(F.array(*[F.lit(r) for r in range(5)])).alias("region")
+    found = nearest.nearest_polygon(t.points().select("*", regions), shapes, 20.0, by=["region"])
+    return found.select("id", "region", F.round("distance", 6).alias("distance"))
 
 
 @query(

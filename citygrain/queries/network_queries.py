@@ -69,11 +69,10 @@ def single_edge_table(t):
 )
 def unused_nodes(t):
     """Nodes that no street of a class touches, for every class."""
-    out = None
-    for road in ("motorway", "primary", "secondary", "residential", "track"):
-        part = graph.unused_nodes(t.nodes(), graph.filter_classes(t.streets(), [road])).select("node", F.lit(road).alias("road"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    streets = t.streets().select("u", "v", F.element_at("highway", 1).alias("road"))
+    classes = F.array(*[F.lit(c) for c in ("motorway", "primary", "secondary", "residential", "track")])
+    every = t.nodes().select("node", F.explode(classes).alias("road"))
+    return graph.unused_nodes(every, streets, ["road"])
 
 
 @query(

@@ -11,6 +11,28 @@ from citygrain.operators import centrality, facility, graph, nearest, places, re
 from citygrain.scale import Rounds
 
 
+def test_cities_are_searched_apart(spark):
+    """Nearest nodes and costs between points of two cities whose nodes lie among each other."""
+    rng = random.Random(31)
+    spots = lambda n: [(i, rng.uniform(0, 9), rng.uniform(0, 9)) for i in range(n)]
+    nodes, places = {c: spots(70) for c in "ab"}, {c: spots(8) for c in "abc"}
+    rows = {c: random_edges(70, 160, ord(c)) for c in "ab"}
+    table = lambda held, schema: spark.createDataFrame([(c, *r) for c in held for r in held[c]], f"city string, {schema}")
+    pairs = {c: [(a, (a + 3) % 8) for a in range(8)] for c in "ab"}
+    found = reach.od_from_points(
+        table(nodes, "node long, x double, y double"), table(rows, "edge long, u long, v long, length double"),
+        table(places, "id long, x double, y double"), table(places, "id long, x double, y double"),
+        table(pairs, "origin long, destination long"), 99.0, 12.0, by=["city"],
+    )
+    near = {(c, i): min(nodes[c], key=lambda n: (math.dist(n[1:], (x, y)), n[0]))[0] for c in "ab" for i, x, y in places[c]}
+    want = {}
+    for c in "ab":
+        for a, b in pairs[c]:
+            cost = costs_by_hand(rows[c], near[c, a]).get(near[c, b], math.inf)
+            want[c, a, b] = cost if cost <= 12 else 99.0
+    assert {(r.city, r.origin, r.destination): r.cost for r in found.collect()} == want
+
+
 def random_edges(n, m, seed):
     rng = random.Random(seed)
     return [(i, rng.randrange(n), rng.randrange(n), float(rng.randint(1, 9))) for i in range(m)]
