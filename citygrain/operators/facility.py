@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citygrain.scale import cut_lineage
+from citygrain.scale import cut_lineage, lookup
 
 
 def _demand(origins: DataFrame, weights: DataFrame | None) -> DataFrame:
@@ -39,12 +39,20 @@ def coverage(od: DataFrame, origins: DataFrame, max_cost: float, chosen: DataFra
     )
 
 
+#: Facilities that are weighed against each other in one job; their overlaps are at most 2 ** TOGETHER rows.
+TOGETHER = 12
+
+
 def greedy_cover(od: DataFrame, origins: DataFrame, p: int | None, max_cost: float, weights: DataFrame | None = None,
-                 forced: Sequence[int] = (), share: float | None = None) -> DataFrame:
+                 forced: Sequence[int] = (), share: float | None = None, together: int = TOGETHER) -> DataFrame:
     """Facilities chosen one at a time for the most uncovered demand.
 
     Stops at ``p`` facilities, or when the wanted share of all demand is covered. Forced
     facilities come first; ties go to the smaller id. One row per choice, in order.
+
+    A job makes as many choices as are certain. It takes the ``together`` facilities of the largest gains and sums the open demand
+    by which of them cover it. From these sums their gains after any choice among them follow. Gains only fall, so a
+    choice is certain while its gain is above what the best facility outside had at the start of the job.
     """
     if p is None and share is None:
         raise ValueError("give the number of facilities or the share to cover")
@@ -52,27 +60,51 @@ def greedy_cover(od: DataFrame, origins: DataFrame, p: int | None, max_cost: flo
     demand = _demand(origins, weights)
     total = demand.agg(F.sum("_w")).first()[0] or 0.0
     target = None if share is None else total * share
-    open_links = links.join(demand, "o")
+    open_links = cut_lineage(links.join(demand, "o"))
     rows, covered = [], 0.0
-    spark = od.sparkSession
     forced_left = list(forced)
-    while (p is None or len(rows) < p) and (target is None or covered < target):
-        gains = open_links.groupBy("d").agg(F.sum("_w").alias("gain"))
-        if forced_left:
-            pick = forced_left.pop(0)
-            found = gains.where(F.col("d") == pick).first()
-            gain = found["gain"] if found else 0.0
-        else:
-            found = gains.orderBy(F.desc("gain"), "d").limit(1).first()
-            if found is None:
+
+    def wanted() -> bool:
+        return (p is None or len(rows) < p) and (target is None or covered < target)
+
+    while wanted():
+        must, forced_left = forced_left[:together], forced_left[together:]
+        ranked, outside = list(dict.fromkeys(must)), None
+        if not must:
+            gains = open_links.groupBy("d").agg(F.sum("_w").alias("gain"))
+            best = gains.orderBy(F.desc("gain"), "d").limit(together + 1).collect()
+            if not best:
+                break
+            ranked = [r["d"] for r in best[:together]]
+            outside = (best[together]["gain"], best[together]["d"]) if len(best) > together else None
+        overlaps = _overlaps(open_links, ranked)
+        picks = []
+        while wanted() and (not must or len(picks) < len(must)):
+            held = {i: sum(w for s, w in overlaps if i in s) for i in range(len(ranked)) if any(i in s for s, _ in overlaps)}
+            if must:
+                i = ranked.index(must[len(picks)])
+            elif held:
+                i = min(held, key=lambda i: (-held[i], ranked[i]))
+            else:
                 break
-            pick, gain = found["d"], found["gain"]
-        covered += gain
-        rows.append((len(rows) + 1, pick, float(gain), covered, covered / total * 100 if total else 0.0))
-        served = links.where(F.col("d") == pick).select("o")
+            gain = float(held.get(i, 0.0))
+            if picks and outside and (-gain, ranked[i]) > (-outside[0], outside[1]):
+                break
+            covered += gain
+            picks.append(ranked[i])
+            rows.append((len(rows) + 1, ranked[i], gain, covered, covered / total * 100 if total else 0.0))
+            overlaps = [(s, w) for s, w in overlaps if i not in s]
+        served = links.where(F.col("d").isin(*picks)).select("o")
         open_links = cut_lineage(open_links.join(served, "o", "left_anti"))
     kind = od.schema["d"].dataType.simpleString()
-    return spark.createDataFrame(rows, f"step int, d {kind}, gain double, covered double, percent double")
+    return od.sparkSession.createDataFrame(rows, f"step int, d {kind}, gain double, covered double, percent double")
+
+
+def _overlaps(open_links: DataFrame, ranked: list) -> list[tuple[set[int], float]]:
+    """Open demand by the set of the ranked facilities (their numbers) that cover it."""
+    number = lookup({d: i for i, d in enumerate(ranked)}, "d")
+    near = open_links.where(F.col("d").isin(*ranked)).groupBy("o").agg(F.max("_w").alias("_w"), F.sort_array(F.collect_set(number)).alias("s"))
+    return [(set(r["s"]), r["w"]) for r in near.groupBy("s").agg(F.sum("_w").alias("w")).collect()]
 
 
 def median_cost(od: DataFrame, origins: DataFrame, chosen: DataFrame, fail: float, weights: DataFrame | None = None) -> DataFrame:

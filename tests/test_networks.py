@@ -461,6 +461,32 @@ def test_betweenness_sampled_sources(spark):
         centrality.betweenness(edges, "node", sources=10)
 
 
+def test_several_choices_a_job_are_the_choices_one_by_one(spark, monkeypatch):
+    rng = random.Random(44)
+    weight = {o: float(rng.randint(0, 6)) for o in range(300)}
+    reach_of = {d: {rng.randrange(300) for _ in range(rng.choice([2, 8, 30]))} for d in range(70)}
+    od = spark.createDataFrame([(o, d, 1.0) for d, held in reach_of.items() for o in held], "o long, d long, cost double")
+    origins = spark.createDataFrame([(o,) for o in weight], "o long")
+    weights = spark.createDataFrame(list(weight.items()), "o long, weight double")
+    jobs = []
+    overlaps = facility._overlaps
+    monkeypatch.setattr(facility, "_overlaps", lambda *x: jobs.append(1) or overlaps(*x))
+    got = [(r.d, r.gain) for r in facility.greedy_cover(od, origins, 40, 2.0, weights, forced=[3, 99, 3]).collect()]
+    open_to, want = {d: set(held) for d, held in reach_of.items()}, []
+    for step in range(40):
+        gains = {d: sum(weight[o] for o in held) for d, held in open_to.items() if held}
+        if step < 3:
+            pick = (3, 99, 3)[step]
+        elif gains:
+            pick = min(gains, key=lambda d: (-gains[d], d))
+        else:
+            break
+        want.append((pick, gains.get(pick, 0.0)))
+        served = set(open_to.get(pick, ()))
+        open_to = {d: held - served for d, held in open_to.items()}
+    assert got == want and len(jobs) <= len(want) / 3
+
+
 def test_greedy_facilities(spark):
     rows = [(o, d, float(abs(o - d))) for o in range(12) for d in range(0, 12, 3)]
     od = spark.createDataFrame(rows, "o long, d long, cost double")
