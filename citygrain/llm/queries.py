@@ -132,14 +132,15 @@ def op8_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document without its byte strings that stand more than once."""
-    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    """Every document without its byte strings that stand more than once, and its passages of 50 words that do."""
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), passages=suffix_dedup.LONG_WORDS)
     return found.select(
         "doc_id",
         "n_bytes",
         (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        "n_passages",
     )
 
 

@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from citygrain.llm.common import WORD_BYTES, binary_column, map_arrow
@@ -490,6 +490,7 @@ def remove_repeats(
     carried: list[str] | None = None,
     characters: bool = False,
     words: bool = False,
+    passages: int | None = None,
 ) -> DataFrame:
     """doc_id (or the ``carried`` columns), n_bytes, spans (start, end) and ``kept``, the bytes left of every text.
 
@@ -501,12 +502,19 @@ def remove_repeats(
 
     With ``words``, ``long`` and ``gram`` count words of letters, digits and non-ASCII characters, A-Z taken as small, and
     a string is a row of words whatever stands between them; ranges are still of bytes, from the first word to the last.
+
+    With ``passages`` there is a column n_passages: the maximal runs of the text that lie in rows of so many words which start
+    anywhere else too. They are found by a second family, and nothing is removed for them.
     """
     carried = carried or ["doc_id"]
     gram = gram or max(long - 255, min(GRAM_WORDS if words else GRAM, long // 2))
     # identical rows share a key; each still counts, as a string in both stands twice
     keyed = docs.withColumn("key", F.xxhash64("doc_id", "text"))
     spans = repeated_spans(keyed, long, gram, batch, group, words).withColumnRenamed("key", "k")
+    if passages:
+        found = repeated_spans(keyed, passages, max(passages - 255, min(GRAM_WORDS, passages // 2)), BATCH_WORDS, group, True)
+        found = found.select(F.col("key").alias("pk"), _run_count("spans").alias("n_passages"))
+        spans = spans.join(found, F.col("k") == F.col("pk"), "full_outer").select(F.coalesce("k", "pk").alias("k"), "spans", "n_passages")
     joined = _packed(keyed, [*carried, "key"]).join(spans, F.col("key") == F.col("k"), "left")
 
     def run(batches) -> Iterator[dict]:
@@ -526,13 +534,26 @@ def remove_repeats(
                 if characters:
                     kept = [k.decode("utf-8", "ignore").encode() for k in kept]
                 out["kept"].append(b"".join(kept))
-            yield {c: batch.column(c) for c in carried} | out
+            more = {"n_passages": batch.column("n_passages")} if passages else {}
+            yield {c: batch.column(c) for c in carried} | out | more
 
     kinds = "".join(f"{c} {docs.schema[c].dataType.simpleString()}, " for c in carried)
     schema = f"{kinds}n_bytes long, spans array<struct<start:long,end:long>>, kept binary"
+    if passages:
+        counted = joined.withColumn("n_passages", F.coalesce("n_passages", F.lit(0).cast("long")))
+        return map_arrow(counted.select("packed", "spans", "n_passages", *carried), run, f"{schema}, n_passages long")
     return map_arrow(joined.select("packed", "spans", *carried), run, schema)
 
 
+def _run_count(spans: str) -> Column:
+    """Maximal runs of overlapping or touching ranges."""
+    begin = F.struct(F.lit(-1).cast("long").alias("end"), F.lit(0).cast("long").alias("n"))
+    step = lambda a, s: F.struct(
+        F.greatest(a["end"], s["end"]).alias("end"), (a["n"] + (s["start"] > a["end"]).cast("long")).alias("n")
+    )
+    return F.aggregate(F.array_sort(spans), begin, step, lambda a: a["n"])
+
+
 def without_repeats(docs: DataFrame, long: int = LONG, words: bool = False) -> DataFrame:
     """The rows of ``docs``, all their columns, with repeated strings cut out of the texts.
 

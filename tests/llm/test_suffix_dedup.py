@@ -131,3 +131,16 @@ def test_words_are_told_apart_wherever_they_stand():
     rows = [r.choice(some) for _ in range(400)]
     codes = w.encode(" ".join(rows).encode())
     assert len(codes) == 400 and len({(x, int(c)) for x, c in zip(rows, codes)}) == len(set(rows)) == len(set(codes.tolist()))
+
+
+def test_passages_are_counted_beside_the_strings(spark):
+    r = random.Random(77)
+    texts = some_texts(r)
+    rows = [(i, t) for i, t in enumerate(texts)] + [(5, texts[5]), (None, texts[9])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    data = [(t or "").encode() for _, t in rows]
+    got = m.remove_repeats(docs, 60, 16, passages=7).collect()
+    strings, passages = brute(data, 60), brute_words(data, 7)
+    want = sorted((str(i), s[2], len(p[1])) for (i, _), s, p in zip(rows, strings, passages))
+    assert sorted((str(g.doc_id), bytes(g.kept), g.n_passages) for g in got) == want
+    assert any(n for *_, n in want)
