@@ -8,6 +8,9 @@ import numpy as np
 WINDOW = 32
 STRIDE = 16
 
+#: Positions whose scores are worked out together, so that they stay in the cache.
+ROWS = 2048
+
 
 class Attention:
     """Next-id probabilities over ``size`` ids from at most ``window`` ids before."""
@@ -28,14 +31,16 @@ class Attention:
         }
         self.mask = np.triu(np.full((window, window), -1e9, np.float32), 1)
         self.scale = np.float32(1 / np.sqrt(width))
+        self._held = np.empty((0, size), np.float32)
 
-    def _states(self, ids: np.ndarray) -> dict:
-        """All inner values for windows of ids (rows)."""
+    def _states(self, ids: np.ndarray, first: int = 0) -> dict:
+        """All inner values for windows of ids (rows), from the position ``first`` on."""
         w, n = self.weights, ids.shape[1]
-        s = {"x": w["embed"][ids] + w["place"][:n]}
-        s["q"], s["k"], s["v"] = (s["x"] @ w[k] for k in ("ask", "key", "value"))
+        x = w["embed"][ids] + w["place"][:n]
+        s = {"x": x[:, first:], "k": x @ w["key"], "v": x @ w["value"]}
+        s["q"] = s["x"] @ w["ask"]
         a = (s["q"] * self.scale) @ s["k"].transpose(0, 2, 1)
-        a += self.mask[:n, :n]
+        a += self.mask[first:n, :n]
         a -= a.max(axis=2, keepdims=True)
         np.exp(a, out=a)
         a /= a.sum(axis=2, keepdims=True)
@@ -45,31 +50,41 @@ class Attention:
         s["z"] = s["h"] + s["u"] @ w["down"]
         return s
 
-    def log_probabilities(self, ids: np.ndarray, rows: np.ndarray, columns: np.ndarray, targets: np.ndarray) -> np.ndarray:
-        """Natural logarithm of the probability of ``targets`` after the given positions of the windows."""
-        z = self._states(ids)["z"][rows, columns]
-        scores = z @ self.weights["out"]
+    def log_probabilities(self, ids: np.ndarray, rows: np.ndarray, columns: np.ndarray, targets: np.ndarray, first: int = 0) -> np.ndarray:
+        """Natural logarithm of the probability of ``targets`` after the given positions of the windows, none before ``first``."""
+        z = self._states(ids, first)["z"][rows, columns - first]
+        out = np.empty(len(targets), z.dtype)
+        for a in range(0, len(targets), ROWS):
+            part = slice(a, a + ROWS)
+            scores = self._scores(z[part])
+            own = scores[np.arange(len(scores)), targets[part]]
+            np.exp(scores, out=scores)
+            out[part] = own - np.log(scores.sum(axis=1))
+        return out
+
+    def _scores(self, z: np.ndarray) -> np.ndarray:
+        """Scores of all ids, at most 0, in a table that the next call takes again."""
+        if len(self._held) < len(z) or self._held.dtype != z.dtype:
+            self._held = np.empty((len(z), self.size), z.dtype)
+        scores = np.matmul(z, self.weights["out"], out=self._held[: len(z)])
         scores += self.weights["bias"]
         scores -= scores.max(axis=1, keepdims=True)
-        own = scores[np.arange(len(targets)), targets]
-        np.exp(scores, out=scores)
-        return own - np.log(scores.sum(axis=1))
+        return scores
 
     def loss(self, ids: np.ndarray, targets: np.ndarray, weight: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean loss over positions of weight 1, and its gradients."""
         w, s = self.weights, self._states(ids)
         n, t, d = s["z"].shape
         flat = s["z"].reshape(-1, d)
-        scores = flat @ w["out"] + w["bias"]
-        scores -= scores.max(axis=1, keepdims=True)
-        p = np.exp(scores)
-        total = p.sum(axis=1, keepdims=True)
+        p = self._scores(flat)
         at, goal, count = np.arange(n * t), targets.ravel(), max(1.0, weight.sum())
-        mean = float(((np.log(total[:, 0]) - scores[at, goal]) * weight.ravel()).sum() / count)
-        p /= total
-        p[at, goal] -= 1
-        p *= weight.ravel()[:, None] / count
-        g = {"out": flat.T @ p, "bias": p.sum(axis=0)}
+        own, share = p[at, goal], (weight.ravel() / count).astype(flat.dtype)
+        np.exp(p, out=p)
+        total = p.sum(axis=1)
+        mean = float(((np.log(total) - own) * share).sum())
+        p *= (share / total)[:, None]
+        p[at, goal] -= share
+        g = {"out": flat.T @ p, "bias": np.ones(len(p), p.dtype) @ p}
         dz = (p @ w["out"].T).reshape(n, t, d)
         sum_of = lambda a, b: np.tensordot(a, b, axes=((0, 1), (0, 1)))
         g["down"] = sum_of(s["u"], dz)
@@ -91,8 +106,11 @@ class Attention:
             dx += part @ w[k].T
         g["place"] = np.zeros_like(w["place"])
         g["place"][:t] = dx.sum(axis=0)
+        # sums by id: rows of one id side by side
+        order = np.argsort(ids.ravel(), kind="stable")
+        present, first = np.unique(ids.ravel()[order], return_index=True)
         g["embed"] = np.zeros_like(w["embed"])
-        np.add.at(g["embed"], ids.ravel(), dx.reshape(-1, d))
+        g["embed"][present] = np.add.reduceat(dx.reshape(-1, d)[order], first, axis=0)
         return mean, g
 
     def train(self, ids: np.ndarray, targets: np.ndarray, weight: np.ndarray, steps: int, rate: float, batch: int = 64, seed: int = 0):

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import count
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +46,7 @@ TRAINED = 1 << 20
 SUMS = 16
 
 #: Windows that go through the model together.
-TOGETHER = 512
+TOGETHER = 128
 
 
 def held_out(doc_id="doc_id"):
@@ -73,7 +73,7 @@ def _sliced(docs: DataFrame) -> DataFrame:
             ids: defaultdict[bytes, int] = defaultdict(count().__next__)
             numbers = [list(map(ids.__getitem__, row)) for row in held["rows"]]
             sizes = np.array([len(x) for x in numbers], np.int64)
-            sequence = np.fromiter((i for row in numbers for i in row), np.int32, sizes.sum())
+            sequence = np.fromiter(chain.from_iterable(numbers), np.int32, sizes.sum())
             learned = sequence[np.repeat(np.array(held["train"], bool), sizes)]
             # planes of bytes, as the upper ones hardly vary
             planes = sequence.view(np.uint8).reshape(-1, 4).T.tobytes()
@@ -130,17 +130,26 @@ class Inputs:
         self.targets[inside] = of_word[sequence]
         self.given = np.concatenate([[self.end], self.targets[:-1]]) if len(self.targets) else self.targets
 
-    def windows(self, keep: np.ndarray | None = None, stride: int = attention.STRIDE):
-        """Windows of ids, their targets, and which positions they score."""
+    def windows(self, keep: np.ndarray | None = None, stride: int = attention.STRIDE, turn: int | None = None):
+        """Windows of ids, their targets, which positions they score and hold, and the first position scored.
+
+        With ``keep`` only those of some texts, with ``turn`` only a share of them: what is left out is not built. Windows
+        that begin a text go together, and so do those that go on in one.
+        """
         start, length, scored, owner = attention.windows(self.sizes, stride=stride)
-        if keep is not None:
-            pick = keep[owner]
-            start, length, scored, owner = start[pick], length[pick], scored[pick], owner[pick]
+        pick = np.ones(len(start), bool) if keep is None else keep[owner]
+        if turn is not None:
+            # a window has the same turn in every round, whatever else the task holds
+            mixed = (np.cumsum(pick).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)
+            pick &= mixed % np.uint64(ROUNDS) == np.uint64(turn)
         reach = np.arange(attention.WINDOW)
-        for a in range(0, len(start), TOGETHER):
-            s, n, f = start[a : a + TOGETHER, None], length[a : a + TOGETHER, None], scored[a : a + TOGETHER, None]
-            at = np.minimum(s + reach, len(self.targets) - 1)
-            yield at, self.given[at], self.targets[at], (reach >= f) & (reach < n), (reach < n), owner[a : a + TOGETHER]
+        for first in np.unique(scored[pick]).tolist():
+            some = np.flatnonzero(pick & (scored == first))
+            for a in range(0, len(some), TOGETHER):
+                part = some[a : a + TOGETHER]
+                at = np.minimum(start[part, None] + reach, len(self.targets) - 1)
+                inside = reach < length[part, None]
+                yield self.given[at], self.targets[at], inside & (reach >= first), inside, owner[part], first
 
 
 def _train(slices: DataFrame, known: np.ndarray, total: int) -> Attention:
@@ -163,10 +172,9 @@ def _train(slices: DataFrame, known: np.ndarray, total: int) -> Attention:
 
             def trained(least: int) -> tuple[int, int]:
                 given, targets, real = (np.concatenate(x) for x in zip(*held))
-                own = np.random.default_rng(task).permutation(len(given))[turn::ROUNDS]
-                n = max(-(-len(own) // BATCH), least) if len(own) else 0
-                local.train(given[own], targets[own], real[own].astype(np.float32), n, 0.01 * 0.5**turn, BATCH, turn)
-                return len(own), n
+                n = max(-(-len(given) // BATCH), least)
+                local.train(given, targets, real.astype(np.float32), n, 0.01 * 0.5**turn, BATCH, turn)
+                return len(given), n
 
             for batch in batches:
                 for i in range(batch.num_rows):
@@ -174,8 +182,9 @@ def _train(slices: DataFrame, known: np.ndarray, total: int) -> Attention:
                     heads = np.asarray(row["heads"].values).astype(np.int64)
                     inputs = Inputs(np.asarray(row["sizes"].values), sequence_of(row["sequence"].as_py()), heads, known)
                     keep = np.array(row["train"].as_py(), bool)
-                    held += [(given, targets, real) for _, given, targets, _, real, _ in inputs.windows(keep, attention.WINDOW)]
-                    if sum(len(x[0]) for x in held) * attention.WINDOW >= TRAINED:
+                    # windows are chosen before they are built
+                    held += [x[:2] + x[3:4] for x in inputs.windows(keep, attention.WINDOW, turn)]
+                    if sum(len(x[0]) for x in held) * attention.WINDOW * ROUNDS >= TRAINED:
                         n, more = trained(0)
                         held, done, steps = [], done + n, steps + more
             if held:
@@ -252,11 +261,12 @@ def score_texts(docs: DataFrame) -> DataFrame:
                 row = {c: batch.column(c)[i] for c in ("doc_id", "train", "sizes", "sequence", "heads", "counts")}
                 held = np.asarray(row["sizes"].values)
                 own = _word_counts(row["counts"].values, len(row["heads"]))
-                inputs = Inputs(held, sequence_of(row["sequence"].as_py()), np.asarray(row["heads"].values).astype(np.int64), known)
+                sequence = sequence_of(row["sequence"].as_py())
+                inputs = Inputs(held, sequence, np.asarray(row["heads"].values).astype(np.int64), known)
                 yield {
                     "doc_id": row["doc_id"].values,
                     "held_out": [not t for t in row["train"].as_py()],
-                } | _scores(model, inputs, held, sequence_of(row["sequence"].as_py()), own, ends, total, distinct, within)
+                } | _scores(model, inputs, held, sequence, own, ends, total, distinct, within)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     scored = map_arrow(
@@ -284,9 +294,9 @@ def _scores(model, inputs: Inputs, sizes, sequence, counts, ends, total, distinc
     base = word_part - (sizes + 1) * np.log10(total + 0.5 * (distinct + 1))
     all_owners = np.repeat(np.arange(n), inputs.sizes)
     score = word_part - np.bincount(all_owners, within[inputs.targets], n)
-    for _, given, targets, scored, _, text in inputs.windows():
+    for given, targets, scored, _, text, first in inputs.windows():
         rows, columns = np.nonzero(scored)
-        found = model.log_probabilities(given, rows, columns, targets[rows, columns])
+        found = model.log_probabilities(given, rows, columns, targets[rows, columns], first)
         score += np.bincount(text[rows], found, n) / np.log(10)
     return {
         "n_tokens": sizes + 1,

@@ -109,3 +109,51 @@ def test_every_training_token_is_trained_on(spark, monkeypatch, tmp_path):
     lines = [x.split() for f in tmp_path.iterdir() for x in f.read_text().splitlines()]
     assert sum(int(n) for n, _ in lines) == found.train_tokens
     assert all(x == "True" for _, x in lines)
+
+
+def test_turns_share_out_all_windows():
+    r = np.random.default_rng(4)
+    sizes = r.integers(0, 90, 60)
+    inputs = lm.Inputs(sizes, np.arange(sizes.sum()) % 50, np.arange(50), np.arange(20))
+    keep = r.random(60) < 0.7
+    rows = lambda turn: [tuple(x) for part in inputs.windows(keep, attention.WINDOW, turn) for x in np.c_[part[0], part[1], part[3]].tolist()]
+    shares = [rows(turn) for turn in range(lm.ROUNDS)]
+    assert sorted(x for s in shares for x in s) == sorted(rows(None))
+    assert all(0.5 * len(rows(None)) / lm.ROUNDS < len(s) < 2 * len(rows(None)) / lm.ROUNDS for s in shares)
+
+
+def test_score_by_hand(spark):
+    """The score of every text position by position, from the weights that training leaves."""
+    texts = ["the cat sat on the mat " * 9, "a dog", "", "cats and dogs and cats " * 20, "the the the"] * 4
+    rows = [(i, t) for i, t in enumerate(texts)]
+    kept = {}
+    train = lm._train
+    lm._train = lambda *x: kept.setdefault("model", train(*x))
+    try:
+        got = {x.doc_id: x.score for x in lm.score_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    finally:
+        lm._train = train
+    model = kept["model"]
+    learn = [t.encode().lower().split() for i, t in rows if zlib.crc32(str(i).encode()) % 5 != 1]
+    counts = {}
+    for w in (w for row in learn for w in [*row, None]):
+        counts[w] = counts.get(w, 0) + 1
+    heads = {}
+    for w, c in counts.items():
+        if w is not None:
+            n, v = heads.get(lm.subword(w), (0, 0))
+            heads[lm.subword(w)] = n + c, v + 1
+    known = sorted(heads)
+    within = [heads[h][0] + 0.5 * (heads[h][1] + 1) for h in known] + [0.5, counts[None] + 1.0]
+    for i, t in rows:
+        words = [*t.encode().lower().split(), None]
+        ids = [len(known) + 1 if w is None else known.index(lm.subword(w)) if lm.subword(w) in heads else len(known) for w in words]
+        given = [len(known) + 1, *ids[:-1]]
+        want = 0.0
+        for p, w in enumerate(words):
+            # the window that scores this position begins a multiple of the stride before it
+            start = 0 if p < attention.WINDOW else (p - attention.WINDOW) // attention.STRIDE * attention.STRIDE + attention.STRIDE
+            at = np.array([given[start : p + 1]])
+            want += model.log_probabilities(at, np.array([0]), np.array([p - start]), np.array([ids[p]]))[0] / math.log(10)
+            want += math.log10(counts.get(w, 0) + 0.5) - math.log10(within[ids[p]])
+        assert abs(want - got[i]) < 1e-3 * max(1, abs(want)), (i, want, got[i])

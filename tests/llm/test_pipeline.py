@@ -76,7 +76,7 @@ def test_stages_keep_columns_and_take_empty_tables(spark, tmp_path):
 
 def test_registered():
     names = set(__spark_entry__.queries())
-    assert {f"op{n}" for n in range(1, 11)} <= {n.split("_")[0] for n in names}
+    assert {f"op{n}" for n in range(1, 14)} <= {n.split("_")[0] for n in names}
     assert "pipeline" in names
     assert set(__spark_entry__.oracle_sql()) <= names
     assert [n for n, _ in p.STAGES] == ["toxicity", "simhash", "suffix_dedup", "decontamination", "bpe"]
