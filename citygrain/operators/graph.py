@@ -104,12 +104,13 @@ def build_graph(nodes: DataFrame, edges: DataFrame, oneway: str | None = None) -
     return nodes, reflect_edges(kept, oneway) if oneway else kept
 
 
-def reflect_edges(edges: DataFrame, oneway: str | None = None, only_missing: bool = False) -> DataFrame:
-    """Add the reverse of every two-way edge, or only of edges whose reverse is missing."""
+def reflect_edges(edges: DataFrame, oneway: str | None = None, only_missing: bool = False,
+                  by: Sequence[str] = ()) -> DataFrame:
+    """Add the reverse of every two-way edge, or only of edges whose reverse is missing; ``by`` keeps networks apart."""
     source = edges.where(~F.coalesce(F.col(oneway), F.lit(False))) if oneway else edges
     if only_missing:
-        present = edges.select(F.col("u").alias("v"), F.col("v").alias("u")).distinct()
-        source = source.join(present, ["u", "v"], "left_anti").select(*edges.columns)
+        present = edges.select(*by, F.col("u").alias("v"), F.col("v").alias("u")).distinct()
+        source = join_on(source, present, [*by, "u", "v"], "left_anti").select(*edges.columns)
     swapped = source.withColumns({"u": F.col("v"), "v": F.col("u")})
     if "line" in edges.columns:
         swapped = swapped.withColumn("line", F.reverse("line"))
@@ -211,13 +212,13 @@ def disrupt_random(edges: DataFrame, percent: float, fail: float, seed: int = 0,
     )
 
 
-def drop_parallel(edges: DataFrame, max_ratio: float = 1.5) -> DataFrame:
-    """Of parallel edges with nearly the same length keep the first; longer detours all stay."""
-    groups = edges.groupBy("u", "v").agg(
+def drop_parallel(edges: DataFrame, max_ratio: float = 1.5, by: Sequence[str] = ()) -> DataFrame:
+    """Of parallel edges with nearly the same length keep the first; longer detours all stay. ``by`` keeps networks apart."""
+    groups = edges.groupBy(*by, "u", "v").agg(
         F.min("edge").alias("_first"), F.try_divide(F.max("length"), F.min("length")).alias("_ratio")
     )
     return (
-        edges.join(groups, ["u", "v"])
+        join_on(edges, groups, [*by, "u", "v"])
         .where(F.col("_ratio").isNull() | (F.col("_ratio") >= max_ratio) | (F.col("edge") == F.col("_first")))
         .select(*edges.columns)
     )

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from citygrain.functions import geometry as geo
 from citygrain.functions.crs import project
 from citygrain.grid import Grid
-from citygrain.scale import crowded_join
+from citygrain.scale import crowded_join, join_on
 
 def identified(polys: DataFrame) -> DataFrame:
     """Polygon rows with a key made of all their columns."""
@@ -385,10 +385,12 @@ def edges_in(edges: DataFrame, nodes: DataFrame, polys: DataFrame, size: float,
     return ends.where(hit).select(*edges.columns)
 
 
-def straight_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Edges with the coordinates of both end nodes as x1, y1, x2, y2."""
-    a = nodes.select(F.col("node").alias("u"), F.col("x").alias("x1"), F.col("y").alias("y1"))
-    b = nodes.select(F.col("node").alias("v"), F.col("x").alias("x2"), F.col("y").alias("y2"))
+def straight_edges(edges: DataFrame, nodes: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Edges with the coordinates of both end nodes as x1, y1, x2, y2; ``by`` keeps networks apart."""
+    a = nodes.select(*by, F.col("node").alias("u"), F.col("x").alias("x1"), F.col("y").alias("y1"))
+    b = nodes.select(*by, F.col("node").alias("v"), F.col("x").alias("x2"), F.col("y").alias("y2"))
+    if by:
+        return join_on(join_on(edges, a, [*by, "u"]), b, [*by, "v"])
     return edges.join(a, "u").join(b, "v")
 
 

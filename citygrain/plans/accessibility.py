@@ -1,8 +1,8 @@
-"""Accessibility assessment: facilities to walking zones, without intermediate files."""
+"""Accessibility assessment: places to walking zones, without intermediate files."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,28 +10,55 @@ from pyspark.sql import functions as F
 from citygrain.grid import Grid
 from citygrain.operators import reach, shapes
 from citygrain.operators.spatial import straight_edges
+from citygrain.scale import join_on
 
 
-def isochrone_footprints(edges: DataFrame, nodes: DataFrame, origins: DataFrame, thresholds: Sequence[float],
-                         radius: float, grid: Grid, carry: Sequence[str] = ("category",), fill: bool = False) -> DataFrame:
-    """Cells near the streets between reached nodes, per category and threshold, from one search."""
-    reached = reach.isochrone_nodes(edges, origins, thresholds, carry=carry)
-    keys = [*carry, "threshold"]
+def isochrone_footprints(edges: DataFrame, nodes: DataFrame, origins: DataFrame,
+                         thresholds: Sequence[float] | Mapping[str, Sequence[float]], radius: float, grid: Grid,
+                         carry: Sequence[str] = ("category",), fill: bool = False, by: Sequence[str] = ()) -> DataFrame:
+    """Cells near the streets between reached nodes, per category and threshold, from one search.
+
+    Thresholds can be given for each value of the first ``carry`` column; other values have no zones then. ``by`` names columns,
+    such as the city, shared by edges, nodes and origins, that keep networks apart.
+    """
+    if isinstance(thresholds, Mapping):
+        wanted = {float(t) for each in thresholds.values() for t in each}
+        origins = origins.where(F.col(carry[0]).isin(*thresholds))
+        reached = reach.isochrone_nodes(edges, origins, sorted(wanted), by=by, carry=carry)
+        mine = F.lit(False)
+        for name, limits in thresholds.items():
+            mine = mine | ((F.col(carry[0]) == name) & F.col("threshold").isin(*[float(t) for t in limits]))
+        reached = reached.where(mine)
+    else:
+        reached = reach.isochrone_nodes(edges, origins, thresholds, by=by, carry=carry)
+    keys = [*by, *carry, "threshold"]
     here = reached.select(*keys, "node")
-    inside = (
-        straight_edges(edges.select("u", "v").distinct(), nodes)
-        .join(here.withColumnRenamed("node", "u"), "u")
-        .join(here.withColumnRenamed("node", "v"), [*keys, "v"], "left_semi")
-    )
-    spots = here.join(nodes, "node").select(
+    lines = straight_edges(edges.select(*by, "u", "v").distinct(), nodes, by)
+    inside = join_on(lines, here.withColumnRenamed("node", "u"), [*by, "u"])
+    inside = join_on(inside, here.withColumnRenamed("node", "v"), [*keys, "v"], "left_semi")
+    spots = join_on(here, nodes, [*by, "node"]).select(
         *keys, F.col("x").alias("x1"), F.col("y").alias("y1"), F.col("x").alias("x2"), F.col("y").alias("y2")
     )
     segments = inside.select(*keys, "x1", "y1", "x2", "y2").unionByName(spots)
     return shapes.footprint(segments, radius, grid, keys, fill)
 
 
-def isochrone_bands(edges: DataFrame, nodes: DataFrame, origins: DataFrame, thresholds: Sequence[float],
-                    radius: float, grid: Grid, carry: Sequence[str] = ("category",), fill: bool = False) -> DataFrame:
+def isochrone_bands(edges: DataFrame, nodes: DataFrame, origins: DataFrame,
+                    thresholds: Sequence[float] | Mapping[str, Sequence[float]], radius: float, grid: Grid,
+                    carry: Sequence[str] = ("category",), fill: bool = False, by: Sequence[str] = ()) -> DataFrame:
     """The footprints with every cell in its smallest zone."""
-    cells = isochrone_footprints(edges, nodes, origins, thresholds, radius, grid, carry, fill)
-    return shapes.distance_bands(cells, carry)
+    cells = isochrone_footprints(edges, nodes, origins, thresholds, radius, grid, carry, fill, by)
+    return shapes.distance_bands(cells, [*by, *carry])
+
+
+def zones_of_places(places: DataFrame, edges: DataFrame, nodes: DataFrame,
+                    thresholds: Sequence[float] | Mapping[str, Sequence[float]], radius: float, grid: Grid,
+                    category: str = "category", by: Sequence[str] = ("city",), fill: bool = False) -> DataFrame:
+    """From places (x, y and their category) to zones: the nearest nodes that have a street, the search, the cells.
+
+    A place without coordinates, or in a city without streets, has no zone.
+    """
+    used = edges.select(*by, F.explode(F.array("u", "v")).alias("node")).distinct()
+    known = join_on(nodes, used, [*by, "node"], "left_semi")
+    origins = reach.facility_nodes(places, known, [category], within=by)
+    return isochrone_bands(edges, nodes, origins, thresholds, radius, grid, [category], fill, by)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 
 from citygrain.grid import Grid
-from citygrain.operators import exposure, pixels
+from citygrain.operators import exposure, pixels, spatial
 
 
 def composite_hazard(
@@ -27,7 +27,14 @@ def settlement_exposure(
     by: Sequence[str] = ("city",),
     scale: float = 1.0,
     settled_grid: Grid | None = None,
+    areas: DataFrame | None = None,
 ) -> DataFrame:
-    """Cumulative built-up area exposed, by settlement year; zero where a hazard meets no settlement."""
+    """Cumulative built-up area exposed, by settlement year; zero where a hazard meets no settlement.
+
+    With ``areas`` (rings, and the ``by`` columns it has) depths are cut to every touched cell of the city's area first; a city
+    without an area has no rows then.
+    """
+    if areas is not None:
+        depth = spatial.clip(depth, areas, grid, True, [b for b in by if b in areas.columns])
     hazard = composite_hazard(depth, threshold, return_period, by)
     return exposure.exposure_by_year(hazard, settled, grid, years, by, scale, settled_grid)

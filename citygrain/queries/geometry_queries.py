@@ -11,6 +11,7 @@ from citygrain.functions import crs, geometry as geo, tiles
 from citygrain.functions.text import slug
 from citygrain.grid import Grid
 from citygrain.operators import nearest, places, spatial, topology
+from citygrain.plans import flood
 from citygrain.queries.registry import query
 
 
@@ -612,6 +613,22 @@ def clip_touched(t):
     return spatial.clip(t.people(), raster_zones(t), CLIP_GRID, True, ("city",), 32)
 
 
+@query(
+    "flood_exposure_in_areas",
+    f"""WITH p AS (SELECT h.city, h.x, h.y, max(h.value) AS depth, bool_or(h.value >= 45) AS flooded FROM hazard h WHERE EXISTS (SELECT 1 FROM {RASTER_ZONES} z
+      WHERE z.city = h.city AND greatest(h.x - cx, cx - h.x - 1, 0) + greatest(h.y - cy, cy - h.y - 1, 0) <= r) GROUP BY ALL),
+    n AS (SELECT p.city, s.value AS year, count(*) AS n FROM p JOIN settled s USING (city, x, y) WHERE flooded GROUP BY ALL),
+    spine AS (SELECT city, unnest(range(1995, 2003)) AS year FROM (SELECT DISTINCT city FROM p))
+    SELECT spine.city, cast(spine.year as int) AS year, cast(sum(coalesce(n, 0)) OVER (PARTITION BY spine.city ORDER BY spine.year) as double) AS cumulative_area
+    FROM spine LEFT JOIN n ON n.city = spine.city AND n.year = spine.year""",
+)
+def flood_exposure_in_areas(t):
+    """Built-up area exposed inside the city's areas: clip, probability, composite and exposure in one plan."""
+    period = F.when(F.col("layer") == "A", 10.0).when(F.col("layer") == "N", 100.0).otherwise(1000.0)
+    years = range(1995, 2003)
+    return flood.settlement_exposure(t.hazard(), t.settled(), CLIP_GRID, 45.0, period, years, areas=raster_zones(t).select("city", "rings"))
+
+
 @query(
     "clip_layers",
     f"""SELECT DISTINCT z.city, h.layer, h.x, h.y, h.value FROM (SELECT layer, x, y, max(value) AS value FROM hazard

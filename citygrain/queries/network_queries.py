@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from citygrain.grid import Grid
 from citygrain.operators import centrality, facility, graph, reach, shapes, spatial, topology
-from citygrain.plans import accessibility
+from citygrain.plans import accessibility, roads
 from citygrain.queries.registry import query
 
 SPEED_CASE = "CASE road WHEN 'motorway' THEN 50 WHEN 'primary' THEN 40 WHEN 'secondary' THEN 30 ELSE 20 END"
@@ -343,7 +343,73 @@ def contracted_chains(t):
     return out
 
 
-@query("cleaned_network")
+def chains_sql(src: str, out: str) -> str:
+    """Table ``out``: the edges of ``src`` (road, edge, u, v, length) with chains contracted, in each road class."""
+    return f"""{out}_ends AS (SELECT road, u AS node, v AS other FROM {src} UNION ALL SELECT road, v, u FROM {src}),
+    {out}_inner AS (SELECT road, node FROM {out}_ends GROUP BY road, node
+      HAVING count(DISTINCT other) = 2 AND count(*) IN (2, 4) AND NOT bool_or(node = other)),
+    {out}_next AS (SELECT b.road, b.edge, min(a.edge) AS prev FROM {src} a JOIN {out}_inner i ON i.road = a.road AND i.node = a.v
+      JOIN {src} b ON b.road = a.road AND b.u = a.v AND b.v <> a.u GROUP BY b.road, b.edge),
+    {out}_link AS MATERIALIZED (SELECT road, min(edge) AS edge, prev FROM {out}_next GROUP BY road, prev),
+    {out}_walk(road, edge, chain, pos) AS (SELECT road, edge, edge, 0 FROM {src} s
+        WHERE NOT EXISTS (SELECT 1 FROM {out}_link l WHERE l.road = s.road AND l.edge = s.edge)
+      UNION ALL SELECT l.road, l.edge, chain, pos + 1 FROM {out}_walk w JOIN {out}_link l ON l.road = w.road AND l.prev = w.edge),
+    {out}_all AS (SELECT * FROM {out}_walk UNION ALL SELECT road, edge, edge, 0 FROM {src} s
+      WHERE NOT EXISTS (SELECT 1 FROM {out}_walk w WHERE w.road = s.road AND w.edge = s.edge)),
+    {out} AS MATERIALIZED (SELECT road, chain AS edge, arg_min(u, pos) AS u, arg_max(v, pos) AS v, sum(length) AS length
+      FROM {out}_all JOIN {src} USING (road, edge) GROUP BY road, chain)"""
+
+
+def cleaning_sql(streets: str, near: str) -> str:
+    """Tables that clean ``streets``: ``near`` has the pairs (road, u, v) of close nodes, both ways; the result is ``cleaned``."""
+
+    def both_ways(src: str) -> str:
+        return f"""SELECT road, edge, u, v, length FROM {src} UNION ALL SELECT road, edge || '/r', v, u, length FROM {src} s
+      WHERE NOT EXISTS (SELECT 1 FROM {src} r WHERE r.road = s.road AND r.u = s.v AND r.v = s.u)"""
+
+    return f"""before AS MATERIALIZED ({streets}), near AS MATERIALIZED ({near}),
+    cc(road, node, label) USING KEY (road, node) AS (SELECT DISTINCT road, u, u FROM near
+      UNION SELECT road, v, min(label) FROM (SELECT near.road, near.v, cc.label FROM cc JOIN near ON near.road = cc.road AND near.u = cc.node) n
+      WHERE label < (SELECT k.label FROM recurring.cc k WHERE k.road = n.road AND k.node = n.v) GROUP BY road, v),
+    named AS MATERIALIZED (SELECT road, node, 'c' || label AS c FROM cc),
+    merged AS MATERIALIZED (SELECT e.road, cast(edge as varchar) AS edge, coalesce(a.c, cast(u as varchar)) AS u, coalesce(b.c, cast(v as varchar)) AS v,
+      length FROM before e LEFT JOIN named a ON a.road = e.road AND a.node = u LEFT JOIN named b ON b.road = e.road AND b.node = v
+      WHERE a.c IS NULL OR b.c IS NULL OR a.c <> b.c),
+    reflected AS MATERIALIZED ({both_ways("merged")}),
+    {chains_sql("reflected", "first")},
+    ratio AS (SELECT road, u, v, min(edge) AS lead, max(length) / min(length) AS r FROM first GROUP BY road, u, v),
+    fewer AS MATERIALIZED (SELECT first.* FROM first JOIN ratio USING (road, u, v) WHERE r >= 1.5 OR edge = lead),
+    {chains_sql("fewer", "second")},
+    cleaned AS MATERIALIZED ({both_ways("second")})"""
+
+
+CLOSE_PLACES = """WITH touched AS (SELECT road, u AS node FROM streets UNION SELECT road, v FROM streets),
+      placed AS MATERIALIZED (SELECT road, node, lon, lat FROM touched JOIN points ON id = node)
+    SELECT a.road, a.node AS u, b.node AS v FROM placed a JOIN placed b ON a.road = b.road AND a.node <> b.node
+      AND abs(a.lon - b.lon) <= 1.6 AND abs(a.lat - b.lat) <= 1.6 AND sqrt((a.lon - b.lon) ** 2 + (a.lat - b.lat) ** 2) <= 1.6"""
+
+
+@query(
+    "cleaned_networks",
+    f"""WITH RECURSIVE {cleaning_sql("SELECT road, edge, u, v, length FROM streets", CLOSE_PLACES)}
+    SELECT road, edge, u, v, length FROM cleaned""",
+)
+def cleaned_networks(t):
+    """The streets of every class as a network of its own, cleaned: all edges that are left."""
+    streets = t.streets().select(F.element_at("highway", 1).alias("road"), "edge", "u", "v", "length")
+    touched = streets.select("road", F.explode(F.array("u", "v")).alias("node")).distinct()
+    nodes = touched.join(t.points().select(F.col("id").alias("node"), F.col("lon").alias("x"), F.col("lat").alias("y")), "node")
+    final, _ = topology.clean_network(nodes, streets, 0.8, ["road"])
+    return final.select("road", "edge", "u", "v", "length")
+
+
+@query(
+    "cleaned_network",
+    f"""WITH RECURSIVE {cleaning_sql("SELECT '' AS road, edge, u, v, length FROM streets",
+    "SELECT '' AS road, a.node AS u, b.node AS v FROM nodes a JOIN nodes b ON a.node <> b.node AND abs(a.x - b.x) <= 0.004 AND abs(a.y - b.y) <= 0.004")}
+    SELECT (SELECT count(*) FROM before) AS edges_before, (SELECT count(*) FROM cleaned) AS edges_after,
+      ((SELECT count(*) FROM before) - (SELECT count(*) FROM cleaned)) / (SELECT count(*) FROM before)::double * 100 AS removed_pct""",
+)
 def cleaned_network(t):
     nodes = t.nodes().select("node", "x", "y")
     _, summary = topology.clean_network(nodes, t.streets().select("edge", "u", "v", "length"), 0.002)
@@ -475,7 +541,35 @@ def isochrone_nodes(t):
     return out.withColumn("cost", F.round("cost", 6))
 
 
-@query("isochrone_bands")
+def footprint_sql(radius: float) -> str:
+    """Table ``zoned`` (keys of ``segs``, x, y): cells of a grid of 0.002 whose centre is within the radius of a segment."""
+    return f"""tried AS (SELECT *, unnest(range(cast(floor((least(y1, y2) - {radius}) / 0.002) as int), cast(floor((greatest(y1, y2) + {radius}) / 0.002) as int) + 1)) AS y
+      FROM (SELECT *, unnest(range(cast(floor((least(x1, x2) - {radius}) / 0.002) as int), cast(floor((greatest(x1, x2) + {radius}) / 0.002) as int) + 1)) AS x FROM segs)),
+    foot AS (SELECT *, (x + 0.5) * 0.002::double AS px, (y + 0.5) * 0.002::double AS py, (x2 - x1) ** 2 + (y2 - y1) ** 2 AS d2 FROM tried),
+    along AS (SELECT *, CASE WHEN d2 = 0 THEN 0 ELSE greatest(0, least(1, ((px - x1) * (x2 - x1) + (py - y1) * (y2 - y1)) / d2)) END AS w FROM foot),
+    zoned AS MATERIALIZED (SELECT DISTINCT road, category, threshold, x, y FROM along
+      WHERE sqrt((px - x1 - w * (x2 - x1)) ** 2 + (py - y1 - w * (y2 - y1)) ** 2) <= {radius})"""
+
+
+# whatever the surroundings of a zone cannot be entered from outside belongs to it
+FILLED = """box AS MATERIALIZED (SELECT road, category, threshold, min(x) - 1 AS x1, max(x) + 1 AS x2, min(y) - 1 AS y1, max(y) + 1 AS y2 FROM zoned GROUP BY ALL),
+    spots AS (SELECT *, unnest(range(y1, y2 + 1)) AS y FROM (SELECT *, unnest(range(x1, x2 + 1)) AS x FROM box)),
+    free AS MATERIALIZED (SELECT road, category, threshold, x, y FROM spots ANTI JOIN zoned USING (road, category, threshold, x, y)),
+    outside(road, category, threshold, x, y) AS (SELECT road, category, threshold, x1, y1 FROM box
+      UNION SELECT f.road, f.category, f.threshold, f.x, f.y FROM outside o, (VALUES (1, 0), (-1, 0), (0, 1), (0, -1)) d(dx, dy), free f
+        WHERE f.road = o.road AND f.category = o.category AND f.threshold = o.threshold AND f.x = o.x + dx AND f.y = o.y + dy)"""
+
+
+@query(
+    "isochrone_bands",
+    f"""WITH RECURSIVE {REACH.format(cutoff=500)},
+    z AS (SELECT '' AS road, category, node, t AS threshold FROM r JOIN (SELECT unnest([300.0, 500.0])::double AS t) ON cost <= t),
+    segs AS (SELECT z.road, z.category, z.threshold, a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2 FROM z JOIN (SELECT DISTINCT u, v FROM streets) s ON s.u = z.node
+      JOIN z w ON w.node = s.v AND w.category = z.category AND w.threshold = z.threshold JOIN nodes a ON a.node = u JOIN nodes b ON b.node = v
+      UNION SELECT road, category, threshold, x, y, x, y FROM z JOIN nodes USING (node)),
+    {footprint_sql(0.003)}, {FILLED}
+    SELECT category, x, y, min(threshold) AS threshold FROM spots ANTI JOIN outside USING (road, category, threshold, x, y) GROUP BY ALL""",
+)
 def isochrone_bands(t):
     """Walking zones as cell footprints, each cell in its nearest zone."""
     nodes = t.nodes().select("node", "x", "y")
@@ -484,6 +578,36 @@ def isochrone_bands(t):
     return accessibility.isochrone_bands(t.streets(), nodes, origins, [300, 500], 0.003, grid, fill=True)
 
 
+@query(
+    "zones_of_places",
+    f"""WITH RECURSIVE touched AS MATERIALIZED (SELECT road, u AS node FROM streets UNION SELECT road, v FROM streets),
+    near AS (SELECT poi, road, arg_min(node, (sqrt((p.x - n.x) ** 2 + (p.y - n.y) ** 2), node)) AS node FROM {POIS} p, touched JOIN nodes n USING (node) GROUP BY ALL),
+    starts AS MATERIALIZED (SELECT DISTINCT road, 'kind' || poi % 3 AS category, node FROM near WHERE poi % 3 < 2),
+    r(road, category, node, cost) USING KEY (road, category, node) AS (SELECT road, category, node, 0.0::double FROM starts
+      UNION SELECT road, category, v, min(cost) FROM (SELECT r.road, r.category, s.v, r.cost + s.length AS cost FROM r
+        JOIN streets s ON s.road = r.road AND s.u = r.node WHERE r.cost + s.length <= 500) n
+        WHERE NOT EXISTS (SELECT 1 FROM recurring.r o WHERE o.road = n.road AND o.category = n.category AND o.node = n.v AND o.cost <= n.cost)
+      GROUP BY road, category, v),
+    z AS (SELECT road, category, node, t AS threshold FROM r JOIN (VALUES ('kind0', 200.0::double), ('kind0', 500.0::double), ('kind1', 350.0::double)) k(category, t)
+      USING (category) WHERE cost <= t),
+    segs AS (SELECT z.road, z.category, z.threshold, a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2 FROM z
+      JOIN (SELECT DISTINCT road, u, v FROM streets) s ON s.road = z.road AND s.u = z.node
+      JOIN z w ON w.road = z.road AND w.node = s.v AND w.category = z.category AND w.threshold = z.threshold
+      JOIN nodes a ON a.node = u JOIN nodes b ON b.node = v
+      UNION SELECT road, category, threshold, x, y, x, y FROM z JOIN nodes USING (node)),
+    {footprint_sql(0.0034)}
+    SELECT road, category, x, y, min(threshold) AS threshold FROM zoned GROUP BY ALL""",
+)
+def zones_of_places(t):
+    """From places to zones in one plan; every street class is a network of its own, categories have limits of their own."""
+    places = pois(t).withColumn("category", F.concat(F.lit("kind"), (F.col("poi") % 3).cast("string")))
+    streets = t.streets().select(F.element_at("highway", 1).alias("road"), "edge", "u", "v", "length")
+    road = F.explode(F.array(*[F.lit(c) for c in ("motorway", "primary", "secondary", "residential", "track")])).alias("road")
+    nodes, spots = t.nodes().select("node", "x", "y", road), places.select("category", "x", "y", road)
+    limits = {"kind0": [200, 500], "kind1": [350]}
+    return accessibility.zones_of_places(spots, streets, nodes, limits, 0.0034, Grid(0.0, 0.0, 0.002, 0.002), by=["road"])
+
+
 @query(
     "facility_nodes",
     f"""WITH d AS (SELECT poi, node, sqrt((p.x - n.x) ** 2 + (p.y - n.y) ** 2) AS d FROM {POIS} p, nodes n)
@@ -649,6 +773,25 @@ def edge_betweenness(t):
     return out.select("u", "v", F.round("centrality", 9).alias("centrality"), F.round("mean_centrality", 9).alias("mean_centrality"))
 
 
+@query(
+    "road_network_edges",
+    f"""WITH RECURSIVE {PATHS}, n AS (SELECT count(*) AS n FROM supplier),
+    b AS (SELECT l.u, l.v, l.length, sum(a.c * z.c / p.c) / (SELECT n * (n - 1) FROM n) AS c FROM links l JOIN pc a ON a.t = l.u JOIN pc z ON z.s = l.v
+      JOIN pc p ON p.s = a.s AND p.t = z.t AND p.d = a.d + 1 + z.d GROUP BY ALL)
+    SELECT u, v, CASE WHEN length < 20 THEN 'Primary' ELSE 'Secondary' END AS road_type, round(c * 100, 7) AS edge_centrality,
+      round((SELECT avg(c) FROM b) * 100, 7) AS mean_centrality FROM b""",
+)
+def road_network_edges(t):
+    """Links between suppliers assessed as a road network: every edge, with the mean beside it."""
+    road, city = F.when(F.col("length") < 20, "primary").otherwise("residential"), F.lit("links").alias("city")
+    nodes = t.zones().select(city, F.col("zone").alias("node"), F.col("cx").alias("x"), F.col("cy").alias("y"))
+    found = roads.assess(nodes, t.links().select(city, "*", F.array(road).alias("highway")))
+    joined = found.edges.join(found.statistics.select("city", "mean_centrality"), "city")
+    return joined.select(
+        "u", "v", "road_type", F.round("edge_centrality", 7).alias("edge_centrality"), F.round("mean_centrality", 7).alias("mean_centrality")
+    )
+
+
 @query(
     "node_betweenness",
     f"""WITH RECURSIVE {PATHS}, n AS (SELECT count(*) AS n FROM supplier),

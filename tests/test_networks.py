@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from citygrain.grid import Grid
 from citygrain.operators import centrality, facility, graph, nearest, places, reach, shapes, topology
+from citygrain.plans import roads
 from citygrain.scale import Rounds
 
 
@@ -330,6 +331,37 @@ def test_clean_network_removes_interior_nodes(spark):
     assert summary.first()["removed_pct"] == pytest.approx(60.0)
 
 
+def test_networks_of_two_cities_are_changed_apart(spark):
+    """Cleaning two cities with the same ids, one of them without a name, equals one run for each; components stay inside a city."""
+    rng = random.Random(41)
+    spots = {c: [(i, rng.uniform(0, 20), rng.uniform(0, 20)) for i in range(30)] for c in ("a", None)}
+    rows = {c: random_edges(30, 36, seed) for seed, c in enumerate(spots)}
+    table = lambda held, schema: spark.createDataFrame([(c, *r) for c in held for r in held[c]], f"city string, {schema}")
+    nodes, edges = table(spots, "node long, x double, y double"), table(rows, "edge long, u long, v long, length double")
+    final, summary = topology.clean_network(nodes, edges, 0.9, ["city"])
+    here = lambda df: df.where("city IS NULL").drop("city")
+    final_alone, summary_alone = topology.clean_network(here(nodes), here(edges), 0.9)
+    order = ["edge", "u", "v", "length"]
+    assert sorted(here(final).select(*order).collect()) == sorted(final_alone.select(*order).collect())
+    assert here(summary).collect() == summary_alone.collect()
+    assert final.where("city = 'a'").count() == summary.where("city = 'a'").first()["edges_after"] > 0
+
+    label = {(c, i): i for c in spots for i in range(30)}
+    for _ in range(30):
+        for c in spots:
+            for _, u, v, _ in rows[c]:
+                label[c, u] = label[c, v] = min(label[c, u], label[c, v])
+    found = topology.connected_components(edges, nodes, ["city"]).collect()
+    assert {(r.city, r.node): r.label for r in found} == label
+
+
+def test_largest_components_of_two_cities(spark):
+    rows = [("a", 0, 1, 2), ("a", 1, 2, 1), ("a", 2, 2, 3), ("b", 0, 1, 2), ("b", 1, 2, 3), ("b", 2, 3, 1), ("b", 3, 4, 1)]
+    edges = spark.createDataFrame(rows, "city string, edge long, u long, v long")
+    found = topology.largest_scc(edges, ["city"]).collect()
+    assert {(r.city, r.edge) for r in found} == {("a", 0), ("a", 1), ("b", 0), ("b", 1), ("b", 2)}
+
+
 def test_split_long_both_ways(spark):
     nodes = spark.createDataFrame([(1, 0.0, 0.0), (2, 1200.0, 0.0)], "node long, x double, y double")
     edges = edge_table(spark, [(0, 1, 2, 1200.0), (1, 2, 1, 1200.0)])
@@ -613,3 +645,21 @@ def test_exposure_on_two_grids(spark):
     people = settled.withColumn("value", F.when(F.col("x") == 0, 9.0).otherwise(1.0))
     share = exposure.exposed_dense_share(hazard.where("city = 'c'"), people, 0.9, grid=Grid(0, 0, 1, 1), population_grid=Grid(1, 0, 2, 2)).first()
     assert (share["dense_cells"], share["exposed_pct"]) == (4, 100.0)
+
+
+def test_road_assessment_by_city(spark):
+    """The tables of two cities equal those of one run for each; parallel edges share their score."""
+    nodes = [(c, i, 0.1 * i, 0.01 * i * i) for c in "ab" for i in range(5)]
+    streets = [("a", 0, 1), ("a", 1, 2), ("a", 1, 2), ("a", 2, 0), ("a", 2, 3), ("b", 0, 1), ("b", 1, 3), ("b", 3, 4), ("b", 4, 4)]
+    rows = [(c, i, u, v, 100.0 + i, ["primary" if i % 2 else "service"]) for i, (c, u, v) in enumerate(streets)]
+    nodes = spark.createDataFrame(nodes, "city string, node long, x double, y double")
+    edges = spark.createDataFrame(rows, "city string, edge long, u long, v long, length double, highway array<string>")
+    both = roads.assess(nodes, edges)
+    # paths a: 0-1, 0-2, 0-3, 1-2, 1-0, 1-3, 2-0, 2-3, 2-1
+    scores = {r.edge: r.edge_centrality for r in both.edges.collect()}
+    assert scores[0] == pytest.approx(100 * 4 / 12) and scores[1] == scores[2] == pytest.approx(100 * 4 / 12)
+    assert scores[8] is None and scores[6] == pytest.approx(100 * 4 / 12)
+    assert {r.edge: r.road_type for r in both.edges.collect()} == {i: "Primary" if i % 2 else "Secondary" for i in range(9)}
+    alone = roads.assess(nodes.where("city = 'b'").drop("city"), edges.where("city = 'b'").drop("city"), ())
+    for one, all_cities in zip(alone, both):
+        assert sorted(map(repr, one.collect())) == sorted(map(repr, all_cities.where("city = 'b'").drop("city").select(*one.columns).collect()))

@@ -10,8 +10,6 @@ SQL = oracle_sql()
 
 #: Queries that SQL cannot express, with the file of their brute-force tests.
 TESTED_ELSEWHERE = {
-    "isochrone_bands": "tests/test_networks.py",
-    "cleaned_network": "tests/test_networks.py",
     "op1_licenses": "tests/llm/test_licenses.py",
     "op2_bpe": "tests/llm/test_bpe.py",
     "op3_simhash": "tests/llm/test_simhash.py",
