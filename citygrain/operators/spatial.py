@@ -119,13 +119,18 @@ def point_in_polygon(
     return found.join(polys, "_pid", "left" if how == "left" else "inner").drop("_pid")
 
 
+#: Polygons of one tile that meet the areas of the tile in one task; every pair of them is compared.
+POLYGON_CROWD = 20_000
+
+
 def intersecting(
     features: DataFrame, areas: DataFrame, size: float, on: Sequence[str] = (), valid_only: bool = True,
-    how: str = "left_semi",
+    how: str = "left_semi", crowd: int = POLYGON_CROWD,
 ) -> DataFrame:
     """Features that meet any of the areas; invalid features are dropped first.
 
-    With ``how="inner"`` the result has one row per feature and area (area columns added).
+    With ``how="inner"`` the result has one row per feature and area (area columns added). Tiles with more than ``crowd``
+    features are dealt out over several tasks, and areas are repeated there alone.
     """
     f = features
     if valid_only:
@@ -135,9 +140,7 @@ def intersecting(
     a = tile_polygons(f, size).join(first(f), "_pid")
     b = tile_polygons(areas, size).join(first(areas), "_pid")
     a = a.withColumnsRenamed({"_segs": "_sa", "_odd": "_oa", "_v": "_va", "_pid": "_fid"})
-    b = b.withColumnsRenamed(
-        {"_segs": "_sb", "_odd": "_ob", "_v": "_vb", "_pid": "_aid", "_tx": "_bx", "_ty": "_by", **{k: f"_on_{k}" for k in on}}
-    )
+    b = b.withColumnsRenamed({"_segs": "_sb", "_odd": "_ob", "_v": "_vb", "_pid": "_aid"})
 
     def in_tile(v: str) -> Column:
         return (F.floor(F.col(v)["x"] / size) == F.col("_tx")) & (F.floor(F.col(v)["y"] / size) == F.col("_ty"))
@@ -146,11 +149,8 @@ def intersecting(
     inside_a = in_tile("_vb") & inside_tile(F.col("_vb")["x"], F.col("_vb")["y"], size, segs="_sa", odd="_oa")
     # only the segments of this tile on either side
     touch = F.exists("_sa", lambda s: F.exists("_sb", lambda o: geo.segments_meet(s, o)))
-    condition = (F.col("_tx") == F.col("_bx")) & (F.col("_ty") == F.col("_by"))
-    for k in on:
-        condition = condition & (F.col(k) == F.col(f"_on_{k}"))
     # a pair can meet in several tiles; geometry joins the pairs found, not the tiles
-    met = a.join(b, condition & (inside_b | inside_a | touch)).select("_fid", "_aid").distinct()
+    met = crowded_join(a, b, ["_tx", "_ty", *on], inside_b | inside_a | touch, "inner", crowd).select("_fid", "_aid").distinct()
     if how == "inner":
         area_columns = [c for c in areas.columns if c not in on and c not in ("rings", "_pid")]
         other = areas.select(F.col("_pid").alias("_aid"), *area_columns).dropDuplicates(["_aid"])

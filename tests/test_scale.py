@@ -172,3 +172,22 @@ def test_nearest_with_half_the_points_in_one_tile(spark):
     assert len(got) == 600
     for (_, x, y) in places:
         assert got[(x, y)] == pytest.approx(min(((x - a) ** 2 + (y - b) ** 2) ** 0.5 for _, a, b in nodes))
+
+
+def test_polygons_of_a_crowded_tile_are_dealt_out(spark):
+    """Half of the boxes lie in one tile; the pairs found are those of the boxes that meet, however the tile is split."""
+    rng = random.Random(12)
+
+    def box(i, x, y, r):
+        return (i, [[(x, y), (x + r, y), (x + r, y + r), (x, y + r), (x, y)]])
+
+    spots = [(rng.uniform(0, 1), rng.uniform(0, 1)) if i % 2 else (rng.uniform(0, 9), rng.uniform(0, 9)) for i in range(120)]
+    sizes = [rng.uniform(0.05, 0.4) for _ in spots]
+    schema = "struct<x:double,y:double>"
+    boxes = spark.createDataFrame([box(i, x, y, r) for i, ((x, y), r) in enumerate(zip(spots, sizes))], f"id long, rings array<array<{schema}>>")
+    areas = boxes.select((F.col("id") + 1000).alias("area"), "rings").where("id % 3 = 0")
+    apart = lambda a, b: spots[a][0] > spots[b][0] + sizes[b] or spots[a][1] > spots[b][1] + sizes[b]
+    want = {(a, b + 1000) for a in range(120) for b in range(0, 120, 3) if not apart(a, b) and not apart(b, a)}
+    for crowd in (7, 10_000):
+        found = spatial.intersecting(boxes, areas, 1.0, how="inner", crowd=crowd).collect()
+        assert sorted((r.id, r.area) for r in found) == sorted(want), crowd
