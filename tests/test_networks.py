@@ -391,6 +391,17 @@ def test_split_at_crossings_crowded(spark):
     assert counts == {a[0]: 1 + sum(cross(a, b) for b in rows if b is not a) for a in rows}
 
 
+def test_cuts_are_shuffled_once(spark):
+    # all lines cross all others; small tiles are shared by many pairs that cross elsewhere
+    n = 200
+    rows = [(i, i / n, 0.0, 1 - i / n + 0.001 * (i % 7), 1.0) for i in range(n)]
+    lines = spark.createDataFrame(rows, "edge long, x1 double, y1 double, x2 double, y2 double")
+    pieces = []
+    moved = shuffled_rows(spark, lambda: pieces.append(topology.split_at_crossings(lines, 0.1).count()))
+    assert n * n / 2 < pieces[0] <= n * n
+    assert moved < 2 * pieces[0]
+
+
 def test_snap_to_edges(spark):
     nodes = spark.createDataFrame([(1, 0.0, 0.0), (2, 100.0, 0.0), (3, 100.0, 100.0)], "node long, x double, y double")
     edges = edge_table(spark, [(0, 1, 2, 100.0), (1, 2, 3, 100.0)])
