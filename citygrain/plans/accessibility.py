@@ -33,6 +33,8 @@ def isochrone_footprints(edges: DataFrame, nodes: DataFrame, origins: DataFrame,
         reached = reach.isochrone_nodes(edges, origins, thresholds, by=by, carry=carry)
     keys = [*by, *carry, "threshold"]
     here = reached.select(*keys, "node")
+    # nodes are as many as the network has, whatever size a plan expects of them: they are dealt out, never sent to every task
+    nodes = nodes.hint("merge")
     lines = straight_edges(edges.select(*by, "u", "v").distinct(), nodes, by)
     inside = join_on(lines, here.withColumnRenamed("node", "u"), [*by, "u"])
     inside = join_on(inside, here.withColumnRenamed("node", "v"), [*keys, "v"], "left_semi")

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from citygrain.grid import Grid
 from citygrain.operators import centrality, facility, graph, nearest, places, reach, shapes, topology
-from citygrain.plans import roads
-from citygrain.scale import Rounds
+from citygrain.plans import accessibility, roads
+from citygrain.scale import Rounds, crowded_join
 
 
 def test_cities_are_searched_apart(spark):
@@ -623,6 +623,28 @@ def test_density_by_group(spark):
         assert {0.0, 1.0} <= {r["value"] for r in alone}
 
 
+def broadcast_tables(df):
+    """Parts of the physical plan that are sent to every task, as text."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "BroadcastExchange" in line]
+
+
+def test_nodes_of_zones_are_not_broadcast(spark):
+    # a plan expects few bytes of these nodes, as of any table whose rows are repeated for each network
+    roads = F.explode(F.array(F.lit("a"), F.lit("b"))).alias("road")
+    nodes = spark.range(60).select(F.col("id").alias("node"), F.col("id").cast("double").alias("x"), F.lit(0.0).alias("y"), roads)
+    edges = spark.range(59).select(F.col("id").alias("u"), (F.col("id") + 1).alias("v"), F.lit(1.0).alias("length"), roads)
+    origins = nodes.where("node = 0").select("road", F.lit("k").alias("category"), "node")
+    out = accessibility.isochrone_footprints(edges, nodes, origins, [4], 0.5, Grid(0.0, 0.0, 1.0, 1.0), by=["road"])
+    assert not broadcast_tables(out)
+    assert out.where("road = 'b'").count() == 8
+
+    left, right = spark.range(10).withColumn("a", F.lit(1)), spark.range(10).withColumn("b", F.lit(2))
+    plain, dealt = (crowded_join(left, right, ["id"], F.lit(True), deal=deal) for deal in (False, True))
+    assert len(broadcast_tables(plain)) > len(broadcast_tables(dealt))
+    assert dealt.count() == 10
+
+
 def test_two_cities_equal_two_runs(spark):
     a, b = random_edges(12, 30, 1), random_edges(17, 45, 2)
     tables = {c: edge_table(spark, rows).withColumn("city", F.lit(c)) for c, rows in (("a", a), ("b", b))}
