@@ -3,26 +3,30 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from itertools import count
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citygrain.scale import Kept, cut_lineage, join_on, numbered, with_totals
+from citygrain.scale import Rounds, cut_lineage, join_on, numbered, with_totals
 
 #: Rows of sources and nodes that a block of sources may have.
 BLOCK_ROWS = 200_000_000
+#: Sources whose paths through a node travel as one row.
+CHUNK = 512
 
 
 def betweenness(edges: DataFrame, kind: str = "edge", sources: int | None = None, seed: int = 0,
                 by: Sequence[str] = (), block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Normalized betweenness of each edge (u, v) or node, with the mean over all appended.
 
-    Sources are worked on in blocks, so that a block has about ``block_rows`` rows of (source, node). Shortest
-    paths are counted level by level outwards, and each level is written once, dealt by source and node: the next
-    level and the way back look it up where it lies. What a node passes on to each neighbour before it is written too, and
-    the scores of a block are sums of that. The result is exact and covers all
+    Sources are worked on in blocks, so that a block has about ``block_rows`` pairs of (source, node). Shortest
+    paths are counted level by level outwards. Up to ``CHUNK`` sources that reach a node on one level travel as one row, and
+    one bit for each says whether the node was reached before. On the way back a row carries what its node passes on; the scores are
+    sums of that. The result is exact and covers all
     sources, whatever the size; only for edges, and only if ``sources`` asks for it, as many sources are drawn
     by a seeded hash and the result is scaled up. ``by`` names columns, such as the city, that keep networks
     apart: each is normalized by its own nodes and has its own mean.
@@ -37,18 +41,31 @@ def betweenness(edges: DataFrame, kind: str = "edge", sources: int | None = None
     counted = nodes.groupBy(*by).agg(F.count(F.lit(1)).cast("double").alias("_n"))
     totals = counted.agg(F.sum("_n").alias("n"), F.sum(F.col("_n") * F.col("_n")).alias("rows")).first()
     n, rows = int(totals["n"] or 0), totals["rows"] or 0
-    starts, k = nodes, n
+    # numbers name nodes of all networks, and sources by their place in a chunk
+    names = cut_lineage(numbered(nodes, [*by, "node"], "_at"))
+    starts, k = names.withColumn("_source", F.col("_at")), n
     if sources is not None and sources < n:
-        hashed = nodes.withColumn("_h", F.xxhash64(F.lit(seed), "node"))
-        starts = numbered(hashed, ["_h", "node"], "_at").where(F.col("_at") < sources).select("node")
+        hashed = names.withColumn("_h", F.xxhash64(F.lit(seed), "node"))
+        starts = numbered(hashed, ["_h", "node"], "_source").where(F.col("_source") < sources)
         k, rows = sources, sources * n
     blocks = max(1, math.ceil(rows / block_rows))
+    chunk = max(1, min(CHUNK, math.ceil(k / blocks)))
+    starts = cut_lineage(
+        starts.select(F.floor(F.col("_source") / chunk).alias("chunk"), F.col("_at").alias("node"), F.pmod("_source", F.lit(chunk)).alias("at"))
+    )
     keys = [*by, "u", "v"] if kind == "edge" else [*by, "node"]
-    out = (pairs if kind == "edge" else nodes).withColumn("score", F.lit(0.0))
+    named = lambda c: names.select(*by, F.col("node").alias(c), F.col("_at").alias(f"_{c}"))
+    links = cut_lineage(pairs.join(named("u"), [*by, "u"]).join(named("v"), [*by, "v"]).select("_u", "_v"))
+    scores = None
     for block in range(blocks):
-        some = starts.where(F.pmod(F.xxhash64(F.lit(block_rows), *by, "node"), F.lit(blocks)) == block)
-        out = out.unionByName(_block_scores(some, pairs, kind, by))
-    summed = out.groupBy(*keys).agg(F.sum("score").alias("score"))
+        found = _block_scores(starts.where(F.pmod("chunk", F.lit(blocks)) == block), links, kind, chunk)
+        scores = found if scores is None else scores.unionByName(found)
+    out = (pairs if kind == "edge" else nodes).withColumn("score", F.lit(0.0))
+    if kind == "edge":
+        scores = scores.join(named("u"), "_u").join(named("v").drop(*by), "_v")
+    else:
+        scores = scores.join(named("node"), scores["_u"] == F.col("_node"))
+    summed = out.unionByName(scores.select(*out.columns)).groupBy(*keys).agg(F.sum("score").alias("score"))
     # ordered pairs of nodes that a path can join, of each network
     size = F.col("_n") - 1
     possible = counted.select(*by, (F.col("_n") * size if kind == "edge" else size * (size - 1)).alias("_pairs"))
@@ -57,41 +74,171 @@ def betweenness(edges: DataFrame, kind: str = "edge", sources: int | None = None
     return with_totals(scaled.select(*keys, centrality.alias("centrality")), by, mean_centrality=F.avg("centrality"))
 
 
-def _block_scores(starts: DataFrame, pairs: DataFrame, kind: str, by: list[str]) -> DataFrame:
-    """Scores of edges (u, v) or of nodes from the shortest paths of some sources."""
-    place = [*by, "s", "node"]
-    levels = Kept(pairs.sparkSession, place, "betweenness_levels")
-    levels.append(starts.select(*by, F.col("node").alias("s"), "node", F.lit(1.0).alias("paths"), F.lit(0).alias("level")))
-    at = lambda level: levels.table().where(F.col("level") == level)
-    for level in count(1):
-        step = at(level - 1).withColumnRenamed("node", "u").join(pairs, [*by, "u"]).withColumnRenamed("v", "node")
-        # a hub's many paths meet as partial sums
-        found = levels.without(step.groupBy(*place).agg(F.sum("paths").alias("paths")))
-        levels.append(found.withColumn("level", F.lit(level)), dealt=True)
-        if at(level).isEmpty():
+def _block_scores(starts: DataFrame, links: DataFrame, kind: str, chunk: int) -> DataFrame:
+    """Scores of links (_u, _v) or of nodes (_u) from the shortest paths of some sources (chunk, node, at)."""
+    rounds = Rounds(starts.sparkSession, "betweenness")
+    reached = "chunk long, node long, seen binary, at binary, paths binary"
+    first = lambda batches: _levels(batches, chunk, True)
+    further = lambda batches: _levels(batches, chunk, False)
+    levels = [rounds.cut(_dealt(starts.select("chunk", "node", "at"), "at").mapInArrow(first, reached))]
+    open_rows = F.octet_length("at") > 0
+    for _ in count(1):
+        here = levels[-1]
+        step = here.where(open_rows).join(links, F.col("node") == F.col("_u"))
+        step = step.select("chunk", F.col("_v").alias("node"), F.lit(None).cast("binary").alias("seen"), "at", "paths")
+        known = here.select("chunk", "node", "seen", *[F.lit(None).cast("binary").alias(c) for c in ("at", "paths")])
+        level = rounds.cut(_dealt(known.unionByName(step)).mapInArrow(further, reached))
+        if level.where(open_rows).isEmpty():
             break
-    flows = Kept(pairs.sparkSession, place, "betweenness_flows")
-    for back in range(level - 1, 0, -1):
-        here = at(back)
-        if flows.empty:
-            here = here.withColumn("_passed", F.lit(0.0))
+        levels.append(level)
+    owed, scored = "chunk long, node long, at binary, share binary, v long, score double", []
+    back = lambda batches: _shares(batches, chunk, kind == "edge")
+    passed = None
+    for level in range(len(levels) - 1, -1, -1):
+        # a source is no inner node of its own paths, and nothing is behind the last level
+        own = levels[level].where(open_rows).select("chunk", "node", "at", "paths", F.lit(None).cast("long").alias("v"))
+        if passed is not None:
+            sent = passed.where(open_rows).join(links, F.col("node") == F.col("_v"))
+            own = own.unionByName(sent.select("chunk", F.col("_u").alias("node"), "at", F.col("share").alias("paths"), F.col("_v").alias("v")))
+        passed = rounds.cut(_dealt(own, "v").mapInArrow(back, owed))
+        if kind == "edge" or level > 0:
+            scored.append(passed.where("score is not null").select(F.col("node").alias("_u"), F.col("v").alias("_v"), "score"))
+    scores = scored[0] if scored else passed.select(F.col("node").alias("_u"), F.col("v").alias("_v"), "score").limit(0)
+    for part in scored[1:]:
+        scores = scores.unionByName(part)
+    ends = ["_u", "_v"] if kind == "edge" else ["_u"]
+    # one row per link or node is left of a block
+    return rounds.finish(scores.groupBy(*ends).agg(F.sum("score").alias("score")))
+
+
+def _dealt(df: DataFrame, *then: str) -> DataFrame:
+    """Rows of a node and chunk of sources one after another in one task."""
+    return df.repartition("chunk", "node").sortWithinPartitions("chunk", "node", *then)
+
+
+def _numbers(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers packed in the rows of a binary column, one after another, and how many each row has."""
+    column = column.cast(pa.binary())
+    size = np.dtype(kind).itemsize
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    n = int(ends[-1] - ends[0]) // size
+    flat = np.frombuffer(column.buffers()[2], kind, n, int(ends[0])) if n else np.empty(0, kind)
+    return flat, np.diff(ends) // size
+
+
+def _packed(flat: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """A binary column with ``lengths`` of the numbers in each row."""
+    ends = np.zeros(len(lengths) + 1, np.int32)
+    np.cumsum(lengths * flat.dtype.itemsize, out=ends[1:])
+    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(flat))])
+
+
+def _slots(batch: pa.RecordBatch, last: tuple | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The slot of each row, and chunk and node of each slot; slot 0 is that of the last key before."""
+    chunks, nodes = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("chunk", "node"))
+    before = last if last is not None else (chunks[0], nodes[0])
+    chunks, nodes = np.append(before[0], chunks), np.append(before[1], nodes)
+    new = (np.diff(chunks) != 0) | (np.diff(nodes) != 0)
+    firsts = np.append(0, np.flatnonzero(new) + 1)
+    return np.cumsum(new), chunks[firsts], nodes[firsts]
+
+
+def _levels(batches: Iterator[pa.RecordBatch], chunk: int, first: bool) -> Iterator[pa.RecordBatch]:
+    """Sources that reach a node on this level, with their paths, and all that have reached it so far.
+
+    Rows of a node come together; only the open node's numbers, one for each source of a chunk, are kept from batch to batch.
+    """
+
+    def emit(chunks, nodes, paths, seen):
+        slot, at = np.nonzero((paths > 0) & ~seen)
+        found = np.bincount(slot, minlength=len(nodes))
+        bits = np.packbits(seen | (paths > 0), axis=1)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(chunks), pa.array(nodes), _packed(bits.ravel(), np.full(len(nodes), bits.shape[1])),
+             _packed(at.astype(np.int32), found), _packed(paths[slot, at], found)],
+            names=["chunk", "node", "seen", "at", "paths"],
+        )
+
+    last, kept = None, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        slots, chunks, nodes = _slots(batch, last)
+        n = len(nodes)
+        if first:
+            cells, weights = slots * chunk + batch.column("at").to_numpy(), None
         else:
-            passed = flows.table().where(F.col("level") == back + 1).groupBy(*place).agg(F.sum("flow").alias("_passed"))
-            here = here.join(passed, place, "left")
-        share = ((1 + F.coalesce("_passed", F.lit(0.0))) / F.col("paths")).alias("_share")
-        owed = here.select(*by, "s", F.col("node").alias("v"), share).join(pairs, [*by, "v"]).withColumnRenamed("u", "node")
-        flow = owed.join(at(back - 1).select(*place, "paths"), place)
-        flow = flow.select(*place, "v", (F.col("paths") * F.col("_share")).alias("flow"), F.lit(back).alias("level"))
-        flows.append(flow, dealt=True)
-    if flows.empty:
-        scores = pairs.select(*by, "u", "v", F.lit(0.0).alias("score")).limit(0)
-        scores = scores if kind == "edge" else scores.select(*by, F.col("u").alias("node"), "score")
-    elif kind == "edge":
-        scores = flows.table().groupBy(*by, F.col("node").alias("u"), "v").agg(F.sum("flow").alias("score"))
-    else:
-        scores = flows.table().where("s <> node").groupBy(*by, "node").agg(F.sum("flow").alias("score"))
-    # one row per edge or node is left of a block
-    scores = cut_lineage(scores)
-    levels.drop()
-    flows.drop()
-    return scores
+            at, lengths = _numbers(batch.column("at"), np.int32)
+            weights, _ = _numbers(batch.column("paths"), np.float64)
+            cells = np.repeat(slots, lengths) * chunk + at
+        paths = np.bincount(cells, weights, n * chunk).reshape(n, chunk).astype(np.float64)
+        seen = np.zeros((n, chunk), bool)
+        if not first:
+            bits, lengths = _numbers(batch.column("seen"), np.uint8)
+            known = slots[lengths > 0]
+            seen[known] = np.unpackbits(bits.reshape(len(known), -1), axis=1, count=chunk).astype(bool)
+        if kept is not None:
+            paths[0] += kept[0]
+            seen[0] |= kept[1]
+        if n > 1:
+            yield emit(chunks[:-1], nodes[:-1], paths[:-1], seen[:-1])
+        last, kept = (chunks[-1], nodes[-1]), (paths[-1].copy(), seen[-1].copy())
+    if last is not None:
+        yield emit(np.array([last[0]]), np.array([last[1]]), kept[0][None], kept[1][None])
+
+
+def _shares(batches: Iterator[pa.RecordBatch], chunk: int, of_edges: bool) -> Iterator[pa.RecordBatch]:
+    """What a node passes on for each path of a source, from what the nodes behind it pass on to it.
+
+    A node's own row, without ``v``, comes first. Rows with shares of its own have ``at``; rows with ``score`` hold sums over the
+    sources of a chunk, for the link to ``v`` or for the node.
+    """
+
+    def batch_of(chunks, nodes, at, share, v, score):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(chunks), pa.array(nodes), at, share, pa.array(v, pa.int64(), mask=None if v is None else np.isnan(score)),
+             pa.array(score, pa.float64(), from_pandas=True)],
+            names=["chunk", "node", "at", "share", "v", "score"],
+        )
+
+    def emit(chunks, nodes, paths, owed):
+        slot, at = np.nonzero(paths > 0)
+        found = np.bincount(slot, minlength=len(nodes))
+        share = (1 + owed[slot, at]) / paths[slot, at]
+        score = np.full(len(nodes), np.nan) if of_edges else owed.sum(axis=1)
+        return batch_of(chunks, nodes, _packed(at.astype(np.int32), found), _packed(share, found), np.zeros(len(nodes), np.int64), score)
+
+    last, kept = None, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        slots, chunks, nodes = _slots(batch, last)
+        n = len(nodes)
+        at, lengths = _numbers(batch.column("at"), np.int32)
+        given, _ = _numbers(batch.column("paths"), np.float64)
+        cells = np.repeat(slots, lengths) * chunk + at
+        own = np.asarray(batch.column("v").is_null())
+        is_own = np.repeat(own, lengths)
+        paths, owed = np.zeros(n * chunk), np.zeros(n * chunk)
+        paths[cells[is_own]] = given[is_own]
+        if kept is not None:
+            paths[:chunk] += kept[0]
+            owed[:chunk] = kept[1]
+        sent = ~is_own
+        # nothing goes to a node that is not on a shortest path, as it has no paths of this level
+        flow = paths[cells[sent]] * given[sent]
+        owed += np.bincount(cells[sent], flow, n * chunk)
+        paths, owed = paths.reshape(n, chunk), owed.reshape(n, chunk)
+        if of_edges and not own.all():
+            rows = np.flatnonzero(~own)
+            score = np.bincount(np.repeat(np.arange(len(rows)), lengths[rows]), flow, len(rows))
+            used = np.flatnonzero(score > 0)
+            here = slots[rows[used]]
+            v = batch.column("v").take(pa.array(rows[used])).to_numpy(zero_copy_only=False).astype(np.int64)
+            none = _packed(np.empty(0), np.zeros(len(used), np.int64))
+            yield batch_of(chunks[here], nodes[here], none, none, v, score[used])
+        if n > 1:
+            yield emit(chunks[:-1], nodes[:-1], paths[:-1], owed[:-1])
+        last, kept = (chunks[-1], nodes[-1]), (paths[-1].copy(), owed[-1].copy())
+    if last is not None:
+        yield emit(np.array([last[0]]), np.array([last[1]]), kept[0][None], kept[1][None])

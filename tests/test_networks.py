@@ -495,6 +495,25 @@ def test_betweenness_in_blocks_of_sources(spark, kind):
     assert not [t for t in spark.catalog.listTables() if "betweenness" in t.name]
 
 
+@pytest.mark.parametrize("kind", ["edge", "node"])
+def test_betweenness_keeps_a_row_for_each_node_and_chunk_of_sources(spark, kind, monkeypatch):
+    rows = random_edges(40, 160, 5)
+    sizes, cut = [], centrality.Rounds.cut
+
+    def counted(self, df):
+        out = cut(self, df)
+        sizes.append(out.where("score is null" if "score" in out.columns else "true").count())
+        return out
+
+    monkeypatch.setattr(centrality.Rounds, "cut", counted)
+    monkeypatch.setattr(centrality, "CHUNK", 16)
+    edges = edge_table(spark, rows)
+    got = {r[0] if kind == "node" else (r[0], r[1]): r["centrality"] for r in centrality.betweenness(edges, kind).collect()}
+    assert got == pytest.approx(betweenness_by_hand(rows)[kind == "node"])
+    # 40 sources are three chunks; a row for each source and node would be 1600
+    assert max(sizes) <= 3 * 40
+
+
 def test_betweenness_sampled_sources(spark):
     edges = edge_table(spark, random_edges(25, 60, 6))
     once = {(r["u"], r["v"]): r["centrality"] for r in centrality.betweenness(edges, sources=10, seed=1).collect()}
