@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from citygrain.grid import Grid
 from citygrain.operators.spatial import align
-from citygrain.scale import exact_quantiles, join_on
+from citygrain.scale import dealt, exact_quantiles, join_on
 
 CELL = ("x", "y")
 
@@ -89,7 +89,7 @@ def points_in_hazard(points: DataFrame, hazard: DataFrame, grid: Grid, by: Seque
     ``cells_by`` names columns of both tables that tell cells apart. Several values of one cell count as
     their largest, so no point is counted twice.
     """
-    cells = hazard.groupBy(*cells_by, *CELL).agg(F.max("value").alias("value"))
+    cells = dealt(hazard, [*cells_by, *CELL]).groupBy(*cells_by, *CELL).agg(F.max("value").alias("value"))
     sampled = sample_raster(points, cells, grid, "_hazard", lon, lat, cells_by)
     inside = F.count_if(F.coalesce(F.col("_hazard") > 0, F.lit(False)))
     total = F.count(F.lit(1))

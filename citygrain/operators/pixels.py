@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from citygrain.grid import Grid
 from citygrain.operators.spatial import align
-from citygrain.scale import exact_quantiles, lookup, with_totals
+from citygrain.scale import dealt, exact_quantiles, lookup, with_totals
 
 # Burnability weight of each land-cover code.
 BURN_WEIGHTS = {
@@ -60,7 +60,7 @@ def mosaic(tiles: Sequence[DataFrame], how: str = "first", by: Sequence[str] = (
     stacked = numbered[0]
     for t in numbered[1:]:
         stacked = stacked.unionByName(t)
-    stacked = stacked.where(F.col("value").isNotNull())
+    stacked = dealt(stacked.where(F.col("value").isNotNull()), [*by, *CELL])
     pick = {"first": F.min_by("value", "_priority"), "max": F.max("value")}[how]
     return stacked.groupBy(*by, *CELL).agg(pick.alias("value"))
 
@@ -113,7 +113,7 @@ def hazard_probability(px: DataFrame, threshold: float, return_period: Column |
 
 def composite_max(px: DataFrame, by: Sequence[str] = ("city",)) -> DataFrame:
     """Cell maximum over the layers of a stack."""
-    return px.groupBy(*by, *CELL).agg(F.max("value").alias("value"))
+    return dealt(px, [*by, *CELL]).groupBy(*by, *CELL).agg(F.max("value").alias("value"))
 
 
 def combine_hazards(px: DataFrame, types: Sequence[str], type_col: str, by: Sequence[str] = ("city",),
@@ -376,7 +376,8 @@ def dissolve_values(px: DataFrame, by: Sequence[str] = ("city",)) -> DataFrame:
     raster is never gathered whole.
     """
     row = Window.partitionBy(*by, "value", "y").orderBy("x")
-    marked = px.where(F.col("value").isNotNull()).withColumn("_run", F.col("x") - F.row_number().over(row))
+    known = dealt(px.where(F.col("value").isNotNull()), [*by, "value", "y"])
+    marked = known.withColumn("_run", F.col("x") - F.row_number().over(row))
     return (
         marked.groupBy(*by, "value", "y", "_run")
         .agg(F.min("x").alias("x_start"), F.max("x").alias("x_end"))

@@ -191,3 +191,17 @@ def test_polygons_of_a_crowded_tile_are_dealt_out(spark):
     for crowd in (7, 10_000):
         found = spatial.intersecting(boxes, areas, 1.0, how="inner", crowd=crowd).collect()
         assert sorted((r.id, r.area) for r in found) == sorted(want), crowd
+
+
+def test_rows_are_dealt_over_as_many_partitions_as_they_take(spark, monkeypatch):
+    from citygrain import scale
+    from citygrain.operators import pixels
+
+    monkeypatch.setattr(scale, "PARTITION_ROWS", 100)
+    px = spark.range(3000).select((F.col("id") % 2).alias("city"), (F.col("id") % 60).cast("int").alias("x"), (F.col("id") / 60).cast("int").alias("y"), (F.col("id") % 7).alias("value"))
+    for made in (pixels.mosaic([px, px], "max"), pixels.mosaic([px, px]), pixels.composite_max(px)):
+        assert made.rdd.getNumPartitions() >= 30 and sorted(made.collect()) == sorted(px.collect())
+    runs = pixels.dissolve_values(px)
+    assert runs.rdd.getNumPartitions() == 30 and runs.count() == 3000
+    few = px.limit(500)
+    assert scale.dealt(few, ["x"]) is few
