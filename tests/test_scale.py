@@ -1,5 +1,6 @@
 """Skew-safe building blocks against plain computations."""
 
+import math
 import random
 
 import pytest
@@ -205,3 +206,27 @@ def test_rows_are_dealt_over_as_many_partitions_as_they_take(spark, monkeypatch)
     assert runs.rdd.getNumPartitions() == 30 and runs.count() == 3000
     few = px.limit(500)
     assert scale.dealt(few, ["x"]) is few
+
+
+def test_several_nearest_nodes_leave_few_rows_a_tile(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "LEAF", 8)
+    rng = random.Random(5)
+    # places on a coarse lattice, so that many distances are equal, and several nodes at one place
+    nodes = [(i, rng.randrange(40) / 4.0, rng.randrange(40) / 4.0) for i in range(900)] + [(900, None, 1.0)]
+    points = [(i, rng.randrange(80) / 8.0, rng.randrange(80) / 8.0) for i in range(60)] + [(60, None, None)]
+    rows, pairs_of = [], nearest.candidate_pairs
+
+    def counted(*args, **named):
+        out = pairs_of(*args, **named)
+        rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(nearest, "candidate_pairs", counted)
+    found = nearest.k_nearest_nodes(
+        spark.createDataFrame(points, "id long, lon double, lat double"), spark.createDataFrame(nodes, "node long, x double, y double"), 5
+    )
+    got = {r.id: r.nodes for r in found.collect()}
+    held = [n for n in nodes if n[1] is not None]
+    assert got == {i: [n for _, n in sorted((math.hypot(x - a, y - b), n) for n, a, b in held)[:5]] for i, x, y in points if x is not None}
+    # at most five of each tile, not all its items
+    assert rows[0] <= 60 * 5 * 9
