@@ -248,6 +248,33 @@ def test_strong_components_of_many_shapes(spark, kind):
     assert {frozenset(p) for p in parts.values()} == set(want.values())
 
 
+@pytest.mark.parametrize("kind", ["sparse", "streets"])
+def test_components_of_pivots_by_city(spark, monkeypatch, kind):
+    """Large graphs: the component of a city's best-connected node is found first, each edge being passed once each way."""
+    rng = random.Random(kind)
+    make = {
+        "sparse": lambda: [(rng.randrange(150), rng.randrange(150)) for _ in range(230)],
+        "streets": lambda: streets_with_one_ways(rng),
+    }[kind]
+    cities = {"a": make(), "b": make()}
+    monkeypatch.setattr(topology, "PIVOT_EDGES", 1)
+    rests = []
+    pivots = topology._without_pivots
+    monkeypatch.setattr(topology, "_without_pivots", lambda *a: rests.append(pivots(*a)) or rests[-1])
+    edges = spark.createDataFrame([(c, u, v) for c, pairs in cities.items() for u, v in pairs], "city string, u long, v long")
+    got = {(r.city, r.node): r.component for r in topology.strong_components(edges, ["city"]).collect()}
+    one = {r.node: r.component for r in topology.strong_components(edges.where("city = 'a'").select("u", "v")).collect()}
+    assert len(rests) == 2
+    want = {(c, n): part for c, pairs in cities.items() for n, part in strong_by_hand(pairs).items()}
+    for found, wanted in ((got, want), ({("a", n): c for n, c in one.items()}, {k: p for k, p in want.items() if k[0] == "a"})):
+        assert found.keys() == wanted.keys()
+        parts: dict = {}
+        for (city, node), name in found.items():
+            assert name in wanted[city, node]
+            parts.setdefault((city, name), set()).add(node)
+        assert {(c, frozenset(p)) for (c, _), p in parts.items()} == {(c, p) for (c, _), p in wanted.items()}
+
+
 def test_a_long_ring_takes_few_rounds(spark, monkeypatch):
     n, rounds = 10_000, []
     cut = Rounds.cut
