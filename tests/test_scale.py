@@ -230,3 +230,28 @@ def test_several_nearest_nodes_leave_few_rows_a_tile(spark, monkeypatch):
     assert got == {i: [n for _, n in sorted((math.hypot(x - a, y - b), n) for n, a, b in held)[:5]] for i, x, y in points if x is not None}
     # at most five of each tile, not all its items
     assert rows[0] <= 60 * 5 * 9
+
+
+def test_long_segments_are_cut_on_the_way_down(spark, monkeypatch):
+    rng = random.Random(13)
+    segs = []
+    for i in range(3000):
+        x, y, a = rng.uniform(0, 100), rng.uniform(0, 100), rng.uniform(0, 2 * math.pi)
+        segs.append((i, x, y, x + 30 * math.cos(a), y + 30 * math.sin(a)))
+    points = [(i, rng.uniform(0, 100), rng.uniform(0, 100)) for i in range(40)]
+    seen, pairs_of = [], nearest.candidate_pairs
+    monkeypatch.setattr(nearest, "LEAF", 4)
+    monkeypatch.setattr(nearest, "candidate_pairs", lambda *a, **k: seen.append(pairs_of(*a, **k)) or seen[-1])
+    table = spark.createDataFrame(segs, "segment long, x1 double, y1 double, x2 double, y2 double")
+    found = nearest.nearest_segment(spark.createDataFrame(points, "id long, lon double, lat double"), table)
+    got = {r.id: (r.segment, r.distance) for r in found.collect()}
+
+    def gap(px, py, x1, y1, x2, y2):
+        t = max(0.0, min(1.0, ((px - x1) * (x2 - x1) + (py - y1) * (y2 - y1)) / ((x2 - x1) ** 2 + (y2 - y1) ** 2)))
+        return math.hypot(x1 + t * (x2 - x1) - px, y1 + t * (y2 - y1) - py)
+
+    for i, px, py in points:
+        d, best = min((gap(px, py, *s[1:]), s[0]) for s in segs)
+        assert got[i][0] == best and abs(got[i][1] - d) < 1e-9
+    # half a segment's length around each point there are more than 200 middles
+    assert seen[0].select("_q", "_i").distinct().count() < 100 * len(points)
