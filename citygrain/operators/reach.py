@@ -52,9 +52,10 @@ def shortest_costs(edges: DataFrame, origins: DataFrame, cutoff: float | None =
         n=F.count(F.lit(1)), mean=F.avg("_w"),
     )
     waiting, starts = cut_and_measure(
-        origins.select(*place).distinct().withColumn("cost", F.lit(0.0)), n=F.count(F.lit(1)), least=F.min("cost")
-    )
-    width = _band(starts["n"], sizes, cutoff, open_rows)
+        origins.select(*place).distinct().withColumn("cost", F.lit(0.0)),
+        n=F.count(F.lit(1)), least=F.min("cost"), searches=F.count_distinct(F.struct(*keys)) if keys else F.lit(1),
+    )
+    width = _band(starts, sizes, cutoff, open_rows)
     if width is None:
         return _fixpoint(waiting, steps, by, place, cutoff, None, None)[0]
     settled = Kept(edges.sparkSession, place, "settled_costs")
@@ -77,9 +78,12 @@ def shortest_costs(edges: DataFrame, origins: DataFrame, cutoff: float | None =
     return settled.close()
 
 
-def _band(origins: int, steps: dict, cutoff: float | None, open_rows: int) -> float | None:
-    """A first width of the bands; None if all rows that a search can have may be open at once."""
-    reachable = origins * steps["n"]
+def _band(starts: dict, steps: dict, cutoff: float | None, open_rows: int) -> float | None:
+    """A first width of the bands; None if all rows that the searches can have may be open at once.
+
+    Origins of one search share its rows: a node has one, however many origins reach it.
+    """
+    reachable = starts["n"] + starts["searches"] * steps["n"]
     if reachable <= open_rows:
         return None
     return max(cutoff * open_rows / reachable, steps["mean"]) if cutoff is not None else 4 * steps["mean"]

@@ -248,6 +248,27 @@ def test_strong_components_of_many_shapes(spark, kind):
     assert {frozenset(p) for p in parts.values()} == set(want.values())
 
 
+def test_origins_of_one_search_share_its_band(spark, monkeypatch):
+    """Rows that may be open are counted by search, so many origins of one category need no bands."""
+    n = 30
+    links = [(i, (i + 1) % n, 1.0 + i % 3) for i in range(n)]
+    edges = spark.createDataFrame(links, "u long, v long, length double")
+    origins = spark.createDataFrame([(i, "ab"[i % 2]) for i in range(0, n, 2)] + [(1, "a")], "node long, category string")
+
+    def banded(*args, **named):
+        raise AssertionError("a band was opened")
+
+    monkeypatch.setattr(reach, "Kept", banded)
+    found = reach.shortest_costs(edges, origins, 4.0, carry=["category"], open_rows=100)
+    want = {}
+    for start, category in [(r.node, r.category) for r in origins.collect()]:
+        at, cost = start, 0.0
+        while cost <= 4.0:
+            want[category, at] = min(cost, want.get((category, at), cost))
+            cost, at = cost + links[at][2], links[at][1]
+    assert {(r.category, r.node): r.cost for r in found.collect()} == want
+
+
 @pytest.mark.parametrize("kind", ["sparse", "streets"])
 def test_components_of_pivots_by_city(spark, monkeypatch, kind):
     """Large graphs: the component of a city's best-connected node is found first, each edge being passed once each way."""
