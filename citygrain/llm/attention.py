@@ -12,6 +12,25 @@ STRIDE = 16
 ROWS = 2048
 
 
+#: Exponents up to which powers and their sums are far from the ends of the numbers.
+SAFE = 60.0
+
+
+def _times(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """``x @ w`` as one product of two matrices, not one for each window."""
+    return (x.reshape(-1, x.shape[-1]) @ w).reshape(*x.shape[:-1], w.shape[-1])
+
+
+def _totals(x: np.ndarray) -> np.ndarray:
+    """Sums over the last axis."""
+    return (x.reshape(-1, x.shape[-1]) @ np.ones(x.shape[-1], x.dtype)).reshape(x.shape[:-1])
+
+
+def _wide(x: np.ndarray) -> bool:
+    """Whether exponents must be shifted before powers are taken."""
+    return x.size > 0 and not (x.max() <= SAFE and x.min() >= -SAFE)
+
+
 class Attention:
     """Next-id probabilities over ``size`` ids from at most ``window`` ids before."""
 
@@ -36,7 +55,8 @@ class Attention:
     def _states(self, ids: np.ndarray, first: int = 0) -> dict:
         """All inner values for windows of ids (rows), from the position ``first`` on."""
         w, n = self.weights, ids.shape[1]
-        x = w["embed"][ids] + w["place"][:n]
+        x = np.take(w["embed"], ids, axis=0)
+        x += w["place"][:n]
         s = {"x": x[:, first:], "k": x @ w["key"], "v": x @ w["value"]}
         s["q"] = s["x"] @ w["ask"]
         a = (s["q"] * self.scale) @ s["k"].transpose(0, 2, 1)
@@ -50,24 +70,51 @@ class Attention:
         s["z"] = s["h"] + s["u"] @ w["down"]
         return s
 
+    def _last(self, ids: np.ndarray, first: int) -> np.ndarray:
+        """The last of the inner values of :meth:`_states`, but for rounding; nothing is kept for gradients."""
+        w, n = self.weights, ids.shape[1]
+        x = np.take(w["embed"], ids, axis=0)
+        x += w["place"][:n]
+        k, v = _times(x, w["key"]), _times(x, w["value"])
+        h = np.ascontiguousarray(x[:, first:])
+        a = _times(h, w["ask"] * self.scale) @ k.transpose(0, 2, 1)
+        wide = _wide(a)
+        a += self.mask[first:n, :n]
+        if wide:
+            a -= a.max(axis=2, keepdims=True)
+        np.exp(a, out=a)
+        a /= _totals(a)[:, :, None]
+        h += _times(a @ v, w["mix"])
+        u = _times(h, w["up"])
+        u += w["up_bias"]
+        h += _times(np.maximum(u, 0, out=u), w["down"])
+        return h
+
     def log_probabilities(self, ids: np.ndarray, rows: np.ndarray, columns: np.ndarray, targets: np.ndarray, first: int = 0) -> np.ndarray:
         """Natural logarithm of the probability of ``targets`` after the given positions of the windows, none before ``first``."""
-        z = self._states(ids, first)["z"][rows, columns - first]
+        z = self._last(ids, first)[rows, columns - first]
         out = np.empty(len(targets), z.dtype)
         for a in range(0, len(targets), ROWS):
             part = slice(a, a + ROWS)
-            scores = self._scores(z[part])
+            scores = self._raw_scores(z[part])
+            if _wide(scores):
+                scores -= scores.max(axis=1, keepdims=True)
             own = scores[np.arange(len(scores)), targets[part]]
             np.exp(scores, out=scores)
-            out[part] = own - np.log(scores.sum(axis=1))
+            out[part] = own - np.log(_totals(scores))
         return out
 
-    def _scores(self, z: np.ndarray) -> np.ndarray:
-        """Scores of all ids, at most 0, in a table that the next call takes again."""
+    def _raw_scores(self, z: np.ndarray) -> np.ndarray:
+        """Scores of all ids, in a table that the next call takes again."""
         if len(self._held) < len(z) or self._held.dtype != z.dtype:
             self._held = np.empty((len(z), self.size), z.dtype)
         scores = np.matmul(z, self.weights["out"], out=self._held[: len(z)])
         scores += self.weights["bias"]
+        return scores
+
+    def _scores(self, z: np.ndarray) -> np.ndarray:
+        """The same, shifted to at most 0."""
+        scores = self._raw_scores(z)
         scores -= scores.max(axis=1, keepdims=True)
         return scores
 
@@ -88,7 +135,8 @@ class Attention:
         dz = (p @ w["out"].T).reshape(n, t, d)
         sum_of = lambda a, b: np.tensordot(a, b, axes=((0, 1), (0, 1)))
         g["down"] = sum_of(s["u"], dz)
-        du = (dz @ w["down"].T) * (s["u"] > 0)
+        du = dz @ w["down"].T
+        du *= s["u"] > 0
         g["up"], g["up_bias"] = sum_of(s["h"], du), du.sum(axis=(0, 1))
         dh = dz + du @ w["up"].T
         g["mix"] = sum_of(s["c"], dh)

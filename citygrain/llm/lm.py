@@ -59,6 +59,16 @@ def subword(word: bytes) -> int:
     return int.from_bytes(word[:SUBWORD], "big") | len(word[:SUBWORD]) << 24
 
 
+def subwords(words: list[bytes]) -> np.ndarray:
+    """:func:`subword` of many words."""
+    size = np.minimum(np.fromiter(map(len, words), np.int64, len(words)), SUBWORD)
+    leading = np.array(words, f"S{SUBWORD}").view(np.uint8).reshape(len(words), SUBWORD).astype(np.int64)
+    out = np.zeros(len(words), np.int64)
+    for i in range(SUBWORD):
+        out = np.where(size > i, out << 8 | leading[:, i], out)
+    return out | size << 24
+
+
 def _sliced(docs: DataFrame) -> DataFrame:
     """One row for each slice: ids, training flags and sizes of its texts, word numbers, and its words with counts."""
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -71,9 +81,8 @@ def _sliced(docs: DataFrame) -> DataFrame:
 
         def sent() -> dict:
             ids: defaultdict[bytes, int] = defaultdict(count().__next__)
-            numbers = [list(map(ids.__getitem__, row)) for row in held["rows"]]
-            sizes = np.array([len(x) for x in numbers], np.int64)
-            sequence = np.fromiter(chain.from_iterable(numbers), np.int32, sizes.sum())
+            sizes = np.array([len(row) for row in held["rows"]], np.int64)
+            sequence = np.fromiter(map(ids.__getitem__, chain.from_iterable(held["rows"])), np.int32, sizes.sum())
             learned = sequence[np.repeat(np.array(held["train"], bool), sizes)]
             # planes of bytes, as the upper ones hardly vary
             planes = sequence.view(np.uint8).reshape(-1, 4).T.tobytes()
@@ -84,7 +93,7 @@ def _sliced(docs: DataFrame) -> DataFrame:
                 "sizes": [sizes.tolist()],
                 "sequence": [pack.compress(planes)],
                 "words": [[xxhash.xxh64_intdigest(w) - (1 << 63) for w in ids]],
-                "heads": [[subword(w) for w in ids]],
+                "heads": [subwords(list(ids)).astype(np.int32)],
                 "n": [np.bincount(learned, minlength=len(ids)).tolist()],
             }
 

@@ -157,3 +157,35 @@ def test_score_by_hand(spark):
             want += model.log_probabilities(at, np.array([0]), np.array([p - start]), np.array([ids[p]]))[0] / math.log(10)
             want += math.log10(counts.get(w, 0) + 0.5) - math.log10(within[ids[p]])
         assert abs(want - got[i]) < 1e-3 * max(1, abs(want)), (i, want, got[i])
+
+
+def test_subwords_of_many_words_at_once():
+    r = np.random.default_rng(5)
+    words = [bytes(r.choice(list(b"ab\x00\xff"), r.integers(1, 6)).astype(np.uint8)) for _ in range(500)]
+    assert lm.subwords(words).tolist() == [lm.subword(w) for w in words]
+    assert lm.subwords([]).tolist() == []
+
+
+def test_scores_take_the_inner_values_of_training():
+    r = np.random.default_rng(6)
+    m = attention.Attention(20)
+    ids, targets = r.integers(0, 20, (2, 40, attention.WINDOW))
+    for factor in (1, 40):
+        # the larger weights lead beyond the exponents that need no shift
+        m.weights = {k: v * np.float32(factor) for k, v in m.weights.items()}
+        for first in (0, attention.WINDOW - attention.STRIDE):
+            rows, columns = np.nonzero(np.ones((40, attention.WINDOW - first)))
+            goal = targets[rows, columns + first]
+            z = m._states(ids, first)["z"][rows, columns]
+            assert np.allclose(m._last(ids, first)[rows, columns], z, rtol=1e-3, atol=1e-3 * abs(z).max())
+            scores = m._scores(z).astype(np.float64)
+            want = scores[np.arange(len(goal)), goal] - np.log(np.exp(scores).sum(axis=1))
+            got = m.log_probabilities(ids, rows, columns + first, goal, first)
+            assert np.isfinite(got).all() and np.allclose(got, want, rtol=1e-3, atol=1e-3 * max(1, abs(want).max()))
+
+
+def test_scoring_multiplies_all_windows_at_once(monkeypatch):
+    m = attention.Attention(20)
+    monkeypatch.setattr(m, "_states", None)
+    ids = np.arange(64).reshape(2, 32) % 20
+    assert len(m.log_probabilities(ids, np.array([0, 1]), np.array([3, 5]), np.array([1, 2]))) == 2
