@@ -2,10 +2,12 @@
 
 import math
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from citygrain.functions import geometry as geo
 from citygrain.operators import display, nearest, pixels, spatial, terrain
 from citygrain.grid import Grid
 from citygrain.scale import crowded_join, cut_lineage, exact_quantiles, fill_along, next_along, numbered, with_totals
@@ -255,3 +257,33 @@ def test_long_segments_are_cut_on_the_way_down(spark, monkeypatch):
         assert got[i][0] == best and abs(got[i][1] - d) < 1e-9
     # half a segment's length around each point there are more than 200 middles
     assert seen[0].select("_q", "_i").distinct().count() < 100 * len(points)
+
+
+def test_nearest_polygon_reads_points_as_often_as_it_returns_them(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    rows = [(i, i * 0.7 % 21 - 1.5, i * 1.3 % 9 - 1.5) for i in range(70)]
+    points = spark.createDataFrame(rows, "id long, lon double, lat double").mapInArrow(counted, "id long, lon double, lat double")
+    boxes = [(k, 2.0 * k, 0.0, 2.0 * k + 1, 5.0) for k in range(20)]
+    polys = spark.createDataFrame(boxes, "zone long, xmin double, ymin double, xmax double, ymax double").withColumn("rings", geo.box_polygon())
+    found = {r["id"]: r["distance"] for r in nearest.nearest_polygon(points, polys, 2.0).collect()}
+    want = {i: min(math.hypot(max(a - x, x - c, 0), max(b - y, y - d, 0)) for _, a, b, c, d in boxes) for i, x, y in rows}
+    assert found == pytest.approx(want)
+    # once for their places, and once for the result
+    assert read.value <= 2 * len(rows)
+
+
+def test_expected_sizes_do_not_grow_with_the_levels_of_a_search(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "LEAF", 1)
+    nodes = [("a", i, 1.5**-i, 0.0) for i in range(12)]
+    points = spark.createDataFrame([("a", i, 0.0, 0.1 * i) for i in range(4)], "city string, id long, lon double, lat double")
+    found = nearest.k_nearest(points, spark.createDataFrame(nodes, "city string, node long, x double, y double"), 1, by=["city"])
+    assert {r["id"]: r["node"] for r in found.collect()} == {i: min(nodes, key=lambda n: math.hypot(n[2], 0.1 * i))[1] for i in range(4)}
+    expected = found._jdf.queryExecution().optimizedPlan().stats().simpleString()
+    power = re.search(r"E\+(\d+)", expected)
+    assert power is None or int(power[1]) < 1000, expected
