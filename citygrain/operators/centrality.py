@@ -5,9 +5,11 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator, Sequence
 from itertools import count
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,16 +19,21 @@ from citygrain.scale import Rounds, cut_lineage, join_on, numbered, with_totals
 BLOCK_ROWS = 200_000_000
 #: Sources whose paths through a node travel as one row.
 CHUNK = 512
+#: Links that every task may hold; more are joined with what was reached, level by level.
+TASK_LINKS = 2_000_000
+#: Nodes and links in reach of the sources that a task searches from at once.
+TASK_REACH = 8_000_000
 
 
 def betweenness(edges: DataFrame, kind: str = "edge", sources: int | None = None, seed: int = 0,
                 by: Sequence[str] = (), block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Normalized betweenness of each edge (u, v) or node, with the mean over all appended.
 
-    Sources are worked on in blocks, so that a block has about ``block_rows`` pairs of (source, node). Shortest
-    paths are counted level by level outwards. Up to ``CHUNK`` sources that reach a node on one level travel as one row, and
-    one bit for each says whether the node was reached before. On the way back a row carries what its node passes on; the scores are
-    sums of that. The result is exact and covers all
+    Shortest paths are counted level by level outwards; on the way back nodes pass on what they got from the nodes behind them, and
+    scores are sums of that. Up to ``TASK_LINKS`` links are held by every task, and sources are dealt over the tasks, so that nothing is
+    shuffled but sums, however many levels there are. Of larger networks, sources are worked on in blocks, so that a block has about
+    ``block_rows`` pairs of (source, node). Up to ``CHUNK`` sources that reach a node on one level travel as one row, and
+    one bit for each says whether the node was reached before. The result is exact and covers all
     sources, whatever the size; only for edges, and only if ``sources`` asks for it, as many sources are drawn
     by a seeded hash and the result is scaled up. ``by`` names columns, such as the city, that keep networks
     apart: each is normalized by its own nodes and has its own mean.
@@ -48,18 +55,21 @@ def betweenness(edges: DataFrame, kind: str = "edge", sources: int | None = None
         hashed = names.withColumn("_h", F.xxhash64(F.lit(seed), "node"))
         starts = numbered(hashed, ["_h", "node"], "_source").where(F.col("_source") < sources)
         k, rows = sources, sources * n
-    blocks = max(1, math.ceil(rows / block_rows))
-    chunk = max(1, min(CHUNK, math.ceil(k / blocks)))
-    starts = cut_lineage(
-        starts.select(F.floor(F.col("_source") / chunk).alias("chunk"), F.col("_at").alias("node"), F.pmod("_source", F.lit(chunk)).alias("at"))
-    )
     keys = [*by, "u", "v"] if kind == "edge" else [*by, "node"]
     named = lambda c: names.select(*by, F.col("node").alias(c), F.col("_at").alias(f"_{c}"))
     links = cut_lineage(pairs.join(named("u"), [*by, "u"]).join(named("v"), [*by, "v"]).select("_u", "_v"))
-    scores = None
-    for block in range(blocks):
-        found = _block_scores(starts.where(F.pmod("chunk", F.lit(blocks)) == block), links, kind, chunk)
-        scores = found if scores is None else scores.unionByName(found)
+    if links.count() <= TASK_LINKS:
+        scores = _searched(starts.select("_at"), links, kind, n)
+    else:
+        blocks = max(1, math.ceil(rows / block_rows))
+        chunk = max(1, min(CHUNK, math.ceil(k / blocks)))
+        starts = cut_lineage(
+            starts.select(F.floor(F.col("_source") / chunk).alias("chunk"), F.col("_at").alias("node"), F.pmod("_source", F.lit(chunk)).alias("at"))
+        )
+        done = Rounds(edges.sparkSession, "betweenness_blocks")
+        for block in range(blocks):
+            found = done.cut(_block_scores(starts.where(F.pmod("chunk", F.lit(blocks)) == block), links, kind, chunk))
+        scores = done.finish(done.together(range(1, blocks + 1), found.schema))
     out = (pairs if kind == "edge" else nodes).withColumn("score", F.lit(0.0))
     if kind == "edge":
         scores = scores.join(named("u"), "_u").join(named("v").drop(*by), "_v")
@@ -91,9 +101,9 @@ def _block_scores(starts: DataFrame, links: DataFrame, kind: str, chunk: int) ->
         if level.where(open_rows).isEmpty():
             break
         levels.append(level)
-    owed, scored = "chunk long, node long, at binary, share binary, v long, score double", []
+    owed = "chunk long, node long, at binary, share binary, v long, score double"
     back = lambda batches: _shares(batches, chunk, kind == "edge")
-    passed = None
+    passed, scored = None, []
     for level in range(len(levels) - 1, -1, -1):
         # a source is no inner node of its own paths, and nothing is behind the last level
         own = levels[level].where(open_rows).select("chunk", "node", "at", "paths", F.lit(None).cast("long").alias("v"))
@@ -102,15 +112,127 @@ def _block_scores(starts: DataFrame, links: DataFrame, kind: str, chunk: int) ->
             own = own.unionByName(sent.select("chunk", F.col("_u").alias("node"), "at", F.col("share").alias("paths"), F.col("_v").alias("v")))
         passed = rounds.cut(_dealt(own, "v").mapInArrow(back, owed))
         if kind == "edge" or level > 0:
-            scored.append(passed.where("score is not null").select(F.col("node").alias("_u"), F.col("v").alias("_v"), "score"))
-    scores = scored[0] if scored else passed.select(F.col("node").alias("_u"), F.col("v").alias("_v"), "score").limit(0)
-    for part in scored[1:]:
-        scores = scores.unionByName(part)
+            scored.append(rounds.number)
+    scores = rounds.together(scored, passed.schema) if scored else passed.limit(0)
+    scores = scores.where("score is not null").select(F.col("node").alias("_u"), F.col("v").alias("_v"), "score")
     ends = ["_u", "_v"] if kind == "edge" else ["_u"]
     # one row per link or node is left of a block
     return rounds.finish(scores.groupBy(*ends).agg(F.sum("score").alias("score")))
 
 
+class Links(NamedTuple):
+    """A graph as every task holds it: the links of a node one after another, and the nodes of a component too.
+
+    A search needs places for the nodes of its component only. ``shift`` is how far the places of both ends of a link are apart.
+    """
+
+    first: np.ndarray  # of each node, its first link
+    u: np.ndarray
+    v: np.ndarray
+    shift: np.ndarray
+    place: np.ndarray  # of each node, in its component
+    start: np.ndarray  # of each node, where its component begins in ``order``
+    size: np.ndarray  # of each node, the nodes of its component
+    reach: np.ndarray  # of each node, the nodes and links of its component
+    order: np.ndarray
+
+
+def _graph(links: DataFrame, n: int) -> Links:
+    """Links (_u, _v) between the nodes 0 .. n - 1."""
+    table = links.toArrow()
+    u, v = (table.column(c).to_numpy().astype(np.int64) for c in ("_u", "_v"))
+    by_u = np.lexsort((v, u))
+    u, v = u[by_u], v[by_u]
+    part = np.arange(n)
+    while (open_links := part[u] != part[v]).any():
+        a, b = part[u[open_links]], part[v[open_links]]
+        np.minimum.at(part, np.maximum(a, b), np.minimum(a, b))
+        while (part != part[part]).any():
+            part = part[part]
+    order = np.argsort(part, kind="stable")
+    sizes, held = np.bincount(part, minlength=n), np.bincount(part[u], minlength=n)
+    start = (np.cumsum(sizes) - sizes)[part]
+    place = np.empty(n, np.int64)
+    place[order] = np.arange(n)
+    place -= start
+    small = [x.astype(np.int32) for x in (u, v, place[v] - place[u], place, start, sizes[part])]
+    return Links(np.searchsorted(u, np.arange(n + 1)), *small, (sizes + held)[part], order.astype(np.int32))
+
+
+def _searched(starts: DataFrame, links: DataFrame, kind: str, n: int) -> DataFrame:
+    """Scores of links (_u, _v) or of nodes (_u) from the shortest paths of sources (_at), each searched in one task."""
+    spark, rounds = starts.sparkSession, Rounds(starts.sparkSession, "betweenness")
+    graph = _graph(links, n)
+    held = spark.sparkContext.broadcast(tuple(graph))
+    work = starts.count() * int(graph.reach.max(initial=1))
+    tasks = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(work / TASK_REACH)))
+    search = lambda batches, reach=TASK_REACH: _paths(batches, held, kind == "edge", reach)
+    found = starts.repartition(tasks, "_at").mapInArrow(search, "_u long, _v long, score double")
+    ends = ["_u", "_v"] if kind == "edge" else ["_u"]
+    out = rounds.finish(rounds.cut(found.groupBy(*ends).agg(F.sum("score").alias("score"))))
+    held.destroy()
+    return out
+
+
+def _paths(batches: Iterator[pa.RecordBatch], held: Broadcast, of_edges: bool, reach: int) -> Iterator[pa.RecordBatch]:
+    """Sums over the sources of a task, for every link or node that has any."""
+    graph = Links(*held.value)
+    sources = np.concatenate([np.empty(0, np.int64), *[b.column(0).to_numpy() for b in batches]])
+    score = np.zeros(len(graph.u) if of_edges else len(graph.order))
+    group = np.cumsum(graph.reach[sources]) // reach
+    for some in np.split(sources, np.flatnonzero(np.diff(group)) + 1):
+        if len(some):
+            _add_scores(some, graph, score, of_edges)
+    used = np.flatnonzero(score)
+    u, v = (graph.u[used], graph.v[used]) if of_edges else (used, used)
+    found = pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array(score[used])], names=["_u", "_v", "score"])
+    for at in range(0, len(used), 50_000):
+        yield found.slice(at, 50_000)
+
+
+def _add_scores(sources: np.ndarray, graph: Links, score: np.ndarray, of_edges: bool) -> None:
+    """Adds what the shortest paths from some sources give, one level of all of them at a time.
+
+    A cell is a source and a node of its component.
+    """
+    sizes = graph.size[sources].astype(np.int64)
+    ends = np.cumsum(sizes)
+    base = ends - sizes
+    paths, seen, last = np.zeros(ends[-1]), np.zeros(ends[-1], bool), np.empty(ends[-1], np.int64)
+    cells, nodes = base + graph.place[sources], sources
+    own = cells
+    paths[cells], seen[cells] = 1.0, True
+    levels = []
+    while len(cells):
+        first = graph.first[nodes]
+        n = graph.first[nodes + 1] - first
+        until = np.cumsum(n)
+        link = np.arange(until[-1]) + np.repeat(first - until + n, n)
+        cell = np.repeat(cells, n)
+        to = cell + graph.shift[link]
+        new = np.flatnonzero(~seen[to])
+        link, cell, to = link[new], cell[new], to[new]
+        np.add.at(paths, to, paths[cell])
+        # of the links to a cell, one goes on
+        at = np.arange(len(to))
+        last[to] = at
+        one = np.flatnonzero(last[to] == at)
+        levels.append((link, cell, to))
+        cells, nodes = to[one], graph.v[link[one]]
+        seen[cells] = True
+    owed = np.zeros(ends[-1])
+    for link, cell, to in reversed(levels):
+        flow = paths[cell] * ((1 + owed[to]) / paths[to])
+        np.add.at(owed, cell, flow)
+        if of_edges:
+            np.add.at(score, link, flow)
+    if not of_edges:
+        # a source is no inner node of its own paths
+        owed[own] = 0
+        node = graph.order[np.arange(ends[-1]) + np.repeat(graph.start[sources] - base, sizes)]
+        np.add.at(score, node, owed)
+
+
 def _dealt(df: DataFrame, *then: str) -> DataFrame:
     """Rows of a node and chunk of sources one after another in one task."""
     return df.repartition("chunk", "node").sortWithinPartitions("chunk", "node", *then)

@@ -562,6 +562,40 @@ def test_betweenness_keeps_a_row_for_each_node_and_chunk_of_sources(spark, kind,
     assert max(sizes) <= 3 * 40
 
 
+@pytest.mark.parametrize("kind", ["edge", "node"])
+def test_betweenness_of_a_long_ring_takes_few_tables(spark, kind, monkeypatch):
+    # a ring one way has as many levels as nodes; a second component has other places
+    rows = [(i, i, (i + 1) % 40, 1.0) for i in range(40)] + [(100 + i, 90 - i, 89 - i, 1.0) for i in range(5)] + [(200, 88, 86, 1.0), (201, 3, 3, 1.0)]
+    tables, cut = [], centrality.Rounds.cut
+    monkeypatch.setattr(centrality.Rounds, "cut", lambda self, df: tables.append(1) or cut(self, df))
+    monkeypatch.setattr(centrality, "TASK_REACH", 300)
+    edges = edge_table(spark, rows)
+    got = {r[0] if kind == "node" else (r[0], r[1]): r["centrality"] for r in centrality.betweenness(edges, kind).collect()}
+    assert got == pytest.approx(betweenness_by_hand(rows)[kind == "node"])
+    assert len(tables) <= 4
+
+
+@pytest.mark.parametrize("kind", ["edge", "node"])
+def test_betweenness_of_more_links_than_a_task_holds(spark, kind, monkeypatch):
+    monkeypatch.setattr(centrality, "TASK_LINKS", 0)
+    monkeypatch.setattr(centrality, "CHUNK", 4)
+    rows = random_edges(11, 26, 9) + [(50, 2, 30, 1.0), (51, 30, 31, 1.0)]
+    plans, blocks = [], centrality._block_scores
+
+    def planned(*x):
+        finish = centrality.Rounds.finish
+        monkeypatch.setattr(centrality.Rounds, "finish", lambda self, df: plans.append(df._jdf.queryExecution().analyzed().toString()) or finish(self, df))
+        out = blocks(*x)
+        monkeypatch.setattr(centrality.Rounds, "finish", finish)
+        return out
+
+    monkeypatch.setattr(centrality, "_block_scores", planned)
+    got = {r[0] if kind == "node" else (r[0], r[1]): r["centrality"] for r in centrality.betweenness(edge_table(spark, rows), kind, block_rows=70).collect()}
+    assert got == pytest.approx(betweenness_by_hand(rows)[kind == "node"])
+    # levels are read together, not one by one
+    assert len(plans) > 1 and not any("Union" in p for p in plans)
+
+
 def test_betweenness_sampled_sources(spark):
     edges = edge_table(spark, random_edges(25, 60, 6))
     once = {(r["u"], r["v"]): r["centrality"] for r in centrality.betweenness(edges, sources=10, seed=1).collect()}
