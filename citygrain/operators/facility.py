@@ -6,8 +6,11 @@ origin that nothing reaches is demand not covered, or costs the fail value.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import heapq
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +44,8 @@ def coverage(od: DataFrame, origins: DataFrame, max_cost: float, chosen: DataFra
 
 #: Facilities that are weighed against each other in one job; their overlaps are at most 2 ** TOGETHER rows.
 TOGETHER = 12
+#: Pairs of an origin and a facility from which the driver makes all choices.
+DRIVER_LINKS = 4_000_000
 
 
 def greedy_cover(od: DataFrame, origins: DataFrame, p: int | None, max_cost: float, weights: DataFrame | None = None,
@@ -50,7 +55,8 @@ def greedy_cover(od: DataFrame, origins: DataFrame, p: int | None, max_cost: flo
     Stops at ``p`` facilities, or when the wanted share of all demand is covered. Forced
     facilities come first; ties go to the smaller id. One row per choice, in order.
 
-    A job makes as many choices as are certain. It takes the ``together`` facilities of the largest gains and sums the open demand
+    Up to ``DRIVER_LINKS`` pairs within the cost are fetched once and all choices made from them. Of more, a job makes as
+    many choices as are certain. It takes the ``together`` facilities of the largest gains and sums the open demand
     by which of them cover it. From these sums their gains after any choice among them follow. Gains only fall, so a
     choice is certain while its gain is above what the best facility outside had at the start of the job.
     """
@@ -67,7 +73,17 @@ def greedy_cover(od: DataFrame, origins: DataFrame, p: int | None, max_cost: flo
     def wanted() -> bool:
         return (p is None or len(rows) < p) and (target is None or covered < target)
 
-    while wanted():
+    def add(d, gain: float) -> None:
+        nonlocal covered
+        covered += gain
+        rows.append((len(rows) + 1, d, gain, covered, covered / total * 100 if total else 0.0))
+
+    few = open_links.count() <= DRIVER_LINKS
+    if few:
+        choices = _choices(open_links, forced_left)
+        while wanted() and (choice := next(choices, None)):
+            add(*choice)
+    while not few and wanted():
         must, forced_left = forced_left[:together], forced_left[together:]
         ranked, outside = list(dict.fromkeys(must)), None
         if not must:
@@ -90,9 +106,8 @@ def greedy_cover(od: DataFrame, origins: DataFrame, p: int | None, max_cost: flo
             gain = float(held.get(i, 0.0))
             if picks and outside and (-gain, ranked[i]) > (-outside[0], outside[1]):
                 break
-            covered += gain
             picks.append(ranked[i])
-            rows.append((len(rows) + 1, ranked[i], gain, covered, covered / total * 100 if total else 0.0))
+            add(ranked[i], gain)
             overlaps = [(s, w) for s, w in overlaps if i not in s]
         served = links.where(F.col("d").isin(*picks)).select("o")
         open_links = cut_lineage(open_links.join(served, "o", "left_anti"))
@@ -100,6 +115,51 @@ def greedy_cover(od: DataFrame, origins: DataFrame, p: int | None, max_cost: flo
     return od.sparkSession.createDataFrame(rows, f"step int, d {kind}, gain double, covered double, percent double")
 
 
+def _choices(open_links: DataFrame, forced: Sequence) -> Iterator[tuple]:
+    """Facilities and their gains, the forced ones first, then one after another by the largest gain.
+
+    Gains only fall, so a facility whose gain still is what the heap has for it is before all others.
+    """
+    table = open_links.groupBy("o", "d").agg(F.max("_w").alias("_w")).toArrow()
+    o = table.column("o").combine_chunks().dictionary_encode().indices.to_numpy()
+    weight = np.zeros(o.max(initial=-1) + 1)
+    weight[o] = table.column("_w").to_numpy()
+    coded = table.column("d").combine_chunks().dictionary_encode()
+    del table
+    order = pc.sort_indices(coded.dictionary)
+    names, rank = coded.dictionary.take(order), np.empty(len(order), np.int64)
+    rank[order.to_numpy()] = np.arange(len(order))
+    d = rank[coded.indices.to_numpy()]
+    gains = np.bincount(d, weight[o], len(names))
+    by_d = np.argsort(d, kind="stable")
+    first, o = np.searchsorted(d[by_d], np.arange(len(names) + 1)), o[by_d]
+    served = np.zeros(len(weight), bool)
+
+    def open_to(i: int) -> np.ndarray:
+        mine = o[first[i] : first[i + 1]]
+        return mine[~served[mine]]
+
+    for name in forced:
+        i = pc.index(names, name).as_py()
+        mine = open_to(i) if i >= 0 else o[:0]
+        served[mine] = True
+        yield name, float(weight[mine].sum())
+    heap = [(-g, i) for i, g in enumerate(gains.tolist())]
+    heapq.heapify(heap)
+    while heap:
+        known, i = heap[0]
+        mine = open_to(i)
+        gain = float(weight[mine].sum())
+        if not len(mine):
+            heapq.heappop(heap)
+        elif gain != -known:
+            heapq.heapreplace(heap, (-gain, i))
+        else:
+            heapq.heappop(heap)
+            served[mine] = True
+            yield names[i].as_py(), gain
+
+
 def _overlaps(open_links: DataFrame, ranked: list) -> list[tuple[set[int], float]]:
     """Open demand by the set of the ranked facilities (their numbers) that cover it."""
     number = lookup({d: i for i, d in enumerate(ranked)}, "d")

@@ -631,6 +631,28 @@ def test_several_choices_a_job_are_the_choices_one_by_one(spark, monkeypatch):
     assert got == want and len(jobs) <= len(want) / 3
 
 
+def test_choices_of_the_driver_are_those_of_jobs(spark, monkeypatch):
+    rng = random.Random(45)
+    # ids whose order as text is not that of their numbers, and many equal gains
+    od = spark.createDataFrame([(o, f"f{d}", 1.0 + (o + d) % 3) for d in range(60) for o in {rng.randrange(200) for _ in range(rng.choice([1, 4, 9]))}], "o long, d string, cost double")
+    origins = spark.createDataFrame([(o,) for o in range(210)], "o long")
+    weights = spark.createDataFrame([(o, float(rng.randint(0, 2))) for o in range(0, 200, 1)], "o long, weight double")
+    jobs, overlaps = [], facility._overlaps
+    monkeypatch.setattr(facility, "_overlaps", lambda *x: jobs.append(1) or overlaps(*x))
+
+    def choices():
+        return [
+            facility.greedy_cover(od, origins, None, 2.0, share=0.7).collect(),
+            facility.greedy_cover(od, origins, 50, 3.0, weights, forced=["f7", "f59", "none", "f7"], share=2.0).collect(),
+            facility.greedy_cover(od.limit(0), origins, None, 2.0, share=0.7).collect(),
+        ]
+
+    at_once = choices()
+    assert not jobs
+    monkeypatch.setattr(facility, "DRIVER_LINKS", -1)
+    assert at_once == choices() and jobs and len(at_once[0]) > 12
+
+
 def test_greedy_facilities(spark):
     rows = [(o, d, float(abs(o - d))) for o in range(12) for d in range(0, 12, 3)]
     od = spark.createDataFrame(rows, "o long, d long, cost double")
